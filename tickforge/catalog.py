@@ -2,6 +2,8 @@
 
 Every query reads the given parquet tables (or what Spark derives from
 them) in full; the SQL equivalents live in ``oracle_sql.ORACLES``.
+Floating outputs are rounded (6 decimals, equity-sized values 4) so that the
+comparison does not depend on summation order.
 """
 
 from __future__ import annotations
@@ -11,8 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import cleaning, rowfeatures as rf, signals as sg
+from .operators import backtest as bt
 from .operators import indicators as ind
-from .sources import tables
+from .operators import learning as ml
+from .operators import reshape, serving
+from .sources import files, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,12 +34,321 @@ def rounded(df: DataFrame, cols, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
 
 
+def double_cols(df: DataFrame) -> list:
+    return [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+
+
+def round_all(df: DataFrame, digits: int = 6) -> DataFrame:
+    return rounded(df, double_cols(df), digits)
+
+
+# ---------------------------------------------------------------- inputs
+def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.clean_ticks(tables.ticks(spark, sf_dir))
+
+
 def indicator_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ind.with_indicators(tables.clean_ticks(tables.ticks(spark, sf_dir)))
+    return ind.with_indicators(ticks(spark, sf_dir))
+
+
+PREDICTION_FEATURES = ["rsi_14", "macd_line", "volatility_20", "momentum_10", "price_change_pct",
+                       "sma_10", "sma_20", "bb_upper", "bb_lower"]
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction records: features + model labels (TRAINING: no model
+    loaded yet) + rule labels."""
+    f = indicator_ticks(spark, sf_dir)
+    rules = sg.rule_signals()
+    models = {m: sg.training_gate(F.lit(False), F.lit(sg.DOWN)) for m in sg.MODEL_SIGNALS}
+    return f.select("symbol", "current_price", "ts", "event_id", "tick_number",
+                    *PREDICTION_FEATURES, *[v.alias(k) for k, v in models.items()],
+                    *[v.alias(k) for k, v in rules.items()])
+
+
+# ------------------------------------------------------- ingest / wire / reshape
+@query("ticks_json_roundtrip")
+def q_ticks_json_roundtrip(spark, sf_dir):
+    wire = files.tick_envelope(tables.ticks(spark, sf_dir))
+    t = cleaning.not_null(files.parse_envelope(wire), "price", "symbol")
+    et = cleaning.parse_tick_time(F.col("timestamp"))
+    return t.select("symbol", "price", "date", "timestamp", et.alias("event_time"),
+                    F.unix_timestamp(et).alias("event_time_seconds"))
+
+
+@query("event_props_json")
+def q_event_props_json(spark, sf_dir):
+    ev = tables.read_table(spark, sf_dir, "events")
+    parsed = F.from_json(F.col("props"), "k INT")
+    return ev.select("event_id", parsed["k"].alias("prop_k"))
+
+
+def lineitem_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem measures as a wide all-string price table with injected
+    missing values: the sentinel on line 3 quantities, junk on line 5 discounts."""
+    li = tables.read_table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("Dates"), "l_orderkey", "l_linenumber",
+        F.when(F.col("l_linenumber") == 3, F.lit(cleaning.MISSING_SENTINEL))
+         .otherwise(F.col("l_quantity").cast("string")).alias("l_quantity"),
+        F.col("l_extendedprice").cast("string").alias("l_extendedprice"),
+        F.when(F.col("l_linenumber") == 5, F.lit("abc"))
+         .otherwise(F.col("l_discount").cast("string")).alias("l_discount"),
+        F.col("l_tax").cast("string").alias("l_tax"))
+
+
+@query("wide_to_long_clean")
+def q_wide_to_long_clean(spark, sf_dir):
+    long = reshape.wide_to_long(lineitem_wide(spark, sf_dir), ["Dates", "l_orderkey", "l_linenumber"])
+    return long.orderBy("date", "l_orderkey", "l_linenumber", "symbol")
+
+
+# ------------------------------------------------------------ row features
+@query("price_transforms")
+def q_price_transforms(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    p = F.col("price")
+    cols = {**rf.price_transforms(p), **rf.price_buckets(p)}
+    return round_all(t.select("symbol", "ts", "event_id", "price", *[v.alias(k) for k, v in cols.items()]))
+
+
+@query("symbol_features")
+def q_symbol_features(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    s = F.col("symbol")
+    return t.select("symbol", "ts", "event_id", *[v.alias(k) for k, v in rf.symbol_text(s).items()],
+                    rf.symbol_type(s).alias("symbol_type"),
+                    rf.symbol_signature(s).alias("symbol_signature"),
+                    cleaning.normalized_symbol(s).alias("symbol_norm"))
 
 
+@query("calendar_features")
+def q_calendar_features(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    ts = F.col("ts")
+    return t.select("symbol", "ts", "event_id", *[v.alias(k) for k, v in rf.calendar(ts).items()],
+                    rf.market_session(F.hour(ts)).alias("market_session"),
+                    rf.is_weekday(ts).alias("is_weekday"))
+
+
+@query("price_tiers")
+def q_price_tiers(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    p = F.col("price")
+    v10 = rf.volatility_10_estimate(p)
+    return round_all(t.select("symbol", "ts", "event_id", "price",
+                              rf.price_category(p).alias("price_category"),
+                              rf.volatility_estimate(p).alias("price_volatility_estimate"),
+                              rf.price_percentile(p).alias("price_percentile"),
+                              v10.alias("volatility_10"),
+                              (v10 * F.lit(rf.VOLATILITY_20_FACTOR)).alias("volatility_20")))
+
+
+@query("indicator_estimates")
+def q_indicator_estimates(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    est = rf.estimate_features()
+    cols = [c for c in rf.ESTIMATE_RECORD if c not in ("symbol", "date", "processing_time")]
+    return round_all(t.select("symbol", "ts", "event_id", "date", *[est[c].alias(c) for c in cols]))
+
+
+@query("symbol_hash_bucket")
+def q_symbol_hash_bucket(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    return t.select("symbol", "ts", "event_id", rf.symbol_hash_bucket(F.col("symbol")).alias("symbol_hash"))
+
+
+def stateless_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = ticks(spark, sf_dir).withColumn("event_time", F.col("ts"))
+    feats = rf.stateless_features()
+    cols = [c for c in rf.STATELESS_RECORD if c not in ("symbol", "date", "processing_time")]
+    return t.select("symbol", "ts", "event_id", "date", *[feats[c].alias(c) for c in cols])
+
+
+@query("stateless_feature_record")
+def q_stateless_feature_record(spark, sf_dir):
+    return round_all(stateless_record(spark, sf_dir))
+
+
+# ------------------------------------------------------------- indicators
 @query("indicators_full")
 def q_indicators_full(spark, sf_dir):
     df = indicator_ticks(spark, sf_dir)
     df = df.select("symbol", "ts", "event_id", "tick_number", "current_price", *ind.FEATURE_COLUMNS)
     return rounded(df, ["current_price", *ind.FEATURE_COLUMNS])
+
+
+INDICATOR_GROUPS = {
+    "sma": ["sma_5", "sma_10", "sma_20"],
+    "ema": ["ema_12", "ema_26"],
+    "rsi": ["rsi_14"],
+    "macd": ["macd_line", "macd_signal", "macd_histogram"],
+    "bollinger": ["bb_upper", "bb_middle", "bb_lower"],
+    "volatility": ["volatility_20"],
+    "momentum": ["momentum_10"],
+    "price_change_lags": ["price_change", "price_change_pct", "lag_1", "lag_2", "lag_5"],
+}
+
+
+def _indicator_group(cols):
+    def fn(spark, sf_dir):
+        df = indicator_ticks(spark, sf_dir).select("symbol", "ts", "event_id", "current_price", *cols)
+        return rounded(df, ["current_price", *cols])
+    return fn
+
+
+for _name, _cols in INDICATOR_GROUPS.items():
+    QUERIES[_name] = _indicator_group(_cols)
+
+
+@query("order_indicators")
+def q_order_indicators(spark, sf_dir):
+    """Same indicator operator on a second domain: order totals per customer."""
+    o = tables.order_series(spark, sf_dir)
+    df = ind.with_indicators(o, keys=["custkey"], order=["odate", "orderkey"])
+    cols = ["sma_5", "ema_12", "rsi_14", "macd_line", "bb_upper", "momentum_10", "lag_1"]
+    return rounded(df.select("custkey", "odate", "orderkey", "current_price", *cols), ["current_price", *cols])
+
+
+# ---------------------------------------------------------------- signals
+@query("rule_signals")
+def q_rule_signals(spark, sf_dir):
+    f = indicator_ticks(spark, sf_dir)
+    used = ["rsi_14", "macd_line", "momentum_10", "price_change_pct", "bb_upper", "bb_lower"]
+    out = f.select("symbol", "ts", "event_id", "current_price", *used,
+                   *[v.alias(k) for k, v in sg.rule_signals().items()])
+    return rounded(out, ["current_price", *used])
+
+
+@query("stateless_signals")
+def q_stateless_signals(spark, sf_dir):
+    r = stateless_record(spark, sf_dir)
+    out = r.select("symbol", "ts", "event_id", "date", "current_price", "price_log",
+                   "price_volatility_estimate", "price_category", "symbol_type", "market_session",
+                   "day_of_week", "price_bucket_50", "price_sqrt", "price_squared",
+                   *[v.alias(k) for k, v in sg.stateless_signals().items()],
+                   sg.class_label(F.when(F.col("price_log") > F.lit(5.0), F.lit(1)).otherwise(F.lit(0)))
+                   .alias("price_level_label"))
+    return round_all(out)
+
+
+@query("prediction_records")
+def q_prediction_records(spark, sf_dir):
+    p = predictions(spark, sf_dir).drop("tick_number")
+    return rounded(p, ["current_price", *PREDICTION_FEATURES])
+
+
+# --------------------------------------------------------------- backtest
+def backtest_rows(spark, sf_dir):
+    return bt.backtest_rows(predictions(spark, sf_dir), sg.RULE_SIGNALS)
+
+
+@query("backtest_equity")
+def q_backtest_equity(spark, sf_dir):
+    r = backtest_rows(spark, sf_dir)
+    out = r.select("symbol", "ts", "event_id", "signal", "label", "long",
+                   F.round("equity", 4).alias("equity"), F.round("ret", 6).alias("ret"))
+    return out
+
+
+@query("backtest_trades")
+def q_backtest_trades(spark, sf_dir):
+    t = bt.trades(backtest_rows(spark, sf_dir))
+    return t.select("symbol", "ts", "event_id", "signal", "side", F.round("current_price", 6).alias("price"),
+                    F.round("units", 4).alias("units"), F.round("entry_price", 6).alias("entry_price"),
+                    F.round("pnl", 4).alias("pnl"), F.round("pnl_pct", 6).alias("pnl_pct"))
+
+
+@query("backtest_metrics")
+def q_backtest_metrics(spark, sf_dir):
+    m = bt.metrics(backtest_rows(spark, sf_dir))
+    return rounded(rounded(m, ["final_value", "net_pnl"], 4), ["return_pct", "sharpe"], 6)
+
+
+@query("backtest_report_lines")
+def q_backtest_report_lines(spark, sf_dir):
+    return bt.report_lines(backtest_rows(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- serving
+@query("symbol_directory")
+def q_symbol_directory(spark, sf_dir):
+    return serving.symbol_directory(ticks(spark, sf_dir))
+
+
+# A user request (parameter): two spellings of listed symbols and one unknown.
+REQUESTED = [" click index ", "VIEW Spot", "purchase comdty", "XYZ"]
+
+
+@query("requested_symbols")
+def q_requested_symbols(spark, sf_dir):
+    return serving.requested_symbols(spark, ticks(spark, sf_dir), REQUESTED)
+
+
+@query("earliest_rows")
+def q_earliest_rows(spark, sf_dir):
+    return serving.head(ticks(spark, sf_dir).select("symbol", "ts", "event_id", "price"), 5)
+
+
+@query("latest_100_per_symbol")
+def q_latest_100_per_symbol(spark, sf_dir):
+    p = predictions(spark, sf_dir).select("symbol", "ts", "event_id", "current_price", "rsi_14", "macd_line")
+    return rounded(serving.latest_per_symbol(p, serving.DASHBOARD_ROWS), ["current_price", "rsi_14", "macd_line"])
+
+
+@query("latest_snapshot")
+def q_latest_snapshot(spark, sf_dir):
+    p = predictions(spark, sf_dir).select("symbol", "ts", "event_id", "current_price", "rsi_14", "macd_line",
+                                          "volatility_20", "RSI_Rule", "BB_Rule")
+    return rounded(serving.latest_snapshot(p), ["current_price", "rsi_14", "macd_line", "volatility_20"])
+
+
+@query("recent_table")
+def q_recent_table(spark, sf_dir):
+    return serving.recent_table(predictions(spark, sf_dir), serving.RECENT_ROWS)
+
+
+@query("chart_series")
+def q_chart_series(spark, sf_dir):
+    p = serving.latest_per_symbol(predictions(spark, sf_dir), serving.DASHBOARD_ROWS)
+    s = serving.chart_series(p, ["current_price", "sma_10", "sma_20", "bb_upper", "bb_lower"])
+    return rounded(s, ["value"])
+
+
+# --------------------------------------------------------------- learning
+@query("labels_next_tick")
+def q_labels_next_tick(spark, sf_dir):
+    lab = ml.next_tick_labels(ticks(spark, sf_dir), price="price")
+    return rounded(lab.select("symbol", "ts", "event_id", "price", "next_price", "label"), ["price", "next_price"])
+
+
+@query("sequential_split")
+def q_sequential_split(spark, sf_dir):
+    lab = ml.next_tick_labels(ticks(spark, sf_dir), price="price")
+    s = ml.sequential_split(lab, test_fraction=0.2)
+    return s.select("symbol", "ts", "event_id", "row_index", "split")
+
+
+@query("training_window")
+def q_training_window(spark, sf_dir):
+    f = indicator_ticks(spark, sf_dir)
+    w = ml.training_window(f)
+    return rounded(w.select("symbol", "ts", "event_id", "tick_number", "y", "retrain_point", "trainable",
+                            *ml.ONLINE_FEATURES), ml.ONLINE_FEATURES)
+
+
+def _labelled_rules(spark, sf_dir):
+    f = indicator_ticks(spark, sf_dir)
+    lab = ml.next_tick_labels(f, price="current_price")
+    return lab.select("symbol", "ts", "event_id", "label", *[v.alias(k) for k, v in sg.rule_signals().items()])
+
+
+@query("signal_accuracy")
+def q_signal_accuracy(spark, sf_dir):
+    return rounded(ml.signal_accuracy(_labelled_rules(spark, sf_dir), sg.RULE_SIGNALS), ["accuracy"])
+
+
+@query("signal_classification_report")
+def q_signal_classification_report(spark, sf_dir):
+    rep = ml.classification_report(_labelled_rules(spark, sf_dir), sg.RULE_SIGNALS)
+    return rounded(rep, ["precision", "recall", "f1"])
