@@ -18,6 +18,7 @@ from .operators import backtest as bt
 from .operators import indicators as ind
 from .operators import learning as ml
 from .operators import reshape, serving
+from .session import scratch_path
 from .sources import files, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -352,3 +353,48 @@ def q_signal_accuracy(spark, sf_dir):
 def q_signal_classification_report(spark, sf_dir):
     rep = ml.classification_report(_labelled_rules(spark, sf_dir), sg.RULE_SIGNALS)
     return rounded(rep, ["precision", "recall", "f1"])
+
+
+# ------------------------------------------------------------------ models
+def _offline(spark, sf_dir):
+    f = ml.offline_frame(ticks(spark, sf_dir))
+    return f.filter(F.col("split") == "train"), f.filter(F.col("split") == "test")
+
+
+def _scored_test(model, test, name):
+    s = ml.scored(model, test, name)
+    return s.select("symbol", "ts", "event_id", "label", F.col(name).alias("predicted"))
+
+
+def _model_query(name):
+    def fn(spark, sf_dir):
+        train, test = _offline(spark, sf_dir)
+        if name == "AdaBoost":
+            model = ml.fit_adaboost(train, ml.OFFLINE_FEATURES, rounds=ml.ADABOOST_ROUNDS_OFFLINE)
+        else:
+            est = ml.estimators(train.count())[name]
+            model = ml.fit_pipeline(train, ml.OFFLINE_FEATURES, est)
+        return _scored_test(model, test, name)
+    return fn
+
+
+for _q, _m in {"model_logreg": "LogisticReg", "model_forest": "RandomForest",
+               "model_adaboost": "AdaBoost", "model_gbt": "XGBoost"}.items():
+    QUERIES[_q] = _model_query(_m)
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    train, test = _offline(spark, sf_dir)
+    models = ml.fit_models(train, ml.OFFLINE_FEATURES, adaboost_rounds=ml.ADABOOST_ROUNDS_OFFLINE)
+    return ml.evaluate(models, test)
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Fit, save to the shared checkpoint folder, load, score the test split."""
+    train, test = _offline(spark, sf_dir)
+    model = ml.fit_pipeline(train, ml.OFFLINE_FEATURES, ml.estimators(train.count())["LogisticReg"])
+    path = scratch_path(spark, "models/logisticreg")
+    ml.save_model(model, path)
+    return _scored_test(ml.load_model(path), test, "LogisticReg")

@@ -35,6 +35,8 @@ WARMUP = 5                  # first feature message is the 5th tick
 OFFLINE_FEATURES = ["simple_return", "lag_1", "price"]
 ONLINE_FEATURES = ["rsi_14", "macd_line", "volatility_20", "momentum_10", "price_change_pct", "current_price"]
 SEED = 42
+ADABOOST_ROUNDS_OFFLINE = 100
+ADABOOST_ROUNDS_ONLINE = 50
 
 
 def next_tick_labels(df: DataFrame, keys=("symbol",), order=("ts", "event_id"), price: str = "price",
@@ -238,3 +240,21 @@ def scored(model, df: DataFrame, name: str) -> DataFrame:
     """Model output as an UP/DOWN label column named ``name``."""
     pred = model.transform(df)
     return pred.withColumn(name, F.when(F.col("prediction") == 1.0, F.lit("UP")).otherwise(F.lit("DOWN")))
+
+
+def offline_frame(ticks: DataFrame, keys=("symbol",), order=("ts", "event_id"), price: str = "price") -> DataFrame:
+    """Offline training rows: (simple_return, lag_1 estimate, price) -> label,
+    last tick of each symbol dropped, with the sequential train/test split."""
+    from ..functions.rowfeatures import cents_return, lag_estimate
+    p = F.col(price)
+    x = ticks.withColumns({"simple_return": cents_return(p), "lag_1": lag_estimate(p, 1)})
+    lab = next_tick_labels(x, keys, order, price=price, mode="drop")
+    return sequential_split(lab, 0.2, keys)
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
