@@ -398,3 +398,43 @@ def q_model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "models/logisticreg")
     ml.save_model(model, path)
     return _scored_test(ml.load_model(path), test, "LogisticReg")
+
+
+# --------------------------------------------------------------- streaming
+def _tick_stream(spark, sf_dir):
+    from .streaming import streams
+    return tables.clean_ticks(tables.ticks_from_events(streams.tick_stream(spark, sf_dir)))
+
+
+@query("stream_price_change")
+def q_stream_price_change(spark, sf_dir):
+    from .streaming import streams
+    out = streams.drain(streams.price_change_stream(_tick_stream(spark, sf_dir)), "price_change")
+    return out.select("symbol", "ts", "event_id", F.round("price", 6).alias("price"),
+                      F.round("price_change", 6).alias("price_change"))
+
+
+@query("stream_indicators")
+def q_stream_indicators(spark, sf_dir):
+    from .streaming import streams
+    out = streams.drain(streams.indicator_stream(_tick_stream(spark, sf_dir)), "indicators")
+    out = out.select("symbol", "ts", "event_id", "tick_number", "current_price", *ind.FEATURE_COLUMNS)
+    return rounded(out, ["current_price", *ind.FEATURE_COLUMNS])
+
+
+STREAM_TABLE_COLUMNS = ["symbol", "ts", "event_id", "date", "current_price", "price_log",
+                        "price_volatility_estimate", "price_category", "symbol_type", "market_session",
+                        "day_of_week", "price_bucket_50", "price_sqrt", "price_squared"]
+
+
+@query("stream_predictions_table")
+def q_stream_predictions_table(spark, sf_dir):
+    """Stateless features + stand-in signals streamed into a parquet table
+    (foreachBatch, per-batch folders), then scanned back."""
+    from .streaming import streams
+    t = _tick_stream(spark, sf_dir).withColumn("event_time", F.col("ts"))
+    feats = rf.stateless_features()
+    rec = t.select("symbol", "ts", "event_id", "date", *[feats[c].alias(c) for c in STREAM_TABLE_COLUMNS[4:]])
+    out = rec.select(*STREAM_TABLE_COLUMNS, *[v.alias(k) for k, v in sg.stateless_signals().items()])
+    table = streams.drain(out, "predictions").drop("batch_id")
+    return round_all(table)

@@ -599,3 +599,27 @@ UNION ALL
 SELECT signal, 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
        round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f GROUP BY signal
 """
+
+# --------------------------------------------------------------- streaming
+ORACLES["stream_price_change"] = f"""
+WITH {TICKS_CTE}
+SELECT symbol, ts, event_id, round(price, 6) AS price,
+       round(coalesce(price - lag(price) OVER ({W}), 0.0::double), 6) AS price_change
+FROM ticks WHERE price IS NOT NULL AND symbol IS NOT NULL
+"""
+
+ORACLES["stream_indicators"] = ORACLES["indicators_full"]
+
+ORACLES["stream_predictions_table"] = f"""
+WITH {TICKS_CTE},
+r AS (SELECT symbol, ts, event_id, date, {stateless_select()}
+      FROM ticks WHERE price IS NOT NULL AND symbol IS NOT NULL)
+SELECT symbol, ts, event_id, date, current_price, price_log, price_volatility_estimate, price_category,
+       symbol_type, market_session, day_of_week, price_bucket_50, price_sqrt, price_squared,
+       {updown('current_price > price_bucket_50')} AS PriceMovement,
+       {updown(f'price_log > {d(5)} AND price_volatility_estimate < {d(0.03)}')} AS XGBoost,
+       {updown("price_category IN ('high', 'very_high')")} AS AdaBoost,
+       {updown("symbol_type = 'index' AND market_session = 'morning'")} AS RandomForest,
+       {updown('day_of_week IN (1, 2, 3, 4, 5)')} AS LogisticReg
+FROM r
+"""
