@@ -150,7 +150,7 @@ def backtest_rows(df: DataFrame, signals: list, keys=("symbol",), order=("ts", "
         "units": F.when(F.col("side").isNotNull(), units),
         "entry_price": F.when(sell, F.col("_entry")),
         "pnl": F.when(sell, pnl),
-        "pnl_pct": F.when(sell, pnl / (units * F.col("_entry")) * F.lit(100.0)),
+        "pnl_pct": F.when(sell, F.try_divide(pnl, units * F.col("_entry")) * F.lit(100.0)),
     }).drop("_entry")
 
 

@@ -71,9 +71,59 @@ def ema_fold(h: Column) -> Column:
     return F.aggregate(F.slice(h, 2, HISTORY - 1), init, step)
 
 
+def fold_weights(m: int = HISTORY) -> dict:
+    """Weights of the retained prices (oldest first) in ema_12, ema_26 and the
+    MACD signal for a history of m prices.  The fold is linear in the prices,
+    so running it on the unit vectors gives its coefficients."""
+    import numpy as np
+    af, asl, ag = _alpha(FAST), _alpha(SLOW), _alpha(SIGNAL)
+    k0 = max(SLOW + 1, m - (MACD_KEEP - 1))
+    eye = np.eye(m)
+    fast = eye[0].copy()
+    slow = eye[0].copy()
+    sig = np.zeros(m)
+    for k in range(2, m + 1):
+        fast = af * eye[k - 1] + (1 - af) * fast
+        slow = asl * eye[k - 1] + (1 - asl) * slow
+        if k == k0:
+            sig = fast - slow
+        elif k > k0:
+            sig = ag * (fast - slow) + (1 - ag) * sig
+    return {"fast": fast.tolist(), "slow": slow.tolist(), "sig": sig.tolist()}
+
+
+def ema_only_fold(h: Column, window: int) -> Column:
+    """EMA of the whole array seeded with its first element (double accumulator)."""
+    a = _alpha(window)
+    return F.aggregate(F.slice(h, 2, HISTORY - 1), F.element_at(h, 1),
+                       lambda acc, x: F.lit(a) * x + F.lit(1 - a) * acc)
+
+
+def _balanced_sql(terms: list) -> str:
+    """SQL text of a sum as a balanced tree of additions."""
+    while len(terms) > 1:
+        terms = [f"({terms[i]} + {terms[i + 1]})" if i + 1 < len(terms) else terms[i]
+                 for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
+def _balanced(terms: list) -> Column:
+    """Sum as a balanced tree of additions: short generated methods, so the
+    projection stays inside whole-stage codegen."""
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False) -> DataFrame:
     """Computes the indicator columns over a sequenced frame; returns the
-    chunk's own rows (halo copies dropped) from the warm-up on."""
+    chunk's own rows (halo copies dropped) from the warm-up on.
+
+    EMA / MACD: the fold is linear in the retained prices, so with a full
+    history (n >= 100, all but the first 99 rows of a key) each value is a
+    fixed weighted sum of the 100 retained prices - plain arithmetic inside
+    whole-stage codegen.  Warm-up rows run the fold itself.
+    """
     w: WindowSpec = s.window
     p = F.col(price)
 
@@ -82,22 +132,24 @@ def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False)
 
     df = s.positioned()
     n = F.count(F.lit(1)).over(frame(-(HISTORY - 1)))
-    prev = F.lag(p, 1).over(w)
+    # one frame holds the retained prices (oldest first); lags are read from it
+    df = df.withColumns({"_n": n, "_h": F.collect_list(p).over(frame(-(HISTORY - 1)))})
+    h = F.col("_h")
+    size = F.size(h)
+
+    def lag(k: int) -> Column:
+        return F.get(h, size - F.lit(1 + k))
+
+    prev = lag(1)
     df = df.withColumns({
-        "_n": n,
-        "_h": F.collect_list(p).over(frame(-(HISTORY - 1))),
+        "_L1": prev, "_L2": lag(2), "_L5": lag(5), "_L9": lag(9),
         "sma_5": F.avg(p).over(frame(-4)),
         "sma_10": F.avg(p).over(frame(-9)),
         "sma_20": F.avg(p).over(frame(-19)),
-        "bb_middle": F.avg(p).over(frame(-19)),
         "_sd20": F.stddev_pop(p).over(frame(-19)),
-        "lag_1": prev,
-        "lag_2": F.lag(p, 2).over(w),
-        "lag_5": F.lag(p, 5).over(w),
-        "_lag9": F.lag(p, 9).over(w),
-        "_delta": p - prev,
-        "_ret": F.try_divide(p - prev, prev),
     })
+    prev = F.col("_L1")
+    df = df.withColumns({"_delta": p - prev, "_ret": F.try_divide(p - prev, prev)})
     # second window pass over the same partitioning/order: no new exchange or sort
     d = F.col("_delta")
     df = df.withColumns({
@@ -107,33 +159,49 @@ def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False)
     })
     if not keep_all:
         df = df.filter(F.col(REAL) & (F.col("_n") >= WARMUP))
-    df = df.withColumn("_fold", ema_fold(F.col("_h")))
     nn = F.col("_n")
-    fold = F.col("_fold")
+    # Full history: fixed weights over h[0..99].  Warm-up (n < 100, at most 99
+    # rows per key): the folds themselves; three different expressions, so
+    # none is hoisted out of its CASE branch and they run on warm-up rows only.
+    full = fold_weights(HISTORY)
+
+    def steady(weights) -> Column:
+        # one SQL expression (parsed once) instead of hundreds of Column calls
+        return F.expr(_balanced_sql([f"_h[{j}] * {wgt!r}D" for j, wgt in enumerate(weights) if wgt != 0.0]))
+
+    df = df.withColumns({
+        "_fast": F.when(nn >= HISTORY, steady(full["fast"])).otherwise(ema_only_fold(h, FAST)),
+        "_slow": F.when(nn >= HISTORY, steady(full["slow"])).otherwise(ema_only_fold(h, SLOW)),
+        "_sig": F.when(nn >= HISTORY, steady(full["sig"])).when(nn >= SLOW + SIGNAL, ema_fold(h)["sig"]),
+    })
     avg_gain = F.col("_gain") / F.lit(14.0)
     avg_loss = F.col("_loss") / F.lit(14.0)
     rsi = F.when(avg_loss == 0, F.lit(100.0)).otherwise(
         F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + avg_gain / avg_loss))
-    macd_line = F.when(nn >= SLOW, fold["fast"] - fold["slow"])
-    macd_signal = F.when(nn >= SLOW + SIGNAL, fold["sig"])
+    macd_line = F.when(nn >= SLOW, F.col("_fast") - F.col("_slow"))
+    macd_signal = F.when(nn >= SLOW + SIGNAL, F.col("_sig"))
+    lag9 = F.col("_L9")
     out = df.withColumns({
         "current_price": p,
         "sma_5": F.when(nn >= 5, F.col("sma_5")),
         "sma_10": F.when(nn >= 10, F.col("sma_10")),
         "sma_20": F.when(nn >= 20, F.col("sma_20")),
-        "ema_12": F.when(nn >= FAST, fold["fast"]),
-        "ema_26": F.when(nn >= SLOW, fold["slow"]),
+        "ema_12": F.when(nn >= FAST, F.col("_fast")),
+        "ema_26": F.when(nn >= SLOW, F.col("_slow")),
         "rsi_14": F.when(nn >= 15, rsi),
         "macd_line": macd_line,
         "macd_signal": macd_signal,
         "macd_histogram": macd_line - macd_signal,
-        "bb_upper": F.when(nn >= 20, F.col("bb_middle") + F.lit(2.0) * F.col("_sd20")),
-        "bb_middle": F.when(nn >= 20, F.col("bb_middle")),
-        "bb_lower": F.when(nn >= 20, F.col("bb_middle") - F.lit(2.0) * F.col("_sd20")),
+        "bb_upper": F.when(nn >= 20, F.col("sma_20") + F.lit(2.0) * F.col("_sd20")),
+        "bb_middle": F.when(nn >= 20, F.col("sma_20")),
+        "bb_lower": F.when(nn >= 20, F.col("sma_20") - F.lit(2.0) * F.col("_sd20")),
         "volatility_20": F.when(nn >= 20, F.col("_vol") * F.lit(ANNUALIZE)),
-        "momentum_10": F.when(nn >= 10, F.try_divide(p - F.col("_lag9"), F.col("_lag9"))),
-        "price_change": F.when(nn >= 2, p - F.col("lag_1")),
-        "price_change_pct": F.when(nn >= 2, F.try_divide(p - F.col("lag_1"), F.col("lag_1")) * F.lit(100.0)),
+        "momentum_10": F.when(nn >= 10, F.try_divide(p - lag9, lag9)),
+        "price_change": F.when(nn >= 2, p - prev),
+        "price_change_pct": F.when(nn >= 2, F.try_divide(p - prev, prev) * F.lit(100.0)),
+        "lag_1": prev,
+        "lag_2": F.col("_L2"),
+        "lag_5": F.col("_L5"),
         "tick_number": F.col(ORD) + F.lit(1),
     })
     return out
