@@ -41,7 +41,7 @@ UB = Window.unboundedPreceding
 
 
 def _state_frame(df: DataFrame, signals: list, keys: list, order: list, price: str,
-                 chunked: bool) -> tuple[DataFrame, list]:
+                 chunked: bool) -> tuple[DataFrame, bool]:
     cols = list(dict.fromkeys(keys + order + [price] + signals))
     valid = df.select(*cols).filter(valid_price(F.col(price)))
     s = sequence(valid, keys, order, before=1) if chunked else plain(valid, keys, order)
@@ -66,11 +66,13 @@ def _state_frame(df: DataFrame, signals: list, keys: list, order: list, price: s
         pass2[f"_lc{i}"] = F.last(d, ignorenulls=True).over(w.rowsBetween(UB, 0))
     x = x.withColumns(pass2)
 
-    # pass 3: for both incoming states h in (UP, DOWN): growth and last buy price
+    # pass 3: for each possible incoming state h: growth and last buy price.
+    # Without chunks every key starts flat, so only h = DOWN is needed.
     pass3 = {}
     move = F.col("_pp").isNotNull()
+    incoming = (UP, DOWN) if s.chunked else (DOWN,)
     for i in range(n):
-        for h in (UP, DOWN):
+        for h in incoming:
             tag = f"{'u' if h == UP else 'd'}{i}"
             long_prev = F.coalesce(F.col(f"_lp{i}"), F.lit(h)) == F.lit(UP)
             long_now = F.coalesce(F.col(f"_lc{i}"), F.lit(h)) == F.lit(UP)
@@ -80,7 +82,7 @@ def _state_frame(df: DataFrame, signals: list, keys: list, order: list, price: s
             pass3[f"_bp{tag}"] = F.last(buy_price, ignorenulls=True).over(w.rowsBetween(UB, -1))
             pass3[f"_bc{tag}"] = F.last(buy_price, ignorenulls=True).over(w.rowsBetween(UB, 0))
     x = x.withColumns(pass3).filter(real)
-    return x, cols
+    return x, s.chunked
 
 
 def _carry(x: DataFrame, n: int, keys: list) -> DataFrame:
@@ -119,10 +121,15 @@ def backtest_rows(df: DataFrame, signals: list, keys=("symbol",), order=("ts", "
     """
     keys, order = list(keys), list(order)
     n = len(signals)
-    x, _ = _state_frame(df, signals, keys, order, price, chunked)
-    carry = _carry(x, n, keys)
-    # carry has one row per chunk > 0 of hot keys: bounded by N / chunk_rows
-    x = x.join(F.broadcast(carry), keys + [CHUNK], "left")
+    x, has_chunks = _state_frame(df, signals, keys, order, price, chunked)
+    if has_chunks:
+        carry = _carry(x, n, keys)
+        # carry has one row per chunk > 0 of hot keys: bounded by N / chunk_rows
+        x = x.join(F.broadcast(carry), keys + [CHUNK], "left")
+    else:
+        x = x.withColumns({f"_c{t}{i}": F.lit(None).cast("string" if t == "d" else "double")
+                           for i in range(n) for t in ("d", "g", "b")})
+        x = x.withColumns({f"_{v}u{i}": F.lit(None).cast("double") for i in range(n) for v in ("g", "bp")})
     p = F.col(price)
     per_signal = []
     for i, sig in enumerate(signals):

@@ -70,6 +70,7 @@ class Sequenced:
     keys: list
     order: list
     chunk_rows: int
+    chunked: bool = True
 
     @property
     def window(self) -> WindowSpec:
@@ -87,7 +88,11 @@ class Sequenced:
 
 
 def sequence(df: DataFrame, keys: list, order: list, before: int = 0, after: int = 0,
-             chunk_rows: int | None = None, fine_buckets: int | None = None) -> Sequenced:
+             chunk_rows: int | None = None, fine_buckets: int | None = None,
+             adaptive: bool = True) -> Sequenced:
+    """Chunked plan for hot keys.  With ``adaptive`` a one-row probe job first
+    checks whether any key has more than ``chunk_rows`` rows; when none does
+    the plain plan (no statistics joins, no halo) is returned."""
     spark = df.sparkSession
     C = int(chunk_rows or conf_chunk_rows(spark))
     nfine = int(fine_buckets or conf_fine_buckets(spark))
@@ -103,6 +108,8 @@ def sequence(df: DataFrame, keys: list, order: list, before: int = 0, after: int
            .withColumn("_nb", F.ceil(F.col("_cnt") * F.lit(nfine) / F.lit(C)))
            .withColumn("_w", (F.col("_tmax") - F.col("_tmin")) / F.col("_nb"))
            .select(*keys, "_cnt", "_tmin", "_w", "_nb"))
+    if adaptive and not hot.limit(1).collect():
+        return plain(df, keys, order)
     x = base.join(F.broadcast(hot), keys, "left")
     fine = F.when(F.col("_w") > 0,
                   F.least(F.floor((F.col(tn) - F.col("_tmin")) / F.col("_w")), F.col("_nb") - 1)
@@ -137,4 +144,4 @@ def plain(df: DataFrame, keys: list, order: list) -> Sequenced:
     """Unchunked plan (one window partition per key) - the reference plan
     used to cross-check ``sequence`` and for micro-batches."""
     y = df.withColumn(CHUNK, F.lit(0).cast("long")).withColumn(BUCKET_START, F.lit(0).cast("long"))
-    return Sequenced(y, list(keys), list(order), 1 << 62)
+    return Sequenced(y, list(keys), list(order), 1 << 62, chunked=False)
