@@ -316,6 +316,50 @@ def q_chart_series(spark, sf_dir):
     return rounded(s, ["value"])
 
 
+# One symbol as a dashboard / backtest request would name it (parameters).
+DASHBOARD_SYMBOL = "CLICK Index"
+BACKTEST_REQUEST = " click index "
+
+
+@query("symbol_top100")
+def q_symbol_top100(spark, sf_dir):
+    """Newest 100 rows of one symbol, returned oldest first."""
+    p = serving.for_symbol(predictions(spark, sf_dir), DASHBOARD_SYMBOL)
+    top = p.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(serving.DASHBOARD_ROWS)
+    return rounded(top.select("symbol", "ts", "event_id", "current_price", "rsi_14", "macd_line")
+                   .orderBy("ts", "event_id"), ["current_price", "rsi_14", "macd_line"])
+
+
+@query("normalized_symbol_rows")
+def q_normalized_symbol_rows(spark, sf_dir):
+    """All rows of a requested symbol matched case/space-insensitively, by time."""
+    p = serving.for_symbol(predictions(spark, sf_dir), BACKTEST_REQUEST, normalized=True)
+    return rounded(p.select("symbol", "ts", "event_id", "current_price", *sg.RULE_SIGNALS)
+                   .orderBy("ts", "event_id"), ["current_price"])
+
+
+@query("latest_signal_badges")
+def q_latest_signal_badges(spark, sf_dir):
+    snap = serving.latest_snapshot(predictions(spark, sf_dir).select(
+        "symbol", "ts", "event_id", "rsi_14", "macd_line", *sg.MODEL_SIGNALS, *sg.RULE_SIGNALS))
+    return serving.signal_badges(snap, [*sg.MODEL_SIGNALS, *sg.RULE_SIGNALS])
+
+
+@query("reshape_counts")
+def q_reshape_counts(spark, sf_dir):
+    """Row counts of the wide table, the unpivoted table and the clean table."""
+    wide = lineitem_wide(spark, sf_dir)
+    ids = ["Dates", "l_orderkey", "l_linenumber"]
+    n_values = len([c for c in wide.columns if c not in ids])
+    long = reshape.unpivot_clean(wide, ids)
+    complete = F.col("date").isNotNull() & F.col("price").isNotNull() & F.col("symbol").isNotNull() \
+        & F.col("l_orderkey").isNotNull() & F.col("l_linenumber").isNotNull()
+    out = long.agg(F.count(F.lit(1)).alias("long_rows"), F.count_if(complete).alias("clean_rows"))
+    # the unpivot emits exactly one row per value column of every wide row
+    return out.select((F.col("long_rows") / F.lit(n_values)).cast("long").alias("wide_rows"), "long_rows",
+                      "clean_rows", (F.col("long_rows") - F.col("clean_rows")).alias("dropped_rows"))
+
+
 # --------------------------------------------------------------- learning
 @query("labels_next_tick")
 def q_labels_next_tick(spark, sf_dir):
@@ -400,6 +444,14 @@ def q_model_roundtrip(spark, sf_dir):
     return _scored_test(ml.load_model(path), test, "LogisticReg")
 
 
+@query("retrain_per_symbol")
+def q_retrain_per_symbol(spark, sf_dir):
+    """Walk-forward per-symbol logistic regression (refit every 100 messages
+    on the last 5,000) scoring every feature message."""
+    wf = ml.walk_forward_logreg(indicator_ticks(spark, sf_dir))
+    return wf.select("symbol", "ts", "event_id", "message_number", "epoch", "model_epoch", "LogisticReg")
+
+
 # --------------------------------------------------------------- streaming
 def _tick_stream(spark, sf_dir):
     from .streaming import streams

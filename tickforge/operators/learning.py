@@ -258,3 +258,80 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+# ------------------------------------------------------- walk-forward refits
+FIT_SCHEMA = "symbol string, epoch long, ok boolean, coef array<double>, intercept double"
+
+
+def _fit_logreg(pdf):
+    """L2 logistic regression (C = 1, intercept unpenalised) by Newton steps;
+    nulls imputed with the buffer mean.  Guards: >= 50 rows, both classes."""
+    import numpy as np
+    import pandas as pd
+    sym, epoch = pdf["symbol"].iloc[0], int(pdf["epoch"].iloc[0])
+    y = pdf["y"].to_numpy(dtype=float)
+    if len(pdf) < MIN_TRAIN_ROWS or len(np.unique(y)) < 2:
+        return pd.DataFrame({"symbol": [sym], "epoch": [epoch], "ok": [False], "coef": [None], "intercept": [None]})
+    X = pdf[ONLINE_FEATURES].to_numpy(dtype=float)
+    means = np.nanmean(X, axis=0)
+    means = np.where(np.isnan(means), 0.0, means)
+    X = np.where(np.isnan(X), means, X)
+    A = np.hstack([X, np.ones((len(X), 1))])
+    w = np.zeros(A.shape[1])
+    reg = np.ones(A.shape[1])
+    reg[-1] = 0.0
+    for _ in range(100):
+        z = np.clip(A @ w, -35, 35)
+        p = 1.0 / (1.0 + np.exp(-z))
+        grad = A.T @ (p - y) + reg * w
+        hess = (A * (p * (1 - p))[:, None]).T @ A + np.diag(reg + 1e-10)
+        step = np.linalg.solve(hess, grad)
+        w -= step
+        if np.max(np.abs(step)) < 1e-10:
+            break
+    return pd.DataFrame({"symbol": [sym], "epoch": [epoch], "ok": [True], "coef": [w[:-1].tolist()],
+                         "intercept": [float(w[-1])]})
+
+
+def walk_forward_logreg(features: DataFrame, keys=("symbol",), order=("ts", "event_id"),
+                        every: int = RETRAIN_EVERY, buffer_rows: int = BUFFER_ROWS) -> DataFrame:
+    """Per-symbol logistic regression refitted every ``every`` feature
+    messages on the last ``buffer_rows`` of them; each message is scored by
+    the newest successful refit at or before it (refit first, then score),
+    ``TRAINING`` before the first one.
+
+    Rows are replicated into the refits whose buffer holds them (at most
+    buffer_rows / every copies - the work of the algorithm itself); each
+    (symbol, refit) group is one small pandas fit.  Coefficients are forward
+    filled over refits and joined back on (symbol, refit) - no driver loop.
+    """
+    keys = list(keys)
+    lab = next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
+    msg = F.col("tick_number") - F.lit(WARMUP - 1)
+    lab = lab.withColumn("_m", msg)
+    last = lab.groupBy(*keys).agg(F.max("_m").alias("_mmax"))
+    x = lab.join(last, keys)
+    first_epoch = F.ceil(F.col("_m") / F.lit(every))
+    last_epoch = F.least(F.floor((F.col("_m") + F.lit(buffer_rows - 1)) / F.lit(every)),
+                         F.floor(F.col("_mmax") / F.lit(every)))
+    train = (x.filter(first_epoch <= last_epoch)
+             .withColumn("epoch", F.explode(F.sequence(first_epoch.cast("long"), last_epoch.cast("long"))))
+             # the newest buffered message has no next price inside the buffer
+             .withColumn("y", F.when(F.col("_m") == F.col("epoch") * F.lit(every), F.lit(0))
+                         .otherwise(F.col("label")))
+             .select(*keys, "epoch", "y", *ONLINE_FEATURES))
+    fits = train.groupBy(*keys, "epoch").applyInPandas(_fit_logreg, FIT_SCHEMA)
+    we = Window.partitionBy(*keys).orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
+    fits = fits.select(*keys, "epoch",
+                       F.last(F.when(F.col("ok"), F.col("epoch")), ignorenulls=True).over(we).alias("model_epoch"),
+                       F.last(F.when(F.col("ok"), F.col("coef")), ignorenulls=True).over(we).alias("coef"),
+                       F.last(F.when(F.col("ok"), F.col("intercept")), ignorenulls=True).over(we).alias("intercept"))
+    scored = x.withColumn("epoch", F.floor(F.col("_m") / F.lit(every)).cast("long")).join(fits, keys + ["epoch"], "left")
+    # serving uses the raw feature with missing -> 0 (no imputation)
+    z = F.col("intercept")
+    for i, c in enumerate(ONLINE_FEATURES):
+        z = z + F.col("coef")[i] * F.coalesce(F.nanvl(F.col(c), F.lit(0.0)), F.lit(0.0))
+    label = F.when(F.col("coef").isNull(), F.lit("TRAINING")).when(z > 0, F.lit("UP")).otherwise(F.lit("DOWN"))
+    return scored.withColumn("LogisticReg", label).withColumn("message_number", F.col("_m")) \
+        .drop("_m", "_mmax", "coef", "intercept")

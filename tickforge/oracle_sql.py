@@ -623,3 +623,39 @@ SELECT symbol, ts, event_id, date, current_price, price_log, price_volatility_es
        {updown('day_of_week IN (1, 2, 3, 4, 5)')} AS LogisticReg
 FROM r
 """
+
+# ------------------------------------------------------------ more serving
+ORACLES["symbol_top100"] = f"""
+WITH {PRED_CTE}
+SELECT symbol, ts, event_id, round(current_price, 6) AS current_price, round(rsi_14, 6) AS rsi_14,
+       round(macd_line, 6) AS macd_line
+FROM (SELECT * FROM pred WHERE symbol = 'CLICK Index' ORDER BY ts DESC, event_id DESC LIMIT 100)
+"""
+
+ORACLES["normalized_symbol_rows"] = f"""
+WITH {PRED_CTE}
+SELECT symbol, ts, event_id, round(current_price, 6) AS current_price, {', '.join(RULE_NAMES)}
+FROM pred WHERE {NORM} = 'CLICK INDEX'
+"""
+
+ORACLES["latest_signal_badges"] = f"""
+WITH {PRED_CTE},
+l AS (SELECT * FROM (SELECT *, row_number() OVER ({LATEST}) AS rk FROM pred) WHERE rk = 1),
+u AS (UNPIVOT (SELECT symbol, ts, event_id, XGBoost, RandomForest, AdaBoost, LogisticReg, {', '.join(RULE_NAMES)} FROM l)
+      ON XGBoost, RandomForest, AdaBoost, LogisticReg, {', '.join(RULE_NAMES)} INTO NAME signal VALUE label)
+SELECT symbol, ts, event_id, signal, label,
+       CASE WHEN label = 'UP' THEN '#00FF00' WHEN label = 'DOWN' THEN '#FF0000' ELSE '#FFFF00' END AS color,
+       CASE WHEN label = 'UP' THEN '▲' WHEN label = 'DOWN' THEN '▼' ELSE '●' END AS glyph
+FROM u
+"""
+
+ORACLES["reshape_counts"] = """
+WITH w AS (SELECT l_shipdate, l_orderkey, l_linenumber,
+                  CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END AS q,
+                  l_extendedprice AS e, CASE WHEN l_linenumber = 5 THEN NULL ELSE l_discount END AS d, l_tax AS t
+           FROM lineitem)
+SELECT count(*) AS wide_rows, 4 * count(*) AS long_rows,
+       count(q) + count(e) + count(d) + count(t) AS clean_rows,
+       4 * count(*) - (count(q) + count(e) + count(d) + count(t)) AS dropped_rows
+FROM w
+"""
