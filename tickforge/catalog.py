@@ -376,15 +376,15 @@ def q_sequential_split(spark, sf_dir):
 
 @query("training_window")
 def q_training_window(spark, sf_dir):
-    f = indicator_ticks(spark, sf_dir)
+    f = ind.with_indicators(ticks(spark, sf_dir), with_next=True)
     w = ml.training_window(f)
     return rounded(w.select("symbol", "ts", "event_id", "tick_number", "y", "retrain_point", "trainable",
                             *ml.ONLINE_FEATURES), ml.ONLINE_FEATURES)
 
 
 def _labelled_rules(spark, sf_dir):
-    f = indicator_ticks(spark, sf_dir)
-    lab = ml.next_tick_labels(f, price="current_price")
+    f = ind.with_indicators(ticks(spark, sf_dir), with_next=True)
+    lab = ml.labels_from_next(f).filter(F.col("next_price").isNotNull())
     return lab.select("symbol", "ts", "event_id", "label", *[v.alias(k) for k, v in sg.rule_signals().items()])
 
 
@@ -448,7 +448,7 @@ def q_model_roundtrip(spark, sf_dir):
 def q_retrain_per_symbol(spark, sf_dir):
     """Walk-forward per-symbol logistic regression (refit every 100 messages
     on the last 5,000) scoring every feature message."""
-    wf = ml.walk_forward_logreg(indicator_ticks(spark, sf_dir))
+    wf = ml.walk_forward_logreg(ind.with_indicators(ticks(spark, sf_dir), with_next=True))
     return wf.select("symbol", "ts", "event_id", "message_number", "epoch", "model_epoch", "LogisticReg")
 
 

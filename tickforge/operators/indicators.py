@@ -115,7 +115,8 @@ def _balanced(terms: list) -> Column:
     return terms[0]
 
 
-def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False) -> DataFrame:
+def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False,
+                    with_next: bool = False) -> DataFrame:
     """Computes the indicator columns over a sequenced frame; returns the
     chunk's own rows (halo copies dropped) from the warm-up on.
 
@@ -134,6 +135,9 @@ def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False)
     n = F.count(F.lit(1)).over(frame(-(HISTORY - 1)))
     # one frame holds the retained prices (oldest first); lags are read from it
     df = df.withColumns({"_n": n, "_h": F.collect_list(p).over(frame(-(HISTORY - 1)))})
+    if with_next:
+        # next price of the key (needs a one-row trailing halo when chunked)
+        df = df.withColumn("next_price", F.lead(p, 1).over(w))
     h = F.col("_h")
     size = F.size(h)
 
@@ -208,12 +212,14 @@ def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False)
 
 
 def with_indicators(df: DataFrame, keys=("symbol",), order=("ts", "event_id"), price: str = "price",
-                    chunked: bool = True) -> DataFrame:
+                    chunked: bool = True, with_next: bool = False) -> DataFrame:
     """Feature record per tick: all input columns + ``current_price`` +
-    FEATURE_COLUMNS + ``tick_number`` (1-based position in the key)."""
+    FEATURE_COLUMNS + ``tick_number`` (1-based position in the key), and
+    ``next_price`` (the key's next price, for labels) when ``with_next``."""
     keys, order = list(keys), list(order)
-    s = sequence(df, keys, order, before=HISTORY - 1) if chunked else plain(df, keys, order)
-    out = indicator_frame(s, price)
+    after = 1 if with_next else 0
+    s = sequence(df, keys, order, before=HISTORY - 1, after=after) if chunked else plain(df, keys, order)
+    out = indicator_frame(s, price, with_next=with_next)
     drop = [c for c in out.columns if c.startswith("_")]
     return out.drop(*drop)
 

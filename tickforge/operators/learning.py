@@ -56,6 +56,15 @@ def next_tick_labels(df: DataFrame, keys=("symbol",), order=("ts", "event_id"),
     return x.withColumnRenamed(ORD, "tick_index").drop("_chunk", "_cb", REAL)
 
 
+def labels_from_next(features: DataFrame, price: str = "current_price") -> DataFrame:
+    """label / tick_index from a ``next_price`` column computed in the
+    feature pass (``with_indicators(..., with_next=True)``), zero_last mode."""
+    return features.withColumns({
+        "label": F.when(F.col("next_price") > F.col(price), F.lit(1)).otherwise(F.lit(0)),
+        "tick_index": F.col("tick_number") - F.lit(1),
+    })
+
+
 def sequential_split(df: DataFrame, test_fraction: float = 0.2, keys=("symbol",),
                      index: str = "tick_index") -> DataFrame:
     """Global (keys, order) row index and train/test split of the first
@@ -87,7 +96,8 @@ def training_window(features: DataFrame, keys=("symbol",), order=("ts", "event_i
     classes, ``retrain_point`` = message number is a multiple of 100.
     """
     keys = list(keys)
-    lab = next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
+    lab = labels_from_next(features) if "next_price" in features.columns else \
+        next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
     counts = lab.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
     buf = lab.join(counts, keys).filter(F.col("tick_index") >= F.col("_kn") - F.lit(buffer_rows))
     stats = buf.groupBy(*keys).agg(
@@ -307,7 +317,8 @@ def walk_forward_logreg(features: DataFrame, keys=("symbol",), order=("ts", "eve
     filled over refits and joined back on (symbol, refit) - no driver loop.
     """
     keys = list(keys)
-    lab = next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
+    lab = labels_from_next(features) if "next_price" in features.columns else \
+        next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
     msg = F.col("tick_number") - F.lit(WARMUP - 1)
     lab = lab.withColumn("_m", msg)
     last = lab.groupBy(*keys).agg(F.max("_m").alias("_mmax"))
