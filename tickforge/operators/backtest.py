@@ -222,3 +222,13 @@ def report_lines(rows: DataFrame, keys=("symbol",), initial: float = INITIAL_CAS
     body = t.select(*keys, "signal", F.lit(1).alias("section"), F.col(ORD).cast("long").alias("seq"),
                     F.when(F.col("side") == F.lit(BUY), buy).otherwise(sell).alias("line"))
     return head.unionByName(body)
+
+
+def write_report(lines: DataFrame, path: str, keys=("symbol",)) -> None:
+    """One text report per (symbol, signal) folder, lines in report order
+    (executor-side write; ordering inside each folder by section, seq)."""
+    keys = list(keys)
+    (lines.repartition(*keys, "signal")
+     .sortWithinPartitions(*keys, "signal", "section", "seq")
+     .select(*keys, "signal", "line")
+     .write.mode("overwrite").partitionBy(*keys, "signal").text(path))
