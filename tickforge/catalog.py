@@ -376,8 +376,9 @@ def q_sequential_split(spark, sf_dir):
 
 @query("training_window")
 def q_training_window(spark, sf_dir):
-    f = ind.with_indicators(ticks(spark, sf_dir), with_next=True)
-    w = ml.training_window(f)
+    t = ticks(spark, sf_dir)
+    f = ind.with_indicators(t, with_next=True)
+    w = ml.training_window(f, source=t)
     return rounded(w.select("symbol", "ts", "event_id", "tick_number", "y", "retrain_point", "trainable",
                             *ml.ONLINE_FEATURES), ml.ONLINE_FEATURES)
 

@@ -86,8 +86,29 @@ def sequential_split(df: DataFrame, test_fraction: float = 0.2, keys=("symbol",)
             .drop("_kn", "_off", "_n"))
 
 
+def with_key_totals(df: DataFrame, keys: list, aggs: dict, probe: DataFrame | None = None) -> DataFrame:
+    """Adds per-key aggregates (``aggs``: name -> aggregate Column) to every row.
+
+    When no key is hot (at most ``chunk_rows`` rows, probed with a one-row
+    job) they are whole-key window aggregates, which reuse the frame's
+    existing partitioning by key (no exchange).  Otherwise they are a
+    ``groupBy`` (partial aggregation) joined back by key - one row per key.
+    ``probe`` (e.g. the raw ticks the frame was derived from) makes the
+    probe a cheap pruned scan instead of a pass over ``df``.
+    """
+    from ..session import chunk_rows
+    C = chunk_rows(df.sparkSession)
+    hot = (probe if probe is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > F.lit(C))
+    if not hot.limit(1).collect():
+        wk = Window.partitionBy(*keys)
+        return df.withColumns({k: v.over(wk) for k, v in aggs.items()})
+    totals = df.groupBy(*keys).agg(*[v.alias(k) for k, v in aggs.items()])
+    return df.join(totals, keys)
+
+
 def training_window(features: DataFrame, keys=("symbol",), order=("ts", "event_id"),
-                    buffer_rows: int = BUFFER_ROWS, columns=ONLINE_FEATURES) -> DataFrame:
+                    buffer_rows: int = BUFFER_ROWS, columns=ONLINE_FEATURES,
+                    source: DataFrame | None = None) -> DataFrame:
     """Final per-symbol training buffer of the online learner.
 
     Rows: the last ``buffer_rows`` feature messages of each symbol.  ``y`` =
@@ -98,19 +119,18 @@ def training_window(features: DataFrame, keys=("symbol",), order=("ts", "event_i
     keys = list(keys)
     lab = labels_from_next(features) if "next_price" in features.columns else \
         next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
-    counts = lab.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
-    buf = lab.join(counts, keys).filter(F.col("tick_index") >= F.col("_kn") - F.lit(buffer_rows))
-    stats = buf.groupBy(*keys).agg(
-        *[F.avg(c).alias(f"_m_{c}") for c in columns],
-        F.count(F.lit(1)).alias("_bn"),
-        F.count_distinct("label").alias("_classes"))
-    out = buf.join(stats, keys)
+    lab = with_key_totals(lab, keys, {"_kn": F.count(F.lit(1))}, source)
+    in_buf = F.col("tick_index") >= F.col("_kn") - F.lit(buffer_rows)
+    buf = lab.filter(in_buf)
+    stats = {f"_m_{c}": F.avg(c) for c in columns}
+    stats.update({"_bn": F.count(F.lit(1)), "_lo": F.min("label"), "_hi": F.max("label")})
+    out = with_key_totals(buf, keys, stats, source)
     message = F.col("tick_number") - F.lit(WARMUP - 1)
     return out.select(
         *[c for c in buf.columns if c not in columns and not c.startswith("_") and c != "label"],
         *[F.coalesce(F.col(c), F.col(f"_m_{c}")).alias(c) for c in columns],
         F.col("label").alias("y"),
-        ((F.col("_bn") >= MIN_TRAIN_ROWS) & (F.col("_classes") >= 2)).alias("trainable"),
+        ((F.col("_bn") >= MIN_TRAIN_ROWS) & (F.col("_lo") != F.col("_hi"))).alias("trainable"),
         ((message % F.lit(RETRAIN_EVERY)) == 0).alias("retrain_point"))
 
 
