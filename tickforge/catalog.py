@@ -449,7 +449,8 @@ def q_model_roundtrip(spark, sf_dir):
 def q_retrain_per_symbol(spark, sf_dir):
     """Walk-forward per-symbol logistic regression (refit every 100 messages
     on the last 5,000) scoring every feature message."""
-    wf = ml.walk_forward_logreg(ind.with_indicators(ticks(spark, sf_dir), with_next=True))
+    t = ticks(spark, sf_dir)
+    wf = ml.walk_forward_logreg(ind.with_indicators(t, with_next=True), source=t)
     return wf.select("symbol", "ts", "event_id", "message_number", "epoch", "model_epoch", "LogisticReg")
 
 

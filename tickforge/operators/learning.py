@@ -143,33 +143,33 @@ def signal_accuracy(df: DataFrame, signals: list, label: str = "label") -> DataF
 
 def classification_report(df: DataFrame, signals: list, label: str = "label") -> DataFrame:
     """Per signal: precision / recall / F1 / support for classes 0 and 1 and
-    their macro and weighted averages (zero when undefined)."""
+    their macro and weighted averages (zero when undefined).  One confusion
+    row per signal; every report row is derived from it (one pass)."""
     long = df.unpivot([label], signals, "signal", "value")
     conf = long.groupBy("signal").agg(*[
         F.count_if((F.col(label) == y) & ((F.col("value") == F.lit(UP)).cast("int") == p)).alias(f"c{y}{p}")
         for y in (0, 1) for p in (0, 1)])
-    rows = []
+    per = {}
     for c in (0, 1):
         o = 1 - c
-        tp = F.col(f"c{c}{c}")
-        pred = F.col(f"c{c}{c}") + F.col(f"c{o}{c}")
-        sup = F.col(f"c{c}{c}") + F.col(f"c{c}{o}")
-        prec = F.coalesce(F.try_divide(tp.cast("double"), pred), F.lit(0.0))
-        rec = F.coalesce(F.try_divide(tp.cast("double"), sup), F.lit(0.0))
+        tp = F.col(f"c{c}{c}").cast("double")
+        prec = F.coalesce(F.try_divide(tp, F.col(f"c{c}{c}") + F.col(f"c{o}{c}")), F.lit(0.0))
+        rec = F.coalesce(F.try_divide(tp, F.col(f"c{c}{c}") + F.col(f"c{c}{o}")), F.lit(0.0))
         f1 = F.coalesce(F.try_divide(F.lit(2.0) * prec * rec, prec + rec), F.lit(0.0))
-        rows.append(conf.select("signal", F.lit(str(c)).alias("class"), prec.alias("precision"),
-                                rec.alias("recall"), f1.alias("f1"), sup.cast("long").alias("support")))
-    per = rows[0].unionByName(rows[1])
-    avg = per.groupBy("signal").agg(
-        F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
-        F.sum("support").cast("long").alias("support"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"))
-    macro = avg.select("signal", F.lit("macro avg").alias("class"), "precision", "recall", "f1", "support")
-    weighted = avg.select("signal", F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"),
-                          F.col("wr").alias("recall"), F.col("wf").alias("f1"), "support")
-    return per.unionByName(macro).unionByName(weighted)
+        per[c] = (prec, rec, f1, (F.col(f"c{c}{c}") + F.col(f"c{c}{o}")).cast("long"))
+    total = per[0][3] + per[1][3]
+
+    def row(name, prec, rec, f1, sup):
+        return F.struct(F.lit(name).alias("class"), prec.alias("precision"), rec.alias("recall"),
+                        f1.alias("f1"), sup.cast("long").alias("support"))
+
+    def weighted(i):
+        return (per[0][i] * per[0][3] + per[1][i] * per[1][3]) / total
+
+    rows = [row(str(c), *per[c]) for c in (0, 1)]
+    rows.append(row("macro avg", *[(per[0][i] + per[1][i]) / F.lit(2.0) for i in range(3)], total))
+    rows.append(row("weighted avg", weighted(0), weighted(1), weighted(2), total))
+    return conf.select("signal", F.inline(F.array(*rows)))
 
 
 # ------------------------------------------------------------------ models
@@ -325,7 +325,8 @@ def _fit_logreg(pdf):
 
 
 def walk_forward_logreg(features: DataFrame, keys=("symbol",), order=("ts", "event_id"),
-                        every: int = RETRAIN_EVERY, buffer_rows: int = BUFFER_ROWS) -> DataFrame:
+                        every: int = RETRAIN_EVERY, buffer_rows: int = BUFFER_ROWS,
+                        source: DataFrame | None = None) -> DataFrame:
     """Per-symbol logistic regression refitted every ``every`` feature
     messages on the last ``buffer_rows`` of them; each message is scored by
     the newest successful refit at or before it (refit first, then score),
@@ -341,8 +342,7 @@ def walk_forward_logreg(features: DataFrame, keys=("symbol",), order=("ts", "eve
         next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
     msg = F.col("tick_number") - F.lit(WARMUP - 1)
     lab = lab.withColumn("_m", msg)
-    last = lab.groupBy(*keys).agg(F.max("_m").alias("_mmax"))
-    x = lab.join(last, keys)
+    x = with_key_totals(lab, keys, {"_mmax": F.max("_m")}, source)
     first_epoch = F.ceil(F.col("_m") / F.lit(every))
     last_epoch = F.least(F.floor((F.col("_m") + F.lit(buffer_rows - 1)) / F.lit(every)),
                          F.floor(F.col("_mmax") / F.lit(every)))
