@@ -241,7 +241,7 @@ def q_prediction_records(spark, sf_dir):
 
 # --------------------------------------------------------------- backtest
 def backtest_rows(spark, sf_dir):
-    return bt.backtest_rows(predictions(spark, sf_dir), sg.RULE_SIGNALS)
+    return bt.backtest_rows(predictions(spark, sf_dir), sg.RULE_SIGNALS, probe=ticks(spark, sf_dir))
 
 
 @query("backtest_equity")

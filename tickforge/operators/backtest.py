@@ -41,10 +41,10 @@ UB = Window.unboundedPreceding
 
 
 def _state_frame(df: DataFrame, signals: list, keys: list, order: list, price: str,
-                 chunked: bool) -> tuple[DataFrame, bool]:
+                 chunked: bool, probe: DataFrame | None = None) -> tuple[DataFrame, bool]:
     cols = list(dict.fromkeys(keys + order + [price] + signals))
     valid = df.select(*cols).filter(valid_price(F.col(price)))
-    s = sequence(valid, keys, order, before=1) if chunked else plain(valid, keys, order)
+    s = sequence(valid, keys, order, before=1, probe=probe) if chunked else plain(valid, keys, order)
     w = s.window
     x = s.positioned()
     p = F.col(price)
@@ -111,17 +111,18 @@ def _carry(x: DataFrame, n: int, keys: list) -> DataFrame:
 
 def backtest_rows(df: DataFrame, signals: list, keys=("symbol",), order=("ts", "event_id"),
                   price: str = "current_price", initial: float = INITIAL_CASH,
-                  chunked: bool = True) -> DataFrame:
+                  chunked: bool = True, probe: DataFrame | None = None) -> DataFrame:
     """Per valid row and signal: position, equity, return and trade fields.
 
     Columns: keys, order, price, ``_ord``, signal, label, long (bool),
     equity, ret (equity return vs previous row, null on the first row),
     side (BUY / SELL / null), units (BUY rows), entry_price, pnl, pnl_pct
-    (SELL rows).
+    (SELL rows).  ``probe``: upstream frame for the hot-key probe (see
+    ``plans.sequence``).
     """
     keys, order = list(keys), list(order)
     n = len(signals)
-    x, has_chunks = _state_frame(df, signals, keys, order, price, chunked)
+    x, has_chunks = _state_frame(df, signals, keys, order, price, chunked, probe)
     if has_chunks:
         carry = _carry(x, n, keys)
         # carry has one row per chunk > 0 of hot keys: bounded by N / chunk_rows

@@ -89,10 +89,14 @@ class Sequenced:
 
 def sequence(df: DataFrame, keys: list, order: list, before: int = 0, after: int = 0,
              chunk_rows: int | None = None, fine_buckets: int | None = None,
-             adaptive: bool = True) -> Sequenced:
+             adaptive: bool = True, probe: DataFrame | None = None) -> Sequenced:
     """Chunked plan for hot keys.  With ``adaptive`` a one-row probe job first
     checks whether any key has more than ``chunk_rows`` rows; when none does
-    the plain plan (no statistics joins, no halo) is returned."""
+    the plain plan (no statistics joins, no halo) is returned.  ``probe`` may
+    name an upstream frame with at least the rows of ``df`` per key (e.g. the
+    raw ticks a feature table was derived from): the probe then is a pruned
+    scan instead of a pass over ``df``.  A key cold there is cold in ``df``;
+    a false "hot" only selects the (equally exact) chunked plan."""
     spark = df.sparkSession
     C = int(chunk_rows or conf_chunk_rows(spark))
     nfine = int(fine_buckets or conf_fine_buckets(spark))
@@ -108,8 +112,11 @@ def sequence(df: DataFrame, keys: list, order: list, before: int = 0, after: int
            .withColumn("_nb", F.ceil(F.col("_cnt") * F.lit(nfine) / F.lit(C)))
            .withColumn("_w", (F.col("_tmax") - F.col("_tmin")) / F.col("_nb"))
            .select(*keys, "_cnt", "_tmin", "_w", "_nb"))
-    if adaptive and not hot.limit(1).collect():
-        return plain(df, keys, order)
+    if adaptive:
+        probe_hot = hot if probe is None else (
+            probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col("_cnt") > F.lit(C)))
+        if not probe_hot.limit(1).collect():
+            return plain(df, keys, order)
     x = base.join(F.broadcast(hot), keys, "left")
     fine = F.when(F.col("_w") > 0,
                   F.least(F.floor((F.col(tn) - F.col("_tmin")) / F.col("_w")), F.col("_nb") - 1)
