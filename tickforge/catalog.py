@@ -369,8 +369,9 @@ def q_labels_next_tick(spark, sf_dir):
 
 @query("sequential_split")
 def q_sequential_split(spark, sf_dir):
-    lab = ml.next_tick_labels(ticks(spark, sf_dir), price="price")
-    s = ml.sequential_split(lab, test_fraction=0.2)
+    t = ticks(spark, sf_dir)
+    lab = ml.next_tick_labels(t, price="price")
+    s = ml.sequential_split(lab, test_fraction=0.2, counts=ml.labelled_counts(t))
     return s.select("symbol", "ts", "event_id", "row_index", "split")
 
 

@@ -66,11 +66,14 @@ def labels_from_next(features: DataFrame, price: str = "current_price") -> DataF
 
 
 def sequential_split(df: DataFrame, test_fraction: float = 0.2, keys=("symbol",),
-                     index: str = "tick_index") -> DataFrame:
+                     index: str = "tick_index", counts: DataFrame | None = None) -> DataFrame:
     """Global (keys, order) row index and train/test split of the first
-    n - ceil(f n) rows.  ``index`` is the 0-based position inside the key."""
+    n - ceil(f n) rows.  ``index`` is the 0-based position inside the key.
+    ``counts`` (keys, ``_kn`` = rows of ``df`` per key) may be supplied from a
+    cheaper upstream aggregate; by default it is counted from ``df``."""
     keys = list(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
+    if counts is None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
     # one row per key: offsets by a prefix sum in key order
     wk = Window.orderBy(*keys)
     counts = counts.withColumns({
@@ -279,7 +282,13 @@ def offline_frame(ticks: DataFrame, keys=("symbol",), order=("ts", "event_id"),
     p = F.col(price)
     x = ticks.withColumns({"simple_return": cents_return(p), "lag_1": lag_estimate(p, 1)})
     lab = next_tick_labels(x, keys, order, price=price, mode="drop")
-    return sequential_split(lab, 0.2, keys)
+    return sequential_split(lab, 0.2, keys, counts=labelled_counts(ticks, keys))
+
+
+def labelled_counts(ticks: DataFrame, keys=("symbol",)) -> DataFrame:
+    """Rows per key after ``next_tick_labels(mode='drop')``: all but the last
+    tick of each key - a pruned scan with partial aggregation."""
+    return ticks.groupBy(*list(keys)).agg((F.count(F.lit(1)) - F.lit(1)).alias("_kn"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
