@@ -57,15 +57,16 @@ def fine_buckets(spark: SparkSession) -> int:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (spark.checkpoint.dir).
 
-    Only when the session names none (local tests) a private folder is set.
+    Only a single-machine session (``local`` or ``local[n]``) that names none
+    gets a private folder; every cluster, ``local-cluster`` included, must set it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        # local sessions (tests, single machine) only
         d = tempfile.mkdtemp(prefix="tickforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
