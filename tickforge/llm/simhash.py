@@ -107,25 +107,31 @@ def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return labels
 
 
+def _run_ends(labels: np.ndarray) -> np.ndarray:
+    """For every position the end of its run of equal labels."""
+    cuts = np.flatnonzero(labels[1:] != labels[:-1]) + 1
+    return np.append(cuts, len(labels))[np.searchsorted(cuts, np.arange(len(labels)), side="right")]
+
+
 def trie_links(fps: np.ndarray, starts: np.ndarray, ends: np.ndarray, budget: int,
-               wave: int = 1 << 15) -> np.ndarray:
+               wave: int = 1 << 13) -> np.ndarray:
     """Class labels of sorted fingerprints under links of at most ``budget``
     differing bits, joined within each range [starts, ends) (one trie each).
 
     Depth-first over waves of node pairs: a wave holds (lo1, hi1, lo2, hi2,
-    differing bits) at one depth and is cut in two beyond ``wave`` pairs, so
-    memory stays bounded in dense tries.
+    differing bits) at one depth and is cut beyond ``wave`` pairs, so memory
+    stays bounded in dense tries.  Node pairs whose fingerprints are all in one
+    class already are dropped: no link between them can change a class.
     """
     labels = np.arange(len(fps), dtype=np.int64)
     big = ends - starts > 1
-    s, e = starts[big].astype(np.int64), ends[big].astype(np.int64)
-    zero = np.zeros(len(s), dtype=np.int8)
-    stack = [(63, s, e, s, e, zero)]
+    s, e = starts[big].astype(np.int32), ends[big].astype(np.int32)
+    stack = [(63, s, e, s, e, np.zeros(len(s), dtype=np.int8))]
     ones: dict[int, np.ndarray] = {}
 
     def count_ones(bit: int) -> np.ndarray:
         if bit not in ones:
-            ones[bit] = np.concatenate(([0], np.cumsum((fps >> np.uint64(bit)) & np.uint64(1)))).astype(np.int64)
+            ones[bit] = np.concatenate(([0], np.cumsum((fps >> np.uint64(bit)) & np.uint64(1)))).astype(np.int32)
         return ones[bit]
 
     while stack:
@@ -133,9 +139,9 @@ def trie_links(fps: np.ndarray, starts: np.ndarray, ends: np.ndarray, budget: in
         if not len(l1):
             continue
         if len(l1) > wave:
-            half = len(l1) // 2
-            stack.append((bit, l1[half:], h1[half:], l2[half:], h2[half:], d[half:]))
-            stack.append((bit, l1[:half], h1[:half], l2[:half], h2[:half], d[:half]))
+            for lo in range(0, len(l1), wave):
+                cut = slice(lo, lo + wave)
+                stack.append((bit, l1[cut], h1[cut], l2[cut], h2[cut], d[cut]))
             continue
         leaf = (h1 - l1 == 1) & (h2 - l2 == 1)
         if leaf.any():  # two leaves: the rest of the path at once
@@ -144,6 +150,10 @@ def trie_links(fps: np.ndarray, starts: np.ndarray, ends: np.ndarray, budget: in
             labels = _merge(labels, a[near], b[near])
             rest = ~leaf
             l1, h1, l2, h2, d = l1[rest], h1[rest], l2[rest], h2[rest], d[rest]
+        if len(l1) > wave // 4:  # a dense trie
+            run = _run_ends(labels)
+            rest = ~((labels[l1] == labels[l2]) & (run[l1] >= h1) & (run[l2] >= h2))
+            l1, h1, l2, h2, d = l1[rest], h1[rest], l2[rest], h2[rest], d[rest]
         if bit < 0 or not len(l1):
             continue
         c = count_ones(bit)
@@ -180,7 +190,7 @@ def _cells(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.Record
             continue
         held.append(np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5)]))
         size += len(b)
-        if size >= 200_000:
+        if size >= 100_000:
             rows = np.concatenate(held)
             last = (rows[:, :4] == rows[-1, :4]).all(axis=1)
             cut = len(rows) - int(np.argmin(last[::-1])) if not last.all() else 0
