@@ -5,8 +5,9 @@ by random splits of the derived ratios: rows that few splits isolate are
 anomalies.  Each tree grows on its own subsample (the method's own bound:
 ``TREES`` x ``SUBSAMPLE`` rows, taken by hash over the whole corpus); scores
 and the threshold cover all rows.  The threshold comes from the labelled rows'
-score histogram: the lowest one that still keeps ``KEEP_GOOD`` of the good
-documents, if that rejects bad ones at a higher rate than good ones.
+score histogram: of the scores that still keep ``KEEP_GOOD`` of the good
+documents, the one with the best balance of rejected bad and good ones
+(``GOOD_WEIGHT``), in the middle of equals.
 
 Defined results: null text counts as empty (no words, fails the base rules);
 repeated rows each get their row; null ids are measured and never labelled;
@@ -31,12 +32,13 @@ TREES = 100
 SUBSAMPLE = 256
 SEED = 7
 KEEP_GOOD = 0.998  # share of labelled good documents that the threshold keeps
+GOOD_WEIGHT = 20  # a rejected share of good documents counts so many times one of bad documents
 BINS = 10_000  # score histogram
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-RATIOS = ("r_symbols", "r_dup_lines", "r_repeat", "r_upper", "r_marks", "word_length")
+RATIOS = ("r_symbols", "r_upper", "r_marks", "word_length")  # repeats are left to the base rules: clean texts have them too
 
 _SYMBOLS = b"#*$%&|<>"
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
@@ -80,8 +82,7 @@ def measure(text: str | None) -> tuple:
     upper = len(raw) - len(raw.translate(None, _UPPER))
     letters = upper + len(raw) - len(raw.translate(None, _LOWER))
     return (n, chars, symbols, dup_lines, repeats,
-            symbols / max(chars, 1), dup_lines / max(len(lines), 1), repeats / max(n, 1), upper / max(letters, 1),
-            raw.count(b"!") / max(chars, 1), min(chars / max(n, 1), 30.0))
+            symbols / max(chars, 1), upper / max(letters, 1), raw.count(b"!") / max(chars, 1), min(chars / max(n, 1), 30.0))
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,8 +206,9 @@ def threshold(rows: DataFrame, labels: DataFrame, keep_good: float = KEEP_GOOD)
     if not good.sum() or not bad.sum():
         return float("inf")
     above_good, above_bad = good[::-1].cumsum()[::-1] / good.sum(), bad[::-1].cumsum()[::-1] / bad.sum()
-    fine = np.flatnonzero((above_good <= 1 - keep_good) & (above_bad > above_good))
-    return float(fine[0] / BINS) if len(fine) else float("inf")
+    gain = np.where(above_good <= 1 - keep_good, above_bad - GOOD_WEIGHT * above_good, 0)
+    best = np.flatnonzero(gain >= gain.max() - 1e-12)
+    return float(best[len(best) // 2] / BINS) if gain.max() > 0 else float("inf")
 
 
 def base_failed():
