@@ -1,71 +1,50 @@
-"""Indicators against a brute-force per-tick loop on hand-made series, and
+"""Indicators against explicit weights and numpy on hand-made series, and
 chunked plan == plain plan on real data."""
 
 import math
 
+import numpy as np
 import pytest
 from conftest import SF01, series_frame
 
 from tickforge.operators import indicators as ind
 
 
-# ---- brute force: recompute everything from the retained prices each tick
-def _ema(xs, w):
-    if len(xs) < w:
-        return None
-    a = 2.0 / (w + 1)
-    e = xs[0]
-    for x in xs[1:]:
-        e = a * x + (1 - a) * e
-    return e
-
-
-def brute(prices):
-    out = []
-    hist = []
-    for t, p in enumerate(prices):
-        hist = (hist + [p])[-100:]
-        n = len(hist)
-        if t + 1 < 5:
-            continue
-        r = {"tick": t + 1}
+# ---- expected values: explicit weights and numpy over the retained prices
+def ema_weights(m, span):
+    """Weights of m values, oldest first, in an EMA that starts from the oldest one."""
+    a = 2.0 / (span + 1)
+    w = a * (1 - a) ** np.arange(m - 1, -1, -1.0)
+    w[0] /= a
+    return w
+
+
+def expected(prices):
+    x = np.array(prices)
+    for t in range(4, len(x)):
+        kept = x[max(0, t - 99):t + 1]
+        n, p = len(kept), kept[-1]
+        ema = lambda k, span: float(ema_weights(k, span) @ kept[:k])
+        back = lambda k: float(kept[-1 - k]) if n > k else None
+        step = np.diff(kept)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            change = np.where(kept[:-1] != 0, step / kept[:-1], np.nan)
+        r = {"tick": t + 1, "lag_1": back(1), "lag_2": back(2), "lag_5": back(5), "price_change": float(step[-1]),
+             "price_change_pct": None if np.isnan(change[-1]) else 100 * change[-1],
+             "ema_12": ema(n, 12) if n >= 12 else None, "ema_26": ema(n, 26) if n >= 26 else None,
+             "macd_line": ema(n, 12) - ema(n, 26) if n >= 26 else None}
         for w in (5, 10, 20):
-            r[f"sma_{w}"] = sum(hist[-w:]) / w if n >= w else None
-        r["ema_12"], r["ema_26"] = _ema(hist, 12), _ema(hist, 26)
-        if n >= 15:
-            d = [hist[i] - hist[i - 1] for i in range(1, n)][-14:]
-            g = sum(x for x in d if x > 0) / 14
-            lo = sum(-x for x in d if x < 0) / 14
-            r["rsi_14"] = 100.0 if lo == 0 else 100 - 100 / (1 + g / lo)
-        else:
-            r["rsi_14"] = None
-        if n >= 26:
-            line = _ema(hist, 12) - _ema(hist, 26)
-            macd_hist = [_ema(hist[:k], 12) - _ema(hist[:k], 26) for k in range(27, n + 1)][-50:]
-            sig = _ema(macd_hist, 9) if len(macd_hist) >= 9 else None
-            r["macd_line"], r["macd_signal"] = line, sig
-        else:
-            r["macd_line"] = r["macd_signal"] = None
-        if n >= 20:
-            last = hist[-20:]
-            m = sum(last) / 20
-            sd = math.sqrt(sum((x - m) ** 2 for x in last) / 20)
-            r["bb_upper"], r["bb_lower"] = m + 2 * sd, m - 2 * sd
-            rets = [(last[i] - last[i - 1]) / last[i - 1] for i in range(1, 20) if last[i - 1] != 0]
-            if rets:
-                mu = sum(rets) / len(rets)
-                r["volatility_20"] = math.sqrt(sum((x - mu) ** 2 for x in rets) / len(rets)) * math.sqrt(252)
-            else:
-                r["volatility_20"] = None
-        else:
-            r["bb_upper"] = r["bb_lower"] = r["volatility_20"] = None
-        r["momentum_10"] = ((p - hist[-10]) / hist[-10] if hist[-10] != 0 else None) if n >= 10 else None
-        r["price_change"] = p - hist[-2]
-        r["price_change_pct"] = (p - hist[-2]) / hist[-2] * 100 if hist[-2] != 0 else None
-        r["lag_1"], r["lag_2"] = hist[-2], hist[-3]
-        r["lag_5"] = hist[-6] if n >= 6 else None
-        out.append(r)
-    return out
+            r[f"sma_{w}"] = kept[-w:].mean() if n >= w else None
+        ups, downs = np.clip(step[-14:], 0, None).sum(), np.clip(-step[-14:], 0, None).sum()
+        r["rsi_14"] = None if n < 15 else 100.0 if downs == 0 else 100 * ups / (ups + downs)
+        line = np.array([ema(k, 12) - ema(k, 26) for k in range(27, n + 1)][-50:])
+        r["macd_signal"] = float(ema_weights(len(line), 9) @ line) if len(line) >= 9 else None
+        band = (kept[-20:].mean(), 2 * kept[-20:].std()) if n >= 20 else None
+        r["bb_upper"], r["bb_lower"] = (band[0] + band[1], band[0] - band[1]) if band else (None, None)
+        moves = change[-19:][~np.isnan(change[-19:])]
+        r["volatility_20"] = moves.std() * math.sqrt(252) if n >= 20 and len(moves) else None
+        r["momentum_10"] = p / back(9) - 1 if n >= 10 and back(9) else None
+        yield r
 
 
 def _close(a, b):
@@ -85,7 +64,7 @@ SERIES = {
 
 
 @pytest.mark.parametrize("chunked", [False, True])
-def test_against_brute_force(spark, small_chunks, chunked):
+def test_against_explicit_weights(spark, small_chunks, chunked):
     rows = []
     for s, prices in SERIES.items():
         rows += [(s, i, p) for i, p in enumerate(prices)]
@@ -96,7 +75,7 @@ def test_against_brute_force(spark, small_chunks, chunked):
             "lag_1", "lag_2", "lag_5"]
     expected_rows = 0
     for s, prices in SERIES.items():
-        for e in brute(prices):
+        for e in expected(prices):
             expected_rows += 1
             g = got[(s, e["tick"])]
             for c in cols:

@@ -9,8 +9,11 @@ from tickforge.catalog import QUERIES
 
 
 def executed(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The final plan of a run (adaptive execution included)."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    return plan.split("== Initial Plan ==")[0]
 
 
 def data_exchanges(plan: str):
@@ -18,20 +21,40 @@ def data_exchanges(plan: str):
     return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
 
 
+def row_scans(plan: str) -> int:
+    return len(re.findall(r"FileScan parquet .*events\.parquet", plan))
+
+
 def test_plain_indicator_plan(spark):
     plan = executed(QUERIES["indicators_full"](spark, SF01))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     parts = data_exchanges(plan)
     assert len(parts) == 1 and parts[0].startswith("symbol"), parts
-    assert "BroadcastHashJoin" not in plan            # no hot key -> no statistics join
+    assert row_scans(plan) == 1
 
 
 def test_chunked_indicator_plan(spark, small_chunks):
     plan = executed(QUERIES["indicators_full"](spark, SF01))
     parts = data_exchanges(plan)
-    row_shuffles = [p for p in parts if "_chunk" in p]
-    assert len(row_shuffles) == 1, parts               # the single shuffle of whole rows
-    assert "BroadcastHashJoin" in plan                 # statistics tables are broadcast
+    assert len(parts) == 1 and "_chunk" in parts[0], parts     # the single shuffle of rows
+    assert row_scans(plan) == 1 and "BroadcastHashJoin" in plan  # placement tables are read from the shared folder
+
+
+def test_chunked_backtest_stays_in_the_indicator_partitions(spark, small_chunks):
+    plan = executed(QUERIES["backtest_metrics"](spark, SF01))
+    assert row_scans(plan) <= 4
+    # rows are shuffled once (a second use of that shuffle is a ReusedExchange); the rest is carry and metrics
+    assert len([p for p in data_exchanges(plan) if "_chunk" in p]) == 1, data_exchanges(plan)
+
+
+def test_lags_do_not_build_histories(spark):
+    for name in ("rsi", "volatility", "momentum", "price_change_lags"):
+        assert "collect_list" not in QUERIES[name](spark, SF01)._jdf.queryExecution().optimizedPlan().toString(), name
+
+
+def test_serving_cuts_ticks_first(spark):
+    plan = executed(QUERIES["latest_snapshot"](spark, SF01))
+    assert "WindowGroupLimit" in plan and "SortAggregate" not in plan
 
 
 def test_scan_is_pruned(spark):

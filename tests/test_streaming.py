@@ -43,7 +43,7 @@ def test_indicator_stream_parity_multi_batch(spark, split_events, tmp_path):
     _place(root, src, range(4))
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
     ticks = tables.clean_ticks(tables.ticks_from_events(s))
-    q, table = streams.run_to_table(streams.indicator_stream(ticks), "parity")
+    q, table = streams.indicator_table(ticks, "parity")
     q.awaitTermination()
     assert q.lastProgress is not None
     got = spark.read.parquet(table)
@@ -87,3 +87,18 @@ def test_price_change_restart(spark, split_events, tmp_path):
         "exp", F.coalesce(F.col("price") - F.lag("price").over(w), F.lit(0.0)))
     bad = got.join(ref, ["symbol", "event_id"]).filter(F.abs(F.col("price_change") - F.col("exp")) > 1e-9).count()
     assert bad == 0
+
+
+def test_folder_table_missing_and_empty_stream(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    ev.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    got = streams.drain(tables.clean_ticks(tables.ticks_from_events(streams.tick_stream(spark, str(tmp_path)))), "folder")
+    assert got.count() == ev.count()
+    with pytest.raises(FileNotFoundError):
+        streams.tick_stream(spark, str(tmp_path), "none")
+    empty = tmp_path / "empty"
+    ev.limit(0).write.parquet(str(empty / "events.parquet"))
+    s = tables.clean_ticks(tables.ticks_from_events(streams.tick_stream(spark, str(empty))))
+    assert streams.drain(s, "empty").count() == 0
+    from tickforge.catalog import QUERIES
+    assert QUERIES["stream_indicators"](spark, str(empty)).count() == 0

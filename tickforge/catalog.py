@@ -8,6 +8,7 @@ comparison does not depend on summation order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from .operators import backtest as bt
 from .operators import indicators as ind
 from .operators import learning as ml
 from .operators import reshape, serving
+from .plans.sequence import CHUNK, ORD
 from .session import scratch_path
 from .sources import files, tables
 
@@ -56,17 +58,29 @@ PREDICTION_FEATURES = ["rsi_14", "macd_line", "volatility_20", "momentum_10", "p
                        "sma_10", "sma_20", "bb_upper", "bb_lower"]
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prediction records: features + model labels (TRAINING: no model
-    loaded yet) + rule labels."""
-    f = indicator_ticks(spark, sf_dir)
+def prediction_columns(f: DataFrame, *more: str) -> DataFrame:
+    """Prediction records of a feature frame: features + model labels
+    (TRAINING: no model loaded yet) + rule labels; ``more`` columns are kept."""
     rules = sg.rule_signals()
     models = {m: sg.training_gate(F.lit(False), F.lit(sg.DOWN)) for m in sg.MODEL_SIGNALS}
-    return f.select("symbol", "current_price", "ts", "event_id", "tick_number",
+    return f.select("symbol", "current_price", "ts", "event_id", "tick_number", *more,
                     *PREDICTION_FEATURES, *[v.alias(k) for k, v in models.items()],
                     *[v.alias(k) for k, v in rules.items()])
 
 
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prediction_columns(indicator_ticks(spark, sf_dir))
+
+
+def newest_predictions(spark: SparkSession, sf_dir: str, rows: int) -> DataFrame:
+    """Prediction records of (at least) the newest ``rows`` ticks of every
+    symbol.  They depend on no more than 99 ticks before them, so the raw ticks
+    are cut to these first; older records of the frame lack history and the
+    caller's own limit drops them.  ``tick_number`` is not meaningful here."""
+    recent = ind.newest(ticks(spark, sf_dir), rows + ind.HISTORY - 1)
+    return prediction_columns(ind.with_indicators(recent, chunked=False))
+
+
 # ------------------------------------------------------- ingest / wire / reshape
 @query("ticks_json_roundtrip")
 def q_ticks_json_roundtrip(spark, sf_dir):
@@ -104,6 +118,19 @@ def q_wide_to_long_clean(spark, sf_dir):
     return long.orderBy("date", "l_orderkey", "l_linenumber", "symbol")
 
 
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """The wide table written as CSV with a header, read back, reshaped, and
+    the long series written and read as CSV again."""
+    folder = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    wide = lineitem_wide(spark, sf_dir)
+    wide.write.option("header", True).csv(f"{folder}/wide")
+    back = files.read_wide_csv(spark, f"{folder}/wide")
+    long = reshape.wide_to_long(back, ["Dates", "l_orderkey", "l_linenumber"])
+    files.write_long_csv(long.select("date", "symbol", "price"), f"{folder}/long")
+    return files.read_long_csv(spark, f"{folder}/long")
+
+
 # ------------------------------------------------------------ row features
 @query("price_transforms")
 def q_price_transforms(spark, sf_dir):
@@ -241,7 +268,9 @@ def q_prediction_records(spark, sf_dir):
 
 # --------------------------------------------------------------- backtest
 def backtest_rows(spark, sf_dir):
-    return bt.backtest_rows(predictions(spark, sf_dir), sg.RULE_SIGNALS, probe=ticks(spark, sf_dir))
+    """Signals and backtest state in the partitions of the indicator pass."""
+    features, chunked = ind.sequenced_indicators(ticks(spark, sf_dir))
+    return bt.backtest_rows(prediction_columns(features, CHUNK, ORD), sg.RULE_SIGNALS, chunked=chunked)
 
 
 @query("backtest_equity")
@@ -293,25 +322,25 @@ def q_earliest_rows(spark, sf_dir):
 
 @query("latest_100_per_symbol")
 def q_latest_100_per_symbol(spark, sf_dir):
-    p = predictions(spark, sf_dir).select("symbol", "ts", "event_id", "current_price", "rsi_14", "macd_line")
+    p = newest_predictions(spark, sf_dir, serving.DASHBOARD_ROWS).select("symbol", "ts", "event_id", "current_price", "rsi_14", "macd_line")
     return rounded(serving.latest_per_symbol(p, serving.DASHBOARD_ROWS), ["current_price", "rsi_14", "macd_line"])
 
 
 @query("latest_snapshot")
 def q_latest_snapshot(spark, sf_dir):
-    p = predictions(spark, sf_dir).select("symbol", "ts", "event_id", "current_price", "rsi_14", "macd_line",
-                                          "volatility_20", "RSI_Rule", "BB_Rule")
+    p = newest_predictions(spark, sf_dir, 1).select("symbol", "ts", "event_id", "current_price", "rsi_14", "macd_line",
+                                                    "volatility_20", "RSI_Rule", "BB_Rule")
     return rounded(serving.latest_snapshot(p), ["current_price", "rsi_14", "macd_line", "volatility_20"])
 
 
 @query("recent_table")
 def q_recent_table(spark, sf_dir):
-    return serving.recent_table(predictions(spark, sf_dir), serving.RECENT_ROWS)
+    return serving.recent_table(newest_predictions(spark, sf_dir, serving.RECENT_ROWS), serving.RECENT_ROWS)
 
 
 @query("chart_series")
 def q_chart_series(spark, sf_dir):
-    p = serving.latest_per_symbol(predictions(spark, sf_dir), serving.DASHBOARD_ROWS)
+    p = serving.latest_per_symbol(newest_predictions(spark, sf_dir, serving.DASHBOARD_ROWS), serving.DASHBOARD_ROWS)
     s = serving.chart_series(p, ["current_price", "sma_10", "sma_20", "bb_upper", "bb_lower"])
     return rounded(s, ["value"])
 
@@ -324,7 +353,9 @@ BACKTEST_REQUEST = " click index "
 @query("symbol_top100")
 def q_symbol_top100(spark, sf_dir):
     """Newest 100 rows of one symbol, returned oldest first."""
-    p = serving.for_symbol(predictions(spark, sf_dir), DASHBOARD_SYMBOL)
+    one = serving.for_symbol(ticks(spark, sf_dir), DASHBOARD_SYMBOL)
+    recent = ind.newest(one, serving.DASHBOARD_ROWS + ind.HISTORY - 1)
+    p = prediction_columns(ind.with_indicators(recent, chunked=False))
     top = p.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(serving.DASHBOARD_ROWS)
     return rounded(top.select("symbol", "ts", "event_id", "current_price", "rsi_14", "macd_line")
                    .orderBy("ts", "event_id"), ["current_price", "rsi_14", "macd_line"])
@@ -333,14 +364,15 @@ def q_symbol_top100(spark, sf_dir):
 @query("normalized_symbol_rows")
 def q_normalized_symbol_rows(spark, sf_dir):
     """All rows of a requested symbol matched case/space-insensitively, by time."""
-    p = serving.for_symbol(predictions(spark, sf_dir), BACKTEST_REQUEST, normalized=True)
+    one = serving.for_symbol(ticks(spark, sf_dir), BACKTEST_REQUEST, normalized=True)
+    p = prediction_columns(ind.with_indicators(one))
     return rounded(p.select("symbol", "ts", "event_id", "current_price", *sg.RULE_SIGNALS)
                    .orderBy("ts", "event_id"), ["current_price"])
 
 
 @query("latest_signal_badges")
 def q_latest_signal_badges(spark, sf_dir):
-    snap = serving.latest_snapshot(predictions(spark, sf_dir).select(
+    snap = serving.latest_snapshot(newest_predictions(spark, sf_dir, 1).select(
         "symbol", "ts", "event_id", "rsi_14", "macd_line", *sg.MODEL_SIGNALS, *sg.RULE_SIGNALS))
     return serving.signal_badges(snap, [*sg.MODEL_SIGNALS, *sg.RULE_SIGNALS])
 
@@ -377,9 +409,7 @@ def q_sequential_split(spark, sf_dir):
 
 @query("training_window")
 def q_training_window(spark, sf_dir):
-    t = ticks(spark, sf_dir)
-    f = ind.with_indicators(t, with_next=True)
-    w = ml.training_window(f, source=t)
+    w = ml.training_window(ticks(spark, sf_dir))
     return rounded(w.select("symbol", "ts", "event_id", "tick_number", "y", "retrain_point", "trainable",
                             *ml.ONLINE_FEATURES), ml.ONLINE_FEATURES)
 
@@ -436,12 +466,29 @@ def q_model_comparison(spark, sf_dir):
     return ml.evaluate(models, test)
 
 
+@query("model_classification_report")
+def q_model_classification_report(spark, sf_dir):
+    """Precision, recall, F1 and support per model and class on the test split."""
+    train, test = _offline(spark, sf_dir)
+    models = ml.fit_models(train, ml.OFFLINE_FEATURES, adaboost_rounds=ml.ADABOOST_ROUNDS_ONLINE)
+    return rounded(ml.model_report(models, test), ["precision", "recall", "f1"])
+
+
+@query("model_adaboost_roundtrip")
+def q_model_adaboost_roundtrip(spark, sf_dir):
+    """AdaBoost saved to the shared folder, loaded, scoring the test split."""
+    train, test = _offline(spark, sf_dir)
+    path = scratch_path(spark, f"models/adaboost-{uuid.uuid4().hex}")
+    ml.fit_adaboost(train, ml.OFFLINE_FEATURES, rounds=ml.ADABOOST_ROUNDS_ONLINE).save(path)
+    return _scored_test(ml.AdaBoostModel.load(path), test, "AdaBoost")
+
+
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     """Fit, save to the shared checkpoint folder, load, score the test split."""
     train, test = _offline(spark, sf_dir)
     model = ml.fit_pipeline(train, ml.OFFLINE_FEATURES, ml.estimators(train.count())["LogisticReg"])
-    path = scratch_path(spark, "models/logisticreg")
+    path = scratch_path(spark, f"models/logisticreg-{uuid.uuid4().hex}")
     ml.save_model(model, path)
     return _scored_test(ml.load_model(path), test, "LogisticReg")
 
@@ -450,8 +497,7 @@ def q_model_roundtrip(spark, sf_dir):
 def q_retrain_per_symbol(spark, sf_dir):
     """Walk-forward per-symbol logistic regression (refit every 100 messages
     on the last 5,000) scoring every feature message."""
-    t = ticks(spark, sf_dir)
-    wf = ml.walk_forward_logreg(ind.with_indicators(t, with_next=True), source=t)
+    wf = ml.walk_forward_logreg(ind.with_indicators(ticks(spark, sf_dir), with_next=True))
     return wf.select("symbol", "ts", "event_id", "message_number", "epoch", "model_epoch", "LogisticReg")
 
 
@@ -461,10 +507,19 @@ def _tick_stream(spark, sf_dir):
     return tables.clean_ticks(tables.ticks_from_events(streams.tick_stream(spark, sf_dir)))
 
 
+def _finished(started, stream, columns: str) -> DataFrame:
+    from .streaming import streams
+    q, table = started
+    q.awaitTermination()
+    from pyspark.sql import types as T
+    return streams.read_out(stream, table, T.StructType([*stream.schema.fields, *T.StructType.fromDDL(columns).fields]))
+
+
 @query("stream_price_change")
 def q_stream_price_change(spark, sf_dir):
     from .streaming import streams
-    out = streams.drain(streams.price_change_stream(_tick_stream(spark, sf_dir)), "price_change")
+    s = _tick_stream(spark, sf_dir)
+    out = _finished(streams.price_change_table(s), s, "price_change double")
     return out.select("symbol", "ts", "event_id", F.round("price", 6).alias("price"),
                       F.round("price_change", 6).alias("price_change"))
 
@@ -472,9 +527,10 @@ def q_stream_price_change(spark, sf_dir):
 @query("stream_indicators")
 def q_stream_indicators(spark, sf_dir):
     from .streaming import streams
-    out = streams.drain(streams.indicator_stream(_tick_stream(spark, sf_dir)), "indicators")
-    out = out.select("symbol", "ts", "event_id", "tick_number", "current_price", *ind.FEATURE_COLUMNS)
-    return rounded(out, ["current_price", *ind.FEATURE_COLUMNS])
+    s = _tick_stream(spark, sf_dir)
+    cols = ["current_price", *ind.FEATURE_COLUMNS]
+    out = _finished(streams.indicator_table(s), s, "tick_number long, " + ", ".join(f"{c} double" for c in cols))
+    return rounded(out.select("symbol", "ts", "event_id", "tick_number", *cols), cols)
 
 
 STREAM_TABLE_COLUMNS = ["symbol", "ts", "event_id", "date", "current_price", "price_log",
@@ -491,5 +547,4 @@ def q_stream_predictions_table(spark, sf_dir):
     feats = rf.stateless_features()
     rec = t.select("symbol", "ts", "event_id", "date", *[feats[c].alias(c) for c in STREAM_TABLE_COLUMNS[4:]])
     out = rec.select(*STREAM_TABLE_COLUMNS, *[v.alias(k) for k, v in sg.stateless_signals().items()])
-    table = streams.drain(out, "predictions").drop("batch_id")
-    return round_all(table)
+    return round_all(streams.drain(out, "predictions"))

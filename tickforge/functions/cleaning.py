@@ -19,8 +19,8 @@ def not_null(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def normalized_symbol(s: Column) -> Column:
-    """Case- and surrounding-space-insensitive symbol (computed once at ingest)."""
-    return F.upper(F.regexp_replace(s, r"^\s+|\s+$", ""))
+    """Case- and surrounding-space-insensitive symbol: TRIM and UPPER, as the table's own filter does."""
+    return F.upper(F.trim(s))
 
 
 def valid_price(p: Column) -> Column:

@@ -15,12 +15,14 @@ Semantics per (symbol, signal), rows in (ts, event_id) order:
   Sharpe = mean / sample std of the equity returns * sqrt(252) (null when
   undefined or std = 0) and the number of trades (both legs).
 
-Plan: the valid rows are sequenced (``plans.sequence``, halo of one row) so a
-hot symbol is cut into chunks; all signals are evaluated side by side in the
-same window passes (one shuffle).  The running state crosses chunk borders
-through a carry table with one row per chunk > 0 (at most N / chunk_rows
-rows): for each chunk both possible incoming states (long / flat) are
-evaluated in the window pass, and the carry picks the right one.
+Plan: the rows come sequenced (``plans.sequence``), usually by the indicator
+pass, whose chunks and shuffle are reused; all signals are evaluated side by
+side in the same window passes.  The running state crosses chunk borders
+through a carry table: the last row of each chunk says what both possible
+incoming states (long / flat) lead to, a window over these few rows picks the
+right one, and the step from one chunk's last price to the next one's first
+price is added.  The carry has one row per chunk > 0, at most ``MAX_CHUNKS``
+per job (``plans.sequence``), and is broadcast on that bound.
 """
 
 from __future__ import annotations
@@ -40,116 +42,125 @@ BUY, SELL = "BUY", "SELL"
 UB = Window.unboundedPreceding
 
 
-def _state_frame(df: DataFrame, signals: list, keys: list, order: list, price: str,
-                 chunked: bool, probe: DataFrame | None = None) -> tuple[DataFrame, bool]:
-    cols = list(dict.fromkeys(keys + order + [price] + signals))
-    valid = df.select(*cols).filter(valid_price(F.col(price)))
-    s = sequence(valid, keys, order, before=1, probe=probe) if chunked else plain(valid, keys, order)
-    w = s.window
-    x = s.positioned()
+def _state_frame(x: DataFrame, signals: list, keys: list, price: str, chunked: bool) -> DataFrame:
+    """Own rows with a valid price, and the running state within their chunk."""
+    x = x.filter(valid_price(F.col(price)))
+    w = Window.partitionBy(*keys, CHUNK).orderBy(ORD)
     p = F.col(price)
-    real = F.col(REAL)
     n = len(signals)
+    up_to, prior = w.rowsBetween(UB, 0), w.rowsBetween(UB, -1)
 
-    # pass 1: previous price (halo included), directional labels of own rows
-    pass1 = {"_pp": F.lag(p, 1).over(w)}
+    # pass 1: previous price in the chunk and directional labels
+    pass1 = {"_pp": F.lag(p, 1).over(w), "_i": F.row_number().over(w)}
+    if chunked:
+        pass1 |= {"_fp": F.first(p).over(up_to), "_end": F.lead(F.lit(1), 1).over(w).isNull()}
     for i, sig in enumerate(signals):
-        lab = F.col(sig)
-        pass1[f"_d{i}"] = F.when(real & lab.isin(UP, DOWN), lab)
+        pass1[f"_d{i}"] = F.when(F.col(sig).isin(UP, DOWN), F.col(sig))
     x = x.withColumns(pass1)
 
     # pass 2: last label before / up to the row inside the chunk
     pass2 = {}
     for i in range(n):
         d = F.col(f"_d{i}")
-        pass2[f"_lp{i}"] = F.last(d, ignorenulls=True).over(w.rowsBetween(UB, -1))
-        pass2[f"_lc{i}"] = F.last(d, ignorenulls=True).over(w.rowsBetween(UB, 0))
+        pass2[f"_lp{i}"] = F.last(d, ignorenulls=True).over(prior)
+        pass2[f"_lc{i}"] = F.last(d, ignorenulls=True).over(up_to)
     x = x.withColumns(pass2)
 
-    # pass 3: for each possible incoming state h: growth and last buy price.
-    # Without chunks every key starts flat, so only h = DOWN is needed.
+    # pass 3: for each possible incoming state: growth and last buy price.
+    # Without chunks every key starts flat, so only DOWN is needed.
     pass3 = {}
-    move = F.col("_pp").isNotNull()
-    incoming = (UP, DOWN) if s.chunked else (DOWN,)
     for i in range(n):
-        for h in incoming:
+        for h in (UP, DOWN) if chunked else (DOWN,):
             tag = f"{'u' if h == UP else 'd'}{i}"
             long_prev = F.coalesce(F.col(f"_lp{i}"), F.lit(h)) == F.lit(UP)
             long_now = F.coalesce(F.col(f"_lc{i}"), F.lit(h)) == F.lit(UP)
-            ratio = F.when(real & move & long_prev, p / F.col("_pp")).otherwise(F.lit(1.0))
-            buy_price = F.when(real & long_now & ~long_prev, p)
-            pass3[f"_g{tag}"] = F.product(ratio).over(w.rowsBetween(UB, 0))
-            pass3[f"_bp{tag}"] = F.last(buy_price, ignorenulls=True).over(w.rowsBetween(UB, -1))
-            pass3[f"_bc{tag}"] = F.last(buy_price, ignorenulls=True).over(w.rowsBetween(UB, 0))
-    x = x.withColumns(pass3).filter(real)
-    return x, s.chunked
-
-
-def _carry(x: DataFrame, n: int, keys: list) -> DataFrame:
-    """One row per chunk > 0: incoming direction, growth factor and last buy price."""
-    fields = []
+            ratio = F.when(F.col("_pp").isNotNull() & long_prev, p / F.col("_pp")).otherwise(F.lit(1.0))
+            buy_price = F.when(long_now & ~long_prev, p)
+            pass3[f"_g{tag}"] = F.product(ratio).over(up_to)
+            pass3[f"_bp{tag}"] = F.last(buy_price, ignorenulls=True).over(prior)
+            pass3[f"_bc{tag}"] = F.last(buy_price, ignorenulls=True).over(up_to)
+    return x.withColumns(pass3)
+
+
+def _carry(x: DataFrame, n: int, keys: list, price: str) -> DataFrame:
+    """One row per chunk > 0: rows before it, the price before it, and per
+    signal the incoming direction, growth factor and last buy price."""
+    ends = x.filter("_end")
+    by = Window.partitionBy(*keys).orderBy(CHUNK)
+    prior = by.rowsBetween(UB, -1)
+    ends = ends.withColumns({
+        "_nb": F.coalesce(F.sum("_i").over(prior), F.lit(0)).cast("long"),
+        "_bp": F.lag(F.col(price), 1).over(by),
+        **{f"_cd{i}": F.last(f"_lc{i}", ignorenulls=True).over(prior) for i in range(n)},
+    })
+    across, whole = {}, {}
     for i in range(n):
-        fields += [F.col(f"_lc{i}").alias(f"ld{i}")]
-        for t in ("u", "d"):
-            fields += [F.col(f"_g{t}{i}").alias(f"g{t}{i}"), F.col(f"_bc{t}{i}").alias(f"b{t}{i}")]
-    summ = (x.groupBy(*keys, CHUNK).agg(F.max_by(F.struct(*fields), F.col(ORD)).alias("s"))
-            .select(*keys, CHUNK, "s.*"))
-    wk = Window.partitionBy(*keys).orderBy(CHUNK)
-    step1 = {f"_cd{i}": F.last(f"ld{i}", ignorenulls=True).over(wk.rowsBetween(UB, -1)) for i in range(n)}
-    summ = summ.withColumns(step1)
-    step2 = {}
+        up_in = F.coalesce(F.col(f"_cd{i}") == F.lit(UP), F.lit(False))
+        # held from the last price of the chunk before to the first one of this chunk
+        across[f"_st{i}"] = F.when(up_in & F.col("_bp").isNotNull(), F.col("_fp") / F.col("_bp")).otherwise(F.lit(1.0))
+        whole[f"_gw{i}"] = F.when(up_in, F.col(f"_gu{i}")).otherwise(F.col(f"_gd{i}"))
+        whole[f"_bw{i}"] = F.when(up_in, F.col(f"_bcu{i}")).otherwise(F.col(f"_bcd{i}"))
+    ends = ends.withColumns({**across, **whole})
+    step = {}
     for i in range(n):
-        up_in = F.col(f"_cd{i}") == F.lit(UP)
-        growth = F.when(up_in, F.col(f"gu{i}")).otherwise(F.col(f"gd{i}"))
-        last_buy = F.when(up_in, F.col(f"bu{i}")).otherwise(F.col(f"bd{i}"))
-        step2[f"_cg{i}"] = F.coalesce(F.product(growth).over(wk.rowsBetween(UB, -1)), F.lit(1.0))
-        step2[f"_cb{i}"] = F.last(last_buy, ignorenulls=True).over(wk.rowsBetween(UB, -1))
-    summ = summ.withColumns(step2)
-    keep = [f"_cd{i}" for i in range(n)] + [f"_cg{i}" for i in range(n)] + [f"_cb{i}" for i in range(n)]
-    return summ.filter(F.col(CHUNK) > 0).select(*keys, CHUNK, *keep)
+        grown = F.coalesce(F.product(F.col(f"_gw{i}") * F.col(f"_st{i}")).over(prior), F.lit(1.0))
+        step[f"_cg{i}"] = grown * F.col(f"_st{i}")
+        step[f"_cb{i}"] = F.last(f"_bw{i}", ignorenulls=True).over(prior)
+    keep = ["_nb", "_bp", *[f"_c{t}{i}" for i in range(n) for t in "dgb"]]
+    out = ends.withColumns(step).filter(F.col(CHUNK) > 0)
+    return out.select(*[F.col(k).alias(f"__{j}") for j, k in enumerate([*keys, CHUNK])], *keep)
 
 
 def backtest_rows(df: DataFrame, signals: list, keys=("symbol",), order=("ts", "event_id"),
                   price: str = "current_price", initial: float = INITIAL_CASH,
-                  chunked: bool = True, probe: DataFrame | None = None) -> DataFrame:
+                  chunked: bool | None = None) -> DataFrame:
     """Per valid row and signal: position, equity, return and trade fields.
 
-    Columns: keys, order, price, ``_ord``, signal, label, long (bool),
-    equity, ret (equity return vs previous row, null on the first row),
-    side (BUY / SELL / null), units (BUY rows), entry_price, pnl, pnl_pct
-    (SELL rows).  ``probe``: upstream frame for the hot-key probe (see
-    ``plans.sequence``).
+    ``df`` may carry the chunks and ordinals of an earlier sequencing
+    (``indicators.sequenced_indicators``; ``chunked`` then says whether any key
+    was cut); otherwise it is sequenced here, or, with ``chunked=False``, left
+    in one window partition per key.
+
+    Columns: keys, order, price, ``_ord`` (among the key's valid rows), signal,
+    label, long (bool), equity, ret (equity return vs previous row, null on the
+    first row), side (BUY / SELL / null), units (BUY rows), entry_price, pnl,
+    pnl_pct (SELL rows).
     """
     keys, order = list(keys), list(order)
     n = len(signals)
-    x, has_chunks = _state_frame(df, signals, keys, order, price, chunked, probe)
-    if has_chunks:
-        carry = _carry(x, n, keys)
-        # carry has one row per chunk > 0 of hot keys: bounded by N / chunk_rows
-        x = x.join(F.broadcast(carry), keys + [CHUNK], "left")
+    if CHUNK not in df.columns:
+        cols = df.select(*dict.fromkeys([*keys, *order, price, *signals])).filter(valid_price(F.col(price)))
+        s = plain(cols, keys, order) if chunked is False else sequence(cols, keys, order)
+        df, chunked = s.positioned().filter(REAL), s.chunked
+    x = _state_frame(df.select(*dict.fromkeys([*keys, *order, price, *signals, CHUNK, ORD])), signals, keys, price, bool(chunked))
+    if chunked:
+        cond = None
+        for j, k in enumerate([*keys, CHUNK]):
+            one = F.col(k).eqNullSafe(F.col(f"__{j}"))
+            cond = one if cond is None else cond & one
+        x = x.join(F.broadcast(_carry(x, n, keys, price)), cond, "left").drop(*[f"__{j}" for j in range(len(keys) + 1)])
     else:
-        x = x.withColumns({f"_c{t}{i}": F.lit(None).cast("string" if t == "d" else "double")
-                           for i in range(n) for t in ("d", "g", "b")})
-        x = x.withColumns({f"_{v}u{i}": F.lit(None).cast("double") for i in range(n) for v in ("g", "bp")})
+        none = {f"_c{t}{i}": F.lit(None).cast("string" if t == "d" else "double") for i in range(n) for t in "dgb"}
+        none |= {f"_{v}u{i}": F.lit(None).cast("double") for i in range(n) for v in ("g", "bp")}
+        x = x.withColumns({**none, "_nb": F.lit(0).cast("long"), "_bp": F.lit(None).cast("double")})
     p = F.col(price)
+    pp = F.coalesce(F.col("_pp"), F.col("_bp"))
     per_signal = []
     for i, sig in enumerate(signals):
         cd = F.col(f"_cd{i}")
-        up_in = cd == F.lit(UP)
-        long_prev = F.coalesce(F.col(f"_lp{i}"), cd) == F.lit(UP)
-        long_now = F.coalesce(F.col(f"_lc{i}"), cd) == F.lit(UP)
-        long_prev = F.coalesce(long_prev, F.lit(False))
-        long_now = F.coalesce(long_now, F.lit(False))
+        up_in = F.coalesce(cd == F.lit(UP), F.lit(False))
+        long_prev = F.coalesce(F.coalesce(F.col(f"_lp{i}"), cd) == F.lit(UP), F.lit(False))
+        long_now = F.coalesce(F.coalesce(F.col(f"_lc{i}"), cd) == F.lit(UP), F.lit(False))
         growth = F.when(up_in, F.col(f"_gu{i}")).otherwise(F.col(f"_gd{i}"))
         equity = F.lit(initial) * F.coalesce(F.col(f"_cg{i}"), F.lit(1.0)) * growth
         entry = F.coalesce(F.when(up_in, F.col(f"_bpu{i}")).otherwise(F.col(f"_bpd{i}")), F.col(f"_cb{i}"))
-        ret = F.when(F.col(ORD) > 0, F.when(long_prev, p / F.col("_pp") - F.lit(1.0)).otherwise(F.lit(0.0)))
+        ret = F.when(pp.isNotNull(), F.when(long_prev, p / pp - F.lit(1.0)).otherwise(F.lit(0.0)))
         side = F.when(long_now & ~long_prev, F.lit(BUY)).when(~long_now & long_prev, F.lit(SELL))
         per_signal.append(F.struct(
             F.lit(sig).alias("signal"), F.col(sig).alias("label"), long_now.alias("long"),
             equity.alias("equity"), ret.alias("ret"), side.alias("side"), entry.alias("_entry")))
-    out = x.select(*keys, *[c for c in order if c not in keys], p.alias(price), ORD,
-                   F.inline(F.array(*per_signal)))
+    out = x.select(*keys, *[c for c in order if c not in keys], p.alias(price),
+                   (F.coalesce(F.col("_nb"), F.lit(0)) + F.col("_i") - F.lit(1)).cast("long").alias(ORD), F.inline(F.array(*per_signal)))
     units = F.col("equity") / p
     sell = F.col("side") == F.lit(SELL)
     # PnL as units * price - units * entry: exactly 0 when the prices are equal
@@ -189,30 +200,38 @@ def metrics(rows: DataFrame, keys=("symbol",), initial: float = INITIAL_CASH) ->
     )
 
 
-# The report's text layout.
+# The report's text layout (its wall-clock line is left out).
 REPORT_RULE = "=" * 60
 REPORT_TITLE = "      FINANCIAL STRATEGY BACKTEST REPORT"
+METRICS_HEADING = "--- PERFORMANCE METRICS ---"
+LOG_HEADING = "--- TRANSACTION LOG ---"
+NO_TRADES = "No trades were executed."
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def report_lines(rows: DataFrame, keys=("symbol",), initial: float = INITIAL_CASH) -> DataFrame:
-    """Text report per (symbol, signal): metric lines then the transaction
-    log.  Columns: keys, signal, section (0 metrics, 1 trades), seq, line."""
+    """Text report per (symbol, signal): title and metric lines, the
+    transaction log, a closing rule.  Columns: keys, signal, section (0 title
+    and metrics, 1 log, 2 end), seq, line."""
     keys = list(keys)
     m = metrics(rows, keys, initial)
     money = lambda c: F.concat(F.lit("$"), F.format_number(c, 2))
     sharpe = F.when(F.col("sharpe").isNotNull(), F.format_string("%.2f", F.col("sharpe"))).otherwise(F.lit("N/A"))
-    metric_lines = [
+    head = [
+        F.lit(REPORT_RULE), F.lit(REPORT_TITLE), F.lit(REPORT_RULE), F.lit(METRICS_HEADING),
         F.concat(F.lit("Initial Portfolio Value: "), money(F.col("initial_value"))),
         F.concat(F.lit("Final Portfolio Value:   "), money(F.col("final_value"))),
         F.concat(F.lit("Total Net PnL:           "), money(F.col("net_pnl"))),
         F.concat(F.lit("Total Return:            "), F.format_string("%.2f", F.col("return_pct")), F.lit("%")),
         F.concat(F.lit("Sharpe Ratio (Annualized): "), sharpe),
         F.concat(F.lit("Total Trades Executed:   "), F.col("trades").cast("string")),
+        F.lit(LOG_HEADING),
     ]
-    head = m.select(*keys, "signal", F.lit(0).alias("section"),
-                    F.posexplode(F.array(*metric_lines)).alias("seq", "line"))
-    head = head.withColumn("seq", F.col("seq").cast("long"))
+    line = lambda section, seq, text: F.struct(F.lit(section).alias("section"), F.lit(seq).cast("long").alias("seq"), text.alias("line"))
+    fixed = [line(0, i, x) for i, x in enumerate(head)]
+    fixed.append(line(1, 0, F.when(F.col("trades") == 0, F.lit(NO_TRADES))))
+    fixed.append(line(2, 0, F.lit(REPORT_RULE)))
+    frame = m.select(*keys, "signal", F.inline(F.array(*fixed))).filter(F.col("line").isNotNull())
     t = trades(rows)
     when_ = F.date_format("ts", TIME_FORMAT)
     buy = F.concat(when_, F.lit(" | BUY   | "), F.format_string("%.4f", F.col("units")),
@@ -222,7 +241,7 @@ def report_lines(rows: DataFrame, keys=("symbol",), initial: float = INITIAL_CAS
                     F.format_string("%.2f", F.col("pnl_pct")), F.lit("%)"))
     body = t.select(*keys, "signal", F.lit(1).alias("section"), F.col(ORD).cast("long").alias("seq"),
                     F.when(F.col("side") == F.lit(BUY), buy).otherwise(sell).alias("line"))
-    return head.unionByName(body)
+    return frame.unionByName(body)
 
 
 def write_report(lines: DataFrame, path: str, keys=("symbol",)) -> None:

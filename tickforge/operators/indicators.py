@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..plans.sequence import ORD, REAL, Sequenced, plain, sequence
+from ..plans.sequence import CHUNK, ORD, REAL, Sequenced, plain, sequence
 
 HISTORY = 100          # retained prices per symbol
 WARMUP = 5             # first emitted tick
@@ -99,7 +99,7 @@ def ema_only_fold(h: Column, window: int) -> Column:
                        lambda acc, x: F.lit(a) * x + F.lit(1 - a) * acc)
 
 
-def _balanced_sql(terms: list) -> str:
+def balanced_sql(terms: list) -> str:
     """SQL text of a sum as a balanced tree of additions."""
     while len(terms) > 1:
         terms = [f"({terms[i]} + {terms[i + 1]})" if i + 1 < len(terms) else terms[i]
@@ -107,23 +107,15 @@ def _balanced_sql(terms: list) -> str:
     return terms[0]
 
 
-def _balanced(terms: list) -> Column:
-    """Sum as a balanced tree of additions: short generated methods, so the
-    projection stays inside whole-stage codegen."""
-    while len(terms) > 1:
-        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
-    return terms[0]
-
-
-def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False,
-                    with_next: bool = False) -> DataFrame:
+def indicator_frame(s: Sequenced, price: str = "price", with_next: bool = False) -> DataFrame:
     """Computes the indicator columns over a sequenced frame; returns the
     chunk's own rows (halo copies dropped) from the warm-up on.
 
     EMA / MACD: the fold is linear in the retained prices, so with a full
     history (n >= 100, all but the first 99 rows of a key) each value is a
     fixed weighted sum of the 100 retained prices - plain arithmetic inside
-    whole-stage codegen.  Warm-up rows run the fold itself.
+    whole-stage codegen.  Warm-up rows run the fold itself.  Only these two
+    read the frame of retained prices; it is pruned where they are not asked for.
     """
     w: WindowSpec = s.window
     p = F.col(price)
@@ -132,21 +124,13 @@ def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False,
         return w.rowsBetween(lo, 0)
 
     df = s.positioned()
-    n = F.count(F.lit(1)).over(frame(-(HISTORY - 1)))
-    # one frame holds the retained prices (oldest first); lags are read from it
-    df = df.withColumns({"_n": n, "_h": F.collect_list(p).over(frame(-(HISTORY - 1)))})
+    df = df.withColumns({"_n": F.count(F.lit(1)).over(frame(-(HISTORY - 1))), "_h": F.collect_list(p).over(frame(-(HISTORY - 1)))})
     if with_next:
         # next price of the key (needs a one-row trailing halo when chunked)
         df = df.withColumn("next_price", F.lead(p, 1).over(w))
     h = F.col("_h")
-    size = F.size(h)
-
-    def lag(k: int) -> Column:
-        return F.get(h, size - F.lit(1 + k))
-
-    prev = lag(1)
     df = df.withColumns({
-        "_L1": prev, "_L2": lag(2), "_L5": lag(5), "_L9": lag(9),
+        **{f"_L{k}": F.lag(p, k).over(w) for k in (1, 2, 5, 9)},
         "sma_5": F.avg(p).over(frame(-4)),
         "sma_10": F.avg(p).over(frame(-9)),
         "sma_20": F.avg(p).over(frame(-19)),
@@ -161,8 +145,7 @@ def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False,
         "_loss": F.sum(F.when(d < 0, -d).otherwise(F.lit(0.0))).over(frame(-13)),
         "_vol": F.stddev_pop("_ret").over(frame(-18)),
     })
-    if not keep_all:
-        df = df.filter(F.col(REAL) & (F.col("_n") >= WARMUP))
+    df = df.filter(F.col(REAL) & (F.col("_n") >= WARMUP))
     nn = F.col("_n")
     # Full history: fixed weights over h[0..99].  Warm-up (n < 100, at most 99
     # rows per key): the folds themselves; three different expressions, so
@@ -171,7 +154,7 @@ def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False,
 
     def steady(weights) -> Column:
         # one SQL expression (parsed once) instead of hundreds of Column calls
-        return F.expr(_balanced_sql([f"_h[{j}] * {wgt!r}D" for j, wgt in enumerate(weights) if wgt != 0.0]))
+        return F.expr(balanced_sql([f"_h[{j}] * {wgt!r}D" for j, wgt in enumerate(weights) if wgt != 0.0]))
 
     df = df.withColumns({
         "_fast": F.when(nn >= HISTORY, steady(full["fast"])).otherwise(ema_only_fold(h, FAST)),
@@ -211,24 +194,26 @@ def indicator_frame(s: Sequenced, price: str = "price", keep_all: bool = False,
     return out
 
 
+def sequenced_indicators(df: DataFrame, keys=("symbol",), order=("ts", "event_id"), price: str = "price",
+                         chunked: bool = True, with_next: bool = False) -> tuple[DataFrame, bool]:
+    """``with_indicators`` that keeps the chunk and ordinal of every row, for
+    operators that go on in the same partitions; and whether any key was cut."""
+    keys, order = list(keys), list(order)
+    s = sequence(df, keys, order, before=HISTORY - 1, after=1 if with_next else 0) if chunked else plain(df, keys, order)
+    out = indicator_frame(s, price, with_next=with_next)
+    return out.drop(*[c for c in out.columns if c.startswith("_") and c not in (CHUNK, ORD)]), s.chunked
+
+
 def with_indicators(df: DataFrame, keys=("symbol",), order=("ts", "event_id"), price: str = "price",
                     chunked: bool = True, with_next: bool = False) -> DataFrame:
     """Feature record per tick: all input columns + ``current_price`` +
     FEATURE_COLUMNS + ``tick_number`` (1-based position in the key), and
     ``next_price`` (the key's next price, for labels) when ``with_next``."""
-    keys, order = list(keys), list(order)
-    after = 1 if with_next else 0
-    s = sequence(df, keys, order, before=HISTORY - 1, after=after) if chunked else plain(df, keys, order)
-    out = indicator_frame(s, price, with_next=with_next)
-    drop = [c for c in out.columns if c.startswith("_")]
-    return out.drop(*drop)
-
-
-def feature_record(df: DataFrame) -> DataFrame:
-    """The 23-field technical feature record (timestamp kept typed)."""
-    return df.select("symbol", "current_price", F.col("ts").alias("timestamp"), "event_id",
-                     *FEATURE_COLUMNS)
+    return sequenced_indicators(df, keys, order, price, chunked, with_next)[0].drop(CHUNK, ORD)
 
 
-def _window(keys, order) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(*order)
+def newest(df: DataFrame, rows: int, keys=("symbol",), order=("ts", "event_id")) -> DataFrame:
+    """The newest ``rows`` of every key: a partial top-k runs before the
+    shuffle, so a hot key sends at most ``rows`` rows per task."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    return df.withColumn("_newest", F.row_number().over(w)).filter(F.col("_newest") <= rows).drop("_newest")

@@ -3,8 +3,8 @@
 * ``next_tick_labels``: label = next price of the symbol > price (lead 1
   through the chunked sequencing plan, so hot symbols stay split);
 * ``sequential_split``: first n - ceil(f n) rows of the (symbol, time) order
-  train, the rest test - no shuffle of rows, no single-partition window over
-  the data (key offsets come from a per-symbol count table);
+  train, the rest test - no shuffle of rows, no single-partition window (key
+  offsets come from a range-partitioned count table);
 * ``training_window``: the bounded per-symbol training buffer (last 5,000
   feature messages), mean imputation, trainability guards, retrain marks;
 * ``signal_accuracy`` / ``classification_report`` from confusion counts;
@@ -15,22 +15,26 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.signals import UP
-from ..plans.sequence import ORD, REAL, plain, sequence
-from ..session import checkpoint_dir
+from ..plans.sequence import ORD, REAL, TIE, plain, sequence
+from ..session import checkpoint_dir, scratch_path
+from .indicators import HISTORY, balanced_sql, newest, with_indicators
 
 # Fixed values of the online learner.
 BUFFER_ROWS = 5000          # training rows kept per symbol
 RETRAIN_EVERY = 100         # feature messages between refits
 MIN_TRAIN_ROWS = 50
+REFIT_BLOCK = 100            # refits fitted in one group
 WARMUP = 5                  # first feature message is the 5th tick
 OFFLINE_FEATURES = ["simple_return", "lag_1", "price"]
 ONLINE_FEATURES = ["rsi_14", "macd_line", "volatility_20", "momentum_10", "price_change_pct", "current_price"]
@@ -53,7 +57,7 @@ def next_tick_labels(df: DataFrame, keys=("symbol",), order=("ts", "event_id"),
     x = x.withColumn("label", F.when(F.col("next_price") > F.col(price), F.lit(1)).otherwise(F.lit(0)))
     if mode == "drop":
         x = x.filter(F.col("next_price").isNotNull())
-    return x.withColumnRenamed(ORD, "tick_index").drop("_chunk", "_cb", REAL)
+    return x.withColumnRenamed(ORD, "tick_index").drop("_chunk", "_cb", REAL, TIE)
 
 
 def labels_from_next(features: DataFrame, price: str = "current_price") -> DataFrame:
@@ -65,6 +69,27 @@ def labels_from_next(features: DataFrame, price: str = "current_price") -> DataF
     })
 
 
+def key_offsets(counts: DataFrame, keys: list, count: str = "_kn") -> tuple[DataFrame, int]:
+    """``counts`` (one row per key) with ``_off``, the sum of ``count`` over the
+    keys before it, and the total.  The keys are range-partitioned and written
+    to the shared folder; each partition runs its own prefix sum, and only one
+    sum per partition is carried over."""
+    spark = counts.sparkSession
+    path = scratch_path(spark, f"offsets-{uuid.uuid4().hex}")
+    dealt = counts.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_part", F.spark_partition_id())
+    dealt.write.parquet(path)
+    kept = spark.read.schema(dealt.schema).parquet(path)
+    sums = kept.groupBy("_part").agg(F.sum(count).alias("s")).collect()  # one row per partition
+    base, total = [], 0
+    for r in sorted(sums, key=lambda r: r["_part"]):
+        base.append((r["_part"], total))
+        total += r["s"] or 0
+    before = spark.createDataFrame(base, "_part int, _base long")
+    within = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    out = kept.join(F.broadcast(before), "_part").withColumn("_off", F.col("_base") + F.coalesce(F.sum(count).over(within), F.lit(0)))
+    return out.drop("_part", "_base"), total
+
+
 def sequential_split(df: DataFrame, test_fraction: float = 0.2, keys=("symbol",),
                      index: str = "tick_index", counts: DataFrame | None = None) -> DataFrame:
     """Global (keys, order) row index and train/test split of the first
@@ -74,62 +99,39 @@ def sequential_split(df: DataFrame, test_fraction: float = 0.2, keys=("symbol",)
     keys = list(keys)
     if counts is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
-    # one row per key: offsets by a prefix sum in key order
-    wk = Window.orderBy(*keys)
-    counts = counts.withColumns({
-        "_off": F.coalesce(F.sum("_kn").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "_n": F.sum("_kn").over(Window.partitionBy()),
-    })
-    x = df.join(counts, keys)
+    offsets, total = key_offsets(counts, keys)
+    n_test = math.ceil(total * test_fraction)
     row_index = (F.col("_off") + F.col(index)).cast("long")
-    n_test = F.ceil(F.col("_n") * F.lit(test_fraction))
-    return (x.withColumn("row_index", row_index)
-            .withColumn("split", F.when(F.col("row_index") < F.col("_n") - n_test, F.lit("train"))
+    return (df.join(offsets, keys).withColumn("row_index", row_index)
+            .withColumn("split", F.when(F.col("row_index") < F.lit(total - n_test), F.lit("train"))
                         .otherwise(F.lit("test")))
-            .drop("_kn", "_off", "_n"))
+            .drop("_kn", "_off"))
 
 
-def with_key_totals(df: DataFrame, keys: list, aggs: dict, probe: DataFrame | None = None) -> DataFrame:
-    """Adds per-key aggregates (``aggs``: name -> aggregate Column) to every row.
-
-    When no key is hot (at most ``chunk_rows`` rows, probed with a one-row
-    job) they are whole-key window aggregates, which reuse the frame's
-    existing partitioning by key (no exchange).  Otherwise they are a
-    ``groupBy`` (partial aggregation) joined back by key - one row per key.
-    ``probe`` (e.g. the raw ticks the frame was derived from) makes the
-    probe a cheap pruned scan instead of a pass over ``df``.
-    """
-    from ..session import chunk_rows
-    C = chunk_rows(df.sparkSession)
-    hot = (probe if probe is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > F.lit(C))
-    if not hot.limit(1).collect():
-        wk = Window.partitionBy(*keys)
-        return df.withColumns({k: v.over(wk) for k, v in aggs.items()})
-    totals = df.groupBy(*keys).agg(*[v.alias(k) for k, v in aggs.items()])
-    return df.join(totals, keys)
-
-
-def training_window(features: DataFrame, keys=("symbol",), order=("ts", "event_id"),
-                    buffer_rows: int = BUFFER_ROWS, columns=ONLINE_FEATURES,
-                    source: DataFrame | None = None) -> DataFrame:
+def training_window(ticks: DataFrame, keys=("symbol",), order=("ts", "event_id"), price: str = "price",
+                    buffer_rows: int = BUFFER_ROWS, columns=ONLINE_FEATURES) -> DataFrame:
     """Final per-symbol training buffer of the online learner.
 
     Rows: the last ``buffer_rows`` feature messages of each symbol.  ``y`` =
     next price up (the newest row gets 0), feature nulls imputed with the
     buffer mean of the symbol, ``trainable`` = at least 50 rows and both
     classes, ``retrain_point`` = message number is a multiple of 100.
+
+    Only the newest buffer_rows + 99 ticks of a key are shuffled: they decide
+    the buffer's features.  Their number in the key comes from a count per key.
     """
     keys = list(keys)
-    lab = labels_from_next(features) if "next_price" in features.columns else \
-        next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
-    lab = with_key_totals(lab, keys, {"_kn": F.count(F.lit(1))}, source)
-    in_buf = F.col("tick_index") >= F.col("_kn") - F.lit(buffer_rows)
-    buf = lab.filter(in_buf)
-    stats = {f"_m_{c}": F.avg(c) for c in columns}
-    stats.update({"_bn": F.count(F.lit(1)), "_lo": F.min("label"), "_hi": F.max("label")})
-    out = with_key_totals(buf, keys, stats, source)
+    recent = newest(ticks, buffer_rows + HISTORY - 1, keys, order)
+    features = labels_from_next(with_indicators(recent, keys, order, price, chunked=False, with_next=True))
+    whole = Window.partitionBy(*keys)  # at most buffer_rows + 99 rows
+    features = features.withColumn("_last", F.max("tick_number").over(whole))
+    buf = features.filter(F.col("tick_number") > F.col("_last") - F.lit(buffer_rows))
+    buf = buf.withColumns({**{f"_m_{c}": F.avg(c).over(whole) for c in columns},
+                           "_bn": F.count(F.lit(1)).over(whole), "_lo": F.min("label").over(whole), "_hi": F.max("label").over(whole)})
+    counts = ticks.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
+    buf = buf.join(counts, keys).withColumn("tick_number", F.col("tick_number") + F.col("_kn") - F.col("_last"))
     message = F.col("tick_number") - F.lit(WARMUP - 1)
-    return out.select(
+    return buf.select(
         *[c for c in buf.columns if c not in columns and not c.startswith("_") and c != "label"],
         *[F.coalesce(F.col(c), F.col(f"_m_{c}")).alias(c) for c in columns],
         F.col("label").alias("y"),
@@ -202,29 +204,51 @@ def fit_pipeline(train: DataFrame, features: list, estimator, label: str = "labe
 class AdaBoostModel:
     """SAMME over depth-1 trees; each round is a distributed weighted fit.
 
-    Weights are a column; lineage is cut every few rounds with a reliable
-    checkpoint (shared ``spark.checkpoint.dir``).
+    A stump is (feature, threshold, label below or at it, label above it), so
+    the vote is one expression, and a model is saved as its preparation
+    pipeline and one small JSON file of stumps.
     """
 
     def __init__(self, prep: PipelineModel, stumps: list, alphas: list):
         self.prep, self.stumps, self.alphas = prep, stumps, alphas
 
     def transform(self, df: DataFrame) -> DataFrame:
-        x = self.prep.transform(df)
-        score = F.lit(0.0)
-        for i, (m, a) in enumerate(zip(self.stumps, self.alphas)):
-            x = m.setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_q{i}").transform(x)
-            score = score + F.lit(a) * F.when(F.col(f"_p{i}") == 1.0, F.lit(1.0)).otherwise(F.lit(-1.0))
-        x = x.withColumn("prediction", F.when(score > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-        return x.drop(*[c for c in x.columns if c[:2] in ("_p", "_r", "_q")])
+        x = self.prep.transform(df).withColumn("_v", vector_to_array("features"))
+        votes = ["0.0D"]
+        for (f, cut, low, high), a in zip(self.stumps, self.alphas):
+            sign = [1.0 if v == 1.0 else -1.0 for v in (low, high)]
+            votes.append(f"CASE WHEN _v[{f}] <= {cut!r}D THEN {a * sign[0]!r}D ELSE {a * sign[1]!r}D END")
+        return x.withColumn("prediction", F.when(F.expr(balanced_sql(votes)) > 0, F.lit(1.0)).otherwise(F.lit(0.0))).drop("_v")
+
+    def save(self, path: str) -> None:
+        self.prep.write().overwrite().save(f"{path}/prep")
+        spark = SparkSession.getActiveSession()
+        rows = [(i, int(f), float(c), float(lo), float(hi), float(a)) for i, ((f, c, lo, hi), a) in enumerate(zip(self.stumps, self.alphas))]
+        spark.createDataFrame(rows, ADABOOST_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/stumps")
+
+    @staticmethod
+    def load(path: str) -> AdaBoostModel:
+        spark = SparkSession.getActiveSession()
+        rows = spark.read.schema(ADABOOST_SCHEMA).json(f"{path}/stumps").orderBy("i").collect()
+        return AdaBoostModel(PipelineModel.load(f"{path}/prep"), [(r["feature"], r["cut"], r["low"], r["high"]) for r in rows], [r["alpha"] for r in rows])
+
+
+ADABOOST_SCHEMA = "i int, feature int, cut double, low double, high double, alpha double"
+
+
+def _stump(model) -> tuple:
+    """(feature, threshold, label below, label above) of a fitted depth-1 tree."""
+    root = model._java_obj.rootNode()
+    if model.numNodes == 1:
+        return 0, 0.0, root.prediction(), root.prediction()
+    return (root.split().featureIndex(), root.split().threshold(), root.leftChild().prediction(), root.rightChild().prediction())
 
 
 def fit_adaboost(train: DataFrame, features: list, label: str = "label", rounds: int = 50,
                  checkpoint_every: int = 10) -> AdaBoostModel:
-    spark = train.sparkSession
-    checkpoint_dir(spark)
+    checkpoint_dir(train.sparkSession)
     prep = Pipeline(stages=assembler(features)).fit(train)
-    x = prep.transform(train).select("features", F.col(label).cast("double").alias("_y"))
+    x = prep.transform(train).select("features", F.col(label).cast("double").alias("_y")).checkpoint(eager=True)
     n = x.count()
     x = x.withColumn("_w", F.lit(1.0 / max(n, 1)))
     stumps, alphas = [], []
@@ -235,17 +259,20 @@ def fit_adaboost(train: DataFrame, features: list, label: str = "label", rounds:
         m = tree.fit(x)
         pred = m.transform(x)
         miss = (F.col("_pred") != F.col("_y")).cast("double")
-        err = pred.agg((F.sum(F.col("_w") * miss) / F.sum("_w")).alias("e")).first()["e"]
+        found = pred.agg(F.sum(F.col("_w") * miss).alias("e"), F.sum("_w").alias("w")).first()
+        err = None if not found["w"] else found["e"] / found["w"]
         if err is None or err <= 0:
-            stumps.append(m)
+            stumps.append(_stump(m))
             alphas.append(1.0)
             break
         if err >= 0.5:
             break
         alpha = math.log((1 - err) / err)
-        stumps.append(m)
+        stumps.append(_stump(m))
         alphas.append(alpha)
-        x = pred.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss)).select("features", "_y", "_w")
+        # weights sum to 1 again: the missed ones' share err grows by exp(alpha)
+        scale = 1.0 / (found["w"] * (1 - err + err * math.exp(alpha)))
+        x = pred.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss) * F.lit(scale)).select("features", "_y", "_w")
         if (r + 1) % checkpoint_every == 0:
             x = x.checkpoint(eager=True)
     return AdaBoostModel(prep, stumps, alphas)
@@ -269,6 +296,15 @@ def evaluate(models: dict, test: DataFrame, label: str = "label") -> DataFrame:
     return out.select("model", "accuracy", "support")
 
 
+def model_report(models: dict, test: DataFrame, label: str = "label") -> DataFrame:
+    """``classification_report`` of every model's UP/DOWN labels on the test rows."""
+    out = None
+    for name, m in models.items():
+        one = classification_report(scored(m, test, name).select(label, name), [name], label).withColumnRenamed("signal", "model")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def scored(model, df: DataFrame, name: str) -> DataFrame:
     """Model output as an UP/DOWN label column named ``name``."""
     pred = model.transform(df)
@@ -300,23 +336,15 @@ def load_model(path: str) -> PipelineModel:
 
 
 # ------------------------------------------------------- walk-forward refits
-FIT_SCHEMA = "symbol string, epoch long, ok boolean, coef array<double>, intercept double"
-
-
-def _fit_logreg(pdf):
+def _fit_logreg(X, y):
     """L2 logistic regression (C = 1, intercept unpenalised) by Newton steps;
-    nulls imputed with the buffer mean.  Guards: >= 50 rows, both classes."""
+    nulls imputed with the buffer mean.  None without 50 rows of both classes."""
     import numpy as np
-    import pandas as pd
-    sym, epoch = pdf["symbol"].iloc[0], int(pdf["epoch"].iloc[0])
-    y = pdf["y"].to_numpy(dtype=float)
-    if len(pdf) < MIN_TRAIN_ROWS or len(np.unique(y)) < 2:
-        return pd.DataFrame({"symbol": [sym], "epoch": [epoch], "ok": [False], "coef": [None], "intercept": [None]})
-    X = pdf[ONLINE_FEATURES].to_numpy(dtype=float)
-    means = np.nanmean(X, axis=0)
-    means = np.where(np.isnan(means), 0.0, means)
-    X = np.where(np.isnan(X), means, X)
-    A = np.hstack([X, np.ones((len(X), 1))])
+    if len(y) < MIN_TRAIN_ROWS or len(np.unique(y)) < 2:
+        return None
+    seen = ~np.isnan(X)
+    means = np.where(seen, X, 0.0).sum(axis=0) / np.maximum(seen.sum(axis=0), 1)
+    A = np.hstack([np.where(seen, X, means), np.ones((len(X), 1))])
     w = np.zeros(A.shape[1])
     reg = np.ones(A.shape[1])
     reg[-1] = 0.0
@@ -329,39 +357,64 @@ def _fit_logreg(pdf):
         w -= step
         if np.max(np.abs(step)) < 1e-10:
             break
-    return pd.DataFrame({"symbol": [sym], "epoch": [epoch], "ok": [True], "coef": [w[:-1].tolist()],
-                         "intercept": [float(w[-1])]})
+    return w
+
+
+def _block_fitter(keys: list, every: int, buffer_rows: int):
+    """All refits of one (key, block): each on the block rows of its buffer."""
+    def fit(pdf):
+        import numpy as np
+        import pandas as pd
+        pdf = pdf.sort_values("_m", kind="stable")
+        m, label = pdf["_m"].to_numpy(), pdf["label"].to_numpy(dtype=float)
+        X = pdf[ONLINE_FEATURES].to_numpy(dtype=float)
+        lo, hi = int(pdf["_first"].iloc[0]), int(pdf["_until"].iloc[0])
+        out = []
+        for epoch in range(lo, hi + 1):
+            a, b = np.searchsorted(m, [epoch * every - buffer_rows + 1, epoch * every + 1])
+            y = label[a:b].copy()
+            y[m[a:b] == epoch * every] = 0.0  # the newest buffered message has no next price yet
+            w = _fit_logreg(X[a:b], y)
+            out.append((epoch, w is not None, None if w is None else w[:-1].tolist(), None if w is None else float(w[-1])))
+        got = pd.DataFrame(out, columns=["epoch", "ok", "coef", "intercept"])
+        for k in keys:
+            got[k] = pdf[k].iloc[0]
+        return got[[*keys, "epoch", "ok", "coef", "intercept"]]
+
+    return fit
 
 
 def walk_forward_logreg(features: DataFrame, keys=("symbol",), order=("ts", "event_id"),
                         every: int = RETRAIN_EVERY, buffer_rows: int = BUFFER_ROWS,
-                        source: DataFrame | None = None) -> DataFrame:
-    """Per-symbol logistic regression refitted every ``every`` feature
-    messages on the last ``buffer_rows`` of them; each message is scored by
-    the newest successful refit at or before it (refit first, then score),
-    ``TRAINING`` before the first one.
-
-    Rows are replicated into the refits whose buffer holds them (at most
-    buffer_rows / every copies - the work of the algorithm itself); each
-    (symbol, refit) group is one small pandas fit.  Coefficients are forward
-    filled over refits and joined back on (symbol, refit) - no driver loop.
+                        block: int = REFIT_BLOCK) -> DataFrame:
+    """Per-key logistic regression refitted every ``every`` feature messages
+    on the last ``buffer_rows`` of them; each message is scored by the newest
+    successful refit at or before it (refit first, then score), ``TRAINING``
+    before the first one.
+
+    Refits are grouped in blocks of ``block``; a row goes to every block with a
+    refit whose buffer holds it, which is 1 + buffer_rows / (every * block)
+    copies or so.  Each (key, block) is one pandas group of at most
+    every * block + buffer_rows rows.  Coefficients are forward filled over
+    refits and joined back on (key, refit) - no driver loop.
     """
     keys = list(keys)
     lab = labels_from_next(features) if "next_price" in features.columns else \
         next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
-    msg = F.col("tick_number") - F.lit(WARMUP - 1)
-    lab = lab.withColumn("_m", msg)
-    x = with_key_totals(lab, keys, {"_mmax": F.max("_m")}, source)
+    x = lab.withColumn("_m", F.col("tick_number") - F.lit(WARMUP - 1))
     first_epoch = F.ceil(F.col("_m") / F.lit(every))
-    last_epoch = F.least(F.floor((F.col("_m") + F.lit(buffer_rows - 1)) / F.lit(every)),
-                         F.floor(F.col("_mmax") / F.lit(every)))
+    last_epoch = F.floor((F.col("_m") + F.lit(buffer_rows - 1)) / F.lit(every))
+    of = lambda epoch: F.floor((epoch - F.lit(1)) / F.lit(block)).cast("long")
     train = (x.filter(first_epoch <= last_epoch)
-             .withColumn("epoch", F.explode(F.sequence(first_epoch.cast("long"), last_epoch.cast("long"))))
-             # the newest buffered message has no next price inside the buffer
-             .withColumn("y", F.when(F.col("_m") == F.col("epoch") * F.lit(every), F.lit(0))
-                         .otherwise(F.col("label")))
-             .select(*keys, "epoch", "y", *ONLINE_FEATURES))
-    fits = train.groupBy(*keys, "epoch").applyInPandas(_fit_logreg, FIT_SCHEMA)
+             .withColumn("_block", F.explode(F.sequence(of(first_epoch), of(last_epoch))))
+             .select(*keys, "_block", "_m", "label", *ONLINE_FEATURES))
+    # a block's refits end with the key's messages
+    ends = x.groupBy(*keys).agg(F.floor(F.max("_m") / F.lit(every)).cast("long").alias("_epochs"))
+    train = (train.join(ends, keys).withColumn("_first", F.col("_block") * F.lit(block) + F.lit(1))
+             .withColumn("_until", F.least((F.col("_block") + F.lit(1)) * F.lit(block), F.col("_epochs"))).drop("_epochs")
+             .filter(F.col("_first") <= F.col("_until")))
+    schema = ", ".join(f"{k} {features.schema[k].dataType.simpleString()}" for k in keys) + ", epoch long, ok boolean, coef array<double>, intercept double"
+    fits = train.groupBy(*keys, "_block").applyInPandas(_block_fitter(keys, every, buffer_rows), schema)
     we = Window.partitionBy(*keys).orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
     fits = fits.select(*keys, "epoch",
                        F.last(F.when(F.col("ok"), F.col("epoch")), ignorenulls=True).over(we).alias("model_epoch"),
@@ -374,4 +427,4 @@ def walk_forward_logreg(features: DataFrame, keys=("symbol",), order=("ts", "eve
         z = z + F.col("coef")[i] * F.coalesce(F.nanvl(F.col(c), F.lit(0.0)), F.lit(0.0))
     label = F.when(F.col("coef").isNull(), F.lit("TRAINING")).when(z > 0, F.lit("UP")).otherwise(F.lit("DOWN"))
     return scored.withColumn("LogisticReg", label).withColumn("message_number", F.col("_m")) \
-        .drop("_m", "_mmax", "coef", "intercept")
+        .drop("_m", "coef", "intercept")

@@ -3,13 +3,13 @@
 All per-symbol results are computed for every symbol at once; per-symbol
 limits use ``row_number() <= k`` which Spark plans as a two-phase
 ``WindowGroupLimit`` (a partial top-k runs before the shuffle, so a hot
-symbol sends at most k rows per task).  Latest rows use ``max_by`` (partial
-aggregation, no sort).
+symbol sends at most k rows per task).  Callers cut the raw ticks to what the
+newest rows depend on (``indicators.newest``) before they compute features.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import normalized_symbol
@@ -42,7 +42,8 @@ def requested_symbols(spark: SparkSession, df: DataFrame, requested: list, symbo
 
 
 def for_symbol(df: DataFrame, symbol: str, normalized: bool = False) -> DataFrame:
-    """Rows of one symbol (pushed to the parquet scan for the raw form)."""
+    """Rows of one symbol (filter ahead of any series operator; the tick
+    adapter's symbol is computed, so it is not pushed into the parquet scan)."""
     if normalized:
         return df.filter(normalized_symbol(F.col("symbol")) == F.lit(symbol.strip().upper()))
     return df.filter(F.col("symbol") == F.lit(symbol))
@@ -57,10 +58,7 @@ def latest_per_symbol(df: DataFrame, k: int = DASHBOARD_ROWS, order=("ts", "even
 
 def latest_snapshot(df: DataFrame, order=("ts", "event_id"), keys=("symbol",)) -> DataFrame:
     """Newest row per symbol plus KPI status colours."""
-    cols = [c for c in df.columns if c not in keys]
-    newest = (df.groupBy(*keys)
-              .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("r"))
-              .select(*keys, "r.*"))
+    newest = latest_per_symbol(df, 1, order, keys).drop("rank_desc")
     extra = {
         "rsi_color": rsi_color(F.col("rsi_14")),
         "macd_color": macd_color(F.col("macd_line")),
@@ -102,11 +100,5 @@ def head(df: DataFrame, n: int = 5, order=("ts", "event_id")) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def optional_columns(df: DataFrame, wanted: list, default: Column | None = None) -> DataFrame:
-    """Select wanted columns, absent ones as null (or ``default``)."""
-    return df.select(*[F.col(c) if c in df.columns else (default if default is not None else F.lit(None)).alias(c)
-                       for c in wanted])
-
-
 __all__ = ["NA", "symbol_directory", "requested_symbols", "for_symbol", "latest_per_symbol",
-           "latest_snapshot", "recent_table", "chart_series", "signal_badges", "head", "optional_columns"]
+           "latest_snapshot", "recent_table", "chart_series", "signal_badges", "head"]

@@ -2,8 +2,8 @@
 
 Conventions shared with the Spark side: doubles rounded to 6 decimals
 (equity-sized values to 4), timestamps left as TIMESTAMP, ints cast to the
-Spark type.  The oracle always uses the plain per-key window; the Spark side
-uses the chunked plan, so every comparison also checks the chunking.
+Spark type.  The oracle always uses the plain per-key window; run
+``tools/compare.py`` with CHUNK_ROWS=120 to compare the chunked plan with it.
 """
 
 from __future__ import annotations
@@ -128,7 +128,7 @@ VOL10 = tiers_sql("price", [(50, 0.05), (200, 0.03), (1000, 0.02), (5000, 0.015)
 SESSION = "CASE WHEN hour(ts) < 12 THEN 'morning' WHEN hour(ts) < 17 THEN 'afternoon' ELSE 'evening' END"
 SYMTYPE = ("CASE WHEN contains(symbol, 'Index') THEN 'index' WHEN contains(symbol, 'Comdty') THEN 'commodity' "
            "ELSE 'other' END")
-NORM = r"upper(regexp_replace(symbol, '^\s+|\s+$', '', 'g'))"
+NORM = "upper(trim(symbol))"
 
 PRICE_TRANSFORMS = {
     "price_squared": "price * price",
@@ -279,6 +279,8 @@ SELECT * FROM c WHERE date IS NOT NULL AND l_orderkey IS NOT NULL AND l_linenumb
                   AND symbol IS NOT NULL AND price IS NOT NULL
 """
 
+ORACLES["csv_roundtrip"] = "SELECT date, symbol, price FROM (" + ORACLES["wide_to_long_clean"] + ")"
+
 # ------------------------------------------------------------- row features
 ORACLES["price_transforms"] = f"""
 WITH {TICKS_CTE}
@@ -444,12 +446,19 @@ ORACLES["backtest_report_lines"] = f"""
 WITH {BT_CTE},
 {BT_METRICS},
 lines AS (
-  SELECT symbol, signal, 0 AS section, 0 AS seq, 'Initial Portfolio Value: ' || {money_sql('initial_value')} AS line FROM m
-  UNION ALL SELECT symbol, signal, 0, 1, 'Final Portfolio Value:   ' || {money_sql('final_value')} FROM m
-  UNION ALL SELECT symbol, signal, 0, 2, 'Total Net PnL:           ' || {money_sql('final_value - initial_value')} FROM m
-  UNION ALL SELECT symbol, signal, 0, 3, 'Total Return:            ' || printf('%.2f', (final_value - initial_value) / initial_value * {d(100)}) || '%' FROM m
-  UNION ALL SELECT symbol, signal, 0, 4, 'Sharpe Ratio (Annualized): ' || coalesce(printf('%.2f', CASE WHEN sr <> 0 THEN mr / sr * sqrt({d(252)}) END), 'N/A') FROM m
-  UNION ALL SELECT symbol, signal, 0, 5, 'Total Trades Executed:   ' || CAST(trades AS VARCHAR) FROM m
+  SELECT symbol, signal, 0 AS section, 0 AS seq, repeat('=', 60) AS line FROM m
+  UNION ALL SELECT symbol, signal, 0, 1, '      FINANCIAL STRATEGY BACKTEST REPORT' FROM m
+  UNION ALL SELECT symbol, signal, 0, 2, repeat('=', 60) FROM m
+  UNION ALL SELECT symbol, signal, 0, 3, '--- PERFORMANCE METRICS ---' FROM m
+  UNION ALL SELECT symbol, signal, 0, 4, 'Initial Portfolio Value: ' || {money_sql('initial_value')} FROM m
+  UNION ALL SELECT symbol, signal, 0, 5, 'Final Portfolio Value:   ' || {money_sql('final_value')} FROM m
+  UNION ALL SELECT symbol, signal, 0, 6, 'Total Net PnL:           ' || {money_sql('final_value - initial_value')} FROM m
+  UNION ALL SELECT symbol, signal, 0, 7, 'Total Return:            ' || printf('%.2f', (final_value - initial_value) / initial_value * {d(100)}) || '%' FROM m
+  UNION ALL SELECT symbol, signal, 0, 8, 'Sharpe Ratio (Annualized): ' || coalesce(printf('%.2f', CASE WHEN sr <> 0 THEN mr / sr * sqrt({d(252)}) END), 'N/A') FROM m
+  UNION ALL SELECT symbol, signal, 0, 9, 'Total Trades Executed:   ' || CAST(trades AS VARCHAR) FROM m
+  UNION ALL SELECT symbol, signal, 0, 10, '--- TRANSACTION LOG ---' FROM m
+  UNION ALL SELECT symbol, signal, 1, 0, 'No trades were executed.' FROM m WHERE trades = 0
+  UNION ALL SELECT symbol, signal, 2, 0, repeat('=', 60) FROM m
   UNION ALL
   SELECT symbol, signal, 1, ord,
          CASE WHEN side = 'BUY'
@@ -470,7 +479,7 @@ SELECT symbol, {NORM} AS symbol_norm FROM (SELECT DISTINCT symbol FROM ticks WHE
 
 ORACLES["requested_symbols"] = f"""
 WITH {TICKS_CTE},
-req AS (SELECT requested, upper(regexp_replace(requested, '^\\s+|\\s+$', '', 'g')) AS symbol_norm
+req AS (SELECT requested, upper(trim(requested)) AS symbol_norm
         FROM (VALUES (' click index '), ('VIEW Spot'), ('purchase comdty'), ('XYZ')) t(requested)),
 known AS (SELECT DISTINCT {NORM} AS symbol_norm FROM ticks WHERE price IS NOT NULL AND symbol IS NOT NULL)
 SELECT requested, req.symbol_norm, known.symbol_norm IS NOT NULL AS found

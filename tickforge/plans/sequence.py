@@ -7,33 +7,37 @@ inside its key, plus a per-key ordinal.  The straightforward plan,
 with few symbols and one of them holding a third of all ticks that is one
 task per symbol over terabytes.
 
-``sequence`` instead cuts every *hot* key (more than ``chunk_rows`` rows) into
-chunks of exactly ``chunk_rows`` consecutive rows and ships every chunk with
-copies of the ``before`` rows preceding it and the ``after`` rows following it
-(the *halo*).  Window functions then run over ``(key, _chunk)`` partitions of
-bounded size and give, on the chunk's own rows, exactly the values of the
-per-key window.  The plan is:
-
-1. key statistics (count, min/max of the first order column), a partial
-   aggregate; only keys with more than ``chunk_rows`` rows are kept, so the
-   table has at most ``N / chunk_rows`` rows and is broadcast on that bound;
-2. a per-key time histogram of about ``fine_buckets`` buckets per chunk
-   (partial aggregate over hot keys only, at most
-   ``fine_buckets * N / chunk_rows + hot keys`` rows, broadcast on that bound);
-   prefix sums over it give each bucket's first per-key ordinal;
-3. each row is sent to every chunk its bucket's ordinal range (widened by the
-   halo) overlaps - arithmetic on the bucket range, no range join;
-4. one hash shuffle on ``(key, _chunk)``; inside a chunk the row's exact
-   per-key ordinal is ``first(_cb) + row_number() - 1`` because whole buckets
-   travel together.
-
-Cold keys (at most ``chunk_rows`` rows) form a single chunk 0 without halo.
-Only the single shuffle in step 4 moves whole rows; the halo adds about two
-histogram buckets per chunk.
+``sequence`` cuts every key with more than C rows into chunks of exactly C
+consecutive rows and ships every chunk with copies of the ``before`` rows
+preceding it and the ``after`` rows following it (the *halo*).  Window
+functions then run over ``(key, _chunk)`` partitions of bounded size and give,
+on the chunk's own rows, exactly the values of the per-key window.
+
+Placement.  A *path* of small integers places a row in its key's order: level
+0 cuts the key's range of the first order column into equal steps; a cell that
+is still too full is cut again, over its own range of the first order column
+or, where all its rows share one value of it, of the second one, up to
+``LEVELS`` times.  Null comes before all values and NaN after them, as the
+window sorts them; numbers that place a value are monotone in it whatever its
+type or the session's time zone.  Counts per path and their prefix sums give
+each cell's ordinals, hence the chunks that it overlaps.
+
+The placement tables are built when the plan is built, by one narrow scan per
+level (keys and two order columns, partial aggregation), and written once to
+the shared folder; all uses read them from there.  C is ``chunk_rows`` or, for
+very large inputs, a ``MAX_CHUNKS``-th of the rows, so these tables have at
+most about ``fine_buckets * MAX_CHUNKS`` rows at any input size: that bound,
+not an estimate, is why they are broadcast.
+
+The main pass is one scan, the broadcast joins, and **one hash shuffle on
+(key, _chunk)**.  Inside a chunk a row's per-key ordinal is the first cell's
+ordinal plus its row number, because whole cells travel together; rows that
+tie on the whole order are told apart by a hash of all columns.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -42,29 +46,41 @@ from pyspark.sql import types as T
 
 from ..session import chunk_rows as conf_chunk_rows
 from ..session import fine_buckets as conf_fine_buckets
+from ..session import scratch_path
 
 CHUNK = "_chunk"
 BUCKET_START = "_cb"
 ORD = "_ord"
 REAL = "_real"
+TIE = "_tie"
+
+MAX_CHUNKS = 4096
+LEVELS = 4
 
 
 def order_number(df: DataFrame, col: str) -> Column:
-    """A numeric column monotone in ``col`` (used only to place rows in buckets)."""
+    """A double monotone in ``col`` (null stays null); equal values get equal numbers."""
     dt = df.schema[col].dataType
     c = F.col(col)
-    if isinstance(dt, T.TimestampNTZType):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dt, T.TimestampNTZType):  # by its fields: no session zone involved
+        day = F.unix_date(c.cast("date")).cast("double") * 86_400
+        second = F.hour(c) * 3600 + F.minute(c) * 60 + F.date_part(F.lit("SECOND"), c).cast("double")
+        return (day + second) * 1e6
     if isinstance(dt, T.TimestampType):
         return F.unix_micros(c).cast("double")
     if isinstance(dt, T.DateType):
         return F.unix_date(c).cast("double")
-    return c.cast("double")
+    if isinstance(dt, (T.StringType, T.BinaryType)):  # its first six bytes
+        raw = c.cast("binary")
+        return F.when(c.isNotNull(), F.conv(F.rpad(F.hex(F.substring(raw, 1, 6)), 12, "0"), 16, 10).cast("double"))
+    if isinstance(dt, (T.NumericType, T.BooleanType)):
+        return c.cast("double")
+    return F.when(c.isNotNull(), F.lit(0.0))  # other types are ordered by the window only
 
 
 @dataclass
 class Sequenced:
-    """A sequenced frame: ``df`` carries ``_chunk`` and ``_cb``."""
+    """A sequenced frame: ``df`` carries ``_chunk`` and ``_cb`` (and ``_tie`` when chunked)."""
 
     df: DataFrame
     keys: list
@@ -74,7 +90,7 @@ class Sequenced:
 
     @property
     def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order)
+        return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order, *([TIE] if self.chunked else []))
 
     def positioned(self) -> DataFrame:
         """Adds ``_ord`` (0-based ordinal inside the key) and ``_real``
@@ -87,68 +103,108 @@ class Sequenced:
                 .withColumn(REAL, (F.col(ORD) >= lo) & (F.col(ORD) < lo + F.lit(self.chunk_rows))))
 
 
+def _stats() -> list:
+    out = [F.count(F.lit(1)).alias("_cnt")]
+    for i in (1, 2):
+        t = F.col(f"_t{i}")
+        plain_t = F.when(~F.isnan(t), t)
+        out += [F.count_if(t.isNull()).alias(f"_n{i}"), F.count_if(F.isnan(t)).alias(f"_q{i}"),
+                F.min(plain_t).alias(f"_a{i}"), F.max(plain_t).alias(f"_b{i}")]
+    return out
+
+
+STAT_COLS = ["_cnt", *[f"_{s}{i}" for i in (1, 2) for s in "nqab"]]
+
+
+def _step(fine: int) -> Column:
+    """Place of a row in its cell, from the cell's statistics beside it: 0 for
+    null, 1.. by equal steps, the last for NaN; 0 where nothing tells rows apart."""
+    parts = F.ceil(F.col("_cnt") / F.lit(fine))
+
+    def by(i: int) -> Column:
+        t, width = F.col(f"_t{i}"), (F.col(f"_b{i}") - F.col(f"_a{i}")) / parts
+        inner = F.when(width > 0, F.least(F.floor((t - F.col(f"_a{i}")) / width), parts - 1)).otherwise(F.lit(0).cast("long"))
+        return F.when(t.isNull(), F.lit(0).cast("long")).when(F.isnan(t), parts + 1).otherwise(inner + 1)
+
+    def varies(i: int) -> Column:
+        kinds = ((F.col(f"_n{i}") > 0).cast("int") + (F.col(f"_q{i}") > 0).cast("int")
+                 + (F.col("_cnt") > F.col(f"_n{i}") + F.col(f"_q{i}")).cast("int"))
+        return F.coalesce(F.col(f"_b{i}") > F.col(f"_a{i}"), F.lit(False)) | (kinds > 1)
+
+    return F.when(F.col("_cnt").isNull(), F.lit(0).cast("long")).when(varies(1), by(1)).when(varies(2), by(2)).otherwise(F.lit(0).cast("long"))
+
+
+def _beside(x: DataFrame, table: DataFrame, keys: list, path: list, bring: list) -> DataFrame:
+    """``x`` with the columns ``bring`` of its cell (null where the table has none); null keys match null keys."""
+    on = [*keys, *path]
+    right = table.select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(on)], *bring)
+    cond = None
+    for i, k in enumerate(on):
+        one = F.col(k).eqNullSafe(F.col(f"__{i}"))
+        cond = one if cond is None else cond & one
+    return x.join(F.broadcast(right), cond, "left").drop(*[f"__{i}" for i in range(len(on))])
+
+
 def sequence(df: DataFrame, keys: list, order: list, before: int = 0, after: int = 0,
-             chunk_rows: int | None = None, fine_buckets: int | None = None,
-             adaptive: bool = True, probe: DataFrame | None = None) -> Sequenced:
-    """Chunked plan for hot keys.  With ``adaptive`` a one-row probe job first
-    checks whether any key has more than ``chunk_rows`` rows; when none does
-    the plain plan (no statistics joins, no halo) is returned.  ``probe`` may
-    name an upstream frame with at least the rows of ``df`` per key (e.g. the
-    raw ticks a feature table was derived from): the probe then is a pruned
-    scan instead of a pass over ``df``.  A key cold there is cold in ``df``;
-    a false "hot" only selects the (equally exact) chunked plan."""
+             chunk_rows: int | None = None, fine_buckets: int | None = None) -> Sequenced:
+    """Chunked plan (module docstring); keys of at most C rows are one chunk without halo."""
     spark = df.sparkSession
-    C = int(chunk_rows or conf_chunk_rows(spark))
-    nfine = int(fine_buckets or conf_fine_buckets(spark))
-    if C < max(before, after, 1):
+    keys, order = list(keys), list(order)
+    least = int(chunk_rows or conf_chunk_rows(spark))
+    if least < max(before, after, 1):
         raise ValueError("chunk_rows must be at least the halo length")
-    tn = "_tn"
-    base = df.withColumn(tn, order_number(df, order[0]))
-
-    # 1. hot keys only: bounded by N / C rows.
-    hot = (base.groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("_cnt"), F.min(tn).alias("_tmin"), F.max(tn).alias("_tmax"))
-           .filter(F.col("_cnt") > F.lit(C))
-           .withColumn("_nb", F.ceil(F.col("_cnt") * F.lit(nfine) / F.lit(C)))
-           .withColumn("_w", (F.col("_tmax") - F.col("_tmin")) / F.col("_nb"))
-           .select(*keys, "_cnt", "_tmin", "_w", "_nb"))
-    if adaptive:
-        probe_hot = hot if probe is None else (
-            probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col("_cnt") > F.lit(C)))
-        if not probe_hot.limit(1).collect():
-            return plain(df, keys, order)
-    x = base.join(F.broadcast(hot), keys, "left")
-    fine = F.when(F.col("_w") > 0,
-                  F.least(F.floor((F.col(tn) - F.col("_tmin")) / F.col("_w")), F.col("_nb") - 1)
-                  ).otherwise(F.lit(0)).cast("long")
-    x = x.withColumn("_f", F.when(F.col("_cnt").isNull(), F.lit(0).cast("long")).otherwise(fine))
-
-    # 2. histogram of hot keys: bounded by fine_buckets * N / C + hot keys rows.
-    hk = Window.partitionBy(*keys).orderBy("_f")
-    hist = (x.filter(F.col("_cnt").isNotNull())
-            .groupBy(*keys, "_f")
-            .agg(F.count(F.lit(1)).alias("_fn"), F.max("_cnt").alias("_kc"))
-            .withColumn(BUCKET_START, F.coalesce(
-                F.sum("_fn").over(hk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")))
-    last_chunk = F.floor((F.col("_kc") - 1) / F.lit(C))
-    hist = hist.select(
-        *keys, "_f", BUCKET_START,
+    numbers = [order_number(df, c) for c in order[:2]] + [F.lit(0.0)]
+    folder = scratch_path(spark, f"placement-{uuid.uuid4().hex}")
+
+    def kept(table: DataFrame, name: str) -> DataFrame:
+        table.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(table.schema).parquet(f"{folder}/{name}")
+
+    base = df.withColumns({"_t1": numbers[0], "_t2": numbers[1]})
+    narrow = base.select(*keys, "_t1", "_t2")
+    cells = kept(narrow.groupBy(*keys).agg(*_stats()), "keys")
+    total, largest = cells.agg(F.sum("_cnt"), F.max("_cnt")).first()
+    C = max(least, -(-int(total or 0) // MAX_CHUNKS))
+    if (largest or 0) <= C:  # every key is one chunk: nothing to place
+        return plain(df, keys, order)
+    fine = max(1, C // int(fine_buckets or conf_fine_buckets(spark)))
+
+    tables = [cells.filter(F.col("_cnt") > C)]
+    path: list = []
+
+    def placed(x: DataFrame) -> DataFrame:
+        for level, table in enumerate(tables):
+            x = _beside(x, table, keys, [f"_f{i}" for i in range(level)], STAT_COLS)
+            x = x.withColumn(f"_f{level}", _step(fine)).withColumn("_big", F.col("_cnt").isNotNull() if level == 0 else F.col("_big")).drop(*STAT_COLS)
+        return x
+
+    while True:
+        path.append(f"_f{len(path)}")
+        cells = kept(placed(narrow).filter("_big").groupBy(*keys, *path).agg(*_stats()), f"level{len(path)}")
+        full = cells.filter((F.col("_cnt") > 2 * fine) & ((F.col("_b1") > F.col("_a1")) | (F.col("_b2") > F.col("_a2"))))
+        if len(path) == LEVELS or not full.limit(1).collect():
+            break
+        tables.append(full)
+
+    in_order = Window.partitionBy(*keys).orderBy(*path)
+    start = F.coalesce(F.sum("_cnt").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
+    last_chunk = F.floor((F.sum("_cnt").over(Window.partitionBy(*keys)) - 1) / F.lit(C))
+    spread = kept(cells.withColumn(BUCKET_START, start).select(
+        *keys, *path, BUCKET_START,
         F.floor(F.greatest(F.col(BUCKET_START) - F.lit(after), F.lit(0)) / F.lit(C)).cast("long").alias("_lo"),
-        F.least(F.floor((F.col(BUCKET_START) + F.col("_fn") - 1 + F.lit(before)) / F.lit(C)),
-                last_chunk).cast("long").alias("_hi"))
+        F.least(F.floor((F.col(BUCKET_START) + F.col("_cnt") - 1 + F.lit(before)) / F.lit(C)), last_chunk).cast("long").alias("_hi")), "cells")
 
-    # 3. place rows (cold keys: chunk 0) and 4. replicate halo buckets.
-    y = x.join(F.broadcast(hist), keys + ["_f"], "left")
-    chunks = F.when(F.col("_lo").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
-        F.sequence(F.col("_lo"), F.col("_hi")))
-    y = (y.withColumn(CHUNK, F.explode(chunks))
-         .withColumn(BUCKET_START, F.coalesce(F.col(BUCKET_START), F.lit(0).cast("long")))
-         .drop(tn, "_cnt", "_tmin", "_w", "_nb", "_f", "_lo", "_hi"))
-    return Sequenced(y, list(keys), list(order), C)
+    tie = F.xxhash64(*df.columns)
+    y = _beside(placed(base.withColumn(TIE, tie)), spread, keys, path, [BUCKET_START, "_lo", "_hi"])
+    zero = F.lit(0).cast("long")
+    chunks = F.when(F.col("_lo").isNull(), F.array(zero)).otherwise(F.sequence(F.col("_lo"), F.col("_hi")))
+    y = (y.withColumn(CHUNK, F.explode(chunks)).withColumn(BUCKET_START, F.coalesce(F.col(BUCKET_START), zero))
+         .drop("_t1", "_t2", "_big", "_lo", "_hi", *path))
+    return Sequenced(y, keys, order, C)
 
 
 def plain(df: DataFrame, keys: list, order: list) -> Sequenced:
-    """Unchunked plan (one window partition per key) - the reference plan
-    used to cross-check ``sequence`` and for micro-batches."""
+    """One window partition per key: the form for bounded keys and for
+    micro-batches, and what the chunked form is checked against."""
     y = df.withColumn(CHUNK, F.lit(0).cast("long")).withColumn(BUCKET_START, F.lit(0).cast("long"))
     return Sequenced(y, list(keys), list(order), 1 << 62, chunked=False)

@@ -76,3 +76,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def path_kind(spark: SparkSession, path: str) -> str | None:
+    """``folder``, ``file`` or None, in whatever store the path names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    return "folder" if fs.getFileStatus(p).isDirectory() else "file"
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where it does not exist."""
+    if path_kind(spark, path) != "folder":
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p)]

@@ -1,5 +1,4 @@
-"""File sources and sinks: wide/long CSV, parquet tables, JSON tick envelope,
-the Kafka source/sink option maps, and the predictions table."""
+"""File sources and sinks: wide/long CSV, JSON tick envelope and the Kafka source/sink option maps."""
 
 from __future__ import annotations
 
@@ -66,15 +65,3 @@ def read_kafka_stream(spark: SparkSession, bootstrap: str, topic: str, starting:
     for k, v in kafka_source_options(bootstrap, topic, starting).items():
         r = r.option(k, v)
     return r.load()
-
-
-def write_table(df: DataFrame, path: str, partition_by: list | None = None, mode: str = "append") -> None:
-    """Append a batch to a parquet table (executor-side write)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def read_table_path(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -1,46 +1,51 @@
 """Structured Streaming forms of the tick -> feature -> signal chain.
 
-* ``stateless_stream``: row-level features / stand-in signals on a stream
-  (no state, no shuffle; the same expressions as batch).
-* ``price_change_stream``: keyed state (last price) with
-  ``applyInPandasWithState``; first tick of a symbol gives 0.0.
-* ``indicator_stream``: keyed state holding the last 99 prices and the tick
-  count; the stateful step only attaches each tick's retained history
-  (<= 100 prices) - all indicator math is native Spark array expressions
-  (``history_indicators``), the EMA / MACD fold is the batch one.
-* ``table_sink``: ``foreachBatch`` append into a parquet table, one
-  ``batch_id=<n>`` folder per micro-batch written with overwrite, so a
-  replayed batch replaces its own output (idempotent).
+* Row-level features and stand-in signals are the batch expressions on a
+  stream: no state, no shuffle.
+* ``run_with_history``: series operators on a stream.  Each micro-batch is
+  joined by the newest rows of every key that earlier batches left in a state
+  table, and goes through the *batch* operator (windows, chunked for hot keys,
+  no Python); then the newest rows become the next state.  Output and state
+  are one ``batch_id=<n>`` folder each, written with overwrite, and batch n
+  reads the state of the batch before it: a replayed batch replaces its own
+  output (idempotent).
+* ``price_change_stream``: the same for one lag with keyed state
+  (``applyInPandasWithState``); first tick of a symbol gives 0.0.
+* ``table_sink``: ``foreachBatch`` append into a parquet table.
 
 Within a micro-batch the ticks of a symbol are processed in (ts, event_id)
-order; across batches, in arrival order.
+order; across batches, in arrival order.  Micro-batches are bounded by
+``MAX_BATCH_BYTES`` of input files.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..operators.indicators import HISTORY, WARMUP, ema_fold
-from ..session import scratch_path
+from ..operators.indicators import HISTORY, newest, with_indicators
+from ..plans.sequence import REAL, sequence
+from ..session import list_folder, path_kind, scratch_path
+from ..sources.files import kafka_sink_options, to_wire
 
-ANNUALIZE = math.sqrt(252)
-TICK_SCHEMA = "symbol string, price double, ts timestamp_ntz, event_id long, date date"
+MAX_BATCH_BYTES = "1g"
 
 
-def tick_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_files: int | None = None) -> DataFrame:
-    """File-source stream over one parquet table of the test data."""
-    r = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/{table}.parquet").schema) \
-        .option("pathGlobFilter", f"{table}.parquet")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+def tick_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_bytes: str = MAX_BATCH_BYTES) -> DataFrame:
+    """File-source stream over one parquet table: a folder of part files or a single file."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    kind = path_kind(spark, path)
+    if kind is None:
+        raise FileNotFoundError(f"no table {path}")
+    r = spark.readStream.schema(spark.read.parquet(path).schema).option("maxBytesPerTrigger", max_bytes)
+    if kind == "folder":
+        return r.parquet(path)
+    return r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
 # ------------------------------------------------------------ price change
@@ -71,102 +76,73 @@ def price_change_stream(ticks: DataFrame) -> DataFrame:
         _price_change, PRICE_CHANGE_OUT, PRICE_CHANGE_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-# ------------------------------------------------------------- indicators
-HISTORY_OUT = T.StructType([
-    T.StructField("symbol", T.StringType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("event_id", T.LongType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("h", T.ArrayType(T.DoubleType())),
-    T.StructField("n", T.LongType()),
-])
-HISTORY_STATE = T.StructType([
-    T.StructField("prices", T.ArrayType(T.DoubleType())),
-    T.StructField("count", T.LongType()),
-])
+# --------------------------------------------------- series with a state table
+STATE_SEEN = "_seen"
+OWN = "own"
 
 
-def _attach_history(key, pdfs, state):
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
-    if state.exists:
-        hist, count = list(state.get[0]), int(state.get[1])
-    else:
-        hist, count = [], 0
-    prices = hist + pdf["price"].astype(float).tolist()
-    base = len(hist)
-    windows = [prices[max(0, base + i + 1 - HISTORY): base + i + 1] for i in range(len(pdf))]
-    state.update((prices[-(HISTORY - 1):], count + len(pdf)))
-    yield pd.DataFrame({"symbol": pdf["symbol"], "ts": pdf["ts"], "event_id": pdf["event_id"],
-                        "price": pdf["price"], "h": windows,
-                        "n": [count + i + 1 for i in range(len(pdf))]})
+def run_with_history(stream: DataFrame, name: str, rows: int, compute, keys=("symbol",), order=("ts", "event_id"),
+                     checkpoint: str | None = None, table: str | None = None, state: str | None = None):
+    """Start ``compute`` over a stream with ``rows`` rows of history per key;
+    returns (query, table path).
 
+    ``compute(frame, keys, order)`` gets the batch's rows (``own`` true) and the
+    history before them (``own`` false, first in order) and returns columns of
+    the batch operator with ``own`` kept; a ``tick_number`` it gives is counted
+    within that frame and moved on by the rows seen before.
+    """
+    spark = stream.sparkSession
+    run = uuid.uuid4().hex
+    keys, order = list(keys), list(order)
+    table = table or scratch_path(spark, f"tables/{name}-{run}")
+    state = state or scratch_path(spark, f"states/{name}-{run}")
+    checkpoint = checkpoint or scratch_path(spark, f"streams/{name}-{run}")
+    fields = stream.columns
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        ids = [int(x.split("=")[1]) for x in list_folder(s, state) if x.startswith("batch_id=")]
+        before = max((i for i in ids if i < batch_id), default=None)
+        cur = batch.withColumn(OWN, F.lit(True))
+        if before is None:
+            frame = cur
+            old = None
+        else:
+            kept = s.read.parquet(f"{state}/batch_id={before}")
+            old = kept.groupBy(*keys).agg(F.max(STATE_SEEN).alias(STATE_SEEN), F.count(F.lit(1)).alias("_held"))
+            frame = cur.unionByName(kept.select(*fields).withColumn(OWN, F.lit(False)))
+        in_order = [OWN, *order]
+        out = compute(frame, keys, in_order).filter(OWN).drop(OWN)
+        if old is not None and "tick_number" in out.columns:
+            out = (out.join(old, keys, "left").withColumn("tick_number", F.col("tick_number") + F.coalesce(F.col(STATE_SEEN) - F.col("_held"), F.lit(0)))
+                   .drop(STATE_SEEN, "_held"))
+        out.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        counts = cur.groupBy(*keys).agg(F.count(F.lit(1)).alias("_new"))
+        if old is not None:
+            counts = counts.join(old, keys, "full").select(*keys, (F.coalesce("_new", F.lit(0)) + F.coalesce(STATE_SEEN, F.lit(0))).alias("_new"))
+        held = newest(frame, rows, keys, in_order).join(counts.withColumnRenamed("_new", STATE_SEEN), keys)
+        held.select(*fields, STATE_SEEN).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+
+    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return q, table
 
-def history_stream(ticks: DataFrame) -> DataFrame:
-    return ticks.select("symbol", "ts", "event_id", "price").groupBy("symbol").applyInPandasWithState(
-        _attach_history, HISTORY_OUT, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-def _tail(h: Column, k: int) -> Column:
-    return F.slice(h, -k, k)
-
-
-def _sum(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
-
-
-def _pop_std(a: Column) -> Column:
-    cnt = F.size(a)
-    mean = _sum(a) / cnt
-    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)) / cnt)
-
-
-def history_indicators(h: str = "h", n: str = "n", price: str = "price") -> dict:
-    """The indicator record from a retained-history array (oldest first,
-    current price last) and the tick count - native array expressions."""
-    hc, nc, p = F.col(h), F.col(n), F.col(price)
-    fold = ema_fold(hc)
-    last15 = _tail(hc, 15)
-    deltas = F.zip_with(F.slice(last15, 2, 14), F.slice(last15, 1, 14), lambda a, b: a - b)
-    gain = F.aggregate(deltas, F.lit(0.0), lambda acc, x: acc + F.when(x > 0, x).otherwise(F.lit(0.0))) / F.lit(14.0)
-    loss = F.aggregate(deltas, F.lit(0.0), lambda acc, x: acc + F.when(x < 0, -x).otherwise(F.lit(0.0))) / F.lit(14.0)
-    last20 = _tail(hc, 20)
-    rets = F.filter(F.zip_with(F.slice(last20, 2, 19), F.slice(last20, 1, 19),
-                               lambda a, b: F.try_divide(a - b, b)), lambda x: x.isNotNull())
-    mid = _sum(last20) / F.lit(20.0)
-    sd = _pop_std(last20)
-    lag = lambda k: F.element_at(hc, -(k + 1))
-    macd_line = F.when(nc >= 26, fold["fast"] - fold["slow"])
-    macd_signal = F.when(nc >= 35, fold["sig"])
-    return {
-        "current_price": p,
-        "sma_5": F.when(nc >= 5, _sum(_tail(hc, 5)) / F.lit(5.0)),
-        "sma_10": F.when(nc >= 10, _sum(_tail(hc, 10)) / F.lit(10.0)),
-        "sma_20": F.when(nc >= 20, mid),
-        "ema_12": F.when(nc >= 12, fold["fast"]),
-        "ema_26": F.when(nc >= 26, fold["slow"]),
-        "rsi_14": F.when(nc >= 15, F.when(loss == 0, F.lit(100.0)).otherwise(
-            F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain / loss))),
-        "macd_line": macd_line,
-        "macd_signal": macd_signal,
-        "macd_histogram": macd_line - macd_signal,
-        "bb_upper": F.when(nc >= 20, mid + F.lit(2.0) * sd),
-        "bb_middle": F.when(nc >= 20, mid),
-        "bb_lower": F.when(nc >= 20, mid - F.lit(2.0) * sd),
-        "volatility_20": F.when((nc >= 20) & (F.size(rets) > 0), _pop_std(rets) * F.lit(ANNUALIZE)),
-        "momentum_10": F.when(nc >= 10, F.try_divide(p - lag(9), lag(9))),
-        "price_change": F.when(nc >= 2, p - lag(1)),
-        "price_change_pct": F.when(nc >= 2, F.try_divide(p - lag(1), lag(1)) * F.lit(100.0)),
-        "lag_1": F.when(nc >= 2, lag(1)),
-        "lag_2": F.when(nc >= 3, lag(2)),
-        "lag_5": F.when(nc >= 6, lag(5)),
-        "tick_number": nc,
-    }
-
-
-def indicator_stream(ticks: DataFrame) -> DataFrame:
-    hs = history_stream(ticks).filter(F.col("n") >= WARMUP)
-    feats = history_indicators()
-    return hs.select("symbol", "ts", "event_id", *[v.alias(k) for k, v in feats.items()])
+
+def indicators_of(frame: DataFrame, keys: list, order: list) -> DataFrame:
+    return with_indicators(frame, keys, order)
+
+
+def price_changes_of(frame: DataFrame, keys: list, order: list) -> DataFrame:
+    s = sequence(frame, keys, order, before=1)
+    change = F.coalesce(F.col("price") - F.lag("price", 1).over(s.window), F.lit(0.0))
+    return s.positioned().withColumn("price_change", change).filter(REAL).select(*frame.columns, "price_change")
+
+
+def indicator_table(stream: DataFrame, name: str = "indicators", **kw):
+    return run_with_history(stream, name, HISTORY - 1, indicators_of, **kw)
+
+
+def price_change_table(stream: DataFrame, name: str = "price_change", **kw):
+    return run_with_history(stream, name, 1, price_changes_of, **kw)
 
 
 # ------------------------------------------------------------------ sinks
@@ -195,12 +171,19 @@ def run_to_table(stream: DataFrame, name: str, checkpoint: str | None = None,
     return q, table
 
 
+def read_out(stream: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table that a stream has written; empty where no batch ran."""
+    spark = stream.sparkSession
+    if not list_folder(spark, table):
+        return spark.createDataFrame([], schema or stream.schema)
+    return spark.read.parquet(table).drop("batch_id")
+
+
 def drain(stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over everything available, then read its table."""
     q, table = run_to_table(stream, name)
     q.awaitTermination()
-    spark = stream.sparkSession
-    return spark.read.parquet(table)
+    return read_out(stream, table)
 
 
 def console_sink(stream: DataFrame, rows: int = 10, processing_time: str = "2 seconds"):
@@ -211,7 +194,7 @@ def console_sink(stream: DataFrame, rows: int = 10, processing_time: str = "2 se
 
 def kafka_sink(stream: DataFrame, bootstrap: str, topic: str, checkpoint: str, processing_time: str = "2 seconds"):
     """Feature JSON to Kafka (needs the spark-sql-kafka package)."""
-    out = stream.select(F.to_json(F.struct(*stream.columns)).alias("value"))
-    return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-            .option("topic", topic).option("checkpointLocation", checkpoint)
-            .trigger(processingTime=processing_time).start())
+    w = to_wire(stream).writeStream.format("kafka")
+    for k, v in kafka_sink_options(bootstrap, topic, checkpoint).items():
+        w = w.option(k, v)
+    return w.trigger(processingTime=processing_time).start()
