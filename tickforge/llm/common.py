@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tickforge.session import checkpoint_dir
 from tickforge.sources.tables import read_table
 
-__all__ = ["read_table", "run_folder", "written", "byte_slices", "WordHasher", "SPACES"]
+__all__ = ["read_table", "run_folder", "written", "byte_slices", "distinct", "WordHasher", "SPACES"]
 
+MOST_TEXTS = 4096  # hashed together
 # The white space of the word pattern [^\x20\x09-\x0D]+.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
@@ -58,71 +59,88 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (by sorting: faster on these sizes than a hash table)."""
+    keys = np.sort(keys)
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+
+
 class WordHasher:
-    """64-bit hashes of all words of a text, vectorised over its bytes.
+    """64-bit hashes of all words of texts, vectorised over their bytes.
 
     A word is a run of bytes outside the separator set.  The hash is a
     polynomial over the word's bytes; equal words have equal hashes in every
-    task.  Texts longer than ``piece`` bytes are hashed piece by piece, cut at
+    task.  Small texts are hashed together, longer ones piece by piece, cut at
     separators, so temporaries stay bounded however long a text is.
     """
 
-    def __init__(self, extra_separators: bytes = b"", lower: bool = True, piece: int = 1 << 21):
-        table = np.arange(256, dtype=np.uint8)
+    def __init__(self, extra_separators: bytes = b"", lower: bool = True, piece: int = 1 << 18):
+        self.value = np.arange(1, 257, dtype=np.uint64)
         if lower:
-            table[0x41:0x5B] += 0x20
-        self.fold = table
-        sep = np.zeros(256, dtype=bool)
-        sep[list(SPACES)] = True
-        sep[list(extra_separators)] = True
-        self.sep = sep
+            self.value[0x41:0x5B] += np.uint64(0x20)
+        self.value[[*SPACES, *extra_separators]] = 0
+        self.inside = self.value > 0
         self.piece = piece
         self._powers = np.ones(1, dtype=np.uint64)
 
     def powers(self, n: int) -> np.ndarray:
         if len(self._powers) < n:
-            size = max(256, 1 << (n - 1).bit_length())
-            p = np.full(size, 0x9E3779B97F4A7C15, dtype=np.uint64)
+            p = np.full(max(256, 1 << (n - 1).bit_length()), 0x9E3779B97F4A7C15, dtype=np.uint64)
             p[0] = 1
             self._powers = np.multiply.accumulate(p)
         return self._powers
 
-    def hashes(self, text: bytes, prefix: int = 0) -> np.ndarray:
-        """Hashes of the words in order; ``prefix`` > 0 hashes only so many
-        leading bytes of each word."""
-        if len(text) <= self.piece:
-            return self._one(np.frombuffer(text, dtype=np.uint8), prefix)[0]
-        out, lo = [], 0
-        data = np.frombuffer(text, dtype=np.uint8)
+    def groups(self, texts: list[bytes | None], prefix: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray | None, np.ndarray]]:
+        """(first text, text after the last, word hashes of these texts in a row,
+        hashes of the words' first ``prefix`` bytes if asked for, where each text's words end)."""
+        lo = 0
+        while lo < len(texts):
+            hi, size = lo, 0
+            while hi < len(texts) and hi - lo < MOST_TEXTS and (hi == lo or size + len(texts[hi] or b"") <= self.piece):
+                size += len(texts[hi] or b"") + 1
+                hi += 1
+            if size > 2 * self.piece:  # one long text
+                parts = [self._hash(x, prefix) for x in self._pieces(np.frombuffer(texts[lo], dtype=np.uint8))]
+                h = np.concatenate([p[1] for p in parts])
+                yield lo, hi, h, np.concatenate([p[2] for p in parts]) if prefix else None, np.array([len(h)])
+            else:
+                part = [t or b"" for t in texts[lo:hi]]
+                starts, h, begin = self._hash(np.frombuffer(b" ".join(part), dtype=np.uint8), prefix)
+                yield lo, hi, h, begin, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in part]))
+            lo = hi
+
+    def hashes(self, text: bytes) -> np.ndarray:
+        """Hashes of one text's words, in order."""
+        return next(self.groups([text]))[2]
+
+    def _pieces(self, data: np.ndarray) -> Iterator[np.ndarray]:
+        lo = 0
         while lo < len(data):
             hi = min(lo + self.piece, len(data))
-            if hi < len(data):
-                cut = np.flatnonzero(self.sep[data[lo:hi]])
-                while not len(cut) and hi < len(data):  # one word longer than a piece
-                    hi = min(hi + self.piece, len(data))
-                    cut = np.flatnonzero(self.sep[data[lo:hi]])
-                if len(cut) and hi < len(data):
+            while hi < len(data):  # back to a separator, or on if one word fills the piece
+                cut = np.flatnonzero(~self.inside[data[lo:hi]])
+                if len(cut):
                     hi = lo + int(cut[-1]) + 1
-            out.append(self._one(data[lo:hi], prefix)[0])
+                    break
+                hi = min(hi + self.piece, len(data))
+            yield data[lo:hi]
             lo = hi
-        return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
-
-    def _one(self, data: np.ndarray, prefix: int) -> tuple[np.ndarray, np.ndarray]:
-        inside = ~self.sep[data]
-        if not inside.any():
-            return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
-        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-        if inside[0]:
-            edge = np.concatenate(([0], edge))
-        if inside[-1]:
-            edge = np.concatenate((edge, [len(data)]))
-        starts, ends = edge[0::2], edge[1::2]
-        size = ends - starts
-        if prefix:
-            size = np.minimum(size, prefix)
-        total = int(size.sum())
-        first = np.cumsum(size) - size
-        place = np.arange(total) - np.repeat(first, size)  # position within its word
-        byte = self.fold[data[np.repeat(starts, size) + place]].astype(np.uint64) + np.uint64(1)
-        byte *= self.powers(int(size.max()))[place]
-        return _mix(np.add.reduceat(byte, first) + size.astype(np.uint64)), starts
+
+    def _hash(self, data: np.ndarray, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        inside = self.inside[data]
+        before = np.concatenate(([False], inside[:-1])) if len(inside) else inside
+        starts = np.flatnonzero(inside & ~before)
+        if not len(starts):
+            none = np.empty(0, dtype=np.uint64)
+            return starts, none, none if prefix else None
+        ends = np.flatnonzero(before & ~inside)
+        size = (ends if len(ends) == len(starts) else np.append(ends, len(data))) - starts
+        longest, first = int(size.max()), starts[0]
+        place = np.arange(first, len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
+        np.minimum(place, longest, out=place)  # separators count nothing, wherever they are
+        term = self.value[data[first:]] * self.powers(longest + 1)[place]
+        h = _mix(np.add.reduceat(term, starts - first) + size.astype(np.uint64))
+        if not prefix:
+            return starts, h, None
+        term[place >= prefix] = 0
+        return starts, h, _mix(np.add.reduceat(term, starts - first) + np.minimum(size, prefix).astype(np.uint64))

@@ -9,8 +9,10 @@
    add up their part before the shuffle; its size is terms x rank a task.
 3. Overlapping 12-word windows of the documents are projected to the whitened
    latent space and searched against all windows of the benchmark items by
-   cosine.  A window is skipped only if fewer of its words occur in the
-   benchmark at all than the later check needs.
+   cosine.  A window's TF-IDF cosine with a benchmark window is at most the
+   root of the share of its squared weight that lies on the benchmark's words:
+   windows whose share is under the square of ``MIN_TFIDF`` need no search, and
+   candidates whose own TF-IDF cosine is under it are dropped.
 4. Each candidate's surroundings are compared with the whole item: the longest
    common subsequence must cover ``MIN_LCS`` of the item's words, and that of
    the answer (column ``answer``, else the item's last sentence) ``MIN_ANSWER``
@@ -36,13 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import WordHasher, byte_slices, run_folder, written
+from tickforge.llm.common import WordHasher, byte_slices, distinct, run_folder, written
 
 TERMS = 1 << 16
 RANK = 32
 PASSAGE = 32
 WINDOW, STRIDE = 12, 6
-MIN_COSINE = 0.5
+MIN_COSINE = 0.6
+MIN_TFIDF = 0.7
 MIN_LCS = 0.7
 MIN_ANSWER = 0.6
 SURROUND = 0.125  # of an item's length, before and after it
@@ -52,12 +55,17 @@ BLOCK_ITEMS = 2_000
 SEED = 11
 _Z_BLOCK = 1024
 _BATCH = 1 << 18  # words handled at once
+_KNOWN_BITS = 20
 
 PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def _ids(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(32)).astype("<u4")
+
+
 def word_ids(text: bytes | None, hasher: WordHasher) -> np.ndarray:
-    return (hasher.hashes(text or b"") >> np.uint64(32)).astype("<u4")
+    return _ids(hasher.hashes(text or b""))
 
 
 def _passages(lens: np.ndarray) -> np.ndarray:
@@ -78,14 +86,16 @@ def tokenised(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: st
         for b in batches:
             texts = b.column("text").cast(pa.binary())
             for lo, hi in byte_slices(texts):
-                ids = [word_ids(t.as_py(), hasher) for t in texts.slice(lo, hi - lo)]
-                lens = np.array([len(x) for x in ids], dtype=np.int64)
-                if lens.sum():
-                    at = _passages(lens)
-                    df += np.bincount(np.unique(at << 16 | np.concatenate(ids) & (TERMS - 1)) & (TERMS - 1), minlength=TERMS)
-                    passages += int(at[-1]) + 1
-                n = hi - lo
-                out = pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, n), b.column("text_hash").slice(lo, n), pa.array([x.tobytes() for x in ids], pa.binary()),
+                n, raw = hi - lo, []
+                for _, _, hashes, _, ends in hasher.groups(texts.slice(lo, n).to_pylist()):
+                    ids, lens = _ids(hashes), np.diff(ends, prepend=0)
+                    if len(ids):
+                        at = _passages(lens)
+                        df += np.bincount(distinct(at << 16 | ids & (TERMS - 1)) & (TERMS - 1), minlength=TERMS)
+                        passages += int(at[-1]) + 1
+                    whole, cuts = ids.tobytes(), (4 * ends).tolist()
+                    raw += [whole[a:z] for a, z in zip([0, *cuts], cuts)]
+                out = pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, n), b.column("text_hash").slice(lo, n), pa.array(raw, pa.binary()),
                                                   pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names=["doc_id", "text_hash", "words", "df", "passages"])
                 schema = out.schema
                 yield out
@@ -141,7 +151,8 @@ def sketch(tokens: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
     weights = tokens.sparkSession.sparkContext.broadcast(idf)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x, w_term, z = test_matrix(rank), weights.value, None
+        # column by column: every step runs along one column of X, Y or Z
+        x, w_term, z = test_matrix(rank).T.copy(), weights.value, None
         for words, lens in _word_batches(batches):
             keys, tf = np.unique(_passages(lens) << 16 | words & (TERMS - 1), return_counts=True)
             row, term = keys >> 16, keys & (TERMS - 1)
@@ -150,14 +161,12 @@ def sketch(tokens: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
             size = np.sqrt(np.add.reduceat(w * w, starts))
             per_row = np.diff(np.append(starts, len(row)))
             w /= np.repeat(np.where(size > 0, size, 1), per_row)
-            y = np.add.reduceat(x[term] * w[:, None], starts, axis=0)
-            order = np.argsort(term, kind="stable")
-            t = term[order]
-            first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
-            of_row = np.repeat(np.arange(len(starts)), per_row)[order]
-            z = np.zeros((TERMS, rank)) if z is None else z
-            z[t[first]] += np.add.reduceat(y[of_row] * w[order][:, None], first, axis=0)
+            z = np.zeros((rank, TERMS)) if z is None else z
+            for j in range(rank):
+                y = np.add.reduceat(x[j][term] * w, starts)
+                z[j] += np.bincount(term, weights=np.repeat(y, per_row) * w, minlength=TERMS)
         if z is not None:
+            z = z.T
             for k in range(0, TERMS, _Z_BLOCK):
                 if z[k:k + _Z_BLOCK].any():
                     yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([z[k:k + _Z_BLOCK].astype("<f4").tobytes()], pa.binary())], names=["block", "z"])
@@ -215,6 +224,7 @@ def _places(words: np.ndarray) -> dict[int, int]:
 class Item:
     item_id: object
     words: np.ndarray
+    order: list[int]  # the same words
     places: dict[int, int]
     answer: dict[int, int]
     answer_words: int
@@ -230,56 +240,77 @@ def read_item(item_id, text: str, answer: str | None, hasher: WordHasher) -> Ite
         last = sentences[-1]
         if len(last) < MIN_ANSWER_WORDS:
             last = words[-MIN_ITEM_WORDS:]
-    return Item(item_id, words, _places(words), _places(last), len(last))
+    return Item(item_id, words, words.tolist(), _places(words), _places(last), len(last))
 
 
 class Searcher:
     """Cosine search of document windows against one block of benchmark items."""
 
-    def __init__(self, items: list[Item], projection: np.ndarray, min_cosine: float = MIN_COSINE):
+    def __init__(self, items: list[Item], projection: np.ndarray, idf: np.ndarray, min_cosine: float = MIN_COSINE):
         self.items, self.projection, self.min_cosine = items, projection, min_cosine
-        self.known = np.zeros(TERMS, dtype=bool)
-        vectors, self.of, self.offset = [], [], []
+        self.weight = idf.astype(np.float64) ** 2
+        self.known = np.zeros(1 << _KNOWN_BITS, dtype=bool)
+        vectors, ids, self.of, self.offset = [], [], [], []
         for i, item in enumerate(items):
-            self.known[item.words & (TERMS - 1)] = True
+            self.known[item.words >> (32 - _KNOWN_BITS)] = True
             for lo in range(max(1, len(item.words) - WINDOW + 1)):
-                vectors.append(projection[item.words[lo:lo + WINDOW] & (TERMS - 1)].sum(axis=0))
+                part = item.words[lo:lo + WINDOW]
+                vectors.append(projection[part & (TERMS - 1)].sum(axis=0))
+                ids.append(np.pad(part.astype(np.int64), (0, WINDOW - len(part)), constant_values=-1))
                 self.of.append(i)
                 self.offset.append(lo)
-        self.queries = self._unit(np.array(vectors, dtype=np.float32).reshape(len(vectors), projection.shape[1]))
+        self.queries = self._unit(np.array(vectors, dtype=np.float32).reshape(len(vectors), projection.shape[1])).T.copy()
+        self.ids = np.array(ids, dtype=np.int64).reshape(len(ids), WINDOW)
+        self.size = np.sqrt(self._product(self.ids, self.ids))
         self.of, self.offset = np.array(self.of, dtype=np.int64), np.array(self.offset, dtype=np.int64)
-        # the check wants MIN_LCS of an item within (1 + 2 * SURROUND) of its length, so some window there is at least so full of known words
-        self.least_known = int(np.floor(WINDOW * MIN_LCS / (1 + 2 * SURROUND)))
+
+    def _product(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """TF-IDF products of windows given by their words (-1: none)."""
+        weight = np.where(a >= 0, self.weight[a & (TERMS - 1)], 0)
+        return (weight * (a[:, :, None] == b[:, None, :]).sum(axis=2)).sum(axis=1)
 
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
         size = np.linalg.norm(x, axis=1, keepdims=True)
         return x / np.where(size > 0, size, 1)
 
-    def windows(self, words: np.ndarray, lens: np.ndarray) -> np.ndarray:
-        """Starts of the windows with enough known words, for texts laid end to end."""
+    def windows(self, words: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the windows with enough weight on the benchmark's words, for texts laid end to end."""
         first = np.cumsum(lens) - lens
         per = np.where(lens > 0, np.maximum(-(-(lens - WINDOW) // STRIDE), 0) + 1, 0)
         place = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
         starts = np.repeat(first, per) + np.minimum(place * STRIDE, np.repeat(np.maximum(lens - WINDOW, 0), per))
         ends = np.minimum(starts + WINDOW, np.repeat(first + lens, per))
-        c = np.concatenate(([0], np.cumsum(self.known[words & (TERMS - 1)])))
-        need = np.minimum(self.least_known, ends - starts)
-        return starts[c[ends] - c[starts] >= need]
+        weight = self.weight[words & (TERMS - 1)]
+        whole = np.concatenate(([0], np.cumsum(weight)))
+        weight[~self.known[words >> (32 - _KNOWN_BITS)]] = 0
+        known = np.concatenate(([0], np.cumsum(weight)))
+        good = known[ends] - known[starts] >= MIN_TFIDF ** 2 * (whole[ends] - whole[starts]) - 1e-6
+        return starts[good], ends[good]
+
+    def _candidates(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, query) pairs above both cosines."""
+        at = starts[:, None] + np.arange(WINDOW)
+        inside = at < ends[:, None]
+        ids = np.where(inside, words[np.where(inside, at, starts[:, None])].astype(np.int64), -1)
+        p = self._unit((self.projection[ids & (TERMS - 1)] * inside[:, :, None]).sum(axis=1))
+        row, q = np.divmod(np.flatnonzero(p @ self.queries >= self.min_cosine), self.queries.shape[1])
+        size = np.sqrt(self._product(ids, ids))
+        good = np.empty(len(row), dtype=bool)
+        for lo in range(0, len(row), 4096):
+            r, k = row[lo:lo + 4096], q[lo:lo + 4096]
+            good[lo:lo + 4096] = self._product(ids[r], self.ids[k]) >= MIN_TFIDF * size[r] * self.size[k] - 1e-6
+        return row[good], q[good]
 
     def search(self, words: np.ndarray, lens: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
         """(text number, item number) -> (common words, answer words found, place) of the best accepted match."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        starts = self.windows(words, lens)
+        starts, ends = self.windows(words, lens)
         ends_of = np.cumsum(lens)
         text = np.searchsorted(ends_of, starts, side="right")
-        stop = np.minimum(starts + WINDOW, ends_of[text]) if len(starts) else starts
-        for lo in range(0, len(starts), 2048):
-            s, e, of_text = starts[lo:lo + 2048], stop[lo:lo + 2048], text[lo:lo + 2048]
-            size = e - s
-            at = np.arange(int(size.sum())) + np.repeat(s - (np.cumsum(size) - size), size)
-            p = self._unit(np.add.reduceat(self.projection[words[at] & (TERMS - 1)], np.cumsum(size) - size, axis=0))
-            row, q = np.nonzero(p @ self.queries.T >= self.min_cosine)
+        for lo in range(0, len(starts), 512):
+            s, of_text = starts[lo:lo + 512], text[lo:lo + 512]
+            row, q = self._candidates(words, s, ends[lo:lo + 512])
             if not len(row):
                 continue
             guess = np.unique(np.column_stack([of_text[row], self.of[q], s[row] - self.offset[q]]), axis=0)
@@ -291,7 +322,10 @@ class Searcher:
                     continue
                 pad = int(np.ceil(SURROUND * n))
                 begin, end = int(ends_of[t] - lens[t]), int(ends_of[t])
-                near = words[max(begin, at0 - pad):min(end, at0 + n + pad)]
+                near = words[max(begin, at0 - pad):max(begin, min(end, at0 + n + pad))]
+                there = set(near.tolist())
+                if sum(w in there for w in item.order) < MIN_LCS * n:  # no more words in common than this
+                    continue
                 common = lcs_length(near, item.places, n)
                 if common < MIN_LCS * n:
                     continue
@@ -318,8 +352,8 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
     folder = run_folder(spark, "decontaminate")
     tokens = tokenised(docs, f"{folder}/words", id_col, text_col)
     idf = inverse_frequencies(tokens)
-    projection = latent_space(sketch(tokens, idf), idf)
-    shared = spark.sparkContext.broadcast(projection)
+    projection = latent_space(sketch(tokens, idf), idf)  # terms x rank
+    shared = spark.sparkContext.broadcast((projection, idf))
     blocks = max(1, -(-bench.count() // block_items))
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), bench.schema[item_id_col].dataType.simpleString()
     schema = (f"doc_id {id_type}, text_hash long, item_id {item_type}, common_words int, item_words int, "
@@ -334,7 +368,7 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
             continue
 
         def work(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(items.value, shared.value, min_cosine)
+            searcher = Searcher(items.value, *shared.value, min_cosine)
             for b in batches:
                 words = [np.frombuffer(x.as_py(), dtype="<u4") for x in b.column("words")]
                 lo = 0
