@@ -33,10 +33,10 @@ from ..plans.sequence import REAL, sequence
 from ..session import list_folder, path_kind, scratch_path
 from ..sources.files import kafka_sink_options, to_wire
 
-MAX_BATCH_BYTES = "1g"
+MAX_BATCH_BYTES = 1 << 30
 
 
-def tick_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_bytes: str = MAX_BATCH_BYTES) -> DataFrame:
+def tick_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_bytes: int = MAX_BATCH_BYTES) -> DataFrame:
     """File-source stream over one parquet table: a folder of part files or a single file."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
     kind = path_kind(spark, path)
