@@ -25,3 +25,12 @@ def test_oracles_spot_check(spark):
                  "latest_snapshot", "signal_classification_report"]:
         res = compare(spark, con, name, qs[name], os_[name], SF001)
         assert res.startswith("OK"), res
+
+
+def test_entry_without_the_training_data_subpackage(monkeypatch):
+    """The optional subpackage and the pipeline may be absent."""
+    for gone in ("corpus_pipeline", "tickforge.llm.queries"):
+        with monkeypatch.context() as m:
+            m.setitem(sys.modules, gone, None)
+            assert "indicators_full" in E.queries() and "pipeline" not in E.queries()
+            assert set(E.oracle_sql()) <= set(E.queries())

@@ -93,7 +93,7 @@ def symbol_signature(s: Column) -> Column:
 
 
 def symbol_hash_bucket(s: Column) -> Column:
-    """abs(murmur3 hash) mod 1000 (Spark's hash; no portable SQL twin)."""
+    """abs(murmur3 hash) mod 1000 (Spark's hash)."""
     return F.abs(F.hash(s).cast("long")) % F.lit(1000)
 
 

@@ -668,3 +668,30 @@ SELECT count(*) AS wide_rows, 4 * count(*) AS long_rows,
        4 * count(*) - (count(q) + count(e) + count(d) + count(t)) AS dropped_rows
 FROM w
 """
+
+
+def _word_mixed(h: str, w: str) -> str:
+    """One Murmur3 step over 32-bit values kept in HUGEINT (seeded state ``h``, word ``w``)."""
+    m = "4294967296"
+    k = f"(({w} * 3432918353) % {m})"
+    k = f"((({k} * 32768) % {m} + {k} // 131072) * 461845907 % {m})"
+    x = f"xor({h}, {k})"
+    return f"((({x} * 8192) % {m} + {x} // 524288) * 5 + 3864292196) % {m}"
+
+
+# Murmur3 (32 bit, seed 42) over UTF-8 bytes: little-endian words, then each byte of the rest as a word of its own.
+# The symbols are ASCII, so a character is a byte.
+ORACLES["symbol_hash_bucket"] = f"""
+WITH {TICKS_CTE},
+s AS (SELECT DISTINCT symbol, length(symbol) AS n FROM ticks WHERE symbol IS NOT NULL),
+b AS (SELECT *, list_transform(range(1, n + 1), lambda i: ascii(substr(symbol, CAST(i AS BIGINT), 1))::HUGEINT) AS c FROM s),
+w AS (SELECT symbol, n, list_concat([42::HUGEINT], list_concat(
+        list_transform(range(0, n // 4), lambda j: c[4 * j + 1] + 256 * c[4 * j + 2] + 65536 * c[4 * j + 3] + 16777216 * c[4 * j + 4]),
+        c[4 * (n // 4) + 1:n])) AS words FROM b),
+h0 AS (SELECT symbol, xor(list_reduce(words, lambda h, x: {_word_mixed('h', 'x')}), n::HUGEINT) AS h FROM w),
+h1 AS (SELECT symbol, (xor(h, h // 65536) * 2246822507) % 4294967296 AS h FROM h0),
+h2 AS (SELECT symbol, (xor(h, h // 8192) * 3266489909) % 4294967296 AS h FROM h1),
+h3 AS (SELECT symbol, xor(h, h // 65536) AS h FROM h2),
+f AS (SELECT symbol, CAST(abs(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % 1000 AS BIGINT) AS symbol_hash FROM h3)
+SELECT t.symbol, ts, event_id, symbol_hash FROM ticks t JOIN f ON t.symbol = f.symbol WHERE price IS NOT NULL
+"""
