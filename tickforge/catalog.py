@@ -19,7 +19,7 @@ from .operators import backtest as bt
 from .operators import indicators as ind
 from .operators import learning as ml
 from .operators import reshape, serving
-from .plans.sequence import CHUNK, ORD
+from .plans.sequence import CHUNK, ORD, order_number
 from .session import scratch_path
 from .sources import files, tables
 
@@ -501,6 +501,30 @@ def q_retrain_per_symbol(spark, sf_dir):
     return wf.select("symbol", "ts", "event_id", "message_number", "epoch", "model_epoch", "LogisticReg")
 
 
+def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction records whose model columns hold the models' labels."""
+    path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
+    ind.with_indicators(ticks(spark, sf_dir), with_next=True).write.parquet(path)  # read by every fit
+    f = spark.read.parquet(path)
+    labelled = ml.gated_model_labels(f, order_number(f, "ts"))
+    return labelled.select("symbol", "current_price", "ts", "event_id", *PREDICTION_FEATURES, *sg.MODEL_SIGNALS,
+                           *[v.alias(k) for k, v in sg.rule_signals().items()])
+
+
+@query("model_prediction_records")
+def q_model_prediction_records(spark, sf_dir):
+    return rounded(model_predictions(spark, sf_dir), ["current_price", *PREDICTION_FEATURES])
+
+
+@query("backtest_all_signals")
+def q_backtest_all_signals(spark, sf_dir):
+    """Metrics of every symbol x (model and rule) signal."""
+    path = scratch_path(spark, f"labelled-{uuid.uuid4().hex}")
+    model_predictions(spark, sf_dir).select("symbol", "ts", "event_id", "current_price", *sg.MODEL_SIGNALS, *sg.RULE_SIGNALS).write.parquet(path)
+    m = bt.metrics(bt.backtest_rows(spark.read.parquet(path), [*sg.MODEL_SIGNALS, *sg.RULE_SIGNALS]))
+    return rounded(rounded(m, ["final_value", "net_pnl"], 4), ["return_pct", "sharpe"], 6)
+
+
 # --------------------------------------------------------------- streaming
 def _tick_stream(spark, sf_dir):
     from .streaming import streams

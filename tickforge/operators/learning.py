@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.signals import UP
+from ..functions.signals import TRAINING, UP, training_gate
 from ..plans.sequence import ORD, REAL, TIE, plain, sequence
 from ..session import checkpoint_dir, scratch_path
 from .indicators import HISTORY, balanced_sql, newest, with_indicators
@@ -311,6 +311,37 @@ def scored(model, df: DataFrame, name: str) -> DataFrame:
     return pred.withColumn(name, F.when(F.col("prediction") == 1.0, F.lit("UP")).otherwise(F.lit("DOWN")))
 
 
+def gated_model_labels(features: DataFrame, order_value, adaboost_rounds: int = ADABOOST_ROUNDS_ONLINE,
+                       train_share: float = 0.8, keys=("symbol",), order=("ts", "event_id")) -> DataFrame:
+    """The feature rows with a label of every model: TRAINING until the model
+    exists, UP or DOWN from then on.
+
+    Logistic regression is refitted per key (``walk_forward_logreg``).  Forest,
+    boosting and AdaBoost are pooled distributed fits on the rows up to the
+    ``train_share`` quantile of ``order_value`` (a numeric column expression of
+    time) and label the rows after it.  ``features`` needs ``next_price``.
+    """
+    cut = features.agg(F.percentile_approx(order_value, train_share, 10_000)).first()[0]
+    if cut is None:
+        cut = float("inf")
+    after = order_value > F.lit(cut)
+    train = labels_from_next(features).filter(~after & F.col("next_price").isNotNull())
+    out = walk_forward_logreg(features, keys, order).drop("label", "tick_index", "message_number", "epoch", "model_epoch")
+    base = out.columns
+    if train.select("label").distinct().count() == 2:
+        fits = {n: fit_pipeline(train, ONLINE_FEATURES, e) for n, e in estimators().items() if n != "LogisticReg"}
+        fits["AdaBoost"] = fit_adaboost(train, ONLINE_FEATURES, rounds=adaboost_rounds)
+    else:
+        fits = {}
+    for name in ("RandomForest", "XGBoost", "AdaBoost"):
+        if name in fits:
+            out = scored(fits[name], out, name).withColumn(name, training_gate(after, F.col(name))).select(*base, name)
+        else:
+            out = out.withColumn(name, F.lit(TRAINING))
+        base = [*base, name]
+    return out
+
+
 def offline_frame(ticks: DataFrame, keys=("symbol",), order=("ts", "event_id"), price: str = "price") -> DataFrame:
     """Offline training rows: (simple_return, lag_1 estimate, price) -> label,
     last tick of each symbol dropped, with the sequential train/test split."""
@@ -425,6 +456,6 @@ def walk_forward_logreg(features: DataFrame, keys=("symbol",), order=("ts", "eve
     z = F.col("intercept")
     for i, c in enumerate(ONLINE_FEATURES):
         z = z + F.col("coef")[i] * F.coalesce(F.nanvl(F.col(c), F.lit(0.0)), F.lit(0.0))
-    label = F.when(F.col("coef").isNull(), F.lit("TRAINING")).when(z > 0, F.lit("UP")).otherwise(F.lit("DOWN"))
+    label = training_gate(F.col("coef").isNotNull(), F.when(z > 0, F.lit("UP")).otherwise(F.lit("DOWN")))
     return scored.withColumn("LogisticReg", label).withColumn("message_number", F.col("_m")) \
         .drop("_m", "coef", "intercept")
