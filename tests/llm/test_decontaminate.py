@@ -3,7 +3,7 @@
 import random
 
 import numpy as np
-from conftest import SF01
+from llm_data import SF01
 
 from tickforge.llm import decontaminate as D
 from tickforge.llm.common import WordHasher, run_folder

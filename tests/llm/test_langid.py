@@ -3,7 +3,7 @@
 import zlib
 
 import numpy as np
-from conftest import SF01
+from llm_data import SF01
 from pyspark.sql import functions as F
 
 from tickforge.llm import langid as L

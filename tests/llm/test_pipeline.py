@@ -6,7 +6,7 @@ import random
 import corpus_pipeline as P
 import numpy as np
 import public_tokenizers
-from conftest import DOCS
+from llm_data import DOCS
 from tokenizers import Tokenizer
 
 from tickforge.llm import decontaminate as D

@@ -5,7 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from conftest import SF01
+from llm_data import SF01
 
 from tickforge.llm import quality as Q
 

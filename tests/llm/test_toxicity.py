@@ -1,7 +1,7 @@
 """The classifier chain: held-out quality, out-of-fold inputs, edge cases."""
 
 import numpy as np
-from conftest import SF01
+from llm_data import SF1
 from pyspark.sql import functions as F
 
 from tickforge.llm import toxicity as X
@@ -30,7 +30,7 @@ def test_logistic_fit_separates():
 
 
 def test_held_out_documents(spark):
-    docs, labels = spark.read.parquet(f"{SF01}/../sf0.1/documents.parquet"), spark.read.parquet(f"{SF01}/../sf0.1/labels.parquet")
+    docs, labels = spark.read.parquet(f"{SF1}/documents.parquet"), spark.read.parquet(f"{SF1}/labels.parquet")
     out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
     got = {r.doc_id: r for r in X.judge(docs, labels.filter(~out)).collect()}
     assert len(got) == docs.count()

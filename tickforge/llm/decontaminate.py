@@ -54,6 +54,7 @@ MIN_ANSWER_WORDS = 4
 BLOCK_ITEMS = 2_000
 SEED = 11
 _Z_BLOCK = 1024
+_Z_SHARES = 32
 _BATCH = 1 << 18  # words handled at once
 _KNOWN_BITS = 20
 
@@ -171,17 +172,22 @@ def sketch(tokens: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
                 if z[k:k + _Z_BLOCK].any():
                     yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([z[k:k + _Z_BLOCK].astype("<f4").tobytes()], pa.binary())], names=["block", "z"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            for k, z in zip(b.column("block").to_pylist(), b.column("z")):
-                part = np.frombuffer(z.as_py(), dtype="<f4").astype(np.float64)
-                sums[k] = sums[k] + part if k in sums else part
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.astype("<f8").tobytes() for v in sums.values()], pa.binary())], names=["block", "z"])
+    def adder(kind: str):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for b in batches:
+                for k, z in zip(b.column("block").to_pylist(), b.column("z")):
+                    part = np.frombuffer(z.as_py(), dtype=kind).astype(np.float64)
+                    sums[k] = sums[k] + part if k in sums else part
+            if sums:
+                yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["block", "z"])
+
+        return add
 
     parts = tokens.filter("words is not null").select("words").mapInArrow(partial, "block long, z binary")
-    rows = parts.repartition(TERMS // _Z_BLOCK, "block").mapInArrow(add, "block long, z binary").collect()
+    # in two steps: no task reads what all tasks have gathered of a block
+    some = parts.withColumn("share", F.spark_partition_id() % _Z_SHARES).repartition("block", "share").select("block", "z").mapInArrow(adder("<f4"), "block long, z binary")
+    rows = some.repartition("block").mapInArrow(adder("<f8"), "block long, z binary").collect()
     z = np.zeros((TERMS, rank))
     for r in rows:  # TERMS x rank numbers in all
         z[r["block"]:r["block"] + _Z_BLOCK] += np.frombuffer(r["z"], dtype="<f8").reshape(-1, rank)
