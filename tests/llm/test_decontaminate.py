@@ -101,3 +101,54 @@ def test_sketch_equals_the_dense_product(spark):
     a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
     z = D.sketch(tokens, idf)
     assert np.allclose(z[used], a.T @ (a @ D.test_matrix(D.RANK)[used]), atol=1e-3)
+
+
+def latent(spark, docs, items):
+    """Items and search of plain (id, text) lists."""
+    tokens = D.tokenised(spark.createDataFrame(docs, "doc_id long, text string"), run_folder(spark, "latent") + "/t")
+    idf = D.inverse_frequencies(tokens)
+    hasher = WordHasher(D.PUNCTUATION)
+    found = [D.read_item(i, t, None, hasher) for i, t in items]
+    return found, D.Searcher(found, D.latent_space(D.sketch(tokens, idf), idf), idf)
+
+
+def accepted_places(words, item):
+    """All places at which the last two checks accept the item."""
+    n, out = len(item.words), []
+    pad = int(np.ceil(D.SURROUND * n))
+    for at in range(-pad, len(words)):
+        near = words[max(0, at - pad):max(0, at + n + pad)]
+        if D.lcs_length(near, item.places, n) >= D.MIN_LCS * n and D.lcs_length(near, item.answer, item.answer_words) >= D.MIN_ANSWER * item.answer_words:
+            out.append(at)
+    return out
+
+
+def test_paraphrases_that_pass_the_last_checks_are_found(spark):
+    docs, items, _ = corpus(5)
+    found, search = latent(spark, docs, items)
+    hasher, rnd = WordHasher(D.PUNCTUATION), random.Random(6)
+    bodies = [D.word_ids(t.encode(), hasher) for _, t in docs]
+    strange = np.unique(np.concatenate(bodies))
+    idf = np.bincount(np.searchsorted(strange, np.concatenate(bodies)))
+    want, texts = {}, []
+    for share in (0.2, 0.25):
+        for kind in ("even", "rare"):
+            for i, item in enumerate(found):
+                n = len(item.words)
+                k = int(share * n)
+                often = idf[np.minimum(np.searchsorted(strange, item.words), len(strange) - 1)]
+                at = (np.arange(k) * n / k).astype(int) if kind == "even" else np.argsort(often, kind="stable")[:k]
+                words = item.words.copy()
+                words[at] = rnd.choices(strange.tolist(), k=k)
+                body = rnd.choice(bodies)[:60]
+                texts.append(np.concatenate([body[:30], words, body[30:]]))
+                want[len(texts) - 1, i] = accepted_places(texts[-1], item)
+    lens = np.array([len(t) for t in texts])
+    kept, begin = {}, np.cumsum(lens) - lens
+    for t, i, lo, hi in search.places(np.concatenate(texts), lens).tolist():
+        kept.setdefault((t, i), []).append((lo - begin[t], hi - begin[t]))
+    for pair, places in want.items():  # the bound loses no accepted place
+        assert all(any(lo <= at <= hi for lo, hi in kept[pair]) for at in places)
+    got = search.search(np.concatenate(texts), lens)
+    missed = [pair for pair, places in want.items() if places and pair not in got]
+    assert sum(map(bool, want.values())) > 60 and not missed

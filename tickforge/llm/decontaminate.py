@@ -7,13 +7,13 @@
    A^T (A X) for a random test matrix X: a randomised SVD by the Nystrom
    formula, with the small factorisation (rank x rank) on the driver.  Tasks
    add up their part before the shuffle; its size is terms x rank a task.
-3. Overlapping 12-word windows of the documents are projected to the whitened
-   latent space and searched against all windows of the benchmark items by
-   cosine.  A window's TF-IDF cosine with a benchmark window is at most the
-   root of the share of its squared weight that lies on the benchmark's words:
-   windows whose share is under the square of ``MIN_TFIDF`` need no search, and
-   candidates whose own TF-IDF cosine is under it are dropped.
-4. Each candidate's surroundings are compared with the whole item: the longest
+3. An item counts as found only with ``MIN_LCS`` of its words, so of any set of
+   its words all but the share that may be missing stand in the surroundings.
+   Its rarest words, looked up in every document, leave the places where enough
+   of them stand together; this bound loses no place that step 5 accepts.
+4. Overlapping 12-word windows around these places are projected to the
+   whitened latent space and compared by cosine with the item's windows.
+5. Each candidate's surroundings are compared with the whole item: the longest
    common subsequence must cover ``MIN_LCS`` of the item's words, and that of
    the answer (column ``answer``, else the item's last sentence) ``MIN_ANSWER``
    of the answer's words.
@@ -29,6 +29,7 @@ with their best match; empty documents or an empty benchmark give no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,13 +45,13 @@ TERMS = 1 << 16
 RANK = 32
 PASSAGE = 32
 WINDOW, STRIDE = 12, 6
-MIN_COSINE = 0.6
-MIN_TFIDF = 0.7
+MIN_COSINE = 0.5
 MIN_LCS = 0.7
 MIN_ANSWER = 0.6
 SURROUND = 0.125  # of an item's length, before and after it
 MIN_ITEM_WORDS = 8
 MIN_ANSWER_WORDS = 4
+RARE = 0.25  # of an item's words, looked up besides those that may be missing
 BLOCK_ITEMS = 2_000
 SEED = 11
 _Z_BLOCK = 1024
@@ -234,6 +235,7 @@ class Item:
     places: dict[int, int]
     answer: dict[int, int]
     answer_words: int
+    pad: int  # words before and after it that its surroundings hold
 
 
 def read_item(item_id, text: str, answer: str | None, hasher: WordHasher) -> Item | None:
@@ -246,7 +248,7 @@ def read_item(item_id, text: str, answer: str | None, hasher: WordHasher) -> Ite
         last = sentences[-1]
         if len(last) < MIN_ANSWER_WORDS:
             last = words[-MIN_ITEM_WORDS:]
-    return Item(item_id, words, words.tolist(), _places(words), _places(last), len(last))
+    return Item(item_id, words, words.tolist(), _places(words), _places(last), len(last), math.ceil(SURROUND * len(words)))
 
 
 class Searcher:
@@ -254,80 +256,97 @@ class Searcher:
 
     def __init__(self, items: list[Item], projection: np.ndarray, idf: np.ndarray, min_cosine: float = MIN_COSINE):
         self.items, self.projection, self.min_cosine = items, projection, min_cosine
-        self.weight = idf.astype(np.float64) ** 2
-        self.known = np.zeros(1 << _KNOWN_BITS, dtype=bool)
-        vectors, ids, self.of, self.offset = [], [], [], []
+        self.queries, words, of, self.need, self.span = [], [], [], [], []
         for i, item in enumerate(items):
-            self.known[item.words >> (32 - _KNOWN_BITS)] = True
-            for lo in range(max(1, len(item.words) - WINDOW + 1)):
-                part = item.words[lo:lo + WINDOW]
-                vectors.append(projection[part & (TERMS - 1)].sum(axis=0))
-                ids.append(np.pad(part.astype(np.int64), (0, WINDOW - len(part)), constant_values=-1))
-                self.of.append(i)
-                self.offset.append(lo)
-        self.queries = self._unit(np.array(vectors, dtype=np.float32).reshape(len(vectors), projection.shape[1])).T.copy()
-        self.ids = np.array(ids, dtype=np.int64).reshape(len(ids), WINDOW)
-        self.size = np.sqrt(self._product(self.ids, self.ids))
-        self.of, self.offset = np.array(self.of, dtype=np.int64), np.array(self.offset, dtype=np.int64)
-
-    def _product(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """TF-IDF products of windows given by their words (-1: none)."""
-        weight = np.where(a >= 0, self.weight[a & (TERMS - 1)], 0)
-        return (weight * (a[:, :, None] == b[:, None, :]).sum(axis=2)).sum(axis=1)
+            n = len(item.words)
+            self.queries.append(self._unit(self._sums(item.words, np.arange(max(1, n - WINDOW + 1)), WINDOW)).T.copy())
+            # at most ``missing`` words may fail, so of the rarest ones all but that many stand in the surroundings
+            missing = n - math.ceil(MIN_LCS * n)
+            rarest = item.words[np.argsort(-idf[item.words & (TERMS - 1)], kind="stable")[:missing + math.ceil(RARE * n)]]
+            self.need.append(int(np.isin(item.words, rarest).sum()) - missing)
+            self.span.append(n + 2 * item.pad)
+            words.append(np.unique(rarest))
+            of.append(np.full(len(words[-1]), i))
+        words, of = np.concatenate(words), np.concatenate(of)
+        order = np.argsort(words, kind="stable")
+        self.of, (self.rare, self.first, self.n_of) = of[order], np.unique(words[order], return_index=True, return_counts=True)
+        self.known = np.zeros(1 << _KNOWN_BITS, dtype=bool)
+        self.known[self.rare >> (32 - _KNOWN_BITS)] = True
+        self.need, self.span = np.array(self.need, dtype=np.int64), np.array(self.span, dtype=np.int64)
+        self.pad = np.array([item.pad for item in items], dtype=np.int64)
+
+    def _sums(self, words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+        """Latent vectors of the windows of ``size`` words (fewer at the end) from ``starts`` on."""
+        c = np.zeros((len(words) + 1, self.projection.shape[1]))
+        np.cumsum(self.projection[words & (TERMS - 1)], axis=0, dtype=np.float64, out=c[1:])
+        return c[np.minimum(starts + size, len(words))] - c[starts]
 
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
+        """Rows of unit length; those without a place in the latent space are alike."""
         size = np.linalg.norm(x, axis=1, keepdims=True)
-        return x / np.where(size > 0, size, 1)
-
-    def windows(self, words: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and ends of the windows with enough weight on the benchmark's words, for texts laid end to end."""
-        first = np.cumsum(lens) - lens
-        per = np.where(lens > 0, np.maximum(-(-(lens - WINDOW) // STRIDE), 0) + 1, 0)
-        place = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
-        starts = np.repeat(first, per) + np.minimum(place * STRIDE, np.repeat(np.maximum(lens - WINDOW, 0), per))
-        ends = np.minimum(starts + WINDOW, np.repeat(first + lens, per))
-        weight = self.weight[words & (TERMS - 1)]
-        whole = np.concatenate(([0], np.cumsum(weight)))
-        weight[~self.known[words >> (32 - _KNOWN_BITS)]] = 0
-        known = np.concatenate(([0], np.cumsum(weight)))
-        good = known[ends] - known[starts] >= MIN_TFIDF ** 2 * (whole[ends] - whole[starts]) - 1e-6
-        return starts[good], ends[good]
-
-    def _candidates(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, query) pairs above both cosines."""
-        at = starts[:, None] + np.arange(WINDOW)
-        inside = at < ends[:, None]
-        ids = np.where(inside, words[np.where(inside, at, starts[:, None])].astype(np.int64), -1)
-        p = self._unit((self.projection[ids & (TERMS - 1)] * inside[:, :, None]).sum(axis=1))
-        row, q = np.divmod(np.flatnonzero(p @ self.queries >= self.min_cosine), self.queries.shape[1])
-        size = np.sqrt(self._product(ids, ids))
-        good = np.empty(len(row), dtype=bool)
-        for lo in range(0, len(row), 4096):
-            r, k = row[lo:lo + 4096], q[lo:lo + 4096]
-            good[lo:lo + 4096] = self._product(ids[r], self.ids[k]) >= MIN_TFIDF * size[r] * self.size[k] - 1e-6
-        return row[good], q[good]
+        none = size <= 1e-9
+        return np.hstack([np.where(none, 0, x / np.where(none, 1, size)), none])
+
+    def places(self, words: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """(text, item, first, last): all places of an item in texts laid end to end
+        whose surroundings hold as many of its rarest words as ``MIN_LCS`` implies."""
+        at = np.flatnonzero(self.known[words >> (32 - _KNOWN_BITS)])
+        k = np.minimum(np.searchsorted(self.rare, words[at]), len(self.rare) - 1)
+        same = self.rare[k] == words[at]
+        at, k = at[same], k[same]
+        n = self.n_of[k]
+        item = self.of[np.repeat(self.first[k], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)]
+        at = np.repeat(at, n)
+        order = np.argsort(item, kind="stable")
+        item, at = item[order], at[order]
+        text = np.searchsorted(np.cumsum(lens), at, side="right")
+        here = np.arange(len(at))
+        there = here + self.need[item] - 1
+        here, there = here[there < len(at)], there[there < len(at)]
+        full = (item[here] == item[there]) & (text[here] == text[there]) & (at[there] - at[here] < self.span[item[here]])
+        here, there = here[full], there[full]
+        item, text = item[here], text[here]
+        pad = self.pad[item]
+        lo, hi = at[there] - self.span[item] + 1 + pad, at[here] + pad
+        new = np.ones(len(here), dtype=bool)
+        new[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (lo[1:] > hi[:-1] + 1)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(here))[:len(first)] - 1
+        return np.column_stack([text[first], item[first], lo[first], hi[last]])
+
+    def _latent(self, words: np.ndarray, i: int, lo: int, hi: int, begin: int, end: int) -> np.ndarray:
+        """The places from ``lo`` to ``hi`` with a window above the cosine, the best first."""
+        n, query = len(self.items[i].words), self.queries[i]
+        last = max(begin, end - WINDOW)
+        s = np.arange(max(begin, lo), max(begin, min(hi + n, last)) + 1)
+        s = s[((s - begin) % STRIDE == 0) | (s == last)]
+        if not len(s):
+            return np.empty(0, dtype=np.int64)
+        base = int(s[0])
+        p = self._unit(self._sums(words[base:min(int(s[-1]) + WINDOW, end)], s - base, WINDOW))
+        best = np.full(hi - lo + 1, -2.0)
+        for k in range(0, len(s), 512):
+            cosine = p[k:k + 512] @ query
+            row, q = np.nonzero(cosine >= self.min_cosine)
+            place = s[k + row] - q - lo
+            inside = (place >= 0) & (place < len(best))
+            np.maximum.at(best, place[inside], cosine[row[inside], q[inside]])
+        order = np.argsort(-best, kind="stable")
+        return lo + order[best[order] > -2]
 
     def search(self, words: np.ndarray, lens: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
         """(text number, item number) -> (common words, answer words found, place) of the best accepted match."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        starts, ends = self.windows(words, lens)
         ends_of = np.cumsum(lens)
-        text = np.searchsorted(ends_of, starts, side="right")
-        for lo in range(0, len(starts), 512):
-            s, of_text = starts[lo:lo + 512], text[lo:lo + 512]
-            row, q = self._candidates(words, s, ends[lo:lo + 512])
-            if not len(row):
-                continue
-            guess = np.unique(np.column_stack([of_text[row], self.of[q], s[row] - self.offset[q]]), axis=0)
-            for t, i, at0 in guess.tolist():
-                item = self.items[i]
-                n = len(item.words)
+        for t, i, lo, hi in self.places(words, lens).tolist():
+            item = self.items[i]
+            n, pad = len(item.words), item.pad
+            begin, end = int(ends_of[t] - lens[t]), int(ends_of[t])
+            for at0 in self._latent(words, i, lo, hi, begin, end).tolist():
                 have = best.get((t, i))
                 if have and have[0] == n and have[1] == item.answer_words:
-                    continue
-                pad = int(np.ceil(SURROUND * n))
-                begin, end = int(ends_of[t] - lens[t]), int(ends_of[t])
+                    break
                 near = words[max(begin, at0 - pad):max(begin, min(end, at0 + n + pad))]
                 there = set(near.tolist())
                 if sum(w in there for w in item.order) < MIN_LCS * n:  # no more words in common than this
