@@ -152,3 +152,15 @@ def test_paraphrases_that_pass_the_last_checks_are_found(spark):
     got = search.search(np.concatenate(texts), lens)
     missed = [pair for pair, places in want.items() if places and pair not in got]
     assert sum(map(bool, want.values())) > 60 and not missed
+
+
+def test_short_items_copied_word_for_word_are_found(spark):
+    docs, items, _ = corpus(7)
+    cut = [(100 * size + i, " ".join(t.split()[:size])) for size in range(D.MIN_ITEM_WORDS, 17) for i, t in items if len(t.split()) >= size]
+    found, search = latent(spark, docs, cut)
+    bodies = [D.word_ids(t.encode(), WordHasher(D.PUNCTUATION)) for _, t in docs]
+    strange = np.unique(np.concatenate(bodies))
+    rnd = random.Random(8)
+    texts = [np.concatenate([rnd.choice(bodies)[:20], rnd.choices(strange, k=k % 13), x.words, rnd.choices(strange, k=12)]).astype("<u4") for k, x in enumerate(found)]
+    got = search.search(np.concatenate(texts), np.array([len(t) for t in texts]))
+    assert len(found) > 150 and [k for k in range(len(found)) if got.get((k, k), (0,))[0] < len(found[k].words)] == []

@@ -11,8 +11,9 @@
    its words all but the share that may be missing stand in the surroundings.
    Its rarest words, looked up in every document, leave the places where enough
    of them stand together; this bound loses no place that step 5 accepts.
-4. Overlapping 12-word windows around these places are projected to the
-   whitened latent space and compared by cosine with the item's windows.
+4. All 12-word windows around these places (of the item's own length where that
+   is less) are projected to the whitened latent space and compared by cosine
+   with the item's windows, so a verbatim copy has its exact window.
 5. Each candidate's surroundings are compared with the whole item: the longest
    common subsequence must cover ``MIN_LCS`` of the item's words, and that of
    the answer (column ``answer``, else the item's last sentence) ``MIN_ANSWER``
@@ -44,7 +45,7 @@ from tickforge.llm.common import WordHasher, byte_slices, distinct, run_folder,
 TERMS = 1 << 16
 RANK = 32
 PASSAGE = 32
-WINDOW, STRIDE = 12, 6
+WINDOW = 12
 MIN_COSINE = 0.5
 MIN_LCS = 0.7
 MIN_ANSWER = 0.6
@@ -318,13 +319,12 @@ class Searcher:
     def _latent(self, words: np.ndarray, i: int, lo: int, hi: int, begin: int, end: int) -> np.ndarray:
         """The places from ``lo`` to ``hi`` with a window above the cosine, the best first."""
         n, query = len(self.items[i].words), self.queries[i]
-        last = max(begin, end - WINDOW)
-        s = np.arange(max(begin, lo), max(begin, min(hi + n, last)) + 1)
-        s = s[((s - begin) % STRIDE == 0) | (s == last)]
+        size = min(WINDOW, n)
+        s = np.arange(max(begin, lo), max(begin, min(hi + n - size, end - size)) + 1)
         if not len(s):
             return np.empty(0, dtype=np.int64)
         base = int(s[0])
-        p = self._unit(self._sums(words[base:min(int(s[-1]) + WINDOW, end)], s - base, WINDOW))
+        p = self._unit(self._sums(words[base:min(int(s[-1]) + size, end)], s - base, size))
         best = np.full(hi - lo + 1, -2.0)
         for k in range(0, len(s), 512):
             cosine = p[k:k + 512] @ query
