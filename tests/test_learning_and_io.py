@@ -107,3 +107,18 @@ def test_adaboost_saved_and_loaded_votes_alike(spark, tmp_path):
     assert one == [r.prediction for r in back.transform(df).orderBy("a", "b").collect()]
     share = model.transform(df).filter("prediction = label").count() / 300
     assert share >= 0.75 and len(model.stumps) > 1
+
+
+@pytest.mark.parametrize("name", ["model_adaboost", "model_comparison", "model_classification_report", "model_adaboost_roundtrip"])
+def test_offline_model_queries_fit_all_offline_rounds(spark, monkeypatch, name):
+    from tickforge import catalog as c
+    asked, fit = [], ml.fit_adaboost
+
+    def short(train, features, label="label", rounds=50, **kw):
+        asked.append(rounds)
+        return fit(train, features, label, 1, **kw)
+
+    monkeypatch.setattr(ml, "fit_adaboost", short)
+    monkeypatch.setattr(ml, "estimators", lambda *a: {})
+    c.QUERIES[name](spark, SF001)
+    assert asked == [ml.ADABOOST_ROUNDS_OFFLINE] == [100]

@@ -470,7 +470,7 @@ def q_model_comparison(spark, sf_dir):
 def q_model_classification_report(spark, sf_dir):
     """Precision, recall, F1 and support per model and class on the test split."""
     train, test = _offline(spark, sf_dir)
-    models = ml.fit_models(train, ml.OFFLINE_FEATURES, adaboost_rounds=ml.ADABOOST_ROUNDS_ONLINE)
+    models = ml.fit_models(train, ml.OFFLINE_FEATURES, adaboost_rounds=ml.ADABOOST_ROUNDS_OFFLINE)
     return rounded(ml.model_report(models, test), ["precision", "recall", "f1"])
 
 
@@ -479,7 +479,7 @@ def q_model_adaboost_roundtrip(spark, sf_dir):
     """AdaBoost saved to the shared folder, loaded, scoring the test split."""
     train, test = _offline(spark, sf_dir)
     path = scratch_path(spark, f"models/adaboost-{uuid.uuid4().hex}")
-    ml.fit_adaboost(train, ml.OFFLINE_FEATURES, rounds=ml.ADABOOST_ROUNDS_ONLINE).save(path)
+    ml.fit_adaboost(train, ml.OFFLINE_FEATURES, rounds=ml.ADABOOST_ROUNDS_OFFLINE).save(path)
     return _scored_test(ml.AdaBoostModel.load(path), test, "AdaBoost")
 
 
