@@ -164,3 +164,13 @@ def test_short_items_copied_word_for_word_are_found(spark):
     texts = [np.concatenate([rnd.choice(bodies)[:20], rnd.choices(strange, k=k % 13), x.words, rnd.choices(strange, k=12)]).astype("<u4") for k, x in enumerate(found)]
     got = search.search(np.concatenate(texts), np.array([len(t) for t in texts]))
     assert len(found) > 150 and [k for k in range(len(found)) if got.get((k, k), (0,))[0] < len(found[k].words)] == []
+
+
+def test_separate_answer_after_the_question(spark):
+    docs, _, _ = corpus(9)
+    rnd = random.Random(10)
+    question, answer, other = (" ".join(f"{name}{rnd.randrange(10 ** 6)}" for _ in range(n)) for name, n in (("q", 40), ("a", 20), ("o", 25)))
+    rows = [*docs, (1000, f"{docs[0][1]} {question} {answer} {docs[1][1]}"), (1001, f"{docs[2][1]} {answer} {question}"), (1002, f"{question} {other} {docs[3][1]}")]
+    bench = spark.createDataFrame([(5, question, answer)], "item_id long, text string, answer string")
+    got = D.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.common_words, r.answer_found) for r in got) == [(1000, 40, 20), (1001, 40, 20)]

@@ -17,7 +17,8 @@
 5. Each candidate's surroundings are compared with the whole item: the longest
    common subsequence must cover ``MIN_LCS`` of the item's words, and that of
    the answer (column ``answer``, else the item's last sentence) ``MIN_ANSWER``
-   of the answer's words.
+   of the answer's words.  An answer that is no part of the item's text is
+   looked for as many words further on both sides as it has.
 
 Items are taken in blocks of a bounded number, one search per block, so the
 broadcast tables stay bounded however large the benchmark is.
@@ -228,6 +229,11 @@ def _places(words: np.ndarray) -> dict[int, int]:
     return out
 
 
+def _spans(words: np.ndarray, size: int) -> set[bytes]:
+    """All runs of ``size`` words."""
+    return {words[k:k + size].tobytes() for k in range(len(words) - size + 1)}
+
+
 @dataclass
 class Item:
     item_id: object
@@ -237,6 +243,7 @@ class Item:
     answer: dict[int, int]
     answer_words: int
     pad: int  # words before and after it that its surroundings hold
+    apart: int  # further words there for an answer that is no part of the item's text
 
 
 def read_item(item_id, text: str, answer: str | None, hasher: WordHasher) -> Item | None:
@@ -244,12 +251,13 @@ def read_item(item_id, text: str, answer: str | None, hasher: WordHasher) -> Ite
     if len(words) < MIN_ITEM_WORDS:
         return None
     last = word_ids(answer.encode("utf-8", "replace"), hasher) if answer else np.empty(0, dtype="<u4")
+    apart = 0 if last.tobytes() in _spans(words, len(last)) else len(last)
     if not len(last):
         sentences = [s for s in (word_ids(s.encode("utf-8", "replace"), hasher) for s in re.split(r"[.?!\n]+", text)) if len(s)]
         last = sentences[-1]
         if len(last) < MIN_ANSWER_WORDS:
             last = words[-MIN_ITEM_WORDS:]
-    return Item(item_id, words, words.tolist(), _places(words), _places(last), len(last), math.ceil(SURROUND * len(words)))
+    return Item(item_id, words, words.tolist(), _places(words), _places(last), len(last), math.ceil(SURROUND * len(words)), apart)
 
 
 class Searcher:
@@ -354,6 +362,8 @@ class Searcher:
                 common = lcs_length(near, item.places, n)
                 if common < MIN_LCS * n:
                     continue
+                if item.apart:
+                    near = words[max(begin, at0 - pad - item.apart):min(end, at0 + n + pad + item.apart)]
                 told = lcs_length(near, item.answer, item.answer_words)
                 if told >= MIN_ANSWER * item.answer_words and (not have or (common, told) > have[:2]):
                     best[t, i] = (common, told, max(at0 - begin, 0))
