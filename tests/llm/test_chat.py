@@ -49,3 +49,27 @@ def test_equals_a_plain_comparison(spark):
 
 def test_empty(spark):
     assert C.formatted(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_many_texts_of_one_turn_number_are_spread_over_cells(spark):
+    rows = [(None, None, "user", f"text {k}") for k in range(6000)] + [(1, k % 3, "user", f"text {k}") for k in range(4000)]
+    rows += [(2, k % 3, "user", f"text {k}") for k in range(4000) if k % 3 < 2] + [(3, 0, "user", "text 0")] + rows[:50]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    t = C.turns(df).cache()
+    hashes = {}
+    for r in t.collect():
+        hashes.setdefault(r.conv_id, set()).add((r.turn, r.h1, r.h2))
+    want = set()
+    for c, of in hashes.items():
+        p1 = p2 = 0
+        for n, (_, h1, h2) in enumerate(sorted(of), 1):
+            p1, p2 = p1 ^ h1, p2 ^ h2
+            want.add((c, n, p1, p2, n == len(of)))
+    got = C.prefixes(t).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    # what one window of the running XOR has to hold
+    assert t.distinct().groupBy("conv_id", "block", "turn", "cell").count().agg({"count": "max"}).first()[0] < 40
+    got = [(r.conv_id, r.part, r.n_turns, r.n_copies, len(r.rendered)) for r in C.formatted(df).collect()]
+    size = lambda some: sum(len(f"<|im_start|>user\ntext {k}<|im_end|>\n") for k in some)
+    # as whole prefixes in the order of turn and hash: conversation 2 is the first two turn numbers of conversation 1
+    assert {g for g in got if g[0] != 3} == {(None, -1, 6000, 1, size(range(6000))), (1, 0, 4000, 1, size(range(4000)))}

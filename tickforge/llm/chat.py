@@ -7,11 +7,16 @@ hash is another's prefix hash at the same length is dropped by an anti-join;
 of equal conversations the one with the least id stays.  What remains is
 rendered with a chat template.
 
-The running XOR is taken in two levels, within blocks of ``BLOCK_TURNS`` turns
-and over the blocks, so no task needs a whole conversation however long it is.
+The running XOR is taken in four levels: over a conversation's blocks of
+``BLOCK_TURNS`` turn numbers, a block's turn numbers, the 2^``CELL_BITS`` hash
+ranges of the texts of one turn number, and the texts of a range.  So no task
+needs a whole conversation for it, however long it is and however many texts
+share one turn number (null turns, or all rows with a null conversation id).
 Prefix hashes are made distinct by partial aggregation before they are joined:
 a first turn shared by a third of all conversations is one row per map task.
-A rendered conversation comes in parts of ``BLOCK_TURNS`` turns.
+A rendered conversation comes in parts of ``BLOCK_TURNS`` turn numbers.  A part
+is one row, as in the SQL twin: all texts of its turn numbers are gathered in
+one task and must fit a row (2 GB).
 
 Defined results: a null role is rendered as ``unknown``, a null text as empty,
 a null turn number comes before all others; repeated rows count once; several
@@ -22,47 +27,67 @@ empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_TURNS = 1024
+CELL_BITS = 10
 # The turn marks of the template.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 _ID = "conv_id"
+_KEYS = [_ID, "block", "turn", "cell"]
 
 
 def turns(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """Distinct turns with their two hashes and their block (by turn number)."""
+    """Distinct turns with their two hashes, their block (by turn number) and cell (by hash)."""
     plain = conversations.select(
         F.col(id_col).alias(_ID), F.coalesce(F.col(turn_col).cast("long"), F.lit(-1)).alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return (plain.withColumn("h1", F.xxhash64("turn", "role", "text"))
             .withColumn("h2", F.xxhash64(F.lit("second"), "text", "role", "turn"))
-            .withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS).cast("long")))
+            .withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS).cast("long"))
+            .withColumn("cell", F.shiftright("h1", 64 - CELL_BITS)))
 
 
 def _distinct_hashes(t: DataFrame) -> DataFrame:
-    """(conv_id, block, turn, h1, h2) once each."""
-    return t.groupBy(_ID, "block", "turn", "h1", "h2").agg(F.lit(1).alias("one")).drop("one")
+    """(conv_id, block, turn, cell, h1, h2) once each."""
+    return t.groupBy(*_KEYS, "h1", "h2").agg(F.lit(1).alias("one")).drop("one")
+
+
+def _bases(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """(s_ of ``keys``, n_before, before1, before2, n_all): turns and XORs before each
+    group of ``sums`` (keys, n, b1, b2) in its conversation, and the turns of all."""
+    outer, zero = keys[:-1], F.lit(0).cast("long")
+    earlier = Window.partitionBy(*outer).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    n, x1, x2 = (F.coalesce(f(c).over(earlier), zero) for f, c in ((F.sum, "n"), (F.bit_xor, "b1"), (F.bit_xor, "b2")))
+    own = [F.col(k).alias(f"s_{k}") for k in keys]
+    if len(outer) == 1:
+        later = Window.partitionBy(*outer).orderBy(F.desc(keys[-1])).rowsBetween(Window.unboundedPreceding, 0)
+        return sums.select(*own, n.alias("n_before"), x1.alias("before1"), x2.alias("before2"), (n + F.sum("n").over(later)).alias("n_all"))
+    above = _bases(sums.groupBy(*outer).agg(F.sum("n").alias("n"), F.bit_xor("b1").alias("b1"), F.bit_xor("b2").alias("b2")), outer)
+    here = sums.select(*keys, n.alias("n"), x1.alias("x1"), x2.alias("x2"))
+    return here.join(above, _same(outer)).select(*own, (F.col("n_before") + F.col("n")).alias("n_before"), F.col("before1").bitwiseXOR(F.col("x1")).alias("before1"),
+                                                 F.col("before2").bitwiseXOR(F.col("x2")).alias("before2"), "n_all")
+
+
+def _same(keys: list[str]) -> Column:
+    """Join condition of ``keys`` and their ``s_`` twins; only the conversation may be null."""
+    on = F.col(_ID).eqNullSafe(F.col(f"s_{_ID}"))
+    for k in keys[1:]:
+        on = on & (F.col(k) == F.col(f"s_{k}"))
+    return on
 
 
 def prefixes(t: DataFrame) -> DataFrame:
     """(conv_id, n, turn, p1, p2, last): the rolling hash after each of a conversation's n-th turns."""
     one = _distinct_hashes(t)
-    order = ("turn", "h1", "h2")
-    within = Window.partitionBy(_ID, "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = one.select(_ID, "block", *order, F.count("*").over(within).alias("n_in"), F.bit_xor("h1").over(within).alias("x1"), F.bit_xor("h2").over(within).alias("x2"))
-    sums = one.groupBy(_ID, "block").agg(F.count("*").alias("n"), F.bit_xor("h1").alias("b1"), F.bit_xor("h2").alias("b2"))
-    earlier = Window.partitionBy(_ID).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(_ID).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, 0)
-    zero = F.lit(0).cast("long")
-    base = sums.select(F.col(_ID).alias("s_id"), F.col("block").alias("s_block"), F.coalesce(F.sum("n").over(earlier), zero).alias("n_before"),
-                       F.coalesce(F.bit_xor("b1").over(earlier), zero).alias("before1"), F.coalesce(F.bit_xor("b2").over(earlier), zero).alias("before2"),
-                       F.sum("n").over(later).alias("n_from"))
-    joined = local.join(base, F.col(_ID).eqNullSafe(F.col("s_id")) & (F.col("block") == F.col("s_block")))
+    within = Window.partitionBy(*_KEYS).orderBy("h1", "h2").rowsBetween(Window.unboundedPreceding, 0)
+    local = one.select(*_KEYS, F.count("*").over(within).alias("n_in"), F.bit_xor("h1").over(within).alias("x1"), F.bit_xor("h2").over(within).alias("x2"))
+    sums = one.groupBy(*_KEYS).agg(F.count("*").alias("n"), F.bit_xor("h1").alias("b1"), F.bit_xor("h2").alias("b2"))
+    joined = local.join(_bases(sums, _KEYS), _same(_KEYS))
     return joined.select(_ID, (F.col("n_before") + F.col("n_in")).alias("n"), F.col("before1").bitwiseXOR(F.col("x1")).alias("p1"),
-                         F.col("before2").bitwiseXOR(F.col("x2")).alias("p2"), (F.col("n_in") == F.col("n_from")).alias("last"))
+                         F.col("before2").bitwiseXOR(F.col("x2")).alias("p2"), (F.col("n_before") + F.col("n_in") == F.col("n_all")).alias("last"))
 
 
 def maximal(t: DataFrame) -> DataFrame:
