@@ -72,3 +72,14 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, "some words of an item that is long enough to count")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_one_word_documents_stay(spark):
+    docs, _ = corpus()
+    words = sorted({(w, lang) for lang, some in VOCAB.items() for w in some})
+    # taught by ids outside the held-out fold, texts of many other words
+    rows = [(d, t, lang) for d, t, lang in docs if d is not None and d < 100] + [(1000 + k, f"{w.capitalize()}.", lang) for k, (w, lang) in enumerate(words)]
+    rows += [(2000, "Avec.", "fr"), (2001, "Qu!", "fr"), (2002, "Zygmj.", "en"), (2003, "...", "en")]
+    df = spark.createDataFrame([(d, t, lang, "s", len(t)) for d, t, lang in rows], DOCS)
+    kept = {r.doc_id for r in P.language_id(spark, df, "").collect()}
+    assert kept == {d for d, _, _ in rows} - {2003}

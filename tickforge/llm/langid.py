@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 DIMENSIONS = 512
 FOLDS = 5
-MIN_SCORE = 0.1
 MAX_LANGUAGES = 4096  # prototypes travel to every task: languages x dimensions floats
 SEED = 20_031
 _SYMBOLS = 256
@@ -205,10 +204,10 @@ def learn_held_out(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lan
 
 
 def accepted(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text",
-             dimensions: int = DIMENSIONS, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows whose language can be told: not ``und`` and a cosine of at least ``min_score``."""
+             dimensions: int = DIMENSIONS) -> DataFrame:
+    """The rows whose language can be told: all but ``und`` (short clean texts have low cosines too)."""
     plain = [f"__c{i}" for i in range(len(docs.columns))]
     named = docs.toDF(*plain)
     text = plain[docs.columns.index(text_col)]
     judged = identify(named, prototypes, text, dimensions, tuple(plain))
-    return judged.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*plain).toDF(*docs.columns)
+    return judged.filter(F.col("lang_pred") != UNDETERMINED).select(*plain).toDF(*docs.columns)
