@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import bpe, chat, decontaminate, langid, quality, secret_scan, simhash, toxicity, url_filter, warc
+from tickforge.llm import bpe, chat, decontaminate, langid, line_dedup, quality, secret_scan, simhash, toxicity, url_filter, warc
 from tickforge.llm.common import read_table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -71,9 +71,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.kept_lines(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_benchmark_decontamination, op3_url_filters, op4_quality_rules, op5_simhash_near_dedup,
-    op6_toxicity, op7_warc, op8_secret_scans, op9_bpe, op10_language_id)}
+    op6_toxicity, op7_warc, op8_secret_scans, op9_bpe, op10_language_id, op11_line_dedup)}
 
 _OP3 = f"""
 WITH rules(h, p, verdict) AS (VALUES {', '.join(str(tuple(r)) for r in URL_RULES)}),
@@ -119,4 +124,5 @@ ORACLES = {
     "op3_url_filters": _OP3,
     "op7_warc": warc.ORACLE,
     "op8_secret_scans": _op8(),
+    "op11_line_dedup": line_dedup.ORACLE,
 }
