@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import bpe, chat, decontaminate, langid, line_dedup, quality, secret_scan, simhash, toxicity, url_filter, warc
+from tickforge.llm import bpe, chat, decontaminate, langid, line_dedup, quality, resample, secret_scan, simhash, toxicity, url_filter, warc
 from tickforge.llm.common import read_table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -76,9 +76,15 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_benchmark_decontamination, op3_url_filters, op4_quality_rules, op5_simhash_near_dedup,
-    op6_toxicity, op7_warc, op8_secret_scans, op9_bpe, op10_language_id, op11_line_dedup)}
+    op6_toxicity, op7_warc, op8_secret_scans, op9_bpe, op10_language_id, op11_line_dedup,
+    op12_importance_resampling)}
 
 _OP3 = f"""
 WITH rules(h, p, verdict) AS (VALUES {', '.join(str(tuple(r)) for r in URL_RULES)}),
