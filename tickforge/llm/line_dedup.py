@@ -36,10 +36,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 STRIPPED = "".join(map(chr, SPACES))
 
 
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(STRIPPED)), UPPER, LOWER)
-
-
 def _hashes(what: Column) -> tuple[Column, Column]:
     return F.xxhash64(what), F.xxhash64(F.lit("second"), what)
 
@@ -54,9 +50,10 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _keyed(rows: DataFrame, columns: list[str], min_chars: int) -> DataFrame:
     """``columns`` and (pos, h1, h2) of every line whose key is long enough."""
     lines = rows.select(*columns, F.posexplode("lines").alias("pos", "line"))
-    keys = lines.withColumn("key", line_key(F.col("line"))).filter(F.char_length("key") >= min_chars)
-    h1, h2 = _hashes(F.col("key"))
-    return keys.select(*columns, "pos", h1.alias("h1"), h2.alias("h2"))
+    # lower-casing keeps the length, so short lines go before it
+    long = lines.withColumn("bare", F.btrim("line", F.lit(STRIPPED))).filter(F.char_length("bare") >= min_chars)
+    h1, h2 = _hashes(F.translate("bare", UPPER, LOWER))
+    return long.select(*columns, "pos", h1.alias("h1"), h2.alias("h2"))
 
 
 def repeated(rows: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
