@@ -131,4 +131,5 @@ ORACLES = {
     "op7_warc": warc.ORACLE,
     "op8_secret_scans": _op8(),
     "op11_line_dedup": line_dedup.ORACLE,
+    "op12_importance_resampling": resample.ORACLE,
 }

@@ -303,3 +303,33 @@ def drawn(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: s
     part = near.filter(F.col("wanted") < F.col("there")).withColumn("nth", F.row_number().over(Window.partitionBy("id", "t1", "t2").orderBy("id")))
     both = whole.withColumn("nth", F.lit(0)).unionByName(part.filter(F.col("nth") <= F.col("wanted")))
     return both.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+# CRC-32 by its table of 256 entries, made by the rule; then bucket sums, gains and ranks.
+ORACLE = f"""
+WITH crc AS (
+  SELECT list(list_reduce([CAST(b AS UBIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM range(256) AS r(b)),
+texts AS (
+  SELECT row_number() OVER () AS k, doc_id, "text" AS txt, true AS corpus FROM documents
+  UNION ALL SELECT -row_number() OVER (), NULL, "text", false FROM benchmark),
+w AS (SELECT k, corpus, regexp_extract_all(translate(coalesce(txt, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM texts),
+f AS (SELECT k, corpus, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS g FROM w),
+fc AS (SELECT k, corpus, g, count(*) AS n FROM f GROUP BY ALL),
+g AS (SELECT g, xor(list_reduce(list_concat([CAST(4294967295 AS UBIGINT)], list_transform(range(0, CAST(len(hex(encode(g))) / 2 AS BIGINT)),
+                lambda i: CAST('0x' || substr(hex(encode(g)), 2 * i + 1, 2) AS UBIGINT))),
+              lambda c, b: xor(c >> 8, t[CAST(xor(c & 255, b) AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) % {BUCKETS} AS bucket
+      FROM (SELECT DISTINCT g FROM fc), crc),
+b AS (SELECT bucket, coalesce(sum(n) FILTER (corpus), 0) AS s, coalesce(sum(n) FILTER (NOT corpus), 0) AS t FROM fc JOIN g USING (g) GROUP BY bucket),
+a AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM b),
+gain AS (SELECT bucket, CAST(floor({SCALE}::DOUBLE * ln(CAST(t + 1 AS DOUBLE) * CAST(s_all + {BUCKETS} AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(t_all + {BUCKETS} AS DOUBLE)))) AS BIGINT) AS gain FROM b, a),
+d AS (SELECT k, sum(n) AS n, sum(n * gain) AS total FROM fc JOIN g USING (g) JOIN gain USING (bucket) WHERE corpus GROUP BY k),
+r AS (SELECT k, doc_id, len(ws) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(floor(total / n), 0) AS BIGINT) AS weight,
+             CAST('0x' || substr(sha256('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+      FROM texts JOIN w USING (k) LEFT JOIN d USING (k) WHERE texts.corpus),
+s AS (SELECT *, weight + CAST(floor(-{SCALE}::DOUBLE * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM r),
+p AS (SELECT *, row_number() OVER (PARTITION BY n_words >= {MIN_WORDS} ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS nth,
+             count(*) OVER (PARTITION BY n_words >= {MIN_WORDS}) AS able FROM s)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= {MIN_WORDS} AND nth <= {PERCENT} * able // 100 THEN nth END AS rank FROM p
+"""
