@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import bpe, chat, decontaminate, langid, line_dedup, quality, resample, secret_scan, simhash, toxicity, url_filter, warc
+from tickforge.llm import bpe, chat, conversation_repair, decontaminate, langid, line_dedup, quality, resample, secret_scan, simhash, toxicity, url_filter, warc
 from tickforge.llm.common import read_table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -81,10 +81,21 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations")
+    repair = conversation_repair.Repair(conversation_repair.damaged(given), F.col("copies"))
+    every = given.select(F.col("conv_id").alias("c")).distinct()
+    told = repair.report()
+    said = conversation_repair.digests(repair.turns()).withColumnRenamed("conv_id", "d")
+    whole = (every.join(told, F.col("c").eqNullSafe(F.col("conv_id")), "left").join(said, F.col("c").eqNullSafe(F.col("d")), "left"))
+    zero = [F.coalesce(x, F.lit(0)).cast("long").alias(x) for x in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return whole.select(F.col("c").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_benchmark_decontamination, op3_url_filters, op4_quality_rules, op5_simhash_near_dedup,
     op6_toxicity, op7_warc, op8_secret_scans, op9_bpe, op10_language_id, op11_line_dedup,
-    op12_importance_resampling)}
+    op12_importance_resampling, op13_conversation_repair)}
 
 _OP3 = f"""
 WITH rules(h, p, verdict) AS (VALUES {', '.join(str(tuple(r)) for r in URL_RULES)}),
