@@ -305,3 +305,53 @@ def digests(turns: DataFrame) -> DataFrame:
 
     by = turns.repartition("conv_id").sortWithinPartitions("conv_id", "pos", "nth").select("conv_id", "role", "text")
     return by.mapInArrow(work, f"conv_id {turns.schema['conv_id'].dataType.simpleString()}, sha256 string")
+
+
+# The same by a finite automaton and a recursive query, a row of every conversation at a time.
+ORACLE = f"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([CAST(b AS UBIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM range(256) AS r(b)),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce("text", ' ') AS txt,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT k.*, xor(list_reduce(list_concat([CAST(4294967295 AS UBIGINT)], list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(substr(key, i, 1)) AS UBIGINT))),
+                 lambda c, b: xor(c >> 8, t[CAST(xor(c & 255, b) AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) % 20 AS way FROM k, crc),
+d AS (SELECT conv_id, turn, CASE WHEN way = 4 THEN 'user' ELSE role END AS role,
+             CASE way WHEN 1 THEN '' WHEN 2 THEN regexp_replace(txt, '[.!?]', '', 'g') ELSE txt END AS txt, unnest(range(CASE WHEN way = 3 THEN 2 ELSE 1 END)) AS copy
+      FROM h WHERE way <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, txt) AS n,
+             trim(txt, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM d),
+f AS (SELECT *, CASE WHEN bare = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, txt ORDER BY n) > 1 THEN 'd'
+                     WHEN right(bare, 1) IN ('.', '!', '?') THEN 'o' ELSE 't' END AS fault,
+             left(role, 1) AS kind, lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS after FROM o),
+go(q, x, p) AS (VALUES ('0', 's', '1'), ('0', 'u', '2'), ('1', 'u', '2'), ('2', 'a', '3'), ('3', 'u', '2')),
+i0 AS (SELECT DISTINCT q, q AS p, 0 AS cost, '' AS audit, '' AS roles FROM go),
+i1 AS (SELECT i0.q, go.p, {G.INSERT} AS cost, 'I' AS audit, x AS roles FROM i0 JOIN go ON i0.p = go.q WHERE x <> 's'),
+ins AS (FROM i0 UNION ALL FROM i1 UNION ALL
+        SELECT i1.q, go.p, {2 * G.INSERT}, 'II', roles || x FROM i1 JOIN go ON i1.p = go.q WHERE x <> 's'),
+every AS (SELECT DISTINCT conv_id FROM conversations),
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, '0' AS q, {{'c': 0, 'a': '', 'r': ''}} AS w FROM every
+  UNION ALL
+  SELECT walk.conv_id, walk.n + 1, e.p, min({{'c': w.c + e.cost, 'a': w.a || e.audit, 'r': w.r || e.roles}})
+  FROM walk JOIN f ON walk.conv_id IS NOT DISTINCT FROM f.conv_id AND f.n = walk.n + 1
+  JOIN (SELECT q, p, cost + {G.DELETE} AS cost, audit || 'D' AS audit, roles, NULL AS kind, 0 AS stays FROM ins
+        UNION ALL SELECT ins.q, go.p, cost + {G.KEEP}, audit || 'K', roles || x, x, 1 FROM ins JOIN go ON ins.p = go.q
+        UNION ALL SELECT ins.q, go.p, cost + {G.REROLE}, audit || 'R', roles || x, NULL, 1 FROM ins JOIN go ON ins.p = go.q WHERE x <> 's') AS way ON way.q = walk.q
+       AND (way.kind IS NULL OR way.kind = f.kind) AND (way.stays = 0 OR f.fault IN ('o', 't')),
+       LATERAL (SELECT way.p AS p, way.cost + CASE WHEN way.stays = 1 AND f.fault = 't' THEN {G.TRUNCATED} ELSE 0 END AS cost, way.audit AS audit, way.roles AS roles) AS e
+  GROUP BY walk.conv_id, walk.n, e.p),
+z AS (SELECT every.conv_id, count(n) AS rows FROM every LEFT JOIN f ON every.conv_id IS NOT DISTINCT FROM f.conv_id GROUP BY every.conv_id),
+best AS (SELECT walk.conv_id, min({{'c': w.c + ins.cost, 'a': w.a || ins.audit, 'r': w.r || ins.roles}}) AS w
+         FROM walk JOIN z ON walk.conv_id IS NOT DISTINCT FROM z.conv_id AND walk.n = z.rows JOIN ins ON walk.q = ins.q AND ins.p IN ('0', '3') GROUP BY walk.conv_id),
+e AS (SELECT conv_id, w.a AS a, w.r AS r, unnest(range(1, length(w.a) + 1)) AS i FROM best),
+l AS (SELECT e.conv_id, i, CASE WHEN substr(a, i, 1) = 'K' THEN f.role ELSE CASE substr(r, length(replace(substr(a, 1, i), 'D', '')), 1) WHEN 'u' THEN 'user' ELSE 'assistant' END END
+             || ':' || CASE WHEN substr(a, i, 1) = 'I' THEN '' ELSE f.txt END AS line
+      FROM e LEFT JOIN f ON e.conv_id IS NOT DISTINCT FROM f.conv_id AND f.n = length(replace(substr(a, 1, i), 'I', '')) WHERE substr(a, i, 1) <> 'D'),
+s AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY i)) AS h FROM l GROUP BY conv_id),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+             count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (after IS NOT NULL AND kind || after NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT best.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(w.c AS BIGINT) AS cost, w.a AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM best LEFT JOIN c ON best.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN s ON best.conv_id IS NOT DISTINCT FROM s.conv_id
+"""

@@ -143,4 +143,5 @@ ORACLES = {
     "op8_secret_scans": _op8(),
     "op11_line_dedup": line_dedup.ORACLE,
     "op12_importance_resampling": resample.ORACLE,
+    "op13_conversation_repair": conversation_repair.ORACLE,
 }
