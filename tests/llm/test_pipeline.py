@@ -10,6 +10,7 @@ from llm_data import DOCS
 from tokenizers import Tokenizer
 
 from tickforge.llm import decontaminate as D
+from tickforge.llm import simhash
 from tickforge.llm.common import WordHasher
 
 VOCAB = {"en": ["the", "and", "of", "with", "this", "thing", "house", "weather", "going"], "fr": ["le", "et", "dans", "être", "chose", "maison", "temps", "allé"],
@@ -83,3 +84,16 @@ def test_one_word_documents_stay(spark):
     df = spark.createDataFrame([(d, t, lang, "s", len(t)) for d, t, lang in rows], DOCS)
     kept = {r.doc_id for r in P.language_id(spark, df, "").collect()}
     assert kept == {d for d, _, _ in rows} - {2003}
+
+
+def test_columns_of_any_name_stay(spark):
+    docs, items = corpus()
+    odd = "own_hash string, kept_id string, bad_hash string, text_hash string, __own_hash string, c0 string, `a.b` string"
+    names = ["own_hash", "kept_id", "bad_hash", "text_hash", "__own_hash", "c0", "a.b"]
+    df = spark.createDataFrame([(d, t, *names) for d, t, _ in docs], f"doc_id long, text string, {odd}")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for stage, n in ((simhash.keep_one_per_group(df), None), (D.clean(df, bench), len(docs) - 6)):
+        assert stage.columns == df.columns
+        rows = stage.collect()
+        assert n is None or len(rows) == n
+        assert rows and all(list(r)[2:] == names for r in rows)

@@ -97,3 +97,40 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, n_chars long")
     assert S.scan_versions(df, S.BlobLedger(spark)).count() == 0
     assert S.redacted(df, S.BlobLedger(spark)).count() == 0
+
+
+def test_private_keys_by_both_patterns(spark):
+    import random
+    rnd = random.Random(6)
+    texts = ["-----BEGIN " + "".join(rnd.choice(["A ", "RSA ", " ", "PRIVATE KEY", "PRIVATE KEY-----", "PRIVATE ", "-", "b"]) for _ in range(rnd.randint(0, 5))) for _ in range(3000)]
+    texts = ["\n".join(texts[i:i + 3]) for i in range(0, 3000, 3)]
+    got = S.scan_versions(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), S.BlobLedger(spark)).collect()
+    assert sum(len(r.found or []) for r in got) > 300
+    for r in got:
+        assert [tuple(f) for f in r.found or []] == slow(texts[r.doc_id])
+
+
+def test_very_long_texts_do_not_overflow_a_stack(spark):
+    texts = ["-----BEGIN " + "A " * 1_000_000 + "PRIVATE KEY-----", "-----BEGIN " + "A " * 1_000_000, "api_key" * 300_000, "é token=abcdefgh12 ü" * 100_000]
+    df = spark.createDataFrame([(i, t, 0, "c", "b", "o") for i, t in enumerate(texts)], "doc_id long, text string, n_chars long, __cuts string, blob string, own_blob string")
+    got = {r.doc_id: r for r in S.redacted(df, S.BlobLedger(spark)).collect()}
+    assert got[0].text == "[SECRET]" and got[1].text == texts[1] and got[2].text == texts[2]
+    assert got[3].text == "é [SECRET] ü" * 100_000 and got[3].n_chars == len(got[3].text)
+    assert all((r["__cuts"], r.blob, r.own_blob) == ("c", "b", "o") for r in got.values())
+
+
+def test_a_blob_scanned_twice_counts_once(spark):
+    ledger = S.BlobLedger(spark)
+    df = rows(spark)
+    ledger.scan(df)
+    ledger.table().coalesce(1).write.parquet(f"{ledger.folder}/batch-again")
+    for r in S.scan_versions(df, ledger).collect():
+        assert [tuple(f) for f in r.found or []] == slow(TEXTS[5 if r.doc_id is None else r.doc_id])
+
+
+def test_rules_that_repeat_a_group_are_refused():
+    import pytest
+    for pattern in ("(ab)*", "(?:a|b)+x", "(a){2}"):
+        with pytest.raises(ValueError):
+            S.Rule("x", 1, pattern)
+    S.Rule("x", 1, r"\(a\)*(b|c)?[)]+")

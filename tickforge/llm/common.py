@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickforge.session import checkpoint_dir
 from tickforge.sources.tables import read_table
 
-__all__ = ["read_table", "run_folder", "written", "byte_slices", "distinct", "WordHasher", "SPACES"]
+__all__ = ["read_table", "run_folder", "written", "numbered", "byte_slices", "distinct", "WordHasher", "SPACES"]
 
 MOST_TEXTS = 4096  # hashed together
 # The white space of the word pattern [^\x20\x09-\x0D]+.
@@ -34,6 +34,12 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named c0, c1, .. (no other name can clash with them), and the new name of each."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names))
+
+
 def byte_slices(col: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column of about ``limit`` bytes each (a longer
     single text makes a range of its own), which bounds the numpy temporaries."""

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import WordHasher, byte_slices, distinct, run_folder, written
+from tickforge.llm.common import WordHasher, byte_slices, distinct, numbered, run_folder, written
 
 TERMS = 1 << 16
 RANK = 32
@@ -436,7 +436,8 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
 
 def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The documents without a leaked benchmark item."""
-    bad = (leaks(docs, bench, id_col, text_col, **kw).select(F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct())
-    marked = docs.withColumn("__own_hash", F.xxhash64(F.col(text_col)))
-    return (marked.join(bad, marked[id_col].eqNullSafe(bad["__bad_id"]) & (marked["__own_hash"] == bad["__bad_hash"]), "left_anti")
-            .select(*[f"`{c}`" for c in docs.columns]))
+    bad = leaks(docs, bench, id_col, text_col, **kw).select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    plain, name = numbered(docs)
+    own = F.col(name[id_col])
+    rest = plain.withColumn("own_hash", F.xxhash64(name[text_col])).join(bad, own.eqNullSafe(F.col("bad_id")) & (F.col("own_hash") == F.col("bad_hash")), "left_anti")
+    return rest.select(*[F.col(name[c]).alias(c) for c in docs.columns])

@@ -9,7 +9,12 @@ versions that carry the blob.
 
 Offsets come from splitting a text at a rule's matches: a match starts where
 the pieces and matches before it end.  The pieces' lengths become rows and a
-running sum, so the work is linear in the number of matches.
+running sum, so the work is linear in the number of matches.  ``redacted`` cuts
+the text's bytes at the same sums taken over bytes, which is linear too.
+
+Java matches a repeated group by recursion, a frame or more per repetition, so
+a rule must have none: a text could otherwise overflow an executor's stack.
+Alternatives and single characters or classes may repeat.
 
 Defined results: null text is the empty blob; a row without findings has zero
 counts and the digest of the empty string; repeated rows each get their row;
@@ -19,6 +24,7 @@ all columns of its input, a null text stays null.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 from functools import reduce
@@ -26,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import run_folder
+from tickforge.llm.common import numbered, run_folder
 
 
 @dataclass(frozen=True)
@@ -39,6 +45,10 @@ class Rule:
     group: int = 0
     least: int = 0
 
+    def __post_init__(self):
+        if re.search(r"(?<!\\)\)(?:[*+]|\{)", self.pattern):
+            raise ValueError(f"rule {self.kind} repeats a group")
+
     @property
     def key(self) -> str:
         return f"{self.kind}@{self.version}"
@@ -54,11 +64,13 @@ BASE_RULES = (
 # Further kinds that the scan adds.
 MORE_RULES = (
     Rule("hosting", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("private_key", 1, r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    # words and single spaces between; the SQL twin says it by a repeated group
+    Rule("private_key", 1, r"-----BEGIN (?! )(?![A-Z ]*  )[A-Z ]*(?<= )PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + MORE_RULES
 
-LEDGER_SCHEMA = "blob string, rules array<string>, hits array<struct<rule:string,n:int,gap:int,len:int,good:boolean>>"
+_HITS = "array<struct<rule:string,n:int,gap:int,len:int,gap_bytes:int,len_bytes:int,good:boolean>>"
+LEDGER_SCHEMA = f"blob string, rules array<string>, hits {_HITS}"
 
 
 def blob_id(text: Column) -> Column:
@@ -66,7 +78,7 @@ def blob_id(text: Column) -> Column:
 
 
 def _hits(text: Column, rule: Rule) -> Column:
-    """All matches of one rule: ordinal, characters since the last match, length, and if it counts."""
+    """All matches of one rule: ordinal, characters and bytes since the last match and of it, and if it counts."""
     p = F.lit(rule.pattern)
     found = [F.split(text, rule.pattern, -1), F.regexp_extract_all(text, p, F.lit(0))]
     if rule.group:
@@ -74,7 +86,7 @@ def _hits(text: Column, rule: Rule) -> Column:
 
     def one(z: Column, i: Column) -> Column:
         return F.struct(F.lit(rule.key).alias("rule"), i.cast("int").alias("n"), F.char_length(z.getField("0")).alias("gap"),
-                        F.char_length(z.getField("1")).alias("len"),
+                        F.char_length(z.getField("1")).alias("len"), F.octet_length(z.getField("0")).alias("gap_bytes"), F.octet_length(z.getField("1")).alias("len_bytes"),
                         (F.char_length(z.getField("2" if rule.group else "1")) >= rule.least).alias("good"))
 
     every = F.transform(F.arrays_zip(*found), one)
@@ -110,21 +122,23 @@ class BlobLedger:
             blobs = blobs.withColumn("seen", F.lit(None).cast("array<string>"))
         wanted = F.array(*[F.lit(r.key) for r in rules])
         todo = blobs.select("blob", "text", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))).alias("rules")).filter(F.size("rules") > 0)
-        nothing = F.array().cast("array<struct<rule:string,n:int,gap:int,len:int,good:boolean>>")
+        nothing = F.array().cast(_HITS)
         hits = F.concat(*[F.coalesce(F.when(F.array_contains("rules", r.key), _hits(F.col("text"), r)), nothing) for r in rules])
         todo.select("blob", "rules", hits.alias("hits")).write.parquet(f"{self.folder}/batch-{uuid.uuid4().hex}")
 
     def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-        """(blob, rule_no, kind, start, end) of the given rule versions; code points, end exclusive."""
+        """(blob, rule_no, kind, start, end, first_byte, end_byte) of the given rule versions;
+        code points and bytes, ends exclusive.  A blob that the ledger holds twice counts once."""
         keys = [r.key for r in rules]
         hit = (self.table().filter(F.size("hits") > 0).select("blob", F.explode("hits").alias("h"))
-               .select("blob", "h.*").filter(F.col("rule").isin(keys)))
+               .select("blob", "h.*").filter(F.col("rule").isin(keys)).repartition("blob", "rule").dropDuplicates(["blob", "rule", "n"]))
         so_far = Window.partitionBy("blob", "rule").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
         number = reduce(lambda c, x: c.when(F.col("rule") == x[1].key, x[0]), enumerate(rules), F.when(F.lit(False), -1))
         kind = F.regexp_replace("rule", "@.*", "")
-        placed = hit.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("len")).over(so_far))
-        return placed.filter("good").select("blob", number.alias("rule_no"), kind.alias("kind"),
-                                            (F.col("end") - F.col("len")).alias("start"), "end")
+        placed = (hit.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("len")).over(so_far))
+                  .withColumn("end_byte", F.sum(F.col("gap_bytes").cast("long") + F.col("len_bytes")).over(so_far)))
+        return placed.filter("good").select("blob", number.alias("rule_no"), kind.alias("kind"), (F.col("end") - F.col("len")).alias("start"), "end",
+                                            (F.col("end_byte") - F.col("len_bytes")).alias("first_byte"), "end_byte")
 
 
 def scan_versions(versions: DataFrame, ledger: BlobLedger, text_col: str = "text", columns: tuple[str, ...] = ("doc_id",),
@@ -155,21 +169,22 @@ def redacted(docs: DataFrame, ledger: BlobLedger, text_col: str = "text", chars_
     ledger.scan(docs, text_col, rules)
     before = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
-    islands = (ledger.findings(rules).select("blob", "start", "end")
+    islands = (ledger.findings(rules).select("blob", "start", "end", "first_byte", "end_byte")
                .withColumn("new", (F.col("start") > F.coalesce(F.max("end").over(before), F.lit(-1))).cast("int"))
                .withColumn("island", F.sum("new").over(upto))
-               .groupBy("blob", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-               .groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
-               .withColumnRenamed("blob", "__cut_blob"))
-    cols = docs.columns
-    joined = docs.withColumn("__blob", blob_id(F.col(text_col))).join(islands, F.col("__blob") == F.col("__cut_blob"), "left")
-    text, cuts = F.col(text_col), F.col("__cuts")
-    # the part between two findings, then a mark; the tail after the last one
-    parts = F.transform(cuts, lambda c, i: F.concat(
-        F.substring(text, F.coalesce(F.get(cuts, i - 1)["end"], F.lit(0)).cast("int") + 1,
-                    (c["start"] - F.coalesce(F.get(cuts, i - 1)["end"], F.lit(0))).cast("int")), F.lit("[SECRET]")))
-    tail = F.substring(text, F.element_at(cuts, -1)["end"].cast("int") + 1, F.char_length(text))
-    out = joined.withColumn(text_col, F.when(cuts.isNull() | text.isNull(), text).otherwise(F.concat(F.array_join(parts, ""), tail)))
-    if chars_col in cols:
-        out = out.withColumn(chars_col, F.when(cuts.isNull(), F.col(chars_col)).otherwise(F.char_length(text_col).cast(docs.schema[chars_col].dataType)))
-    return out.select(*[f"`{c}`" for c in cols])
+               .groupBy("blob", "island").agg(F.min("first_byte").alias("start"), F.max("end_byte").alias("end"))
+               .groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")))
+    plain, name = numbered(docs)
+    own = name[text_col]
+    joined = plain.withColumn("own_blob", blob_id(F.col(own))).join(islands, F.col("own_blob") == F.col("blob"), "left")
+    text, cuts = F.col(own), F.col("cuts")
+    raw = text.cast("binary")
+    # the bytes between two findings, then a mark; the tail after the last one
+    last = lambda i: F.coalesce(F.get(cuts, i - 1)["end"], F.lit(0)).cast("int")
+    parts = F.transform(cuts, lambda c, i: F.concat(F.substring(raw, last(i) + 1, (c["start"] - last(i)).cast("int")).cast("string"), F.lit("[SECRET]")))
+    tail = F.substring(raw, F.element_at(cuts, -1)["end"].cast("int") + 1, F.octet_length(text)).cast("string")
+    out = joined.withColumn(own, F.when(cuts.isNull() | text.isNull(), text).otherwise(F.concat(F.array_join(parts, ""), tail)))
+    if chars_col in docs.columns:
+        chars = name[chars_col]
+        out = out.withColumn(chars, F.when(cuts.isNull(), F.col(chars)).otherwise(F.char_length(own).cast(docs.schema[chars_col].dataType)))
+    return out.select(*[F.col(name[c]).alias(c) for c in docs.columns])

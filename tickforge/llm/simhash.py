@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import run_folder, written
+from tickforge.llm.common import numbered, run_folder, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -292,7 +292,8 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least doc_id (null ids last), ties by the least text hash."""
     found = near_duplicates(docs, id_col, text_col, shingle_words, max_bits)
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k"))
-    kept = best.select(F.col("k.doc_id").alias("__kept_id"), F.col("k.text_hash").alias("__kept_hash"))
-    marked = docs.withColumn("__own_hash", F.xxhash64(F.col(text_col)))
-    joined = marked.join(kept, marked[id_col].eqNullSafe(kept["__kept_id"]) & (marked["__own_hash"] == kept["__kept_hash"]))
-    return joined.dropDuplicates([id_col, "__own_hash"]).select(*[f"`{c}`" for c in docs.columns])
+    kept = best.select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"))
+    plain, name = numbered(docs)
+    own, text = F.col(name[id_col]), F.col(name[text_col])
+    joined = plain.withColumn("own_hash", F.xxhash64(text)).join(kept, own.eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash")))
+    return joined.dropDuplicates([name[id_col], "own_hash"]).select(*[F.col(name[c]).alias(c) for c in docs.columns])
