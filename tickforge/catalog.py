@@ -548,8 +548,36 @@ def q_stream_price_change(spark, sf_dir):
                       F.round("price_change", 6).alias("price_change"))
 
 
+def _with_rocksdb(spark, run):
+    """``run()`` with the RocksDB state store, which keyed state needs."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return run()
+    finally:
+        spark.conf.set(key, old)
+
+
 @query("stream_indicators")
 def q_stream_indicators(spark, sf_dir):
+    """Indicators from the bounded ring of prices per symbol in the state store."""
+    from .streaming import keyed, streams
+    cols = ["current_price", *ind.FEATURE_COLUMNS]
+    out = _with_rocksdb(spark, lambda: streams.drain(keyed.indicator_stream(_tick_stream(spark, sf_dir)), "indicators"))
+    return rounded(out.select("symbol", "ts", "event_id", "tick_number", *cols), cols)
+
+
+@query("stream_price_change_keyed")
+def q_stream_price_change_keyed(spark, sf_dir):
+    from .streaming import keyed, streams
+    out = _with_rocksdb(spark, lambda: streams.drain(keyed.price_change_stream(_tick_stream(spark, sf_dir)), "price-change"))
+    return rounded(out.select("symbol", "ts", "event_id", "price", "price_change"), ["price", "price_change"])
+
+
+@query("stream_indicators_chunked")
+def q_stream_indicators_chunked(spark, sf_dir):
+    """The same through a state table and the batch operator, for symbols too hot for one task."""
     from .streaming import streams
     s = _tick_stream(spark, sf_dir)
     cols = ["current_price", *ind.FEATURE_COLUMNS]

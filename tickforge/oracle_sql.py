@@ -617,7 +617,8 @@ SELECT symbol, ts, event_id, round(price, 6) AS price,
 FROM ticks WHERE price IS NOT NULL AND symbol IS NOT NULL
 """
 
-ORACLES["stream_indicators"] = ORACLES["indicators_full"]
+ORACLES["stream_indicators"] = ORACLES["stream_indicators_chunked"] = ORACLES["indicators_full"]
+ORACLES["stream_price_change_keyed"] = ORACLES["stream_price_change"]
 
 ORACLES["stream_predictions_table"] = f"""
 WITH {TICKS_CTE},

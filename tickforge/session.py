@@ -94,3 +94,9 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this library has written, if it exists."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

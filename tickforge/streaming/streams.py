@@ -2,6 +2,8 @@
 
 * Row-level features and stand-in signals are the batch expressions on a
   stream: no state, no shuffle.
+* ``keyed`` (own module): indicators and price changes from a bounded ring of
+  prices per symbol in the state store.
 * ``run_with_history``: series operators on a stream.  Each micro-batch is
   joined by the newest rows of every key that earlier batches left in a state
   table, and goes through the *batch* operator (windows, chunked for hot keys,
@@ -30,7 +32,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.indicators import HISTORY, newest, with_indicators
 from ..plans.sequence import REAL, sequence
-from ..session import list_folder, path_kind, scratch_path
+from ..session import list_folder, path_kind, remove_folder, scratch_path
 from ..sources.files import kafka_sink_options, to_wire
 
 MAX_BATCH_BYTES = 1 << 30
@@ -82,14 +84,15 @@ OWN = "own"
 
 
 def run_with_history(stream: DataFrame, name: str, rows: int, compute, keys=("symbol",), order=("ts", "event_id"),
-                     checkpoint: str | None = None, table: str | None = None, state: str | None = None):
+                     checkpoint: str | None = None, table: str | None = None, state: str | None = None, processing_time: str | None = None):
     """Start ``compute`` over a stream with ``rows`` rows of history per key;
     returns (query, table path).
 
     ``compute(frame, keys, order)`` gets the batch's rows (``own`` true) and the
     history before them (``own`` false, first in order) and returns columns of
     the batch operator with ``own`` kept; a ``tick_number`` it gives is counted
-    within that frame and moved on by the rows seen before.
+    within that frame and moved on by the rows seen before.  The stream drains and
+    stops, or goes on every ``processing_time``.
     """
     spark = stream.sparkSession
     run = uuid.uuid4().hex
@@ -122,9 +125,16 @@ def run_with_history(stream: DataFrame, name: str, rows: int, compute, keys=("sy
             counts = counts.join(old, keys, "full").select(*keys, (F.coalesce("_new", F.lit(0)) + F.coalesce(STATE_SEEN, F.lit(0))).alias("_new"))
         held = newest(frame, rows, keys, in_order).join(counts.withColumnRenamed("_new", STATE_SEEN), keys)
         held.select(*fields, STATE_SEEN).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        for i in ids:  # a replay of this batch or the next one reads no older state
+            if before is not None and i < before:
+                remove_folder(s, f"{state}/batch_id={i}")
 
-    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    return q, table
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(w, processing_time).start(), table
+
+
+def _trigger(writer, processing_time: str | None):
+    return writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
 
 
 def indicators_of(frame: DataFrame, keys: list, order: list) -> DataFrame:
@@ -156,19 +166,16 @@ def table_sink(path: str, partition_by: list | None = None):
     return write
 
 
-def run_to_table(stream: DataFrame, name: str, checkpoint: str | None = None,
-                 partition_by: list | None = None, available_now: bool = True,
-                 processing_time: str | None = None):
-    """Start a stream into a parquet table under the shared checkpoint folder;
-    returns (query, table_path).  ``available_now`` drains and stops."""
+def run_to_table(stream: DataFrame, name: str, checkpoint: str | None = None, partition_by: list | None = None,
+                 processing_time: str | None = None, table: str | None = None):
+    """Start a stream into a parquet table (by default under the shared checkpoint
+    folder); returns (query, table path).  It drains what is available and stops,
+    or goes on every ``processing_time``."""
     spark = stream.sparkSession
     run = uuid.uuid4().hex[:12]
-    table = scratch_path(spark, f"tables/{name}-{run}")
-    ckpt = checkpoint or scratch_path(spark, f"streams/{name}-{run}")
-    w = stream.writeStream.foreachBatch(table_sink(table, partition_by)).option("checkpointLocation", ckpt)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "2 seconds")
-    q = w.start()
-    return q, table
+    table = table or scratch_path(spark, f"tables/{name}-{run}")
+    w = stream.writeStream.foreachBatch(table_sink(table, partition_by)).option("checkpointLocation", checkpoint or scratch_path(spark, f"streams/{name}-{run}"))
+    return _trigger(w, processing_time).start(), table
 
 
 def read_out(stream: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:
