@@ -104,20 +104,26 @@ def test_state_is_a_ring_per_symbol(spark, source, tmp_path):
 def test_idle_state_expires(spark, source, tmp_path):
     import time
     root, schema, src = source
-    ckpt = str(tmp_path / "ckpt")
-
-    def run():
-        q, table = streams.run_to_table(keyed.price_change_stream(opened(spark, schema, src), idle_ms=1000), "idle", checkpoint=ckpt)
-        q.awaitTermination()
-        return streams.read_out(opened(spark, schema, src), table)
-
     _place(root, src, range(1))
-    run()
-    time.sleep(1.5)
-    _place(root, src, range(1, 2))
-    got = run()
-    firsts = got.groupBy("symbol").agg(F.min_by("price_change", F.struct("ts", "event_id")).alias("c")).collect()
-    assert firsts and all(r.c == 0.0 for r in firsts)  # nothing is remembered from the first run
+    q, table = streams.run_to_table(keyed.price_change_stream(opened(spark, schema, src), idle_ms=1000), "idle",
+                                    checkpoint=str(tmp_path / "ckpt"), processing_time="100 milliseconds")
+    try:
+        def wait(n):
+            until = time.time() + 60
+            while time.time() < until and sum(p["numInputRows"] for p in q.recentProgress) < n:
+                time.sleep(0.2)
+
+        first = spark.read.parquet(str(src)).count()
+        wait(first)
+        time.sleep(1.5)
+        _place(root, src, range(1, 2))
+        wait(spark.read.parquet(str(src)).count())
+    finally:
+        q.stop()
+    later = spark.read.parquet(table)
+    later = later.filter(F.col("batch_id") > later.filter("price_change = 0").agg(F.min("batch_id")).first()[0])
+    firsts = later.groupBy("symbol").agg(F.min_by("price_change", F.struct("ts", "event_id")).alias("c")).collect()
+    assert firsts and all(r.c == 0.0 for r in firsts)  # nothing is remembered of the first file
 
 
 def test_arrays_on_odd_prices():

@@ -6,7 +6,8 @@ micro-batch reads and writes that one value per symbol it touches, so the state
 is bounded by symbols x 100 prices and its cost by the batch, not by all keys
 (the state table of ``streams.run_with_history`` is the form for symbols too hot
 for one task per micro-batch).  An idle time in milliseconds lets the state of
-symbols without ticks expire.
+symbols without ticks expire; such a stream looks at the clock for ever, so it
+needs a trigger by time and does not end by draining.
 
 The indicators of a batch's rows are array expressions over their 100 newest
 prices (a sliding view); EMA and MACD, which are linear in these, are products
