@@ -72,31 +72,6 @@ def test_models_fit_and_roundtrip(spark, tmp_path):
     assert 0.0 <= acc["accuracy"] <= 1.0
 
 
-def test_model_labels_and_backtest_of_all_signals(spark, monkeypatch):
-    from conftest import SF001
-    from pyspark.sql import functions as F
-
-    from tickforge import catalog as c
-    from tickforge.functions import signals as sg
-    monkeypatch.setattr(c.ml.gated_model_labels, "__defaults__", (3, 0.8, ("symbol",), ("ts", "event_id")))
-    got = c.QUERIES["model_prediction_records"](spark, SF001).cache()
-    plain = c.QUERIES["prediction_records"](spark, SF001)
-    same = [x for x in plain.columns if x not in sg.MODEL_SIGNALS]
-    assert got.columns == plain.columns or set(got.columns) == set(plain.columns)
-    assert sorted(got.select("event_id", "RSI_Rule", "BB_Rule").collect()) == sorted(plain.select("event_id", "RSI_Rule", "BB_Rule").collect())
-    assert len(same) == len(plain.columns) - 4
-    for name in ("RandomForest", "XGBoost", "AdaBoost"):
-        first = got.filter(F.col(name) != "TRAINING").agg(F.min("ts")).first()[0]
-        assert got.filter((F.col("ts") < F.lit(first)) & (F.col(name) != "TRAINING")).count() == 0
-        assert {r[0] for r in got.filter(F.col("ts") >= F.lit(first)).select(name).distinct().collect()} <= {"UP", "DOWN"}
-        later = got.filter(F.col(name) != "TRAINING").count() / got.count()
-        assert 0.15 < later < 0.25
-    got.unpersist()
-    m = {(r.symbol, r.signal): r.final_value for r in c.QUERIES["backtest_all_signals"](spark, SF001).collect()}
-    rules = {(r.symbol, r.signal): r.final_value for r in c.QUERIES["backtest_metrics"](spark, SF001).collect()}
-    assert {k[1] for k in m} == {*sg.MODEL_SIGNALS, *sg.RULE_SIGNALS} and all(m[k] == v for k, v in rules.items())
-
-
 def test_adaboost_saved_and_loaded_votes_alike(spark, tmp_path):
     rows = [(float(i % 17), float(i % 5), int((i % 17 > 8) ^ (i % 5 == 0))) for i in range(300)]
     df = spark.createDataFrame(rows, "a double, b double, label int")

@@ -19,7 +19,7 @@ from .operators import backtest as bt
 from .operators import indicators as ind
 from .operators import learning as ml
 from .operators import reshape, serving
-from .plans.sequence import CHUNK, ORD, order_number
+from .plans.sequence import CHUNK, ORD
 from .session import scratch_path
 from .sources import files, tables
 
@@ -433,7 +433,10 @@ def q_signal_classification_report(spark, sf_dir):
 
 # ------------------------------------------------------------------ models
 def _offline(spark, sf_dir):
-    f = ml.offline_frame(ticks(spark, sf_dir))
+    """Train and test rows, written once: every fit and evaluation reads them again."""
+    path = scratch_path(spark, f"offline-{uuid.uuid4().hex}")
+    ml.offline_frame(ticks(spark, sf_dir)).select("symbol", "ts", "event_id", "label", "split", *ml.OFFLINE_FEATURES).write.parquet(path)
+    f = spark.read.parquet(path)
     return f.filter(F.col("split") == "train"), f.filter(F.col("split") == "test")
 
 
@@ -447,6 +450,8 @@ def _model_query(name):
         train, test = _offline(spark, sf_dir)
         if name == "AdaBoost":
             model = ml.fit_adaboost(train, ml.OFFLINE_FEATURES, rounds=ml.ADABOOST_ROUNDS_OFFLINE)
+        elif name == "XGBoost":
+            model = ml.trees.fit_boosting(train, ml.OFFLINE_FEATURES)
         else:
             est = ml.estimators(train.count())[name]
             model = ml.fit_pipeline(train, ml.OFFLINE_FEATURES, est)
@@ -502,11 +507,11 @@ def q_retrain_per_symbol(spark, sf_dir):
 
 
 def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prediction records whose model columns hold the models' labels."""
+    """Prediction records whose model columns hold the models' labels, refitted per symbol and gated together."""
     path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
     ind.with_indicators(ticks(spark, sf_dir), with_next=True).write.parquet(path)  # read by every fit
     f = spark.read.parquet(path)
-    labelled = ml.gated_model_labels(f, order_number(f, "ts"))
+    labelled = ml.walk_forward_labels(f)
     return labelled.select("symbol", "current_price", "ts", "event_id", *PREDICTION_FEATURES, *sg.MODEL_SIGNALS,
                            *[v.alias(k) for k, v in sg.rule_signals().items()])
 

@@ -8,8 +8,10 @@
 * ``training_window``: the bounded per-symbol training buffer (last 5,000
   feature messages), mean imputation, trainability guards, retrain marks;
 * ``signal_accuracy`` / ``classification_report`` from confusion counts;
-* ``fit_models``: logistic regression, random forest, gradient boosting
-  and SAMME AdaBoost over decision stumps, all distributed fits.
+* ``fit_models``: logistic regression, random forest, second-order boosting and
+  SAMME AdaBoost over decision stumps; the last two on binned cells (``trees``);
+* ``walk_forward_labels``: all four models refitted per key, their labels gated
+  together.
 """
 
 from __future__ import annotations
@@ -18,16 +20,16 @@ import math
 import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.signals import TRAINING, UP, training_gate
+from ..functions.signals import MODEL_SIGNALS, UP, training_gate
 from ..plans.sequence import ORD, REAL, TIE, plain, sequence
-from ..session import checkpoint_dir, scratch_path
+from ..session import scratch_path
+from . import trees
 from .indicators import HISTORY, balanced_sql, newest, with_indicators
 
 # Fixed values of the online learner.
@@ -192,8 +194,6 @@ def estimators(n_rows: int | None = None, label: str = "label") -> dict:
         "LogisticReg": LogisticRegression(featuresCol="features", labelCol=label, maxIter=1000,
                                           regParam=reg, elasticNetParam=0.0, standardization=False),
         "RandomForest": RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=100, seed=SEED),
-        "XGBoost": GBTClassifier(featuresCol="features", labelCol=label, maxIter=100, maxDepth=6,
-                                 stepSize=0.3, seed=SEED),
     }
 
 
@@ -202,7 +202,7 @@ def fit_pipeline(train: DataFrame, features: list, estimator, label: str = "labe
 
 
 class AdaBoostModel:
-    """SAMME over depth-1 trees; each round is a distributed weighted fit.
+    """SAMME over depth-1 trees, each the best stump on the binned cells.
 
     A stump is (feature, threshold, label below or at it, label above it), so
     the vote is one expression, and a model is saved as its preparation
@@ -236,51 +236,22 @@ class AdaBoostModel:
 ADABOOST_SCHEMA = "i int, feature int, cut double, low double, high double, alpha double"
 
 
-def _stump(model) -> tuple:
-    """(feature, threshold, label below, label above) of a fitted depth-1 tree."""
-    root = model._java_obj.rootNode()
-    if model.numNodes == 1:
-        return 0, 0.0, root.prediction(), root.prediction()
-    return (root.split().featureIndex(), root.split().threshold(), root.leftChild().prediction(), root.rightChild().prediction())
+NO_CUT = 1.7976931348623157e308  # everything lies below it
 
 
-def fit_adaboost(train: DataFrame, features: list, label: str = "label", rounds: int = 50,
-                 checkpoint_every: int = 10) -> AdaBoostModel:
-    checkpoint_dir(train.sparkSession)
+def fit_adaboost(train: DataFrame, features: list, label: str = "label", rounds: int = 50) -> AdaBoostModel:
     prep = Pipeline(stages=assembler(features)).fit(train)
-    x = prep.transform(train).select("features", F.col(label).cast("double").alias("_y")).checkpoint(eager=True)
-    n = x.count()
-    x = x.withColumn("_w", F.lit(1.0 / max(n, 1)))
-    stumps, alphas = [], []
-    for r in range(rounds):
-        tree = DecisionTreeClassifier(featuresCol="features", labelCol="_y", weightCol="_w", maxDepth=1,
-                                      seed=SEED, predictionCol="_pred", rawPredictionCol="_raw",
-                                      probabilityCol="_prob")
-        m = tree.fit(x)
-        pred = m.transform(x)
-        miss = (F.col("_pred") != F.col("_y")).cast("double")
-        found = pred.agg(F.sum(F.col("_w") * miss).alias("e"), F.sum("_w").alias("w")).first()
-        err = None if not found["w"] else found["e"] / found["w"]
-        if err is None or err <= 0:
-            stumps.append(_stump(m))
-            alphas.append(1.0)
-            break
-        if err >= 0.5:
-            break
-        alpha = math.log((1 - err) / err)
-        stumps.append(_stump(m))
-        alphas.append(alpha)
-        # weights sum to 1 again: the missed ones' share err grows by exp(alpha)
-        scale = 1.0 / (found["w"] * (1 - err + err * math.exp(alpha)))
-        x = pred.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss) * F.lit(scale)).select("features", "_y", "_w")
-        if (r + 1) % checkpoint_every == 0:
-            x = x.checkpoint(eager=True)
-    return AdaBoostModel(prep, stumps, alphas)
+    n_bins = trees.bins_for(len(features))
+    cuts, fill = trees.edges(train, features, n_bins), trees.means(train, features)
+    model = trees.fit_cells(trees.cells(train, features, label, cuts, fill), n_bins, {"adaboost": rounds}).get("adaboost", {"stumps": [], "alphas": []})
+    found = [(int(f), cuts[int(f)][int(k)] if int(k) < len(cuts[int(f)]) else NO_CUT, low, high) for f, k, low, high in model["stumps"]]
+    return AdaBoostModel(prep, found, model["alphas"])
 
 
 def fit_models(train: DataFrame, features: list, label: str = "label", adaboost_rounds: int = 50) -> dict:
     n = train.count()
     models = {name: fit_pipeline(train, features, est, label) for name, est in estimators(n, label).items()}
+    models["XGBoost"] = trees.fit_boosting(train, features, label)
     models["AdaBoost"] = fit_adaboost(train, features, label, adaboost_rounds)
     return models
 
@@ -311,37 +282,6 @@ def scored(model, df: DataFrame, name: str) -> DataFrame:
     return pred.withColumn(name, F.when(F.col("prediction") == 1.0, F.lit("UP")).otherwise(F.lit("DOWN")))
 
 
-def gated_model_labels(features: DataFrame, order_value, adaboost_rounds: int = ADABOOST_ROUNDS_ONLINE,
-                       train_share: float = 0.8, keys=("symbol",), order=("ts", "event_id")) -> DataFrame:
-    """The feature rows with a label of every model: TRAINING until the model
-    exists, UP or DOWN from then on.
-
-    Logistic regression is refitted per key (``walk_forward_logreg``).  Forest,
-    boosting and AdaBoost are pooled distributed fits on the rows up to the
-    ``train_share`` quantile of ``order_value`` (a numeric column expression of
-    time) and label the rows after it.  ``features`` needs ``next_price``.
-    """
-    cut = features.agg(F.percentile_approx(order_value, train_share, 10_000)).first()[0]
-    if cut is None:
-        cut = float("inf")
-    after = order_value > F.lit(cut)
-    train = labels_from_next(features).filter(~after & F.col("next_price").isNotNull())
-    out = walk_forward_logreg(features, keys, order).drop("label", "tick_index", "message_number", "epoch", "model_epoch")
-    base = out.columns
-    if train.select("label").distinct().count() == 2:
-        fits = {n: fit_pipeline(train, ONLINE_FEATURES, e) for n, e in estimators().items() if n != "LogisticReg"}
-        fits["AdaBoost"] = fit_adaboost(train, ONLINE_FEATURES, rounds=adaboost_rounds)
-    else:
-        fits = {}
-    for name in ("RandomForest", "XGBoost", "AdaBoost"):
-        if name in fits:
-            out = scored(fits[name], out, name).withColumn(name, training_gate(after, F.col(name))).select(*base, name)
-        else:
-            out = out.withColumn(name, F.lit(TRAINING))
-        base = [*base, name]
-    return out
-
-
 def offline_frame(ticks: DataFrame, keys=("symbol",), order=("ts", "event_id"), price: str = "price") -> DataFrame:
     """Offline training rows: (simple_return, lag_1 estimate, price) -> label,
     last tick of each symbol dropped, with the sequential train/test split."""
@@ -459,3 +399,107 @@ def walk_forward_logreg(features: DataFrame, keys=("symbol",), order=("ts", "eve
     label = training_gate(F.col("coef").isNotNull(), F.when(z > 0, F.lit("UP")).otherwise(F.lit("DOWN")))
     return scored.withColumn("LogisticReg", label).withColumn("message_number", F.col("_m")) \
         .drop("_m", "coef", "intercept")
+
+
+# ------------------------------------------- walk-forward refits of all models
+MODEL_ROUNDS = {"XGBoost": trees.BOOST_ROUNDS, "RandomForest": trees.FOREST_TREES, "AdaBoost": ADABOOST_ROUNDS_ONLINE}
+MODEL_BINS = 32
+MODEL_BLOCK = 10             # refits fitted in one group
+
+
+def _buffers(pdf, every: int, buffer_rows: int, lo: int, hi: int):
+    """(refit, rows of its buffer, labels) for the refits lo..hi of message rows sorted by ``_m``."""
+    import numpy as np
+    m, label = pdf["_m"].to_numpy(), pdf["label"].to_numpy(dtype=float)
+    for epoch in range(lo, hi + 1):
+        a, b = np.searchsorted(m, [epoch * every - buffer_rows + 1, epoch * every + 1])
+        y = label[a:b].copy()
+        y[m[a:b] == epoch * every] = 0.0  # the newest buffered message has no next price yet
+        yield epoch, slice(a, b), y
+
+
+def _trainable(y) -> bool:
+    return len(y) >= MIN_TRAIN_ROWS and 0 < y.sum() < len(y)
+
+
+def _refit_checker(keys: list, every: int, buffer_rows: int):
+    def check(pdf):
+        import pandas as pd
+        pdf = pdf.sort_values("_m", kind="stable")
+        lo, hi = int(pdf["_first"].iloc[0]), int(pdf["_until"].iloc[0])
+        got = pd.DataFrame([(e, _trainable(y)) for e, _, y in _buffers(pdf, every, buffer_rows, lo, hi)], columns=["epoch", "ok"])
+        return got.assign(**{k: pdf[k].iloc[0] for k in keys})[[*keys, "epoch", "ok"]]
+
+    return check
+
+
+def _refit_scorer(keys: list, every: int, buffer_rows: int, rounds: dict, n_bins: int):
+    """Every trainable refit of a (key, block) that scores a message here: fit, then label those."""
+    def score(pdf):
+        import numpy as np
+        import pandas as pd
+        pdf = pdf.sort_values("_m", kind="stable")
+        X = pdf[ONLINE_FEATURES].to_numpy(dtype=float)
+        served = np.where(np.isnan(X), 0.0, X)  # serving takes 0 for a missing feature
+        of = np.where(pdf["_scored"].to_numpy(dtype=bool), pdf["model_epoch"].to_numpy(dtype=float), -1.0)
+        wanted = of[of >= 0]
+        out = []
+        for epoch, rows, y in _buffers(pdf, every, buffer_rows, int(wanted.min()), int(wanted.max())) if len(wanted) else ():
+            at = np.flatnonzero(of == epoch)
+            if not len(at):
+                continue
+            x = X[rows]
+            seen = ~np.isnan(x)
+            mean = np.where(seen, x, 0.0).sum(axis=0) / np.maximum(seen.sum(axis=0), 1)
+            w = _fit_logreg(x, y)
+            said = trees.buffer_models(np.where(seen, x, mean), y, n_bins, rounds)(served[at])
+            said["LogisticReg"] = w[-1] + served[at] @ w[:-1] > 0
+            out.append(pd.DataFrame({"_m": pdf["_m"].to_numpy()[at], **{c: np.where(said[c], "UP", "DOWN") for c in MODEL_SIGNALS}}))
+        got = pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=["_m", *MODEL_SIGNALS])
+        return got.assign(**{k: pdf[k].iloc[0] for k in keys})[[*keys, "_m", *MODEL_SIGNALS]]
+
+    return score
+
+
+def walk_forward_labels(features: DataFrame, keys=("symbol",), order=("ts", "event_id"), every: int = RETRAIN_EVERY,
+                        buffer_rows: int = BUFFER_ROWS, block: int = MODEL_BLOCK, rounds: dict | None = None, n_bins: int = MODEL_BINS) -> DataFrame:
+    """The feature rows with ``message_number``, ``epoch``, ``model_epoch`` and the label of
+    every model, all refitted per key at each ``every``-th message on the last
+    ``buffer_rows`` ones.  A message is labelled by the newest refit at or before it that
+    had rows of both classes; before the first one all four labels are TRAINING.
+
+    Two grouped passes over (key, block of refits), each group at most (block + 1) *
+    every + buffer_rows rows: one finds the refits that can be trained, one fits those
+    and labels their messages.  Labels are joined back on the key and message number.
+    ``features`` is read in both: pass a written table.
+    """
+    keys = list(keys)
+    lab = labels_from_next(features) if "next_price" in features.columns else \
+        next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
+    x = lab.withColumn("_m", F.col("tick_number") - F.lit(WARMUP - 1))
+    first_epoch = F.ceil(F.col("_m") / F.lit(every))
+    last_epoch = F.floor((F.col("_m") + F.lit(buffer_rows - 1)) / F.lit(every))
+    of = lambda epoch: F.floor((epoch - F.lit(1)) / F.lit(block)).cast("long")
+    holds = F.when(first_epoch <= last_epoch, F.sequence(of(first_epoch), of(last_epoch))).otherwise(F.array().cast("array<bigint>"))
+    ends = x.groupBy(*keys).agg(F.floor(F.max("_m") / F.lit(every)).cast("long").alias("_epochs"))
+    named = ", ".join(f"{k} {features.schema[k].dataType.simpleString()}" for k in keys)
+
+    narrow = (x.select(*keys, "_m", "label", F.explode(holds).alias("_block")).join(ends, keys)
+              .withColumn("_first", F.col("_block") * F.lit(block) + F.lit(1)).withColumn("_until", F.least((F.col("_block") + F.lit(1)) * F.lit(block), F.col("_epochs")))
+              .filter(F.col("_first") <= F.col("_until")))
+    checked = narrow.groupBy(*keys, "_block").applyInPandas(_refit_checker(keys, every, buffer_rows), f"{named}, epoch long, ok boolean")
+    so_far = Window.partitionBy(*keys).orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
+    newest_ok = checked.select(*keys, "epoch", F.last(F.when(F.col("ok"), F.col("epoch")), ignorenulls=True).over(so_far).alias("model_epoch"))
+
+    known = x.withColumn("epoch", F.floor(F.col("_m") / F.lit(every)).cast("long")).join(newest_ok, [*keys, "epoch"], "left")
+    own = of(F.col("model_epoch"))
+    blocks = F.when(F.col("model_epoch").isNull(), holds).otherwise(F.array_union(holds, F.array(own)))
+    dealt = known.select(*keys, "_m", "label", "model_epoch", *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in ONLINE_FEATURES],
+                         F.explode(blocks).alias("_block")).withColumn("_scored", F.coalesce(F.col("_block") == own, F.lit(False)))
+    # fits are heavy and rows few: a fixed number of partitions, which is not coalesced by size
+    spark = features.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    said = dealt.repartition(tasks, *keys, "_block").groupBy(*keys, "_block").applyInPandas(_refit_scorer(keys, every, buffer_rows, rounds or MODEL_ROUNDS, n_bins),
+                                                        f"{named}, _m long, " + ", ".join(f"{c} string" for c in MODEL_SIGNALS))
+    out = known.join(said, [*keys, "_m"], "left")
+    return out.withColumns({c: training_gate(F.col(c).isNotNull(), F.col(c)) for c in MODEL_SIGNALS}).withColumnRenamed("_m", "message_number")
