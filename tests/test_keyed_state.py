@@ -135,3 +135,22 @@ def test_arrays_on_odd_prices():
     assert np.isnan(out["price_change_pct"][[0, 1, 2, 5]]).tolist() == [True, True, True, True] and out["price_change_pct"][3] == 0.0
     assert out["rsi_14"][-1] == 100.0 and out["volatility_20"][-1] == 0.0 and np.isnan(out["momentum_10"][13])
     assert np.isnan(out["sma_20"][18]) and out["sma_20"][-1] == 7.0
+
+
+def test_labels_equal_the_batch_refits(spark, source, tmp_path):
+    """Four micro-batches with a restart, against walk_forward_labels."""
+    from tickforge.functions.signals import MODEL_SIGNALS
+    from tickforge.operators import learning as ml
+    rounds = {"XGBoost": 3, "RandomForest": 4, "AdaBoost": 3}
+    root, schema, src = source
+    table, ckpt = str(tmp_path / "table"), str(tmp_path / "ckpt")
+    for parts in (range(2), range(2, 4)):
+        _place(root, src, parts)
+        s = keyed.label_stream(opened(spark, schema, src), every=10, buffer_rows=55, rounds=rounds)
+        streams.run_to_table(s, "labels", checkpoint=ckpt, table=table)[0].awaitTermination()
+    path = str(tmp_path / "features")
+    ind.with_indicators(tables.clean_ticks(tables.ticks(spark, SF001)), with_next=True).write.parquet(path)
+    want = ml.walk_forward_labels(spark.read.parquet(path), every=10, buffer_rows=55, rounds=rounds)
+    cols = ["symbol", "message_number", "event_id", "model_epoch", *MODEL_SIGNALS]
+    a, b = (sorted(map(str, map(tuple, x.select(*cols).collect()))) for x in (spark.read.parquet(table), want))
+    assert a == b and sum("TRAINING" not in r for r in a) > 100

@@ -580,6 +580,13 @@ def q_stream_price_change_keyed(spark, sf_dir):
     return rounded(out.select("symbol", "ts", "event_id", "price", "price_change"), ["price", "price_change"])
 
 
+@query("stream_model_labels")
+def q_stream_model_labels(spark, sf_dir):
+    """Labels of all models, refitted inside the stream every 100 messages of a symbol."""
+    from .streaming import keyed, streams
+    return _with_rocksdb(spark, lambda: streams.drain(keyed.label_stream(_tick_stream(spark, sf_dir)), "labels"))
+
+
 @query("stream_indicators_chunked")
 def q_stream_indicators_chunked(spark, sf_dir):
     """The same through a state table and the batch operator, for symbols too hot for one task."""

@@ -433,6 +433,23 @@ def _refit_checker(keys: list, every: int, buffer_rows: int):
     return check
 
 
+def fit_online(X, y, rounds: dict | None = None, n_bins: int = MODEL_BINS) -> dict:
+    """All four models of one buffer (feature rows with NaN for missing, labels), nulls imputed with its means."""
+    import numpy as np
+    seen = ~np.isnan(X)
+    mean = np.where(seen, X, 0.0).sum(axis=0) / np.maximum(seen.sum(axis=0), 1)
+    return {**trees.fit_buffer(np.where(seen, X, mean), y, n_bins, rounds or MODEL_ROUNDS), "logreg": _fit_logreg(X, y)}
+
+
+def online_labels(model: dict, rows) -> dict:
+    """{name: UP or DOWN} of feature rows by a model of ``fit_online``; a missing feature is served as 0."""
+    import numpy as np
+    served = np.where(np.isnan(rows), 0.0, rows)
+    w = model["logreg"]
+    said = {**trees.buffer_labels(model, served), "LogisticReg": w[-1] + served @ w[:-1] > 0}
+    return {c: np.where(said[c], "UP", "DOWN") for c in MODEL_SIGNALS}
+
+
 def _refit_scorer(keys: list, every: int, buffer_rows: int, rounds: dict, n_bins: int):
     """Every trainable refit of a (key, block) that scores a message here: fit, then label those."""
     def score(pdf):
@@ -440,21 +457,13 @@ def _refit_scorer(keys: list, every: int, buffer_rows: int, rounds: dict, n_bins
         import pandas as pd
         pdf = pdf.sort_values("_m", kind="stable")
         X = pdf[ONLINE_FEATURES].to_numpy(dtype=float)
-        served = np.where(np.isnan(X), 0.0, X)  # serving takes 0 for a missing feature
         of = np.where(pdf["_scored"].to_numpy(dtype=bool), pdf["model_epoch"].to_numpy(dtype=float), -1.0)
         wanted = of[of >= 0]
         out = []
         for epoch, rows, y in _buffers(pdf, every, buffer_rows, int(wanted.min()), int(wanted.max())) if len(wanted) else ():
             at = np.flatnonzero(of == epoch)
-            if not len(at):
-                continue
-            x = X[rows]
-            seen = ~np.isnan(x)
-            mean = np.where(seen, x, 0.0).sum(axis=0) / np.maximum(seen.sum(axis=0), 1)
-            w = _fit_logreg(x, y)
-            said = trees.buffer_models(np.where(seen, x, mean), y, n_bins, rounds)(served[at])
-            said["LogisticReg"] = w[-1] + served[at] @ w[:-1] > 0
-            out.append(pd.DataFrame({"_m": pdf["_m"].to_numpy()[at], **{c: np.where(said[c], "UP", "DOWN") for c in MODEL_SIGNALS}}))
+            if len(at):
+                out.append(pd.DataFrame({"_m": pdf["_m"].to_numpy()[at], **online_labels(fit_online(X[rows], y, rounds, n_bins), X[at])}))
         got = pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=["_m", *MODEL_SIGNALS])
         return got.assign(**{k: pdf[k].iloc[0] for k in keys})[[*keys, "_m", *MODEL_SIGNALS]]
 

@@ -11,7 +11,7 @@ Trees grow level by level from histograms of gradient and hessian sums per node,
 feature and bin; a split's worth is the regularised gain.  With gradients -w*y
 and hessians w the same growth is a Gini tree, which the forest uses.
 
-``buffer_models`` fits the same models on one bounded buffer, for the refits per
+``fit_buffer`` fits the same models on one bounded buffer, for the refits per
 key (module ``learning`` has their schedule).
 """
 
@@ -92,7 +92,7 @@ def leaf_values(tree: tuple[np.ndarray, np.ndarray, np.ndarray], bins: np.ndarra
         if not len(inner):
             return value[at]
         k = at[inner]
-        at[inner] = 2 * k + 1 + (bins[inner, feature[k]] > cut[k])
+        at[inner] = 2 * k + 1 + (bins[inner, feature[k].astype(np.int64)] > cut[k])
 
 
 def boosted(bins: np.ndarray, y: np.ndarray, count: np.ndarray, n_bins: int, rounds: int = BOOST_ROUNDS, depth: int = BOOST_DEPTH,
@@ -258,19 +258,19 @@ def cut_bins(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(cuts, x.T)], axis=1)
 
 
-def buffer_models(x: np.ndarray, y: np.ndarray, n_bins: int, rounds: dict[str, int]):
-    """Boosting, forest and AdaBoost of one imputed buffer: a function from rows to
-    {name: class 1 or not}."""
+def fit_buffer(x: np.ndarray, y: np.ndarray, n_bins: int, rounds: dict[str, int]) -> dict:
+    """Boosting, forest and AdaBoost of one imputed buffer, as plain arrays."""
     cuts = local_bins(x, n_bins)
     bins, ones = cut_bins(x, cuts), np.ones(len(y))
     start, trees = boosted(bins, y, ones, n_bins, rounds["XGBoost"])
-    bagged = forest(bins, y, n_bins, rounds["RandomForest"])
-    model = stumps(bins, y, ones, n_bins, rounds["AdaBoost"])
+    small = lambda some: [(f.astype(np.int16), c.astype(np.int16), v) for f, c, v in some]
+    return {"cuts": cuts, "start": start, "trees": small(trees), "forest": small(forest(bins, y, n_bins, rounds["RandomForest"])),
+            "stumps": stumps(bins, y, ones, n_bins, rounds["AdaBoost"])}
 
-    def said(rows: np.ndarray) -> dict[str, np.ndarray]:
-        b = cut_bins(rows, cuts)
-        return {"XGBoost": start + sum(leaf_values(t, b) for t in trees) > 0,
-                "RandomForest": sum(leaf_values(t, b) for t in bagged) / max(1, len(bagged)) > 0.5,
-                "AdaBoost": votes(model, b) > 0}
 
-    return said
+def buffer_labels(model: dict, rows: np.ndarray) -> dict[str, np.ndarray]:
+    """{name: class 1 or not} of rows by a model of ``fit_buffer``."""
+    b = cut_bins(rows, model["cuts"])
+    return {"XGBoost": model["start"] + sum(leaf_values(t, b) for t in model["trees"]) > 0,
+            "RandomForest": sum(leaf_values(t, b) for t in model["forest"]) / max(1, len(model["forest"])) > 0.5,
+            "AdaBoost": votes(model["stumps"], b) > 0}

@@ -13,12 +13,20 @@ The indicators of a batch's rows are array expressions over their 100 newest
 prices (a sliding view); EMA and MACD, which are linear in these, are products
 with the weights that the batch operator derives from the same fold.
 
+``label_stream`` goes on to the models: it keeps a symbol's newest feature
+messages as well, in slots of ``every`` messages of which a micro-batch writes
+only those it adds to, and its newest models.  At each ``every``-th message the
+models are refitted on the buffer; a message is labelled by the newest refit at
+or before it.  That is the schedule of ``learning.walk_forward_labels``, tick by
+tick, with the same labels.
+
 Within a micro-batch the ticks of a symbol are taken in (ts, event_id) order,
 across batches in arrival order.  Missing values are null.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,11 +35,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions.signals import MODEL_SIGNALS, TRAINING
+from ..operators import learning as ml
 from ..operators.indicators import ANNUALIZE, FAST, FEATURE_COLUMNS, HISTORY, SIGNAL, SLOW, WARMUP, fold_weights
 
 SLICE = 20_000  # rows whose windows are held at once
 RING = "seen long, prices array<double>"
 INDICATORS_OUT = "symbol string, ts timestamp_ntz, event_id long, tick_number long, current_price double, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
+LABELS_OUT = "symbol string, ts timestamp_ntz, event_id long, message_number long, model_epoch long, " + ", ".join(f"{c} string" for c in MODEL_SIGNALS)
 CHANGES_OUT = "symbol string, ts timestamp_ntz, event_id long, price double, price_change double"
 
 
@@ -122,6 +133,63 @@ class Indicators(RingProcessor):
             yield made[number >= WARMUP]
 
 
+class Labels(Indicators):
+    """Buffer, refits and labels on top of the indicators."""
+
+    def __init__(self, idle_ms: int | None = None, every: int = ml.RETRAIN_EVERY, buffer_rows: int = ml.BUFFER_ROWS, rounds: dict | None = None, n_bins: int = ml.MODEL_BINS):
+        super().__init__(idle_ms)
+        self.every, self.buffer_rows, self.rounds, self.n_bins = every, buffer_rows, rounds, n_bins
+        self.slots = -(-buffer_rows // every) + 1
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.messages = handle.getMapState("messages", "slot long", "number long, rows binary", self.idle_ms)
+        self.models = handle.getValueState("models", "epoch long, fitted binary", self.idle_ms)
+
+    def _slot(self, number: int) -> np.ndarray:
+        """The held rows of a slot's messages (numbered from 1; slot k holds k * every + 1 ..), none if it holds others."""
+        key = (number % self.slots,)
+        found = self.messages.getValue(key) if self.messages.containsKey(key) else None
+        rows = np.frombuffer(found[1]) if found and found[0] == number else np.empty(0)
+        return rows.reshape(-1, len(ml.ONLINE_FEATURES))
+
+    def compute(self, symbol, pdf, seen, prices):
+        made = [x for x in super().compute(symbol, pdf, seen, prices) if len(x)]
+        if not made:
+            return
+        made = pd.concat(made, ignore_index=True)
+        first = int(made["tick_number"].iloc[0]) - (WARMUP - 1)  # message numbers count from the warm-up on
+        new, last = made[ml.ONLINE_FEATURES].to_numpy(dtype=float), first + len(made) - 1
+        low = max(1, min(first, (first // self.every + 1) * self.every - self.buffer_rows + 1))
+        slots = range((low - 1) // self.every, (first - 1) // self.every + 1)
+        refit = (last // self.every) > ((first - 1) // self.every)
+        held = [self._slot(k) for k in (slots if refit else slots[-1:])]
+        rows = np.concatenate([*held, new])  # of the messages up to the last one, without a gap
+        begin = last - len(rows) + 1
+        epoch, fitted = self.models.get() if self.models.exists() else (None, None)
+        model = None if fitted is None else pickle.loads(fitted)
+        at, out = first, []
+        while at <= last:
+            if at % self.every == 0:
+                a = max(1, at - self.buffer_rows + 1)
+                x = rows[a - begin:at - begin + 1]
+                y = np.append(x[1:, -1] > x[:-1, -1], False).astype(float)  # the newest has no next price yet
+                if ml._trainable(y):
+                    epoch, model = at // self.every, ml.fit_online(x, y, self.rounds, self.n_bins)
+            upto = min(last, (at // self.every + 1) * self.every - 1)
+            part = rows[at - begin:upto - begin + 1]
+            said = dict.fromkeys(MODEL_SIGNALS, TRAINING) if model is None else ml.online_labels(model, part)
+            out.append(made[["symbol", "ts", "event_id"]].iloc[at - first:upto - first + 1].assign(
+                message_number=np.arange(at, upto + 1), model_epoch=pd.array([epoch] * len(part), dtype="Int64"), **said))
+            at = upto + 1
+        for k in range((first - 1) // self.every, (last - 1) // self.every + 1):
+            own = rows[max(0, k * self.every + 1 - begin):max(0, (k + 1) * self.every + 1 - begin)]
+            self.messages.updateValue((k % self.slots,), (k, own.tobytes()))
+        if epoch is not None and (fitted is None or refit):
+            self.models.update((epoch, pickle.dumps(model)))
+        yield from out
+
+
 class PriceChanges(RingProcessor):
     def compute(self, symbol, pdf, seen, prices):
         before = len(prices) - len(pdf)
@@ -140,6 +208,11 @@ def indicator_stream(ticks: DataFrame, idle_ms: int | None = None) -> DataFrame:
     return _stream(ticks, Indicators(idle_ms), INDICATORS_OUT)
 
 
+def label_stream(ticks: DataFrame, idle_ms: int | None = None, **kw) -> DataFrame:
+    """(symbol, ts, event_id, message_number, model_epoch, a label of each model): TRAINING, UP or DOWN."""
+    return _stream(ticks, Labels(idle_ms, **kw), LABELS_OUT)
+
+
 def price_change_stream(ticks: DataFrame, idle_ms: int | None = None) -> DataFrame:
     """Change against the symbol's tick before; 0.0 for its first."""
     return _stream(ticks, PriceChanges(idle_ms), CHANGES_OUT)
