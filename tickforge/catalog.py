@@ -587,6 +587,35 @@ def q_stream_model_labels(spark, sf_dir):
     return _with_rocksdb(spark, lambda: streams.drain(keyed.label_stream(_tick_stream(spark, sf_dir)), "labels"))
 
 
+VERSION_SHARES = [0.25, 0.5, 0.75]  # of the ticks' time range, where a new model version holds from
+
+
+def publish_versions(spark, t, registry, shares=VERSION_SHARES) -> list:
+    """Boosting models on the ticks up to each time quantile, published from there on; the times."""
+    from .plans.sequence import order_number
+    from .functions.rowfeatures import cents_return, lag_estimate
+    when = order_number(t, "ts")
+    cuts = sorted(set(t.agg(F.percentile_approx(when, shares, 10_000)).first()[0] or []))
+    p = F.col("price")
+    for k, cut in enumerate(cuts, 1):
+        known = t.filter(when <= F.lit(cut)).withColumns({"simple_return": cents_return(p), "lag_1": lag_estimate(p, 1)})
+        registry.publish(k, cut, ml.trees.fit_boosting(ml.next_tick_labels(known), ml.OFFLINE_FEATURES))
+    return cuts
+
+
+@query("stream_model_predictions")
+def q_stream_model_predictions(spark, sf_dir):
+    """Ticks of a stream labelled by the newest model version at or before them."""
+    from .functions.rowfeatures import cents_return, lag_estimate
+    from .streaming import streams, versions
+    registry = versions.ModelVersions(spark)
+    publish_versions(spark, tables.clean_ticks(ticks(spark, sf_dir)), registry)
+    p = F.col("price")
+    s = _tick_stream(spark, sf_dir).withColumns({"simple_return": cents_return(p), "lag_1": lag_estimate(p, 1)})
+    out = _finished(versions.score_stream(s, registry, ml.OFFLINE_FEATURES, "predictions"), s, "version long, predicted string")
+    return out.select("symbol", "ts", "event_id", "version", "predicted")
+
+
 @query("stream_indicators_chunked")
 def q_stream_indicators_chunked(spark, sf_dir):
     """The same through a state table and the batch operator, for symbols too hot for one task."""
