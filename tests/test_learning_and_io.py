@@ -97,3 +97,20 @@ def test_offline_model_queries_fit_all_offline_rounds(spark, monkeypatch, name):
     monkeypatch.setattr(ml, "estimators", lambda *a: {})
     c.QUERIES[name](spark, SF001)
     assert asked == [ml.ADABOOST_ROUNDS_OFFLINE] == [100]
+
+
+def test_logistic_regression_equals_newton_on_rows(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 2)) * [3.0, 200.0] + [1.0, 900.0]
+    y = (x[:, 0] / 3 + (x[:, 1] - 900) / 100 + rng.normal(size=500) > 0.5).astype(int)
+    rows = [(float(a) if i % 9 else None, float(b) if i % 11 else float("nan"), int(c)) for i, ((a, b), c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "a double, b double, label int").repartition(3)
+    model = ml.fit_logistic(df, ["a", "b"])
+    raw = np.array([[np.nan if v is None else v for v in r[:2]] for r in rows], dtype=float)
+    want = ml._fit_logreg(raw, y.astype(float))
+    assert [*model.weights, model.intercept] == pytest.approx(want.tolist(), rel=1e-6)
+    assert model.transform(df).filter("prediction = label").count() > 400
+    assert ml.fit_logistic(df.limit(0), ["a", "b"]).transform(df).filter("prediction = 0").count() == 500
+    one = df.withColumn("a", F.lit(2.0))  # a constant feature
+    assert ml.fit_logistic(one, ["a", "b"]).transform(one).filter("prediction = label").count() > 350

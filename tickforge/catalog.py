@@ -452,6 +452,8 @@ def _model_query(name):
             model = ml.fit_adaboost(train, ml.OFFLINE_FEATURES, rounds=ml.ADABOOST_ROUNDS_OFFLINE)
         elif name == "XGBoost":
             model = ml.trees.fit_boosting(train, ml.OFFLINE_FEATURES)
+        elif name == "LogisticReg":
+            model = ml.fit_logistic(train, ml.OFFLINE_FEATURES)
         else:
             est = ml.estimators(train.count())[name]
             model = ml.fit_pipeline(train, ml.OFFLINE_FEATURES, est)

@@ -557,6 +557,48 @@ SELECT symbol, ts, event_id, CAST(row_index AS BIGINT) AS row_index,
 FROM x
 """
 
+
+
+def newton_cte(k: int, steps: int) -> str:
+    """CTEs w0.. wN: weights (v0..vk, the last one the intercept) of standardised rows ``z``
+    (z0.., zk = 1, y) with penalties in ``st`` (l0..), each from the one before by
+    gradient and Hessian sums and an elimination written out."""
+    n, out = k + 1, [f"w0 AS (SELECT {', '.join(f'{d(0)} AS v{i}' for i in range(k + 1))})"]
+    for step in range(steps):
+        margin = " + ".join(f"z{i} * v{i}" for i in range(n))
+        sums = [f"sum(z{i} * (p - y)) AS s{i}" for i in range(n)]
+        sums += [f"sum(z{i} * z{j} * p * (1 - p)) AS h{i}{j}" for i in range(n) for j in range(i, n)]
+        out.append(f"p{step} AS (SELECT z.*, {d(1)} / ({d(1)} + exp(-({margin}))) AS p FROM z, w{step})")
+        out.append(f"s{step} AS (SELECT {', '.join(sums)} FROM p{step})")
+        pen = lambda i: f"l{i}" if i < k else d(0)
+        cell = {(i, j): f"h{min(i, j)}{max(i, j)}" + (f" + {pen(i)} + {1e-12!r}::double" if i == j else "") for i in range(n) for j in range(n)}
+        cols = [f"{cell[i, j]} AS a0_{i}{j}" for i in range(n) for j in range(n)] + [f"s{i} + {pen(i)} * v{i} AS b0_{i}" for i in range(n)]
+        for c in range(n):  # column by column, all other rows
+            for i in range(n):
+                row = [f"a{c}_{i}{j} - a{c}_{i}{c} / a{c}_{c}{c} * a{c}_{c}{j}" if i != c else f"a{c}_{i}{j}" for j in range(n)]
+                rhs = f"b{c}_{i} - a{c}_{i}{c} / a{c}_{c}{c} * b{c}_{c}" if i != c else f"b{c}_{i}"
+                cols += [f"{e} AS a{c + 1}_{i}{j}" for j, e in enumerate(row)] + [f"{rhs} AS b{c + 1}_{i}"]
+        new = ", ".join(f"v{i} - b{n}_{i} / a{n}_{i}{i} AS v{i}" for i in range(n))
+        out.append(f"e{step} AS (SELECT v0, {', '.join(f'v{i}' for i in range(1, n))}, {', '.join(cols)} FROM s{step}, w{step}, st)")
+        out.append(f"w{step + 1} AS (SELECT {new} FROM e{step})")
+    return ",\n".join(out)
+
+
+OFFLINE = ["simple_return", "lag_1", "price"]
+ORACLES["model_logreg"] = f"""
+WITH {LABELS_CTE},
+f AS (SELECT symbol, ts, event_id, price, CASE WHEN next_price > price THEN 1 ELSE 0 END AS label,
+             ((CAST(trunc(price * 100) AS BIGINT) % 100) - 50) / {d(1000)} AS simple_return, price + sin(price * {d(0.01)} + {d(1)}) * (price * {d(0.001)}) AS lag_1,
+             row_number() OVER (ORDER BY symbol, ts, event_id) - 1 AS i, count(*) OVER () AS n FROM lab WHERE next_price IS NOT NULL),
+x AS (SELECT *, i < n - ceil(n * {d(0.2)}) AS train FROM f),
+st AS (SELECT {', '.join(f'avg({c}) AS m{i}, stddev_pop({c}) AS d{i}, 1 / (stddev_pop({c}) * stddev_pop({c})) AS l{i}' for i, c in enumerate(OFFLINE))} FROM x WHERE train),
+z AS (SELECT {', '.join(f'({c} - m{i}) / d{i} AS z{i}' for i, c in enumerate(OFFLINE))}, {d(1)} AS z3, CAST(label AS DOUBLE) AS y FROM x, st WHERE train),
+{newton_cte(3, 12)}
+SELECT symbol, ts, event_id, CAST(label AS INTEGER) AS label,
+       CASE WHEN {' + '.join(f'({c} - m{i}) / d{i} * v{i}' for i, c in enumerate(OFFLINE))} + v3 > 0 THEN 'UP' ELSE 'DOWN' END AS predicted
+FROM x, st, w12 WHERE NOT train
+"""
+
 ONLINE = ["rsi_14", "macd_line", "volatility_20", "momentum_10", "price_change_pct", "current_price"]
 ORACLES["training_window"] = f"""
 WITH {TICKS_CTE},
