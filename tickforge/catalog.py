@@ -131,6 +131,21 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.read_long_csv(spark, f"{folder}/long")
 
 
+@query("csv_roundtrip_counts")
+def q_csv_roundtrip_counts(spark, sf_dir):
+    """Row counts of the round trip, observed in the passes that write: no table is scanned for them."""
+    from pyspark.sql import Observation
+    folder = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    seen = {n: Observation(n) for n in ("wide", "long", "clean")}
+    rows = F.count(F.lit(1)).alias("rows")
+    lineitem_wide(spark, sf_dir).observe(seen["wide"], rows).write.option("header", True).csv(f"{folder}/wide")
+    back = files.read_wide_csv(spark, f"{folder}/wide")
+    long = reshape.unpivot_clean(back, ["Dates", "l_orderkey", "l_linenumber"]).observe(seen["long"], rows)
+    files.write_long_csv(long.na.drop("any").observe(seen["clean"], rows).select("date", "symbol", "price"), f"{folder}/long")
+    n = {k: int(v.get["rows"]) for k, v in seen.items()}
+    return spark.createDataFrame([(n["wide"], n["long"], n["clean"], n["long"] - n["clean"])], "wide_rows long, long_rows long, clean_rows long, dropped_rows long")
+
+
 # ------------------------------------------------------------ row features
 @query("price_transforms")
 def q_price_transforms(spark, sf_dir):
@@ -361,6 +376,17 @@ def q_symbol_top100(spark, sf_dir):
                    .orderBy("ts", "event_id"), ["current_price", "rsi_14", "macd_line"])
 
 
+@query("symbol_top100_stored")
+def q_symbol_top100_stored(spark, sf_dir):
+    """The same from a stored predictions table, laid out so that one symbol's files are read alone."""
+    from .sources import store
+    path = scratch_path(spark, f"store-{uuid.uuid4().hex}")
+    records = prediction_columns(ind.with_indicators(ticks(spark, sf_dir)))
+    store.write_store(records.select("symbol", "ts", "event_id", "current_price", "rsi_14", "macd_line"), path)
+    top = store.read_symbol(spark, path, DASHBOARD_SYMBOL).orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(serving.DASHBOARD_ROWS)
+    return rounded(top.orderBy("ts", "event_id"), ["current_price", "rsi_14", "macd_line"])
+
+
 @query("normalized_symbol_rows")
 def q_normalized_symbol_rows(spark, sf_dir):
     """All rows of a requested symbol matched case/space-insensitively, by time."""

@@ -738,3 +738,7 @@ h3 AS (SELECT symbol, xor(h, h // 65536) AS h FROM h2),
 f AS (SELECT symbol, CAST(abs(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % 1000 AS BIGINT) AS symbol_hash FROM h3)
 SELECT t.symbol, ts, event_id, symbol_hash FROM ticks t JOIN f ON t.symbol = f.symbol WHERE price IS NOT NULL
 """
+
+# the same results from another layout, or observed while writing
+ORACLES["symbol_top100_stored"] = ORACLES["symbol_top100"]
+ORACLES["csv_roundtrip_counts"] = ORACLES["reshape_counts"]

@@ -100,3 +100,9 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Removes a folder that this library has written, if it exists."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Creates an empty file, and the folders above it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()

@@ -13,7 +13,10 @@
   output (idempotent).
 * ``price_change_stream``: the same for one lag with keyed state
   (``applyInPandasWithState``); first tick of a symbol gives 0.0.
-* ``table_sink``: ``foreachBatch`` append into a parquet table.
+* ``table_sink``: ``foreachBatch`` append into a parquet table with a commit log:
+  a batch counts once its marker stands in ``_commits``, which a replay takes away
+  before it writes again.  ``read_out`` reads the marked batches only, from one
+  listing; ``compact`` rewrites many small ones as one.
 
 Within a micro-batch the ticks of a symbol are processed in (ts, event_id)
 order; across batches, in arrival order.  Micro-batches are bounded by
@@ -23,6 +26,7 @@ order; across batches, in arrival order.  Micro-batches are bounded by
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +36,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.indicators import HISTORY, newest, with_indicators
 from ..plans.sequence import REAL, sequence
-from ..session import list_folder, path_kind, remove_folder, scratch_path
+from ..session import list_folder, path_kind, remove_folder, scratch_path, touch
 from ..sources.files import kafka_sink_options, to_wire
 
 MAX_BATCH_BYTES = 1 << 30
@@ -119,7 +123,7 @@ def run_with_history(stream: DataFrame, name: str, rows: int, compute, keys=("sy
         if old is not None and "tick_number" in out.columns:
             out = (out.join(old, keys, "left").withColumn("tick_number", F.col("tick_number") + F.coalesce(F.col(STATE_SEEN) - F.col("_held"), F.lit(0)))
                    .drop(STATE_SEEN, "_held"))
-        out.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        committed_write(out, table, batch_id)
         counts = cur.groupBy(*keys).agg(F.count(F.lit(1)).alias("_new"))
         if old is not None:
             counts = counts.join(old, keys, "full").select(*keys, (F.coalesce("_new", F.lit(0)) + F.coalesce(STATE_SEEN, F.lit(0))).alias("_new"))
@@ -156,13 +160,60 @@ def price_change_table(stream: DataFrame, name: str = "price_change", **kw):
 
 
 # ------------------------------------------------------------------ sinks
+COMMITS = "_commits"
+COMPACTED = "_compacted"
+
+
+def committed_write(batch: DataFrame, path: str, batch_id: int, partition_by: list | None = None) -> None:
+    """Write a batch's folder (a replay replaces it) and then its marker."""
+    spark, marker = batch.sparkSession, f"{path}/{COMMITS}/{batch_id}"
+    remove_folder(spark, marker)
+    w = batch.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{path}/batch_id={batch_id}")
+    touch(spark, marker)
+
+
+def committed(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
+    """(last batch of the newest compaction, committed batches after it)."""
+    names = list_folder(spark, f"{path}/{COMMITS}")
+    upto = max((int(n.removeprefix("upto-")) for n in names if n.startswith("upto-")), default=None)
+    return upto, sorted(int(n) for n in names if n.isdigit() and (upto is None or int(n) > upto))
+
+
+def _rows(spark: SparkSession, path: str, upto: int | None, batches: list[int]) -> DataFrame | None:
+    parts = [] if upto is None else [spark.read.parquet(f"{path}/{COMPACTED}/upto={upto}")]
+    if batches:
+        parts.append(spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={n}" for n in batches]).drop("batch_id"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def compact(spark: SparkSession, path: str, keep: int = 1, partition_by: list | None = None) -> int | None:
+    """Rewrite all committed batches but the newest ``keep`` (a restart may replay the
+    newest one) as one folder, sized by the adaptive plan; returns the last batch in it.
+
+    The new folder counts from its own marker on; only then are the folders that
+    it replaces removed, so a crash at any point leaves every row readable once.
+    Readers that began before may need to read again."""
+    before, batches = committed(spark, path)
+    old = batches[:len(batches) - keep] if keep else batches
+    if not old:
+        return None
+    upto = old[-1]
+    w = _rows(spark, path, before, old).hint("rebalance").write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{path}/{COMPACTED}/upto={upto}")
+    names = list_folder(spark, f"{path}/{COMMITS}")
+    touch(spark, f"{path}/{COMMITS}/upto-{upto}")
+    for n in names:  # what an earlier, interrupted run has left goes too
+        if (n.isdigit() and int(n) <= upto) or (n.startswith("upto-") and n != f"upto-{upto}"):
+            remove_folder(spark, f"{path}/batch_id={n}" if n.isdigit() else f"{path}/{COMPACTED}/upto={n.removeprefix('upto-')}")
+            remove_folder(spark, f"{path}/{COMMITS}/{n}")
+    return upto
+
+
 def table_sink(path: str, partition_by: list | None = None):
-    """foreachBatch function: executor-side parquet write, one folder per batch."""
+    """foreachBatch function: executor-side parquet write, one committed folder per batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        w = batch.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(f"{path}/batch_id={batch_id}")
+        committed_write(batch, path, batch_id, partition_by)
     return write
 
 
@@ -179,11 +230,10 @@ def run_to_table(stream: DataFrame, name: str, checkpoint: str | None = None, pa
 
 
 def read_out(stream: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:
-    """The table that a stream has written; empty where no batch ran."""
+    """The committed batches that a stream has written; empty where none ran."""
     spark = stream.sparkSession
-    if not list_folder(spark, table):
-        return spark.createDataFrame([], schema or stream.schema)
-    return spark.read.parquet(table).drop("batch_id")
+    rows = _rows(spark, table, *committed(spark, table))
+    return spark.createDataFrame([], schema or stream.schema) if rows is None else rows
 
 
 def drain(stream: DataFrame, name: str) -> DataFrame:

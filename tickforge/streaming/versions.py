@@ -28,7 +28,7 @@ from ..functions.signals import TRAINING
 from ..operators import trees
 from ..plans.sequence import order_number
 from ..session import list_folder, scratch_path
-from .streams import _trigger
+from .streams import _trigger, committed_write
 
 LIVE = 64
 VERSION = "version long, valid_from double, model string"
@@ -115,7 +115,7 @@ def score_stream(stream: DataFrame, registry: ModelVersions, features: list, nam
 
     def write(batch: DataFrame, batch_id: int) -> None:
         here = ModelVersions(batch.sparkSession, registry.folder)
-        score_as_of(batch, here, features, time).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        committed_write(score_as_of(batch, here, features, time), table, batch_id)
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint or scratch_path(spark, f"streams/{name}-{run}"))
     return _trigger(w, processing_time).start(), table
