@@ -21,8 +21,9 @@ side in the same window passes.  The running state crosses chunk borders
 through a carry table: the last row of each chunk says what both possible
 incoming states (long / flat) lead to, a window over these few rows picks the
 right one, and the step from one chunk's last price to the next one's first
-price is added.  The carry has one row per chunk > 0, at most ``MAX_CHUNKS``
-per job (``plans.sequence``), and is broadcast on that bound.
+price is added.  The carry has one row per chunk > 0.  Up to ``MAX_CHUNKS`` of
+them (``plans.sequence``) it is broadcast on that bound; a table cut by ranges
+into more chunks meets it by an ordinary join.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import valid_price
 from ..functions.signals import DOWN, UP
-from ..plans.sequence import CHUNK, ORD, REAL, plain, sequence
+from ..plans.sequence import CHUNK, ORD, RANGED, REAL, plain, sequence
 
 INITIAL_CASH = 100000.0
 ANNUALIZE = math.sqrt(252)
@@ -113,12 +114,12 @@ def _carry(x: DataFrame, n: int, keys: list, price: str) -> DataFrame:
 
 def backtest_rows(df: DataFrame, signals: list, keys=("symbol",), order=("ts", "event_id"),
                   price: str = "current_price", initial: float = INITIAL_CASH,
-                  chunked: bool | None = None) -> DataFrame:
+                  chunked: str | bool | None = None) -> DataFrame:
     """Per valid row and signal: position, equity, return and trade fields.
 
     ``df`` may carry the chunks and ordinals of an earlier sequencing
-    (``indicators.sequenced_indicators``; ``chunked`` then says whether any key
-    was cut); otherwise it is sequenced here, or, with ``chunked=False``, left
+    (``indicators.sequenced_indicators``; ``chunked`` then says how keys
+    were cut); otherwise it is sequenced here, or, with ``chunked=False``, left
     in one window partition per key.
 
     Columns: keys, order, price, ``_ord`` (among the key's valid rows), signal,
@@ -131,14 +132,15 @@ def backtest_rows(df: DataFrame, signals: list, keys=("symbol",), order=("ts", "
     if CHUNK not in df.columns:
         cols = df.select(*dict.fromkeys([*keys, *order, price, *signals])).filter(valid_price(F.col(price)))
         s = plain(cols, keys, order) if chunked is False else sequence(cols, keys, order)
-        df, chunked = s.positioned().filter(REAL), s.chunked
+        df, chunked = s.positioned().filter(REAL), s.form
     x = _state_frame(df.select(*dict.fromkeys([*keys, *order, price, *signals, CHUNK, ORD])), signals, keys, price, bool(chunked))
     if chunked:
         cond = None
         for j, k in enumerate([*keys, CHUNK]):
             one = F.col(k).eqNullSafe(F.col(f"__{j}"))
             cond = one if cond is None else cond & one
-        x = x.join(F.broadcast(_carry(x, n, keys, price)), cond, "left").drop(*[f"__{j}" for j in range(len(keys) + 1)])
+        carry = _carry(x, n, keys, price)
+        x = x.join(carry if chunked == RANGED else F.broadcast(carry), cond, "left").drop(*[f"__{j}" for j in range(len(keys) + 1)])
     else:
         none = {f"_c{t}{i}": F.lit(None).cast("string" if t == "d" else "double") for i in range(n) for t in "dgb"}
         none |= {f"_{v}u{i}": F.lit(None).cast("double") for i in range(n) for v in ("g", "bp")}

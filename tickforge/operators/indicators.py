@@ -195,13 +195,13 @@ def indicator_frame(s: Sequenced, price: str = "price", with_next: bool = False)
 
 
 def sequenced_indicators(df: DataFrame, keys=("symbol",), order=("ts", "event_id"), price: str = "price",
-                         chunked: bool = True, with_next: bool = False) -> tuple[DataFrame, bool]:
+                         chunked: bool = True, with_next: bool = False) -> tuple[DataFrame, str | bool]:
     """``with_indicators`` that keeps the chunk and ordinal of every row, for
-    operators that go on in the same partitions; and whether any key was cut."""
+    operators that go on in the same partitions; and how keys were cut (``Sequenced.form``)."""
     keys, order = list(keys), list(order)
     s = sequence(df, keys, order, before=HISTORY - 1, after=1 if with_next else 0) if chunked else plain(df, keys, order)
     out = indicator_frame(s, price, with_next=with_next)
-    return out.drop(*[c for c in out.columns if c.startswith("_") and c not in (CHUNK, ORD)]), s.chunked
+    return out.drop(*[c for c in out.columns if c.startswith("_") and c not in (CHUNK, ORD)]), s.form
 
 
 def with_indicators(df: DataFrame, keys=("symbol",), order=("ts", "event_id"), price: str = "price",

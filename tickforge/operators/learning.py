@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.signals import MODEL_SIGNALS, UP, training_gate
-from ..plans.sequence import ORD, REAL, TIE, plain, sequence
+from ..plans.sequence import AT, ORD, PLACE, REAL, TIE, plain, sequence
 from ..session import scratch_path
 from . import trees
 from .indicators import HISTORY, balanced_sql, newest, with_indicators
@@ -61,7 +61,7 @@ def next_tick_labels(df: DataFrame, keys=("symbol",), order=("ts", "event_id"),
     x = x.withColumn("label", F.when(F.col("next_price") > F.col(price), F.lit(1)).otherwise(F.lit(0)))
     if mode == "drop":
         x = x.filter(F.col("next_price").isNotNull())
-    return x.withColumnRenamed(ORD, "tick_index").drop("_chunk", "_cb", REAL, TIE)
+    return x.withColumnRenamed(ORD, "tick_index").drop("_chunk", "_cb", REAL, TIE, PLACE, AT)
 
 
 def labels_from_next(features: DataFrame, price: str = "current_price") -> DataFrame:

@@ -24,10 +24,10 @@ each cell's ordinals, hence the chunks that it overlaps.
 
 The placement tables are built when the plan is built, by one narrow scan per
 level (keys and two order columns, partial aggregation), and written once to
-the shared folder; all uses read them from there.  C is ``chunk_rows`` or, for
-very large inputs, a ``MAX_CHUNKS``-th of the rows, so these tables have at
-most about ``fine_buckets * MAX_CHUNKS`` rows at any input size: that bound,
-not an estimate, is why they are broadcast.
+the shared folder; all uses read them from there.  They have at most about
+``fine_buckets * MAX_CHUNKS`` rows: that bound, not an estimate, is why they are
+broadcast.  Inputs of more than ``MAX_CHUNKS`` chunks are placed by ``ranged``
+instead, where nothing is broadcast: C stays what it is at any input size.
 
 The main pass is one scan, the broadcast joins, and **one hash shuffle on
 (key, _chunk)**.  Inside a chunk a row's per-key ordinal is the first cell's
@@ -53,6 +53,8 @@ BUCKET_START = "_cb"
 ORD = "_ord"
 REAL = "_real"
 TIE = "_tie"
+PLACE, AT = "_place", "_at"
+RANGED = "ranged"
 
 MAX_CHUNKS = 4096
 LEVELS = 4
@@ -87,15 +89,25 @@ class Sequenced:
     order: list
     chunk_rows: int
     chunked: bool = True
+    placed: bool = False  # by ``ranged``: rows have a place in the whole order
+
+    @property
+    def form(self) -> str | bool:
+        """False: keys are whole; else how they are cut (``RANGED``: into any number of chunks)."""
+        return RANGED if self.placed else self.chunked
 
     @property
     def window(self) -> WindowSpec:
+        if self.placed:
+            return Window.partitionBy(*self.keys, CHUNK).orderBy(PLACE)
         return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order, *([TIE] if self.chunked else []))
 
     def positioned(self) -> DataFrame:
         """Adds ``_ord`` (0-based ordinal inside the key) and ``_real``
         (the row belongs to this chunk, i.e. is not a halo copy)."""
         w = self.window
+        if self.placed:  # a key in one partition counts from its first row
+            return self.df.withColumn(ORD, F.coalesce(F.col(AT), (F.row_number().over(w) - 1).cast("long")))
         ordinal = (F.first(BUCKET_START).over(w.rowsBetween(Window.unboundedPreceding, 0))
                    + F.row_number().over(w) - F.lit(1))
         lo = F.col(CHUNK) * F.lit(self.chunk_rows)
@@ -164,9 +176,11 @@ def sequence(df: DataFrame, keys: list, order: list, before: int = 0, after: int
     narrow = base.select(*keys, "_t1", "_t2")
     cells = kept(narrow.groupBy(*keys).agg(*_stats()), "keys")
     total, largest = cells.agg(F.sum("_cnt"), F.max("_cnt")).first()
-    C = max(least, -(-int(total or 0) // MAX_CHUNKS))
+    C = least
     if (largest or 0) <= C:  # every key is one chunk: nothing to place
         return plain(df, keys, order)
+    if total > MAX_CHUNKS * C:
+        return ranged(df, keys, order, before, after, C, -(-total // C))
     fine = max(1, C // int(fine_buckets or conf_fine_buckets(spark)))
 
     tables = [cells.filter(F.col("_cnt") > C)]
@@ -203,6 +217,56 @@ def sequence(df: DataFrame, keys: list, order: list, before: int = 0, after: int
     return Sequenced(y, keys, order, C)
 
 
+def ranged(df: DataFrame, keys: list, order: list, before: int, after: int, chunk_rows: int, parts: int) -> Sequenced:
+    """Placement of any number of chunks: range partitions of the whole order are the chunks.
+
+    The rows are range-partitioned by (keys, order) into ``parts``, sorted and
+    written once, each with its place.  A key in several partitions has a small
+    row per partition: its start in the key and the neighbours that its last and
+    first rows reach as halo.  There are at most two such rows per partition; they
+    meet the rows by an ordinary join, which shuffles both sides evenly where they
+    are too many to broadcast.  A row is then copied to the chunks that need it.
+    Partition sizes are as even as the range sampling makes them.  Rows that agree
+    in the whole order and in all columns stay in one partition.
+    """
+    spark = df.sparkSession
+    folder = scratch_path(spark, f"ranged-{uuid.uuid4().hex}")
+
+    def kept(table: DataFrame, name: str) -> DataFrame:
+        table.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(table.schema).parquet(f"{folder}/{name}")
+
+    by = [*keys, *order, TIE]
+    rows = kept(df.withColumn(TIE, F.xxhash64(*df.columns)).repartitionByRange(parts, *by).sortWithinPartitions(*by)
+                .withColumn(PLACE, F.monotonically_increasing_id()), "rows")
+    part = F.shiftright(PLACE, 33)  # the partition, by the definition of the place
+    of_key = Window.partitionBy(*keys).orderBy("_part")
+    each = rows.groupBy(*keys, part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min(PLACE).alias("_first"))
+    some = (each.withColumns({CHUNK: (F.row_number().over(of_key) - 1).cast("long"), "_all": F.count(F.lit(1)).over(Window.partitionBy(*keys)),
+                              "_start": F.coalesce(F.sum("_n").over(of_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")})
+            .filter(F.col("_all") > 1))
+    other = F.struct(CHUNK, "_start", (F.col("_start") + F.col("_n") - 1).alias("_end"))
+    none = F.array().cast(f"array<struct<{CHUNK}:bigint,_start:bigint,_end:bigint>>")
+    later = F.collect_list(other).over(of_key.rowsBetween(1, before)) if before else none
+    earlier = F.collect_list(other).over(of_key.rowsBetween(-after, -1)) if after else none
+    borders = some.withColumns({"_later": later, "_earlier": earlier}).select(
+        *[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)], "_part", CHUNK, "_start", "_first",
+        F.filter("_later", lambda q: q["_start"] - before < F.col("_start") + F.col("_n")).alias("_later"),
+        F.filter("_earlier", lambda q: q["_end"] + after >= F.col("_start")).alias("_earlier"))
+    borders = kept(borders, "borders")
+
+    same = part == F.col("_part")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__{i}"))
+    own = F.coalesce(CHUNK, F.lit(0).cast("long"))
+    near = rows.join(borders, same, "left").withColumn(AT, F.col("_start") + F.col(PLACE) - F.col("_first"))
+    reached = F.concat(F.array(own), F.transform(F.filter("_later", lambda q: F.col(AT) >= q["_start"] - before), lambda q: q[CHUNK]),
+                       F.transform(F.filter("_earlier", lambda q: F.col(AT) <= q["_end"] + after), lambda q: q[CHUNK]))
+    dealt = near.withColumns({"_to": F.explode(F.when(F.col("_start").isNull(), F.array(own)).otherwise(reached)), "_own": own})
+    y = dealt.withColumns({CHUNK: F.col("_to"), REAL: F.col("_to") == F.col("_own")}).select(*df.columns, CHUNK, PLACE, AT, REAL)
+    return Sequenced(y, keys, order, chunk_rows, placed=True)
+
+
 def plain(df: DataFrame, keys: list, order: list) -> Sequenced:
     """One window partition per key: the form for bounded keys and for
     micro-batches, and what the chunked form is checked against."""
