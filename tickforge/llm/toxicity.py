@@ -36,6 +36,7 @@ BITS = 18
 PREFIX = 4  # bytes of a word's beginning
 FOLDS = 3
 TRAIN_ROWS = 12_000
+ROW_FEATURES = 8192  # of a training row; a longer one gives a hash-drawn choice of them (scoring uses all)
 STEPS = 60
 RATE = 0.3
 L1 = 5e-4  # leaves a few hundred words and beginnings with a weight
@@ -143,13 +144,22 @@ def _take(idx: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarr
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, folder: str, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """Written table (fold, idx, y): hashed features and category labels of the drawn rows."""
+    """Written table (fold, idx, y): hashed features and category labels of the drawn rows.
+
+    About ``train_rows`` ids are drawn, and of the different texts that these ids
+    have again about ``train_rows``: repeated rows count once, and an id that many
+    rows share adds no more than that.
+    """
     one = (labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("l_id")).agg(F.max("toxic").alias("toxic")))
     n = one.count()
     place = F.pmod(F.xxhash64(F.lit("draw"), "l_id"), F.lit(1 << 32))
     drawn = one.filter(place < int(min(1.0, train_rows / max(n, 1)) * (1 << 32)) + 1)
-    rows = (docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("l_id"))
-            .select(F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold"), "toxic", "text"))
+    near = (docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("l_id"))
+            .withColumn("name", F.xxhash64("doc_id", F.coalesce("text", F.lit("")))))
+    m = near.select("name").distinct().count()
+    own = F.pmod(F.xxhash64(F.lit("row"), "name"), F.lit(1 << 32))
+    some = near.filter(own < int(min(1.0, train_rows / max(m, 1)) * (1 << 32)) + 1).dropDuplicates(["name"])
+    rows = some.select(F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold"), "toxic", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHasher(PUNCTUATION)
@@ -159,6 +169,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, folder: str, train_rows:
             for t, toxic in zip(b.column("text").cast(pa.binary()), b.column("toxic").to_pylist()):
                 t = t.as_py() or b""
                 feats, _ = text_features([t], words)
+                if len(feats) > ROW_FEATURES:
+                    feats = np.sort(feats[np.argsort(feats * 0x9E3779B1 % (1 << 32), kind="stable")[:ROW_FEATURES]])
                 idx.append(feats.astype("<i4").tobytes())
                 has = set(words.hashes(t).tolist())
                 y.append([int(toxic > 0 and (not c.words or bool(has & s))) for c, s in zip(CATEGORIES, lists)])
@@ -196,7 +208,8 @@ def fit_chain(sample: DataFrame) -> list[Model]:
     copies = sample.withColumn("model", F.explode(F.array(*[F.lit(m) for m in range(FOLDS + 1)])))
     for c in range(len(CATEGORIES)):
         train = _trainer(c, spark.sparkContext.broadcast(by_fold))
-        rows = copies.groupBy("model").applyInArrow(train, "model int, features binary, chain array<double>, intercept double").collect()
+        # a range for each model, so that no two meet in one task
+        rows = copies.repartitionByRange(FOLDS + 1, "model").groupBy("model").applyInArrow(train, "model int, features binary, chain array<double>, intercept double").collect()
         found = {r["model"]: Model(np.frombuffer(r["features"], dtype=np.float32), np.array(r["chain"], dtype=float), r["intercept"]) for r in rows}
         none = Model(np.zeros(1 << BITS, dtype=np.float32), np.zeros(c), float(_odds(np.zeros(1))[0]))
         by_fold.append([found.get(m, none) for m in range(FOLDS + 1)])

@@ -247,7 +247,10 @@ def read_captures(keys: DataFrame, manifest: DataFrame, folder: str, columns: tu
     fields = [f.strip().split(" ") for f in CAPTURE.split(",")]
     pick = [f for f in fields if not columns or f[0] in columns]
     shards = [(r["shard"], r["first_key"], r["first_id"]) for r in manifest.collect()]  # one row per write task
-    dealt = keys.select("url_key", "page_id").repartitionByRange("url_key", "page_id").sortWithinPartitions("url_key", "page_id")
+    wanted = keys.select("url_key", "page_id")
+    # as many tasks as wrote: those were dealt by payload bytes, of which a key shows nothing
+    dealt = wanted.repartitionByRange(max(1, len(shards)), "url_key", "page_id").sortWithinPartitions("url_key", "page_id")
+    shared = keys.sparkSession.sparkContext.broadcast(shards)
     if not shards:
         return dealt.limit(0).mapInArrow(lambda it: it, ", ".join(map(" ".join, pick)))
 
@@ -267,7 +270,7 @@ def read_captures(keys: DataFrame, manifest: DataFrame, folder: str, columns: tu
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, last = None, None
         for b in batches:
-            index = index or CaptureIndex(folder, shards)
+            index = index or CaptureIndex(folder, shared.value)
             rows = []
             for key in zip(b.column("url_key").to_pylist(), b.column("page_id").to_pylist()):
                 if key != last:
