@@ -85,3 +85,13 @@ def test_edges(spark):
     got = sorted(((r.doc_id, r.n_words, r.base_failed, r.kept) for r in Q.judge(df, none).collect()), key=str)
     assert got == sorted([(1, 60, True, False), (1, 60, True, False), (None, 0, True, False), (2, 80, False, True)], key=str)
     assert Q.judge(df.limit(0), none).count() == 0
+
+
+def test_repeated_labels_count_once_and_rows_in_any_order_give_one_forest(spark):
+    rows = [(i, 0.001 * (i % 400), 0.1, 0.2, 5.0) for i in range(400)]
+    df = spark.createDataFrame([(i, a + (0.5 if i < 40 else 0)) for i, a, *_ in rows], "doc_id long, anomaly double")
+    once = spark.createDataFrame([(i, int(i >= 40)) for i in range(400)], "doc_id long, quality int")
+    assert Q.threshold(df, once) == Q.threshold(df, once.unionByName(once.filter("doc_id < 5 or doc_id > 390")).unionByName(once))
+    stats = Q.measured(spark.createDataFrame([(i % 50, f"word{i % 7} more, words! here {i % 3}") for i in range(3000)], "doc_id long, text string"))
+    a, b = (Q.fit(x, trees=4, subsample=32) for x in (stats.repartition(7), stats.repartition(3, "n_words")))
+    assert all(np.array_equal(x, vars(b)[k]) for k, x in vars(a).items())

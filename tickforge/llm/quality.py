@@ -172,12 +172,12 @@ def fit(stats: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE, seed:
     """Forest on hash-drawn rows of the measured corpus: about trees x subsample of them."""
     want = trees * subsample
     n = stats.count()
-    picked = stats
+    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", *COUNTS), F.lit(1 << 32))
+    picked = stats.withColumn("place", place)
     if n > want:
-        share = int(1.1 * want / n * (1 << 32)) + 1
-        place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", *COUNTS), F.lit(1 << 32))
-        picked = stats.filter(place < share)
-    rows = picked.select(*RATIOS).limit(2 * want).collect()
+        picked = picked.filter(F.col("place") < int(1.1 * want / n * (1 << 32)) + 1)
+    # repeated rows share a place: the least places, whatever order the rows come in
+    rows = picked.orderBy("place", *RATIOS).select(*RATIOS).limit(2 * want).collect()
     x = np.array([tuple(r) for r in rows], dtype=float).reshape(len(rows), len(RATIOS))
     return grow(x[np.lexsort(x.T)] if len(x) else x, trees, subsample, seed)
 
@@ -194,8 +194,9 @@ def scored(stats: DataFrame, forest: Forest) -> DataFrame:
 
 
 def threshold(rows: DataFrame, labels: DataFrame, keep_good: float = KEEP_GOOD) -> float:
-    """Score from which documents are rejected, from all labelled rows."""
-    marked = labels.filter("doc_id is not null and quality is not null").select(F.col("doc_id").alias("l_id"), (F.col("quality") > 0).cast("int").alias("good"))
+    """Score from which documents are rejected, from all labelled rows; of several labels of a document the worst counts."""
+    marked = (labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("l_id"))
+              .agg(F.min((F.col("quality") > 0).cast("int")).alias("good")))
     hist = (rows.join(marked, F.col("doc_id") == F.col("l_id"))
             .groupBy(F.floor(F.col("anomaly") * BINS).cast("int").alias("bin")).agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
             .collect())
