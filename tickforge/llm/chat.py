@@ -113,10 +113,9 @@ def formatted(conversations: DataFrame, id_col: str = "conv_id", turn_col: str =
     kept = maximal(p).withColumnRenamed(_ID, "k_id")
     places = (p.select(F.col(_ID).alias("p_id"), "n", F.col("h1").alias("g1"), F.col("h2").alias("g2"))
               .join(kept, F.col("p_id").eqNullSafe(F.col("k_id"))).drop("k_id"))
-    said = t.select(_ID, "h1", "h2", "role", "text").distinct()
-    rows = said.join(places, F.col(_ID).eqNullSafe(F.col("p_id")) & (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
+    rows = t.select(_ID, "h1", "h2", "role", "text").join(places, F.col(_ID).eqNullSafe(F.col("p_id")) & (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")))
     part = F.floor((F.col("n") - 1) / PART_TURNS).cast("long").alias("part")
-    parts = rows.groupBy(_ID, part).agg(F.sort_array(F.collect_list(F.struct("n", "role", "text"))).alias("said"),
+    parts = rows.groupBy(_ID, part).agg(F.sort_array(F.collect_set(F.struct("n", "role", "text"))).alias("said"),
                                         F.min("n_turns").alias("n_turns"), F.min("n_copies").alias("n_copies"))
     marked = F.transform("said", lambda s: F.concat(F.lit(OPEN), s["role"], F.lit("\n"), s["text"], F.lit(CLOSE)))
     return parts.select(_ID, "part", "n_turns", "n_copies", F.array_join(marked, "").alias("rendered"))
