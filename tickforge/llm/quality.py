@@ -2,9 +2,12 @@
 
 Every text is measured by a few counts.  The isolation forest separates rows
 by random splits of the derived ratios: rows that few splits isolate are
-anomalies.  Each tree grows on its own subsample (the method's own bound:
+anomalies.  One forest sees the ratios of shape, one those of repetition
+(``GROUPS``), each with its own threshold; a row over either is rejected.  (In
+one forest over all ratios, repeats, which good texts hold too, push the good
+texts' scores above those of bad texts without repeats.)  Each tree grows on its own subsample (the method's own bound:
 ``TREES`` x ``SUBSAMPLE`` rows, taken by hash over the whole corpus); scores
-and the threshold cover all rows.  The threshold comes from the labelled rows'
+and the thresholds cover all rows.  A threshold comes from the labelled rows'
 score histogram: of the scores that still keep ``KEEP_GOOD`` of the good
 documents, the one with the best balance of rejected bad and good ones
 (``GOOD_WEIGHT``), in the middle of equals.
@@ -38,7 +41,9 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-RATIOS = ("r_symbols", "r_upper", "r_marks", "word_length")  # repeats are left to the base rules: clean texts have them too
+GROUPS = {"shape": ("r_symbols", "r_upper", "r_marks", "word_length"), "repeats": ("r_dup_lines", "r_repeat")}
+RATIOS = tuple(r for some in GROUPS.values() for r in some)
+SCORES = tuple(f"anomaly_{g}" for g in GROUPS)
 
 _SYMBOLS = b"#*$%&|<>"
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
@@ -82,7 +87,8 @@ def measure(text: str | None) -> tuple:
     upper = len(raw) - len(raw.translate(None, _UPPER))
     letters = upper + len(raw) - len(raw.translate(None, _LOWER))
     return (n, chars, symbols, dup_lines, repeats,
-            symbols / max(chars, 1), upper / max(letters, 1), raw.count(b"!") / max(chars, 1), min(chars / max(n, 1), 30.0))
+            symbols / max(chars, 1), upper / max(letters, 1), raw.count(b"!") / max(chars, 1), min(chars / max(n, 1), 30.0),
+            dup_lines / max(len(lines), 1), repeats / max(n, 1))
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,8 +174,8 @@ def grow(rows: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed:
     return Forest(*(np.array(c) for c in (feature, threshold, left, right, length)), np.array(roots, dtype=int), size)
 
 
-def fit(stats: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED) -> Forest:
-    """Forest on hash-drawn rows of the measured corpus: about trees x subsample of them."""
+def fit(stats: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED) -> dict[str, Forest]:
+    """A forest per group of ratios on hash-drawn rows of the measured corpus: about trees x subsample of them."""
     want = trees * subsample
     n = stats.count()
     place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", *COUNTS), F.lit(1 << 32))
@@ -179,31 +185,37 @@ def fit(stats: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE, seed:
     # repeated rows share a place: the least places, whatever order the rows come in
     rows = picked.orderBy("place", *RATIOS).select(*RATIOS).limit(2 * want).collect()
     x = np.array([tuple(r) for r in rows], dtype=float).reshape(len(rows), len(RATIOS))
-    return grow(x[np.lexsort(x.T)] if len(x) else x, trees, subsample, seed)
+    x = x[np.lexsort(x.T)] if len(x) else x
+    return {g: grow(x[:, [RATIOS.index(r) for r in some]], trees, subsample, seed + k) for k, (g, some) in enumerate(GROUPS.items())}
 
 
-def scored(stats: DataFrame, forest: Forest) -> DataFrame:
-    """The measured rows with ``anomaly``."""
+def scored(stats: DataFrame, forests: dict[str, Forest]) -> DataFrame:
+    """The measured rows with SCORES."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in RATIOS])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(forest.scores(x))], names=[*b.schema.names, "anomaly"])
+            scores = [pa.array(forests[g].scores(np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in some]))) for g, some in GROUPS.items()]
+            yield pa.RecordBatch.from_arrays([*b.columns, *scores], names=[*b.schema.names, *SCORES])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stats.schema.fields)
-    return stats.mapInArrow(work, f"{fields}, anomaly double")
+    fields = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in stats.schema.fields] + [f"{x} double" for x in SCORES])
+    return stats.mapInArrow(work, fields)
 
 
-def threshold(rows: DataFrame, labels: DataFrame, keep_good: float = KEEP_GOOD) -> float:
-    """Score from which documents are rejected, from all labelled rows; of several labels of a document the worst counts."""
+def thresholds(rows: DataFrame, labels: DataFrame, keep_good: float = KEEP_GOOD) -> dict[str, float]:
+    """Scores from which documents are rejected, from all labelled rows; of several labels of a document the worst counts."""
     marked = (labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("l_id"))
               .agg(F.min((F.col("quality") > 0).cast("int")).alias("good")))
-    hist = (rows.join(marked, F.col("doc_id") == F.col("l_id"))
-            .groupBy(F.floor(F.col("anomaly") * BINS).cast("int").alias("bin")).agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
-            .collect())
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("score"), F.floor(F.col(c) * BINS).cast("int").alias("bin")) for c in SCORES]))
+    hist = (rows.join(marked, F.col("doc_id") == F.col("l_id")).select("good", each.alias("s"))
+            .groupBy("s.score", "s.bin").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad")).collect())
+    return {c: _cut([(r["bin"], r["good"], r["bad"]) for r in hist if r["score"] == c], keep_good) for c in SCORES}
+
+
+def _cut(hist: list[tuple[int, int, int]], keep_good: float) -> float:
+    """Best threshold of a histogram (bin, good, bad); none without good and bad rows or without a gain."""
     good, bad = np.zeros(BINS + 2), np.zeros(BINS + 2)
-    for r in hist:
-        good[r["bin"]] += r["good"]
-        bad[r["bin"]] += r["bad"]
+    for at, g, b in hist:
+        good[at] += g
+        bad[at] += b
     if not good.sum() or not bad.sum():
         return float("inf")
     above_good, above_bad = good[::-1].cumsum()[::-1] / good.sum(), bad[::-1].cumsum()[::-1] / bad.sum()
@@ -218,10 +230,12 @@ def base_failed():
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, COUNTS, base_failed, kept, anomaly of every document."""
+    """doc_id, COUNTS, base_failed, kept, SCORES of every document."""
     folder = run_folder(docs.sparkSession, "quality")
     stats = written(measured(docs, id_col, text_col), f"{folder}/stats")
     rows = written(scored(stats, fit(stats)), f"{folder}/scored")
-    limit = threshold(rows.filter(~base_failed()), labels)
-    return rows.select("doc_id", *COUNTS, base_failed().alias("base_failed"),
-                       (~base_failed() & (F.col("anomaly") < F.lit(limit))).alias("kept"), "anomaly")
+    limits = thresholds(rows.filter(~base_failed()), labels)
+    kept = ~base_failed()
+    for c in SCORES:
+        kept = kept & (F.col(c) < F.lit(limits[c]))
+    return rows.select("doc_id", *COUNTS, base_failed().alias("base_failed"), kept.alias("kept"), *SCORES)
