@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickforge.session import checkpoint_dir
 from tickforge.sources.tables import read_table
 
-__all__ = ["read_table", "run_folder", "written", "numbered", "byte_slices", "distinct", "WordHasher", "SPACES"]
+__all__ = ["read_table", "run_folder", "written", "numbered", "byte_slices", "distinct", "WordHasher", "mix", "SPACES"]
 
 MOST_TEXTS = 4096  # hashed together
 # The white space of the word pattern [^\x20\x09-\x0D]+.
@@ -55,7 +55,7 @@ def byte_slices(col: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int]
         lo = hi
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
+def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (xor-shift, odd multiplications)."""
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
@@ -145,8 +145,8 @@ class WordHasher:
         place = np.arange(first, len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
         np.minimum(place, longest, out=place)  # separators count nothing, wherever they are
         term = self.value[data[first:]] * self.powers(longest + 1)[place]
-        h = _mix(np.add.reduceat(term, starts - first) + size.astype(np.uint64))
+        h = mix(np.add.reduceat(term, starts - first) + size.astype(np.uint64))
         if not prefix:
             return starts, h, None
         term[place >= prefix] = 0
-        return starts, h, _mix(np.add.reduceat(term, starts - first) + np.minimum(size, prefix).astype(np.uint64))
+        return starts, h, mix(np.add.reduceat(term, starts - first) + np.minimum(size, prefix).astype(np.uint64))
