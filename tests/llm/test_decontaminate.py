@@ -77,7 +77,7 @@ def test_exact_passages_of_the_given_tables(spark):
 def test_answer_column_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten"), (2, "one two three four five six seven eight nine ten eleven twelve")], "doc_id long, text string")
     bench = spark.createDataFrame([(5, "one two three four five six seven eight nine ten eleven twelve", "eleven twelve")], "item_id long, text string, answer string")
-    assert [(r.doc_id, r.item_id) for r in D.leaks(docs, bench).collect()] == [(2, 5)]
+    assert [(r.doc_id, r.item_id) for r in D.leaks(docs, bench, answer_col="answer").collect()] == [(2, 5)]
     assert D.leaks(docs.limit(0), bench).count() == 0 and D.leaks(docs, bench.limit(0)).count() == 0
     assert D.clean(docs.limit(0), bench).count() == 0 and D.clean(docs, bench.limit(0)).count() == 2
 
@@ -172,5 +172,31 @@ def test_separate_answer_after_the_question(spark):
     question, answer, other = (" ".join(f"{name}{rnd.randrange(10 ** 6)}" for _ in range(n)) for name, n in (("q", 40), ("a", 20), ("o", 25)))
     rows = [*docs, (1000, f"{docs[0][1]} {question} {answer} {docs[1][1]}"), (1001, f"{docs[2][1]} {answer} {question}"), (1002, f"{question} {other} {docs[3][1]}")]
     bench = spark.createDataFrame([(5, question, answer)], "item_id long, text string, answer string")
-    got = D.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    got = D.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench, answer_col="answer").collect()
     assert sorted((r.doc_id, r.common_words, r.answer_found) for r in got) == [(1000, 40, 20), (1001, 40, 20)]
+
+
+def test_one_block_is_held_at_a_time(spark, monkeypatch):
+    docs, items, _ = corpus(11)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, t, "unrelated words") for i, t in items], "item_id long, text string, answer string")
+    want = sorted(map(tuple, D.leaks(df, bench.drop("answer")).collect()))
+    from pyspark.core.broadcast import Broadcast
+    live, most, make, destroy = set(), [], spark.sparkContext.broadcast, Broadcast.destroy
+
+    def made(value):
+        b = make(value)
+        live.add(id(b)) if isinstance(value, list) else None
+        most.append(len(live))
+        return b
+
+    def destroyed(self, *given):
+        live.discard(id(self))
+        return destroy(self, *given)
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", made)
+    monkeypatch.setattr(Broadcast, "destroy", destroyed)
+    size = max(1, len(items) // 20)
+    # a column that happens to be named answer says nothing
+    assert sorted(map(tuple, D.leaks(df, bench, block_items=size).collect())) == want and want
+    assert len(most) > 10 and max(most) == 1 and not live

@@ -16,7 +16,7 @@
    with the item's windows, so a verbatim copy has its exact window.
 5. Each candidate's surroundings are compared with the whole item: the longest
    common subsequence must cover ``MIN_LCS`` of the item's words, and that of
-   the answer (column ``answer``, else the item's last sentence) ``MIN_ANSWER``
+   the answer (column ``answer_col``, else the item's last sentence) ``MIN_ANSWER``
    of the answer's words.  An answer that is no part of the item's text is
    looked for as many words further on both sides as it has.
 
@@ -370,19 +370,30 @@ class Searcher:
         return best
 
 
-def _read_block(bench: DataFrame, id_col: str, text_col: str, block: int, blocks: int) -> list[Item]:
-    answer = F.col("answer").cast("string") if "answer" in bench.columns else F.lit(None).cast("string")
+def _in_blocks(bench: DataFrame, id_col: str, text_col: str, answer_col: str | None, blocks: int, path: str) -> DataFrame:
+    """The distinct items with their block, written once, a folder a block."""
+    answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     part = bench.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("item_id"), F.col(text_col).cast("string").alias("text"), answer.alias("answer")).distinct()
-    rows = part.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+    part = part.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int"))
+    part.repartition("block").write.partitionBy("block").parquet(path)
+    return bench.sparkSession.read.schema(part.schema).parquet(path)
+
+
+def _read_block(items: DataFrame, block: int) -> list[Item]:
+    rows = items.filter(F.col("block") == block).select("item_id", "text", "answer").collect()
     hasher = WordHasher(PUNCTUATION)
     found = [read_item(r["item_id"], r["text"], r["answer"], hasher) for r in sorted(rows, key=str)]
     return [x for x in found if x is not None]
 
 
 def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-          item_text_col: str = "text", min_cosine: float = MIN_COSINE, block_items: int = BLOCK_ITEMS) -> DataFrame:
+          item_text_col: str = "text", min_cosine: float = MIN_COSINE, block_items: int = BLOCK_ITEMS, answer_col: str | None = None) -> DataFrame:
     """(doc_id, text_hash, item_id, common_words, item_words, answer_found, answer_words, word_offset)
-    of every document and benchmark item that it contains or paraphrases."""
+    of every document and benchmark item that it contains or paraphrases.
+
+    One block of items at a time is read, broadcast, searched for in all
+    documents and forgotten; what it found is written to the shared folder.
+    ``answer_col`` names a column with the items' answers, if there is one."""
     spark = docs.sparkSession
     folder = run_folder(spark, "decontaminate")
     tokens = tokenised(docs, f"{folder}/words", id_col, text_col)
@@ -396,11 +407,13 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
     from pyspark.sql.pandas.types import to_arrow_type
     item_arrow = to_arrow_type(bench.schema[item_id_col].dataType)
     rows = tokens.filter("words is not null").select("doc_id", "text_hash", "words")
-    found = None
+    benchmark = _in_blocks(bench, item_id_col, item_text_col, answer_col, blocks, f"{folder}/items")
+    paths: list[str] = []
     for k in range(blocks):
-        items = spark.sparkContext.broadcast(_read_block(bench, item_id_col, item_text_col, k, blocks))
-        if not items.value:
+        block = _read_block(benchmark, k)
+        if not block:
             continue
+        items = spark.sparkContext.broadcast(block)
 
         def work(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(items.value, *shared.value, min_cosine)
@@ -424,10 +437,12 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
                             names=["doc_id", "text_hash", "item_id", "common_words", "item_words", "answer_found", "answer_words", "word_offset"])
                     lo = hi
 
-        part = rows.mapInArrow(work, schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
+        paths.append(f"{folder}/found/{k}")
+        rows.mapInArrow(work, schema).write.parquet(paths[-1])
+        items.destroy()
+    if not paths:
         return spark.createDataFrame([], schema)
+    found = spark.read.schema(schema).parquet(*paths)
     best = F.max(F.struct((F.col("common_words") / F.col("item_words")).alias("share"), "common_words", "item_words", "answer_found", "answer_words",
                           (-F.col("word_offset")).alias("back")))
     return (found.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("b"))
