@@ -41,3 +41,24 @@ def test_empty(spark):
     assert U.judge(df, [U.Rule("net", "/", "block")]).count() == 0
     some = spark.createDataFrame([(1, "http://a/b")], "page_id long, url string")
     assert U.judge(some, []).collect()[0].verdict == "allow"
+
+
+def test_rules_in_blocks_and_long_urls(spark):
+    rnd = random.Random(5)
+    rules = [U.Rule(f"h{rnd.randrange(30)}.net", f"/{rnd.choice('abc') * rnd.randint(0, 6)}{rnd.choice(['', '/', '/x'])}", rnd.choice(["allow", "block"])) for _ in range(600)]
+    rules += [U.Rule("H1.net", "/same", "allow"), U.Rule("h1.NET", "/same", "block"), U.Rule("deep.net", "/" * 5000, "block"), U.Rule("long.net", "/" + "z" * 6000, "allow")]
+    urls = [f"http://{rnd.choice(['', 'w.'])}h{rnd.randrange(32)}.net/{rnd.choice('abc') * rnd.randint(0, 7)}{rnd.choice(['', '/', '/xy'])}" for _ in range(600)]
+    urls += ["http://h1.net/same", "http://deep.net" + "/" * 100_000, "http://long.net/" + "z" * 50_000, "http://" + "a." * 20_000 + "h1.net/a"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    table = spark.createDataFrame([*rules, U.Rule(None, "/", "block"), U.Rule("net", None, "block")], U.RULE_SCHEMA)
+    want = [(i, *slow(u, [r._replace(host=r.host.lower()) for r in rules])) for i, u in enumerate(urls)]
+    for most in (U.MAX_TRIE_BYTES, 400_000):
+        got = U.judge(df, table, max_trie_bytes=most)
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_many_rules_of_one_folder():
+    trie = U.Trie([U.Rule("net", f"/p{i}", "block") for i in range(100_000)])
+    got = [trie.match("a.net", f"/p{i}x") for i in range(0, 100_000, 10)]
+    assert [g[2] for g in got] == [f"net/p{i}" for i in range(0, 100_000, 10)]
+    assert trie.match("net", "/q") == U.NO_RULE
