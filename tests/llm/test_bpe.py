@@ -54,3 +54,22 @@ def test_query_form(spark):
     assert sorted((r.doc_id, r.text) for r in back if r.doc_id is not None) == sorted((r[0], r[1]) for r in rows if r[0] is not None)
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert B.round_trip_digests(empty, PATH).count() == 0
+
+
+def test_long_words_are_cut_where_no_token_reaches_across(monkeypatch):
+    lib, v, rnd = Tokenizer.from_file(PATH), B.vocabulary(PATH), random.Random(3)
+    cjk = "".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(120_000))
+    mixed = "".join(rnd.choice(["日本", "é", "straße", "한국어", "ing", "ñ"]) for _ in range(60_000))
+    for word in (cjk, mixed):
+        cut = v.parts(word.encode())
+        assert len(cut) > 2 and b"".join(cut) == word.encode() and max(map(len, cut)) < 2 * B.LONG
+    assert v.parts(b"a" * 200_000) == [b"a" * 200_000] and v.parts(b"ab") == [b"ab"]
+    inside = {t[i:i + 2] for t in (v.spelling[s:s + n].tobytes() for s, n in zip(v.start, v.size)) for i in range(len(t) - 1)}
+    assert sum(map(int, v.joined)) == len(inside) and all(v.joined[p[0] << 8 | p[1]] for p in inside)
+    texts_ = [cjk, "a " + mixed + " b", "ab" * 60_000, "", cjk, "x" + cjk]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts_]
+    for bound in (B.CACHE_BYTES, 1000):
+        monkeypatch.setattr(B, "CACHE_BYTES", bound)
+        monkeypatch.setattr(B, "_ROUND_BYTES", bound)
+        monkeypatch.setattr(B, "_ROUND_CHARS", bound)
+        assert [np.frombuffer(raw, dtype="<u4").tolist() for raw in B.Encoder(v).encode(texts_)] == want

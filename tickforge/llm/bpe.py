@@ -12,7 +12,10 @@ Decoding maps ids back to their bytes and the bytes to text.
 Defined results: null text counts as empty; the empty text has no tokens;
 strings of added tokens in a text become those tokens, as the vocabulary file
 asks; invalid UTF-8 from a foreign id sequence decodes to U+FFFD; an id
-outside the vocabulary adds nothing.
+outside the vocabulary adds nothing.  A text may be of any length: a long word
+is cut between two bytes that no token holds side by side, which no merge can
+cross, and encoded in parts.  Only a long word without such a place (one letter
+over and over) is held whole, with some 70 bytes of memory per byte.
 """
 
 from __future__ import annotations
@@ -32,7 +35,11 @@ from pyspark.sql import types as T
 #: Fixed value: the pre-tokenisation pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHE_CHUNKS = 400_000  # encoded chunks a task remembers; beyond it starts anew
-_ROUND = 60_000  # new chunks encoded together
+CACHE_BYTES = 64 << 20  # of those chunks and their ids
+LONG = 1 << 16  # bytes from which on a word is cut where no token reaches across
+_ROUND = 60_000  # new chunks encoded together,
+_ROUND_CHARS = 16 << 20  # of texts of so many characters,
+_ROUND_BYTES = 1 << 20  # words of so many bytes at a time
 
 
 def byte_letters() -> dict[str, int]:
@@ -71,6 +78,11 @@ class Vocabulary:
         self.size = np.array([len(s) for s in spelled], dtype=np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.spelling = np.frombuffer(b"".join(spelled) or b"\0", dtype=np.uint8)
+        self.joined = np.zeros(1 << 16, dtype=bool)  # byte pairs inside some token
+        inner = np.ones(len(self.spelling), dtype=bool)
+        inner[(self.start + self.size - 1)[self.size > 0]] = False
+        at = np.flatnonzero(inner[:-1])
+        self.joined[self.spelling[at].astype(np.int64) << 8 | self.spelling[at + 1]] = True
         self.special = regex.compile("|".join(regex.escape(s) for s in sorted(self.added, key=len, reverse=True))) if self.added else None
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -79,6 +91,20 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         return np.where(self.codes[at] == code, self.code_order[at], -1) if len(self.codes) else np.full(len(code), -1)
 
+    def parts(self, word: bytes, size: int = LONG) -> list[bytes]:
+        """The word, cut into parts of at least ``size`` bytes between bytes that no token holds side by side."""
+        out, data, begin, lo = [], np.frombuffer(word, dtype=np.uint8), 0, size
+        while lo < len(word):
+            hi = min(lo + size, len(word))
+            free = np.flatnonzero(~self.joined[data[lo - 1:hi - 1].astype(np.int64) << 8 | data[lo:hi]])
+            if len(free):
+                cut = lo + int(free[0])
+                out.append(word[begin:cut])
+                begin, lo = cut, cut + size
+            else:
+                lo = hi
+        return [*out, word[begin:]]
+
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and where each word's ids end."""
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
@@ -162,6 +188,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, cache_chunks: int = CACHE_CHUNKS):
         self.v = vocabulary
         self.limit = cache_chunks
+        self.held = 0
         self.known: dict[str, bytes] = {}
         self.find = regex.compile(PATTERN).findall
         self.runs = regex.compile(r"\s*\S+|\s+").findall
@@ -179,11 +206,26 @@ class Encoder:
         words: dict[bytes, int] = {}
         spans = []
         for c in new:
-            spans.append([words.setdefault(w.encode("utf-8", "replace"), len(words)) for w in self.find(c)])
-        ids, ends = self.v.encode_words(list(words))
-        raw, ends = ids.astype("<u4").tobytes(), (ends * 4).tolist()
+            if len(c) * 4 <= LONG:
+                spans.append([words.setdefault(w.encode("utf-8", "replace"), len(words)) for w in self.find(c)])
+            else:
+                spans.append([words.setdefault(p, len(words)) for w in self.find(c) for p in self.v.parts(w.encode("utf-8", "replace"))])
+        coded: list[bytes] = []
+        group: list[bytes] = []
+        size = 0
+        for i, w in enumerate(words, 1):
+            group.append(w)
+            size += len(w)
+            if size >= _ROUND_BYTES or i == len(words):
+                ids, ends = self.v.encode_words(group)
+                raw, lo = ids.astype("<u4").tobytes(), 0
+                for hi in (ends * 4).tolist():
+                    coded.append(raw[lo:hi])
+                    lo = hi
+                group, size = [], 0
         for c, s in zip(new, spans):
-            self.known[c] = b"".join(raw[ends[k - 1] if k else 0:ends[k]] for k in s) if len(s) > 1 else raw[ends[s[0] - 1] if s[0] else 0:ends[s[0]]]
+            self.known[c] = ids = coded[s[0]] if len(s) == 1 else b"".join([coded[k] for k in s])
+            self.held += len(c) + len(ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
@@ -193,11 +235,14 @@ class Encoder:
             # as many texts as bring about _ROUND new chunks
             split: list[list[str | int]] = []
             new: set[str] = set()
-            if len(self.known) > self.limit:
+            if len(self.known) > self.limit or self.held > CACHE_BYTES:
                 self.known.clear()
-            while lo < len(texts) and len(new) < _ROUND:
+                self.held = 0
+            chars = 0
+            while lo < len(texts) and len(new) < _ROUND and chars < _ROUND_CHARS:
                 parts: list[str | int] = []
                 text, at = texts[lo] or "", 0
+                chars += len(text)
                 if self.v.special is not None:
                     for m in self.v.special.finditer(text):
                         parts += self.chunks(text[at:m.start()]) if m.start() > at else []
