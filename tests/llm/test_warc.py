@@ -58,3 +58,9 @@ def test_files_are_plain_gzip_members_and_payloads_come_back(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert W.archive_round_trip(df).count() == 0
+
+
+def test_record_ids_differ_by_url():
+    one, two = (W.parse_record(W.record(7, u, b"same", W.base32_digest(b"same"), None))[0] for u in ("http://a/", "http://b/"))
+    again = W.parse_record(W.record(8, "http://c/", b"same", W.base32_digest(b"same"), (7, "http://b/")))[0]
+    assert one["WARC-Record-ID"] != two["WARC-Record-ID"] == again["WARC-Refers-To"]

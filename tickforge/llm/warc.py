@@ -75,21 +75,22 @@ def _header_text(s: str) -> str:
     return "".join(f"%{ord(c):02X}" if ord(c) < 32 or ord(c) == 127 else c for c in s)
 
 
-def record_id(page_id: int | None, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id} {digest}')}>"
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """The same for wholly equal captures only."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id} {digest} {url}')}>"
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers: tuple[int, str | None] | None) -> bytes:
     """One WARC 1.1 record: a response with its payload, or a revisit of ``refers`` (page id, url)."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if refers else 'response'}", f"WARC-Record-ID: {record_id(page_id, digest)}", f"WARC-Date: {DATE}",
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if refers else 'response'}", f"WARC-Record-ID: {record_id(page_id, url, digest)}", f"WARC-Date: {DATE}",
             f"WARC-Target-URI: {_header_text(url or BLANK)}", f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Payload-Length: {len(payload)}",
             "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     if page_id is not None:
         head.append(f"WARC-Page-ID: {page_id}")
     if refers:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers[0], digest)}",
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(*refers, digest)}",
                  f"WARC-Refers-To-Target-URI: {_header_text(refers[1] or BLANK)}", f"WARC-Refers-To-Page-ID: {refers[0]}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
