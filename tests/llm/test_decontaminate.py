@@ -200,3 +200,30 @@ def test_one_block_is_held_at_a_time(spark, monkeypatch):
     # a column that happens to be named answer says nothing
     assert sorted(map(tuple, D.leaks(df, bench, block_items=size).collect())) == want and want
     assert len(most) > 10 and max(most) == 1 and not live
+
+
+def test_sketch_has_no_more_partial_sums_than_cores_need(spark, tmp_path, monkeypatch):
+    """48 parts of the input, and the sums of a single pass over all rows."""
+    rng = np.random.default_rng(2)
+    docs = [(i, rng.integers(0, 1 << 32, int(rng.integers(0, 90)), dtype=np.uint32).astype("<u4").tobytes()) for i in range(480)]
+    tokens = spark.createDataFrame(docs, "doc_id long, words binary").repartition(48)
+    idf = rng.random(D.TERMS, dtype=np.float32) + 1
+    parts, plain = [], D.partial_sketches
+
+    def kept(*a):
+        parts.append(plain(*a))
+        return parts[-1]
+
+    monkeypatch.setattr(D, "partial_sketches", kept)
+    z = D.sketch(tokens, idf, 4)
+    most = D._Z_WAVES * spark.sparkContext.defaultParallelism
+    assert most < 48 and max(r["count"] for r in parts[0].groupBy("block").count().collect()) <= most
+    x, want = D.test_matrix(4).astype(float), np.zeros((D.TERMS, 4))
+    for _, raw in docs:
+        words = np.frombuffer(raw, dtype="<u4") & (D.TERMS - 1)
+        for lo in range(0, len(words), D.PASSAGE):
+            term, tf = np.unique(words[lo:lo + D.PASSAGE], return_counts=True)
+            w = tf * idf[term].astype(float)
+            w /= np.linalg.norm(w)
+            want[term] += w[:, None] * (x[term] * w[:, None]).sum(axis=0)
+    assert np.allclose(z, want, atol=1e-4)

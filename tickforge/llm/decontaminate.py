@@ -57,7 +57,7 @@ RARE = 0.25  # of an item's words, looked up besides those that may be missing
 BLOCK_ITEMS = 2_000
 SEED = 11
 _Z_BLOCK = 1024
-_Z_SHARES = 32
+_Z_WAVES = 3  # tasks of the sketch per core
 _BATCH = 1 << 18  # words handled at once
 _KNOWN_BITS = 20
 
@@ -150,8 +150,8 @@ def test_matrix(rank: int) -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((TERMS, rank), dtype=np.float32)
 
 
-def sketch(tokens: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """A^T (A X) for the TF-IDF matrix A of all passages (rows of unit length)."""
+def partial_sketches(tokens: DataFrame, idf: np.ndarray, rank: int, tasks: int) -> DataFrame:
+    """(block, z): what each of at most ``tasks`` tasks adds to a block of rows of the sketch."""
     weights = tokens.sparkSession.sparkContext.broadcast(idf)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,6 +175,11 @@ def sketch(tokens: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
                 if z[k:k + _Z_BLOCK].any():
                     yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([z[k:k + _Z_BLOCK].astype("<f4").tobytes()], pa.binary())], names=["block", "z"])
 
+    return tokens.filter("words is not null").select("words").coalesce(tasks).mapInArrow(partial, "block long, z binary")
+
+
+def sketch(tokens: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
+    """A^T (A X) for the TF-IDF matrix A of all passages (rows of unit length)."""
     def adder(kind: str):
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[int, np.ndarray] = {}
@@ -187,9 +192,12 @@ def sketch(tokens: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
 
         return add
 
-    parts = tokens.filter("words is not null").select("words").mapInArrow(partial, "block long, z binary")
+    # each task sends up to terms x rank numbers: as many tasks as the cores need, not as the input has parts
+    tasks = _Z_WAVES * tokens.sparkSession.sparkContext.defaultParallelism
+    parts = partial_sketches(tokens, idf, rank, tasks)
     # in two steps: no task reads what all tasks have gathered of a block
-    some = parts.withColumn("share", F.spark_partition_id() % _Z_SHARES).repartition("block", "share").select("block", "z").mapInArrow(adder("<f4"), "block long, z binary")
+    share = F.spark_partition_id() % math.ceil(math.sqrt(tasks))
+    some = parts.withColumn("share", share).repartition("block", "share").select("block", "z").mapInArrow(adder("<f4"), "block long, z binary")
     rows = some.repartition("block").mapInArrow(adder("<f8"), "block long, z binary").collect()
     z = np.zeros((TERMS, rank))
     for r in rows:  # TERMS x rank numbers in all
