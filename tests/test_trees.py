@@ -179,3 +179,49 @@ def test_all_four_models_leave_the_warm_up_together(spark, monkeypatch):
     m = {(r.symbol, r.signal): r.final_value for r in c.QUERIES["backtest_all_signals"](spark, SF001).collect()}
     rules = {(r.symbol, r.signal): r.final_value for r in c.QUERIES["backtest_metrics"](spark, SF001).collect()}
     assert {k[1] for k in m} >= set(MODEL_SIGNALS) and all(m[k] == v for k, v in rules.items())
+
+
+def test_forest_equals_a_plain_form():
+    """Draw after draw: all rows, all features, a split among those drawn for a node (heap order)."""
+    x, y = sample(200, 9, 5)
+    for tree, got in zip(range(3), T.forest(x, y, 20, 3, 4)):
+        if not tree:
+            rng = np.random.default_rng(T.SEED)
+        w = rng.multinomial(200, np.full(200, 1 / 200)).astype(float)
+        feature, cut, value = np.full(31, -1), np.zeros(31, dtype=int), np.zeros(31)
+        nodes = {0: np.ones(200, dtype=bool)}
+        for level in range(5):
+            for k, m in nodes.items():
+                value[k] = (w * y)[m].sum() / w[m].sum()
+            if level == 4:
+                break
+            drawn, after = rng.random((len(nodes), 5)).argsort(axis=1) < 2, {}
+            for (k, m), may in zip(nodes.items(), drawn):
+                best = T.GAIN
+                for j in np.flatnonzero(may):
+                    for c in range(19):
+                        left, right = m & (x[:, j] <= c), m & (x[:, j] > c)
+                        if min(w[left].sum(), w[right].sum()) >= 1:
+                            gain = sum((w * y)[s].sum() ** 2 / w[s].sum() for s in (left, right)) - (w * y)[m].sum() ** 2 / w[m].sum()
+                            if gain > best * (1 + 1e-11):
+                                best, feature[k], cut[k] = gain, j, c
+                if feature[k] >= 0:
+                    after[2 * k + 1], after[2 * k + 2] = m & (x[:, feature[k]] <= cut[k]), m & (x[:, feature[k]] > cut[k])
+            nodes = after
+        assert got[0].tolist() == feature.tolist() and got[1].tolist() == cut.tolist() and got[2] == pytest.approx(value)
+
+
+def test_buffers_are_fitted_and_labelled_without_a_walk_per_tree(monkeypatch):
+    x, y = sample(300, 4)
+    rounds = {"XGBoost": 12, "RandomForest": 9, "AdaBoost": 5}
+    walk = T.leaf_values
+    monkeypatch.setattr(T, "leaf_values", None)  # margins come from the leaves met while growing
+    model = T.fit_buffer(x.astype(float), y, 8, rounds)
+    monkeypatch.setattr(T, "WALKED", 70)
+    said = T.buffer_labels(model, x.astype(float))
+    b = T.cut_bins(x.astype(float), model["cuts"])
+    assert said["XGBoost"].tolist() == (model["start"] + sum(walk(t, b) for t in model["trees"]) > 0).tolist()
+    assert said["RandomForest"].tolist() == (sum(walk(t, b) for t in model["forest"]) / 9 > 0.5).tolist()
+    p = np.full(300, 0.4)
+    tree, leaf = T.grown(b, p - y, p * (1 - p), 5, 8)
+    assert tree[2][leaf].tolist() == walk(tree, b).tolist()

@@ -459,6 +459,7 @@ def walk_forward_logreg(features: DataFrame, keys=("symbol",), order=("ts", "eve
 MODEL_ROUNDS = {"XGBoost": trees.BOOST_ROUNDS, "RandomForest": trees.FOREST_TREES, "AdaBoost": ADABOOST_ROUNDS_ONLINE}
 MODEL_BINS = 32
 MODEL_BLOCK = 10             # refits fitted in one group
+TASKS_PER_CORE = 16          # of a pass of refits: a block is seconds of work, so tasks of a block or so even out
 
 
 def _buffers(pdf, every: int, buffer_rows: int, lo: int, hi: int):
@@ -524,6 +525,11 @@ def _refit_scorer(keys: list, every: int, buffer_rows: int, rounds: dict, n_bins
     return score
 
 
+def refit_tasks(spark: SparkSession, per_core: int = TASKS_PER_CORE) -> int:
+    """Fits are heavy and rows few: a fixed number of partitions, which is not coalesced by size."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), per_core * spark.sparkContext.defaultParallelism)
+
+
 def walk_forward_labels(features: DataFrame, keys=("symbol",), order=("ts", "event_id"), every: int = RETRAIN_EVERY,
                         buffer_rows: int = BUFFER_ROWS, block: int = MODEL_BLOCK, rounds: dict | None = None, n_bins: int = MODEL_BINS) -> DataFrame:
     """The feature rows with ``message_number``, ``epoch``, ``model_epoch`` and the label of
@@ -559,10 +565,7 @@ def walk_forward_labels(features: DataFrame, keys=("symbol",), order=("ts", "eve
     blocks = F.when(F.col("model_epoch").isNull(), holds).otherwise(F.array_union(holds, F.array(own)))
     dealt = known.select(*keys, "_m", "label", "model_epoch", *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in ONLINE_FEATURES],
                          F.explode(blocks).alias("_block")).withColumn("_scored", F.coalesce(F.col("_block") == own, F.lit(False)))
-    # fits are heavy and rows few: a fixed number of partitions, which is not coalesced by size
-    spark = features.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    said = dealt.repartition(tasks, *keys, "_block").groupBy(*keys, "_block").applyInPandas(_refit_scorer(keys, every, buffer_rows, rounds or MODEL_ROUNDS, n_bins),
+    said = dealt.repartition(refit_tasks(features.sparkSession), *keys, "_block").groupBy(*keys, "_block").applyInPandas(_refit_scorer(keys, every, buffer_rows, rounds or MODEL_ROUNDS, n_bins),
                                                         f"{named}, _m long, " + ", ".join(f"{c} string" for c in MODEL_SIGNALS))
     out = known.join(said, [*keys, "_m"], "left")
     return out.withColumns({c: training_gate(F.col(c).isNotNull(), F.col(c)) for c in MODEL_SIGNALS}).withColumnRenamed("_m", "message_number")

@@ -35,6 +35,7 @@ FOREST_TREES = 100
 FOREST_DEPTH = 8
 SEED = 42
 GAIN = 1e-6  # a split must gain more than this
+WALKED = 4096  # rows that walk down all trees together
 
 
 def bins_for(n_features: int, cells: int = CELLS) -> int:
@@ -42,46 +43,83 @@ def bins_for(n_features: int, cells: int = CELLS) -> int:
     return max(2, min(MOST_BINS, int(round(cells ** (1 / n_features) - 0.5 + 1e-9))))
 
 
+def laid_out(bins: np.ndarray, n_bins: int) -> np.ndarray:
+    """The bins feature by feature, each feature's numbers after those of the one before."""
+    return np.ascontiguousarray((bins + np.arange(bins.shape[1]) * n_bins).T, dtype=np.intp)
+
+
 def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, n_bins: int, l2: float = L2, least: float = MIN_HESSIAN,
          pick=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A tree as arrays by heap number (children of k: 2k+1, 2k+2): split feature (-1: a
     leaf), last bin that goes left, value -G / (H + l2).  ``pick(nodes)`` gives each node
-    the features it may split by (boolean, nodes x features)."""
+    the features it may split by (numbers ascending, nodes x some)."""
+    return grown(bins, g, h, depth, n_bins, l2, least, pick)[0]
+
+
+def grown(bins: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, n_bins: int, l2: float = L2, least: float = MIN_HESSIAN,
+          pick=None, laid: np.ndarray | None = None, rows: np.ndarray | None = None) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    """(the tree of ``grow``, the leaf of every row, which a tree with ``pick`` leaves at 0).
+    ``laid`` is ``laid_out(bins)``; ``rows`` says which rows ``g`` and ``h`` are of, if not of all."""
     n, f = bins.shape
     size = 2 ** (depth + 1) - 1
     feature, cut, value = np.full(size, -1), np.zeros(size, dtype=np.int64), np.zeros(size)
-    rows, node = np.arange(n), np.zeros(n, dtype=np.int64)  # rows of nodes that may split, their heap numbers
-    of_feature = np.arange(f) * n_bins
+    flat, begin, leaf = np.ascontiguousarray(bins).ravel(), (np.arange(n) if rows is None else rows) * f, np.zeros(n, dtype=np.int64)
+    # nodes that may split by heap number, and each row's place among them (their number: it has come to a leaf)
+    names, at = np.zeros(min(1, len(g)), dtype=np.int64), np.zeros(len(g), dtype=np.intp)
+    if pick is None:
+        laid = laid_out(bins, n_bins) if laid is None else laid
+        gs, hs, place = np.tile(g, f), np.tile(h, f), np.empty(laid.shape, dtype=np.intp)
+    few = max(least, 1e-12)
     for level in range(depth + 1):
-        if not len(rows):
+        k = len(names)
+        if not k:
             break
-        names, at = np.unique(node, return_inverse=True)
-        k, gs, hs = len(names), g[rows], h[rows]
-        G, H = np.bincount(at, gs, k), np.bincount(at, hs, k)
+        G, H = np.bincount(at, g, k + 1)[:k], np.bincount(at, h, k + 1)[:k]
         value[names] = np.where(H > 0, -G / (H + l2 + (H <= 0)), 0.0)
         if level == depth:
             break
-        # sums per (node, feature, bin), then what lies up to each bin
-        place = (at[:, None] * (f * n_bins) + of_feature + bins[rows]).ravel()
-        gl = np.bincount(place, np.repeat(gs, f), k * f * n_bins).reshape(k, f, n_bins).cumsum(axis=2)[:, :, :-1]
-        hl = np.bincount(place, np.repeat(hs, f), k * f * n_bins).reshape(k, f, n_bins).cumsum(axis=2)[:, :, :-1]
-        gr, hr = G[:, None, None] - gl, H[:, None, None] - hl
+        # sums per (node, feature, bin), then what lies up to each bin, bins first
+        if pick is None:
+            some, s = None, f
+            where = np.add(laid, at * (f * n_bins), out=place).ravel()
+        else:
+            some = pick(k)
+            s = some.shape[1]
+            of = np.append(some, some[:1], axis=0)
+            where = np.concatenate([flat.take(begin + of[:, t].take(at)) + (at * s + t) * n_bins for t in range(s)])
+            gs, hs = np.tile(g, s), np.tile(h, s)
+        upto = [np.bincount(where, x, (k + 1) * s * n_bins)[:k * s * n_bins].reshape(k * s, n_bins).T.copy().cumsum(axis=0)[:-1].reshape(n_bins - 1, k, s) for x in (gs, hs)]
+        (gl, hl), nodes = upto, np.arange(k)
+        gr, hr = G[:, None] - gl, H[:, None] - hl
         with np.errstate(invalid="ignore", divide="ignore"):
-            gain = gl ** 2 / (hl + l2) + gr ** 2 / (hr + l2) - (G ** 2 / (H + l2))[:, None, None]
-        few = max(least, 1e-12)
-        gain = np.where((hl >= few) & (hr >= few), gain, -np.inf)
-        if pick is not None:
-            gain = np.where(pick(k)[:, :, None], gain, -np.inf)
+            gain = gl ** 2 / (hl + l2) + gr ** 2 / (hr + l2) - (G ** 2 / (H + l2))[:, None]
+        gain[(hl < few) | (hr < few)] = -np.inf
         # of gains equal up to rounding the first feature and bin counts
-        flat = gain.reshape(k, -1)
-        top = (flat >= flat.max(axis=1, keepdims=True) * (1 - 1e-12)).argmax(axis=1)
-        split = flat[np.arange(k), top] > GAIN
-        feature[names] = np.where(split, top // (n_bins - 1), -1)
-        cut[names] = np.where(split, top % (n_bins - 1), 0)
-        live = split[at]
-        rows, node = rows[live], node[live]
-        node = 2 * node + 1 + (bins[rows, feature[node]] > cut[node])
-    return feature, cut, value
+        best = gain.max(axis=0)
+        near = best.max(axis=1) * (1 - 1e-12)
+        slot = (best >= near[:, None]).argmax(axis=1)
+        own = gain[:, nodes, slot]
+        last = (own >= near).argmax(axis=0)
+        split = own[last, nodes] > GAIN
+        by = slot if some is None else some[nodes, slot]
+        feature[names] = np.where(split, by, -1)
+        cut[names] = np.where(split, last, 0)
+        n_next = 2 * int(split.sum())
+        child = np.append(np.where(split, 2 * (np.cumsum(split) - split), n_next), n_next)
+        right = flat.take(begin + np.append(by, 0).take(at)) > np.append(np.where(split, last, n_bins), n_bins).take(at)
+        before, at = at, child.take(at) + right
+        if not split.all():
+            if pick is None:
+                ended = np.flatnonzero((at == n_next) & (before < k))
+                leaf[ended] = names[before[ended]]
+            else:  # their rows are left out
+                keep = np.flatnonzero(at < n_next)
+                at, begin, g, h = at[keep], begin[keep], g[keep], h[keep]
+        names = (2 * names[split][:, None] + np.array([1, 2])).ravel()
+    if pick is None:
+        inner = np.flatnonzero(at < len(names))
+        leaf[inner] = names[at[inner]]
+    return (feature, cut, value), leaf
 
 
 def leaf_values(tree: tuple[np.ndarray, np.ndarray, np.ndarray], bins: np.ndarray) -> np.ndarray:
@@ -95,17 +133,43 @@ def leaf_values(tree: tuple[np.ndarray, np.ndarray, np.ndarray], bins: np.ndarra
         at[inner] = 2 * k + 1 + (bins[inner, feature[k].astype(np.int64)] > cut[k])
 
 
+def summed_values(trees: list, bins: np.ndarray) -> np.ndarray:
+    """Sum of ``leaf_values`` of many trees, walked together."""
+    n, f = bins.shape
+    total = np.zeros(n)
+    if not trees or not n:
+        return total
+    flat = np.ascontiguousarray(bins).ravel()
+    for lo in range(0, n, WALKED):
+        feature, cut, value = (np.concatenate([t[i] for t in trees]) for i in range(3))
+        size = len(trees[0][0])
+        begin = np.arange(lo, min(n, lo + WALKED)) * f
+        root = np.repeat(np.arange(len(trees)) * size, len(begin))
+        begin, at = np.tile(begin, len(trees)), np.zeros(len(root), dtype=np.int64)
+        where = np.arange(len(root))  # still above a leaf
+        while len(where):
+            k = root[where] + at[where]
+            by = feature[k]
+            inner = by >= 0
+            where, k, by = where[inner], k[inner], by[inner].astype(np.int64)
+            at[where] = 2 * at[where] + 1 + (flat[begin[where] + by] > cut[k])
+        part = total[lo:lo + WALKED]
+        for v in value[root + at].reshape(len(trees), -1):  # tree after tree
+            part += v
+    return total
+
+
 def boosted(bins: np.ndarray, y: np.ndarray, count: np.ndarray, n_bins: int, rounds: int = BOOST_ROUNDS, depth: int = BOOST_DEPTH,
             rate: float = SHRINKAGE) -> tuple[float, list]:
     """(start margin, trees with values times ``rate``) of logistic second-order boosting;
     it starts one Newton step away from zero."""
     start = float((count * (y - 0.5)).sum() / max(0.25 * count.sum(), 1e-300))
-    margin, trees = np.full(len(y), start), []
+    margin, trees, laid = np.full(len(y), start), [], laid_out(bins, n_bins)
     for _ in range(rounds):
         p = 1.0 / (1.0 + np.exp(-margin))
-        feature, cut, value = grow(bins, count * (p - y), count * p * (1 - p), depth, n_bins)
+        (feature, cut, value), leaf = grown(bins, count * (p - y), count * p * (1 - p), depth, n_bins, laid=laid)
         trees.append((feature, cut, value * rate))
-        margin = margin + leaf_values(trees[-1], bins)
+        margin = margin + trees[-1][2].take(leaf)
     return start, trees
 
 
@@ -115,7 +179,9 @@ def forest(bins: np.ndarray, y: np.ndarray, n_bins: int, trees: int = FOREST_TRE
     some, out = max(1, int(math.sqrt(f))), []
     for _ in range(trees):
         w = rng.multinomial(n, np.full(n, 1.0 / n)).astype(float)
-        out.append(grow(bins, -w * y, w, depth, n_bins, 0.0, 1.0, lambda k: rng.random((k, f)).argsort(axis=1) < some))
+        rows = np.flatnonzero(w)  # sums of whole numbers: rows not drawn add nothing
+        draw = lambda k: np.nonzero(rng.random((k, f)).argsort(axis=1) < some)[1].reshape(k, some)
+        out.append(grown(bins, -w[rows] * y[rows], w[rows], depth, n_bins, 0.0, 1.0, draw, rows=rows)[0])
     return out
 
 
@@ -123,20 +189,23 @@ def stumps(bins: np.ndarray, y: np.ndarray, count: np.ndarray, n_bins: int, roun
     """SAMME: ([(feature, last bin left, label left, label right)], alphas).  Each round takes the
     exact best Gini stump over all (feature, bin) from prefix sums of the class weights."""
     w = count / max(count.sum(), 1e-300)
-    found, alphas = [], []
+    found, alphas, f = [], [], bins.shape[1]
+    laid = laid_out(bins, n_bins)
+    of = [np.flatnonzero(y == c) for c in (0, 1)]
+    places = [np.ascontiguousarray(laid[:, rows]).ravel() for rows in of]
     for _ in range(rounds):
-        total = np.array([w[y == 0].sum(), w[y == 1].sum()])
+        own = [w[rows] for rows in of]
+        total = np.array([x.sum() for x in own])
         best, stump = GAIN * 1e-6, (0, n_bins - 1, float(total[1] > total[0]), float(total[1] > total[0]))
-        for j in range(bins.shape[1]):
-            left = np.stack([np.bincount(bins[y == c, j], w[y == c], n_bins).cumsum()[:-1] for c in (0, 1)], axis=1)
-            right = total - left
-            nl, nr = left.sum(axis=1), right.sum(axis=1)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                pure = (left ** 2).sum(axis=1) / nl + (right ** 2).sum(axis=1) / nr - (total ** 2).sum() / total.sum()
-            pure = np.where((nl > 0) & (nr > 0), pure, -np.inf)
-            k = int(pure.argmax()) if len(pure) else 0
-            if len(pure) and pure[k] > best:
-                best, stump = pure[k], (j, k, float(left[k, 1] > left[k, 0]), float(right[k, 1] > right[k, 0]))
+        l0, l1 = (np.bincount(place, np.tile(x, f), f * n_bins).reshape(f, n_bins).cumsum(axis=1)[:, :-1] for place, x in zip(places, own))
+        r0, r1 = total[0] - l0, total[1] - l1
+        nl, nr = l0 + l1, r0 + r1
+        with np.errstate(invalid="ignore", divide="ignore"):
+            pure = (l0 ** 2 + l1 ** 2) / nl + (r0 ** 2 + r1 ** 2) / nr - (total ** 2).sum() / total.sum()
+        pure = np.where((nl > 0) & (nr > 0), pure, -np.inf)
+        if pure.size and pure.max() > best:
+            j, k = (int(v) for v in np.unravel_index(pure.argmax(), pure.shape))
+            stump = (j, k, float(l1[j, k] > l0[j, k]), float(r1[j, k] > r0[j, k]))
         said = np.where(bins[:, stump[0]] <= stump[1], stump[2], stump[3])
         miss = said != y
         error = float(w[miss].sum() / w.sum()) if w.sum() else None
@@ -271,6 +340,6 @@ def fit_buffer(x: np.ndarray, y: np.ndarray, n_bins: int, rounds: dict[str, int]
 def buffer_labels(model: dict, rows: np.ndarray) -> dict[str, np.ndarray]:
     """{name: class 1 or not} of rows by a model of ``fit_buffer``."""
     b = cut_bins(rows, model["cuts"])
-    return {"XGBoost": model["start"] + sum(leaf_values(t, b) for t in model["trees"]) > 0,
-            "RandomForest": sum(leaf_values(t, b) for t in model["forest"]) / max(1, len(model["forest"])) > 0.5,
+    return {"XGBoost": model["start"] + summed_values(model["trees"], b) > 0,
+            "RandomForest": summed_values(model["forest"], b) / max(1, len(model["forest"])) > 0.5,
             "AdaBoost": votes(model["stumps"], b) > 0}
