@@ -154,3 +154,57 @@ def test_labels_equal_the_batch_refits(spark, source, tmp_path):
     cols = ["symbol", "message_number", "event_id", "model_epoch", *MODEL_SIGNALS]
     a, b = (sorted(map(str, map(tuple, x.select(*cols).collect()))) for x in (spark.read.parquet(table), want))
     assert a == b and sum("TRAINING" not in r for r in a) > 100
+
+
+class Held:
+    """A state variable in memory."""
+
+    def __init__(self):
+        self.value, self.slots = None, {}
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def containsKey(self, key):
+        return key in self.slots
+
+    def getValue(self, key):
+        return self.slots[key]
+
+    def updateValue(self, key, value):
+        self.slots[key] = value
+
+
+def test_one_refit_per_symbol_and_batch_stays_in_its_task(monkeypatch):
+    """A batch with dozens of refits hands all but the newest on; the labels are those of batches of one message."""
+    import pandas as pd
+
+    from tickforge.functions.signals import MODEL_SIGNALS
+    from tickforge.operators import learning as ml
+    rng = np.random.default_rng(3)
+    price = 50 + rng.normal(size=330).cumsum()
+    price[120:200] = 50 + np.arange(80)  # a stretch of one class: refits that cannot be trained
+    ticks = pd.DataFrame({"symbol": "A", "price": price, "ts": pd.date_range("2024-01-01", periods=330, freq="min"), "event_id": np.arange(330)})
+    fits, plain = [], ml.fit_online
+    monkeypatch.setattr(ml, "fit_online", lambda *a: fits.append(1) or plain(*a))
+    kw = {"every": 5, "buffer_rows": 55, "rounds": {"XGBoost": 2, "RandomForest": 2, "AdaBoost": 2}, "n_bins": 8}
+
+    def run(cuts):
+        p = keyed.Labels(**kw)
+        p.ring, p.messages, p.models = Held(), Held(), Held()
+        out, most = [], 0
+        for lo, hi in zip([0, *cuts], [*cuts, 330]):
+            fits.clear()
+            out += list(p.handleInputRows(("A",), iter([ticks.iloc[lo:hi]]), None))
+            most = max(most, len(fits))
+        got = pd.concat(keyed.fit_blocks(kw["every"], kw["buffer_rows"], kw["rounds"], kw["n_bins"])(iter(out)), ignore_index=True).sort_values("message_number")
+        return [tuple(map(str, r)) for r in got.assign(model_epoch=got["model_epoch"].astype("Int64"))[["event_id", "message_number", "model_epoch", *MODEL_SIGNALS]].itertuples(index=False)], most
+
+    (whole, once), (some, _), (each, _) = run([]), run([90, 91, 260]), run(range(1, 330))
+    assert once == 1 and len(whole) == 326 and len({r[2] for r in whole}) > 30 and whole == some == each

@@ -17,7 +17,8 @@ with the weights that the batch operator derives from the same fold.
 messages as well, in slots of ``every`` messages of which a micro-batch writes
 only those it adds to, and its newest models.  At each ``every``-th message the
 models are refitted on the buffer; a message is labelled by the newest refit at
-or before it.  That is the schedule of ``learning.walk_forward_labels``, tick by
+or before it.  Of a symbol's refits in one micro-batch only the newest, which the
+state keeps, is fitted in the symbol's task; the others are dealt out in blocks.  That is the schedule of ``learning.walk_forward_labels``, tick by
 tick, with the same labels.
 
 Within a micro-batch the ticks of a symbol are taken in (ts, event_id) order,
@@ -133,8 +134,18 @@ class Indicators(RingProcessor):
             yield made[number >= WARMUP]
 
 
+def _buffer(rows: np.ndarray, begin: int, at: int, buffer_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and labels that the refit at message ``at`` sees, of rows numbered from ``begin`` on."""
+    x = rows[max(1, at - buffer_rows + 1) - begin:at - begin + 1]
+    return x, np.append(x[1:, -1] > x[:-1, -1], False).astype(float)  # the newest has no next price yet
+
+
 class Labels(Indicators):
-    """Buffer, refits and labels on top of the indicators."""
+    """Buffer, refits and labels on top of the indicators.
+
+    A micro-batch fits the newest refit of a symbol here, as the state holds its model.
+    Where it has others, blocks of them leave in column ``refits`` with their rows, and
+    ``fit_blocks`` fits them in other tasks."""
 
     def __init__(self, idle_ms: int | None = None, every: int = ml.RETRAIN_EVERY, buffer_rows: int = ml.BUFFER_ROWS, rounds: dict | None = None, n_bins: int = ml.MODEL_BINS):
         super().__init__(idle_ms)
@@ -160,7 +171,7 @@ class Labels(Indicators):
         made = pd.concat(made, ignore_index=True)
         first = int(made["tick_number"].iloc[0]) - (WARMUP - 1)  # message numbers count from the warm-up on
         new, last = made[ml.ONLINE_FEATURES].to_numpy(dtype=float), first + len(made) - 1
-        low = max(1, min(first, (first // self.every + 1) * self.every - self.buffer_rows + 1))
+        low = max(1, min(first, -(-first // self.every) * self.every - self.buffer_rows + 1))  # its first refit may be at its first message
         slots = range((low - 1) // self.every, (first - 1) // self.every + 1)
         refit = (last // self.every) > ((first - 1) // self.every)
         held = [self._slot(k) for k in (slots if refit else slots[-1:])]
@@ -168,20 +179,35 @@ class Labels(Indicators):
         begin = last - len(rows) + 1
         epoch, fitted = self.models.get() if self.models.exists() else (None, None)
         model = None if fitted is None else pickle.loads(fitted)
-        at, out = first, []
+        parts, at = [], first  # (first and last message, refit that labels them)
         while at <= last:
-            if at % self.every == 0:
-                a = max(1, at - self.buffer_rows + 1)
-                x = rows[a - begin:at - begin + 1]
-                y = np.append(x[1:, -1] > x[:-1, -1], False).astype(float)  # the newest has no next price yet
-                if ml._trainable(y):
-                    epoch, model = at // self.every, ml.fit_online(x, y, self.rounds, self.n_bins)
+            if at % self.every == 0 and ml._trainable(_buffer(rows, begin, at, self.buffer_rows)[1]):
+                epoch = at // self.every
             upto = min(last, (at // self.every + 1) * self.every - 1)
-            part = rows[at - begin:upto - begin + 1]
-            said = dict.fromkeys(MODEL_SIGNALS, TRAINING) if model is None else ml.online_labels(model, part)
-            out.append(made[["symbol", "ts", "event_id"]].iloc[at - first:upto - first + 1].assign(
-                message_number=np.arange(at, upto + 1), model_epoch=pd.array([epoch] * len(part), dtype="Int64"), **said))
+            parts.append((at, upto, epoch))
             at = upto + 1
+        newest = [p for p in parts if p[2] == epoch]
+        if epoch is not None and newest[0][0] == epoch * self.every:  # refitted in this batch
+            model = ml.fit_online(*_buffer(rows, begin, epoch * self.every, self.buffer_rows), self.rounds, self.n_bins)
+        # the newest refit goes into the state; those between it and the one held so far go to tasks of their own
+        held_epoch = parts[0][2] if parts[0][2] is None or parts[0][2] * self.every < first else None
+        held_model = None if fitted is None else pickle.loads(fitted)
+        between, out = [], []
+        for lo, hi, of in parts:
+            if of is not None and of not in (epoch, held_epoch):
+                between.append((lo, hi, of))
+                continue
+            known = made[["symbol", "ts", "event_id"]].iloc[lo - first:hi - first + 1]
+            one = held_model if of == held_epoch else model
+            said = dict.fromkeys(MODEL_SIGNALS, TRAINING) if of is None else ml.online_labels(one, rows[lo - begin:hi - begin + 1])
+            out.append(known.assign(message_number=np.arange(lo, hi + 1), model_epoch=pd.array([of] * len(known), dtype="Int64"), **said, refits=None))
+        for k in range(0, len(between), ml.MODEL_BLOCK):
+            block = between[k:k + ml.MODEL_BLOCK]
+            a, z = max(begin, block[0][2] * self.every - self.buffer_rows + 1), block[-1][1]
+            ids = made[["ts", "event_id"]].iloc[block[0][0] - first:z - first + 1]
+            job = pickle.dumps((a, rows[a - begin:z - begin + 1], ids, block))
+            out.append(pd.DataFrame({"symbol": [symbol], "ts": ids["ts"].iloc[:1].to_numpy(), "event_id": ids["event_id"].iloc[:1].to_numpy(), "message_number": [block[0][0]],
+                                     "model_epoch": pd.array([block[0][2]], dtype="Int64"), **{c: [None] for c in MODEL_SIGNALS}, "refits": [job]}))
         for k in range((first - 1) // self.every, (last - 1) // self.every + 1):
             own = rows[max(0, k * self.every + 1 - begin):max(0, (k + 1) * self.every + 1 - begin)]
             self.messages.updateValue((k % self.slots,), (k, own.tobytes()))
@@ -190,6 +216,25 @@ class Labels(Indicators):
         yield from out
 
 
+def fit_blocks(every: int, buffer_rows: int, rounds: dict | None, n_bins: int):
+    """Puts the labelled messages in the place of every row with a block of refits."""
+    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            plain = pdf["refits"].isna()
+            yield pdf[plain].drop(columns="refits")
+            for symbol, job in zip(pdf["symbol"][~plain], pdf["refits"][~plain]):
+                begin, rows, ids, block = pickle.loads(job)
+                last = None
+                for lo, hi, epoch in block:
+                    if epoch != last:  # else the message between them could not be trained on
+                        last, model = epoch, ml.fit_online(*_buffer(rows, begin, epoch * every, buffer_rows), rounds, n_bins)
+                    known = ids.iloc[lo - block[0][0]:hi - block[0][0] + 1]
+                    yield pd.DataFrame({"symbol": symbol, "ts": known["ts"].to_numpy(), "event_id": known["event_id"].to_numpy(), "message_number": np.arange(lo, hi + 1),
+                                        "model_epoch": pd.array([epoch] * len(known), dtype="Int64"), **ml.online_labels(model, rows[lo - begin:hi - begin + 1])})
+
+    return fit
+
+
 class PriceChanges(RingProcessor):
     def compute(self, symbol, pdf, seen, prices):
         before = len(prices) - len(pdf)
@@ -210,7 +255,10 @@ def indicator_stream(ticks: DataFrame, idle_ms: int | None = None) -> DataFrame:
 
 def label_stream(ticks: DataFrame, idle_ms: int | None = None, **kw) -> DataFrame:
     """(symbol, ts, event_id, message_number, model_epoch, a label of each model): TRAINING, UP or DOWN."""
-    return _stream(ticks, Labels(idle_ms, **kw), LABELS_OUT)
+    labels = Labels(idle_ms, **kw)
+    tasks = ml.refit_tasks(ticks.sparkSession, ml.TASKS_PER_CORE // 2)  # every micro-batch starts them
+    dealt = _stream(ticks, labels, f"{LABELS_OUT}, refits binary").repartition(tasks, "symbol", "model_epoch")
+    return dealt.mapInPandas(fit_blocks(labels.every, labels.buffer_rows, labels.rounds, labels.n_bins), LABELS_OUT)
 
 
 def price_change_stream(ticks: DataFrame, idle_ms: int | None = None) -> DataFrame:
