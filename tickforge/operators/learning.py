@@ -12,8 +12,8 @@
   of fifteen sums or so;
 * ``fit_models``: logistic regression, random forest, second-order boosting and
   SAMME AdaBoost over decision stumps; the last two on binned cells (``trees``);
-* ``walk_forward_labels``: all four models refitted per key, their labels gated
-  together.
+* ``walk_forward_labels``: all four models refitted per key (compiled fits, module
+  ``refits``), their labels gated together.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.signals import MODEL_SIGNALS, UP, training_gate
 from ..plans.sequence import AT, ORD, PLACE, REAL, TIE, plain, sequence
 from ..session import scratch_path
-from . import trees
+from . import refits, trees
 from .indicators import HISTORY, balanced_sql, newest, with_indicators
 
 # Fixed values of the online learner.
@@ -458,34 +458,40 @@ def walk_forward_logreg(features: DataFrame, keys=("symbol",), order=("ts", "eve
 # ------------------------------------------- walk-forward refits of all models
 MODEL_ROUNDS = {"XGBoost": trees.BOOST_ROUNDS, "RandomForest": trees.FOREST_TREES, "AdaBoost": ADABOOST_ROUNDS_ONLINE}
 MODEL_BINS = 32
-MODEL_BLOCK = 10             # refits fitted in one group
+MODEL_BLOCK = 50             # refits fitted in one group: a row goes to two of them or so
 TASKS_PER_CORE = 16          # of a pass of refits: a block is seconds of work, so tasks of a block or so even out
 
 
-def _buffers(pdf, every: int, buffer_rows: int, lo: int, hi: int):
-    """(refit, rows of its buffer, labels) for the refits lo..hi of message rows sorted by ``_m``."""
-    import numpy as np
-    m, label = pdf["_m"].to_numpy(), pdf["label"].to_numpy(dtype=float)
-    for epoch in range(lo, hi + 1):
-        a, b = np.searchsorted(m, [epoch * every - buffer_rows + 1, epoch * every + 1])
-        y = label[a:b].copy()
-        y[m[a:b] == epoch * every] = 0.0  # the newest buffered message has no next price yet
-        yield epoch, slice(a, b), y
-
-
 def _trainable(y) -> bool:
     return len(y) >= MIN_TRAIN_ROWS and 0 < y.sum() < len(y)
 
 
-def _refit_checker(keys: list, every: int, buffer_rows: int):
-    def check(pdf):
-        import pandas as pd
-        pdf = pdf.sort_values("_m", kind="stable")
-        lo, hi = int(pdf["_first"].iloc[0]), int(pdf["_until"].iloc[0])
-        got = pd.DataFrame([(e, _trainable(y)) for e, _, y in _buffers(pdf, every, buffer_rows, lo, hi)], columns=["epoch", "ok"])
-        return got.assign(**{k: pdf[k].iloc[0] for k in keys})[[*keys, "epoch", "ok"]]
+def trainable_refits(x: DataFrame, keys: list, every: int, buffer_rows: int) -> DataFrame:
+    """(keys, epoch, ok): which refits of message rows (``_m``, ``label``) have buffers with
+    rows enough, of both classes.
 
-    return check
+    Messages are counted in stretches of ``every``; a buffer is some whole stretches, up to the
+    refit's own, and the end of the one before them.  No more than a row per refit is sorted.
+    """
+    whole, rest = divmod(buffer_rows, every)
+    at, label = F.col("epoch") * F.lit(every), F.col("label").cast("long")
+    end = F.col("_m") > at - F.lit(rest)
+    counts = (x.select(*keys, "_m", "label", F.ceil(F.col("_m") / F.lit(every)).cast("long").alias("epoch")).groupBy(*keys, "epoch")
+              .agg(F.count(F.lit(1)).alias("_n"), F.sum(label).alias("_up"), F.count_if(end).alias("_end_n"),
+                   F.sum(F.when(end, label)).alias("_end_up"), F.sum(F.when(F.col("_m") == at, label)).alias("_newest")))
+    ends = x.groupBy(*keys).agg(F.floor(F.max("_m") / F.lit(every)).cast("long").alias("_epochs")).filter(F.col("_epochs") >= 1)
+    refit = ends.select(*keys, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_epochs"))).alias("epoch")).join(counts, [*keys, "epoch"], "left")
+    by = Window.partitionBy(*keys).orderBy("epoch")
+    so_far = by.rowsBetween(Window.unboundedPreceding, 0)
+    refit = refit.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("_n", "_up", "_end_n", "_end_up", "_newest")})
+    refit = refit.withColumns({"_all": F.sum("_n").over(so_far), "_all_up": F.sum("_up").over(so_far)})
+
+    def held(total: str, end: str):
+        before = [F.coalesce(F.lag(c, whole).over(by), F.lit(0)) for c in (total, end)]
+        return F.col(total) - before[0] + before[1]
+
+    n, up = held("_all", "_end_n"), held("_all_up", "_end_up") - F.col("_newest")  # the newest buffered message has no next price yet
+    return refit.select(*keys, "epoch", ((n >= MIN_TRAIN_ROWS) & (up > 0) & (up < n)).alias("ok"))
 
 
 def fit_online(X, y, rounds: dict | None = None, n_bins: int = MODEL_BINS) -> dict:
@@ -505,26 +511,6 @@ def online_labels(model: dict, rows) -> dict:
     return {c: np.where(said[c], "UP", "DOWN") for c in MODEL_SIGNALS}
 
 
-def _refit_scorer(keys: list, every: int, buffer_rows: int, rounds: dict, n_bins: int):
-    """Every trainable refit of a (key, block) that scores a message here: fit, then label those."""
-    def score(pdf):
-        import numpy as np
-        import pandas as pd
-        pdf = pdf.sort_values("_m", kind="stable")
-        X = pdf[ONLINE_FEATURES].to_numpy(dtype=float)
-        of = np.where(pdf["_scored"].to_numpy(dtype=bool), pdf["model_epoch"].to_numpy(dtype=float), -1.0)
-        wanted = of[of >= 0]
-        out = []
-        for epoch, rows, y in _buffers(pdf, every, buffer_rows, int(wanted.min()), int(wanted.max())) if len(wanted) else ():
-            at = np.flatnonzero(of == epoch)
-            if len(at):
-                out.append(pd.DataFrame({"_m": pdf["_m"].to_numpy()[at], **online_labels(fit_online(X[rows], y, rounds, n_bins), X[at])}))
-        got = pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=["_m", *MODEL_SIGNALS])
-        return got.assign(**{k: pdf[k].iloc[0] for k in keys})[[*keys, "_m", *MODEL_SIGNALS]]
-
-    return score
-
-
 def refit_tasks(spark: SparkSession, per_core: int = TASKS_PER_CORE) -> int:
     """Fits are heavy and rows few: a fixed number of partitions, which is not coalesced by size."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), per_core * spark.sparkContext.defaultParallelism)
@@ -537,12 +523,12 @@ def walk_forward_labels(features: DataFrame, keys=("symbol",), order=("ts", "eve
     ``buffer_rows`` ones.  A message is labelled by the newest refit at or before it that
     had rows of both classes; before the first one all four labels are TRAINING.
 
-    Two grouped passes over (key, block of refits), each group at most (block + 1) *
-    every + buffer_rows rows: one finds the refits that can be trained, one fits those
-    and labels their messages.  Labels are joined back on the key and message number.
-    ``features`` is read in both: pass a written table.
+    The refits that can be trained come from counts.  Rows are gathered per
+    (key, block of refits), at most (block + 1) * every + buffer_rows of them, where compiled
+    code fits the models and labels the messages; labels are joined back on the key and
+    message number.  ``features`` is read in each pass: pass a written table.
     """
-    keys = list(keys)
+    keys, spark = list(keys), features.sparkSession
     lab = labels_from_next(features) if "next_price" in features.columns else \
         next_tick_labels(features, keys, order, price="current_price", mode="zero_last")
     x = lab.withColumn("_m", F.col("tick_number") - F.lit(WARMUP - 1))
@@ -550,22 +536,17 @@ def walk_forward_labels(features: DataFrame, keys=("symbol",), order=("ts", "eve
     last_epoch = F.floor((F.col("_m") + F.lit(buffer_rows - 1)) / F.lit(every))
     of = lambda epoch: F.floor((epoch - F.lit(1)) / F.lit(block)).cast("long")
     holds = F.when(first_epoch <= last_epoch, F.sequence(of(first_epoch), of(last_epoch))).otherwise(F.array().cast("array<bigint>"))
-    ends = x.groupBy(*keys).agg(F.floor(F.max("_m") / F.lit(every)).cast("long").alias("_epochs"))
-    named = ", ".join(f"{k} {features.schema[k].dataType.simpleString()}" for k in keys)
-
-    narrow = (x.select(*keys, "_m", "label", F.explode(holds).alias("_block")).join(ends, keys)
-              .withColumn("_first", F.col("_block") * F.lit(block) + F.lit(1)).withColumn("_until", F.least((F.col("_block") + F.lit(1)) * F.lit(block), F.col("_epochs")))
-              .filter(F.col("_first") <= F.col("_until")))
-    checked = narrow.groupBy(*keys, "_block").applyInPandas(_refit_checker(keys, every, buffer_rows), f"{named}, epoch long, ok boolean")
     so_far = Window.partitionBy(*keys).orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
-    newest_ok = checked.select(*keys, "epoch", F.last(F.when(F.col("ok"), F.col("epoch")), ignorenulls=True).over(so_far).alias("model_epoch"))
+    newest_ok = trainable_refits(x, keys, every, buffer_rows).select(*keys, "epoch", F.last(F.when(F.col("ok"), F.col("epoch")), ignorenulls=True).over(so_far).alias("model_epoch"))
 
     known = x.withColumn("epoch", F.floor(F.col("_m") / F.lit(every)).cast("long")).join(newest_ok, [*keys, "epoch"], "left")
     own = of(F.col("model_epoch"))
     blocks = F.when(F.col("model_epoch").isNull(), holds).otherwise(F.array_union(holds, F.array(own)))
-    dealt = known.select(*keys, "_m", "label", "model_epoch", *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in ONLINE_FEATURES],
-                         F.explode(blocks).alias("_block")).withColumn("_scored", F.coalesce(F.col("_block") == own, F.lit(False)))
-    said = dealt.repartition(refit_tasks(features.sparkSession), *keys, "_block").groupBy(*keys, "_block").applyInPandas(_refit_scorer(keys, every, buffer_rows, rounds or MODEL_ROUNDS, n_bins),
-                                                        f"{named}, _m long, " + ", ".join(f"{c} string" for c in MODEL_SIGNALS))
-    out = known.join(said, [*keys, "_m"], "left")
-    return out.withColumns({c: training_gate(F.col(c).isNotNull(), F.col(c)) for c in MODEL_SIGNALS}).withColumnRenamed("_m", "message_number")
+    dealt = known.select(*keys, F.col("_m").cast("long").alias("_m"), F.col("label").cast("int").alias("label"), "model_epoch",
+                         *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in ONLINE_FEATURES], F.explode(blocks).alias("_block"))
+    row = F.struct("_m", "label", F.when(F.col("_block") == own, F.col("model_epoch")).alias("of"), *ONLINE_FEATURES)
+    gathered = dealt.repartition(refit_tasks(spark), *keys, "_block").groupBy(*keys, "_block").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    fitted = refits.labelled(spark, F.col("_rows"), every, buffer_rows, rounds or MODEL_ROUNDS, n_bins)
+    out = known.join(gathered.select(*keys, F.inline(fitted)), [*keys, "_m"], "left")
+    said = refits.label_columns(F.col("said"))
+    return out.withColumns({c: training_gate(F.col("said").isNotNull(), said[c]) for c in MODEL_SIGNALS}).drop("said").withColumnRenamed("_m", "message_number")
