@@ -8,6 +8,7 @@ from tickforge.functions.signals import MODEL_SIGNALS, TRAINING
 from tickforge.operators import learning as ml
 from tickforge.operators import refits
 from tickforge.operators import trees as T
+from tickforge.streaming import keyed
 
 FEATURES = ", ".join(f"{c} double" for c in ml.ONLINE_FEATURES)
 
@@ -120,3 +121,33 @@ def test_trainable_refits_equal_a_plain_count(spark, every, buffer, monkeypatch)
             y = np.array([0.0 if m == epoch * every else v for m, v in own if epoch * every - buffer < m <= epoch * every])
             want[s, epoch] = bool(ml._trainable(y)) if len(y) else False
     assert got == want and (buffer < 50 or len(set(want.values())) == 2)
+
+
+def test_a_packed_block_keeps_its_rows():
+    import pandas as pd
+    rows = series(40, 3)
+    ids = pd.DataFrame({"ts": pd.to_datetime(["2024-01-01 00:00:00.123456", None, "1969-12-31 23:59:59.999999"]), "event_id": [7.0, 8.0, np.nan]})
+    begin, back, known, block = keyed.unpacked(keyed.packed(11, rows, ids, [(20, 21, 2), (22, 22, 2)]))
+    assert begin == 11 and np.array_equal(back, rows, equal_nan=True) and block == [(20, 21, 2), (22, 22, 2)]
+    assert known["ts"].astype(str).tolist() == ids["ts"].astype(str).tolist() and known["event_id"].tolist()[:2] == [7, 8] and known["event_id"].isna().tolist() == [False, False, True]
+
+
+def test_packed_blocks_are_fitted_alike(spark):
+    """Of a stream's blocks: compiled code and fit_blocks give the same messages."""
+    import datetime as dt
+
+    import pandas as pd
+    rounds, every, buffer, n_bins = {"XGBoost": 4, "RandomForest": 4, "AdaBoost": 4}, 10, 80, 16
+    rows = series(300, 5)
+    block = [(100, 109, 10), (110, 119, 11), (120, 129, 11), (130, 139, 13)]
+    ids = pd.DataFrame({"ts": pd.date_range("2024-01-01", periods=40, freq="1min") + pd.Timedelta(microseconds=3), "event_id": np.arange(40) + 5})
+    ids.loc[3, "ts"] = pd.NaT
+    job = keyed.packed(1, rows, ids, block)
+    got = spark.createDataFrame([(job,)], "job binary").select(F.inline(refits.messages(spark, F.col("job"), every, buffer, rounds, n_bins)))
+    got = got.select("ts", "event_id", "message_number", "model_epoch", *[v.alias(c) for c, v in refits.label_columns(F.col("said")).items()]).collect()
+    frame = pd.DataFrame({"symbol": ["A"], "refits": [job]})
+    want = pd.concat(list(keyed.fit_blocks(every, buffer, rounds, n_bins)(iter([frame])))[1:], ignore_index=True)
+    assert len(got) == len(want) == 40 and got[3].ts is None and got[0].ts == dt.datetime(2024, 1, 1, 0, 0, 0, 3)
+    cols = ["event_id", "message_number", "model_epoch", *MODEL_SIGNALS]
+    assert [tuple(r[c] for c in cols) for r in got] == [tuple(r) for r in want[cols].itertuples(index=False)]
+    assert [r.ts for r in got] == [None if pd.isna(t) else t.to_pydatetime() for t in want["ts"]]

@@ -18,8 +18,9 @@ messages as well, in slots of ``every`` messages of which a micro-batch writes
 only those it adds to, and its newest models.  At each ``every``-th message the
 models are refitted on the buffer; a message is labelled by the newest refit at
 or before it.  Of a symbol's refits in one micro-batch only the newest, which the
-state keeps, is fitted in the symbol's task; the others are dealt out in blocks.  That is the schedule of ``learning.walk_forward_labels``, tick by
-tick, with the same labels.
+state keeps, is fitted in the symbol's task; the others are dealt out in blocks, which
+compiled code fits (module ``refits``).  That is the schedule of
+``learning.walk_forward_labels``, tick by tick, with the same labels.
 
 Within a micro-batch the ticks of a symbol are taken in (ts, event_id) order,
 across batches in arrival order.  Missing values are null.
@@ -34,10 +35,12 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.signals import MODEL_SIGNALS, TRAINING
 from ..operators import learning as ml
+from ..operators import refits
 from ..operators.indicators import ANNUALIZE, FAST, FEATURE_COLUMNS, HISTORY, SIGNAL, SLOW, WARMUP, fold_weights
 
 SLICE = 20_000  # rows whose windows are held at once
@@ -140,12 +143,35 @@ def _buffer(rows: np.ndarray, begin: int, at: int, buffer_rows: int) -> tuple[np
     return x, np.append(x[1:, -1] > x[:-1, -1], False).astype(float)  # the newest has no next price yet
 
 
+MISSING = np.iinfo(np.int64).min  # a missing time or event id in a packed block
+
+
+def packed(begin: int, rows: np.ndarray, ids: pd.DataFrame, block: list) -> bytes:
+    """A block of refits as 64-bit words: first number of its rows; how many rows, features, parts and
+    messages; (first message, last message, refit) of each part; times in microseconds and event ids
+    of the messages from the first part to the last; the rows."""
+    times = ids["ts"].to_numpy("datetime64[us]").astype(np.int64)  # NaT is the least number
+    events = ids["event_id"].astype("Int64").fillna(MISSING).to_numpy(np.int64)
+    head = np.array([begin, *rows.shape, len(block), len(ids)], dtype=np.int64)
+    return b"".join(np.ascontiguousarray(x).astype(x.dtype.newbyteorder("<")).tobytes() for x in (head, np.array(block, dtype=np.int64), times, events, rows))
+
+
+def unpacked(job: bytes) -> tuple[int, np.ndarray, pd.DataFrame, list]:
+    """What ``packed`` was given."""
+    words = np.frombuffer(job, dtype="<i8")
+    begin, n, features, parts, messages = (int(v) for v in words[:5])
+    block, times, events = np.split(words[5:5 + 3 * parts + 2 * messages], [3 * parts, 3 * parts + messages])
+    rows = np.frombuffer(job, dtype="<f8")[-n * features:].reshape(n, features)
+    ids = pd.DataFrame({"ts": times.astype("datetime64[us]"), "event_id": pd.Series(events, dtype="Int64").mask(events == MISSING)})
+    return begin, rows, ids, [tuple(map(int, p)) for p in block.reshape(-1, 3)]
+
+
 class Labels(Indicators):
     """Buffer, refits and labels on top of the indicators.
 
     A micro-batch fits the newest refit of a symbol here, as the state holds its model.
-    Where it has others, blocks of them leave in column ``refits`` with their rows, and
-    ``fit_blocks`` fits them in other tasks."""
+    Where it has others, blocks of them leave in column ``refits`` with their rows and are
+    fitted in other tasks."""
 
     def __init__(self, idle_ms: int | None = None, every: int = ml.RETRAIN_EVERY, buffer_rows: int = ml.BUFFER_ROWS, rounds: dict | None = None, n_bins: int = ml.MODEL_BINS):
         super().__init__(idle_ms)
@@ -201,29 +227,31 @@ class Labels(Indicators):
             one = held_model if of == held_epoch else model
             said = dict.fromkeys(MODEL_SIGNALS, TRAINING) if of is None else ml.online_labels(one, rows[lo - begin:hi - begin + 1])
             out.append(known.assign(message_number=np.arange(lo, hi + 1), model_epoch=pd.array([of] * len(known), dtype="Int64"), **said, refits=None))
-        for k in range(0, len(between), ml.MODEL_BLOCK):
-            block = between[k:k + ml.MODEL_BLOCK]
-            a, z = max(begin, block[0][2] * self.every - self.buffer_rows + 1), block[-1][1]
-            ids = made[["ts", "event_id"]].iloc[block[0][0] - first:z - first + 1]
-            job = pickle.dumps((a, rows[a - begin:z - begin + 1], ids, block))
-            out.append(pd.DataFrame({"symbol": [symbol], "ts": ids["ts"].iloc[:1].to_numpy(), "event_id": ids["event_id"].iloc[:1].to_numpy(), "message_number": [block[0][0]],
-                                     "model_epoch": pd.array([block[0][2]], dtype="Int64"), **{c: [None] for c in MODEL_SIGNALS}, "refits": [job]}))
-        for k in range((first - 1) // self.every, (last - 1) // self.every + 1):
+        last_slot = (last - 1) // self.every
+        for k in range(max((first - 1) // self.every, last_slot - self.slots + 1), last_slot + 1):  # earlier ones have lost their place to these
             own = rows[max(0, k * self.every + 1 - begin):max(0, (k + 1) * self.every + 1 - begin)]
             self.messages.updateValue((k % self.slots,), (k, own.tobytes()))
         if epoch is not None and (fitted is None or refit):
             self.models.update((epoch, pickle.dumps(model)))
         yield from out
+        for k in range(0, len(between), ml.MODEL_BLOCK):
+            block = between[k:k + ml.MODEL_BLOCK]
+            a, z = max(begin, block[0][2] * self.every - self.buffer_rows + 1), block[-1][1]
+            ids = made[["ts", "event_id"]].iloc[block[0][0] - first:z - first + 1]
+            job = packed(a, rows[a - begin:z - begin + 1], ids, block)
+            yield pd.DataFrame({"symbol": [symbol], "ts": ids["ts"].iloc[:1].to_numpy(), "event_id": ids["event_id"].iloc[:1].to_numpy(), "message_number": [block[0][0]],
+                                "model_epoch": pd.array([block[0][2]], dtype="Int64"), **{c: [None] for c in MODEL_SIGNALS}, "refits": [job]})
 
 
 def fit_blocks(every: int, buffer_rows: int, rounds: dict | None, n_bins: int):
-    """Puts the labelled messages in the place of every row with a block of refits."""
+    """The labelled messages in the place of every row with a block of refits, by NumPy: the plain
+    form of ``refits.messages``, which the stream runs."""
     def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             plain = pdf["refits"].isna()
             yield pdf[plain].drop(columns="refits")
             for symbol, job in zip(pdf["symbol"][~plain], pdf["refits"][~plain]):
-                begin, rows, ids, block = pickle.loads(job)
+                begin, rows, ids, block = unpacked(job)
                 last = None
                 for lo, hi, epoch in block:
                     if epoch != last:  # else the message between them could not be trained on
@@ -258,7 +286,15 @@ def label_stream(ticks: DataFrame, idle_ms: int | None = None, **kw) -> DataFram
     labels = Labels(idle_ms, **kw)
     tasks = ml.refit_tasks(ticks.sparkSession, ml.TASKS_PER_CORE // 2)  # every micro-batch starts them
     dealt = _stream(ticks, labels, f"{LABELS_OUT}, refits binary").repartition(tasks, "symbol", "model_epoch")
-    return dealt.mapInPandas(fit_blocks(labels.every, labels.buffer_rows, labels.rounds, labels.n_bins), LABELS_OUT)
+    told = ["ts", "event_id", "message_number", "model_epoch"]
+    fitted = refits.messages(ticks.sparkSession, F.col("refits"), labels.every, labels.buffer_rows, labels.rounds or ml.MODEL_ROUNDS, labels.n_bins)
+
+    def message(m):
+        said = refits.label_columns(m["said"])
+        return F.struct(*[m[c].alias(c) for c in told], *[said[c].alias(c) for c in MODEL_SIGNALS])
+
+    here = F.array(F.struct(*told, *MODEL_SIGNALS))
+    return dealt.select("symbol", F.inline(F.when(F.col("refits").isNull(), here).otherwise(F.transform(fitted, message))))
 
 
 def price_change_stream(ticks: DataFrame, idle_ms: int | None = None) -> DataFrame:
